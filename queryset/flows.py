@@ -1 +1,230 @@
+"""Whole flows on hospital-shaped tables derived from the given ones.
 
+``raw_tables`` maps the given tables to the nine source tables: event users are
+patients, five-day blocks are stays, events become chart and lab items, order
+lines become codes and drugs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from queryset.registry import Tables, query
+from vitalgrid import params as P
+from vitalgrid.functions.timing import micros
+from vitalgrid.operators.joins import split_frames
+from vitalgrid.operators.narrative import PromptText, finetune_set
+from vitalgrid.operators.profile import task_balance
+from vitalgrid.plans import evaluation, features
+from vitalgrid.plans.wide import RawTables, deidentify, display, wide_table
+
+
+def item_list(spec: P.Variant) -> list[int]:
+    return sorted(spec.chart_items)
+
+
+def raw_tables(t: Tables, spec: P.Variant) -> RawTables:
+    visits, events = t.visits(), t.events()
+    user, hadm = F.col("patient").alias("subject_id"), (F.col("patient") * 100 + F.col("visit")).alias("hadm_id")
+    p = F.col("patient")
+    years = 2004 - p % 60 - F.when(p % 10 == 0, 300).otherwise(0)
+    patients = events.select("patient").distinct().select(
+        user,
+        F.when(p % 3 == 0, "M").when(p % 3 == 1, "m").otherwise("F").alias("gender"),
+        F.make_date(years.cast("int"), F.lit(7), F.lit(1)).alias("dob"),
+        F.when(p % 8 == 0, F.lit("2024-02-01")).cast("timestamp_ntz").alias("dod_hosp"),
+        F.when(p % 11 != 0, 20 + p % 60).alias("anchor_age"),
+        F.lit(2020).alias("anchor_year"),
+    )
+    admissions = visits.select(
+        user, hadm, F.col("admit").alias("admittime"), F.col("discharge").alias("dischtime"),
+        F.when(F.col("outcome") == 1, F.col("discharge")).alias("deathtime"),
+    )
+    ids = item_list(spec)
+    eid, num = F.col("eid"), F.col("num")
+    item = F.element_at(F.array(*[F.lit(i) for i in ids]), (eid % len(ids) + 1).cast("int"))
+    coma = {P.EYE_ITEM: (4, 1), P.VERBAL_ITEM: (5, 1), P.MOTOR_ITEM: (6, 1), 198: (13, 3)}
+    value = F.when(F.lit(False), F.lit(0.0))
+    for i, (n, first) in coma.items():
+        value = value.when(F.col("itemid") == i, (F.floor(num) % n + first).cast("double"))
+    text = F.when(eid % 3 == 0, P.CAPILLARY_TEXT[0]).when(eid % 3 == 1, P.CAPILLARY_TEXT[1]).otherwise(P.CAPILLARY_TEXT[0].lower())
+    chart = events.where("item <> 'error'").withColumn("itemid", item).select(
+        user, hadm, F.col("ts").alias("charttime"), "itemid", value.otherwise(num).alias("valuenum"),
+        F.when(F.col("itemid").isin(list(P.CAPILLARY_ITEMS)), text).alias("value"),
+    )
+    labs = list(P.LAB_ITEMS.values())
+    lab = events.where("item = 'error'").select(
+        user, hadm, F.col("ts").alias("charttime"),
+        F.element_at(F.array(*[F.lit(i) for i in labs]), (eid % 3 + 1).cast("int")).alias("itemid"), num.alias("valuenum"),
+    )
+    lines = t.items().withColumn("visit", F.col("visit") % 6).select(user, hadm, "seq", "code", "title", "version")
+    version = F.when(F.col("version") % 2 == 0, 9).otherwise(10).alias("icd_version")
+    code = spec.code_column
+    codes = lines.select("subject_id", "hadm_id", "seq", F.col("code").alias(code), version)
+    names = t.read("part").select(F.col("p_brand").alias(code)).distinct().where(f"{code} <> 'Brand#5'")
+    title = F.concat(F.lit("Name of "), F.col(code)).alias("long_title")
+    if spec.code_version is None:
+        names = names.select(code, title)
+    else:
+        names = names.select(code, F.explode(F.array(F.lit(9), F.lit(10))).alias("icd_version"), title)
+    drugs = lines.select("subject_id", "hadm_id", F.when(F.col("seq") != 2, F.col("title")).alias("drug"))
+    return RawTables(
+        patients, admissions, chart, lab, codes.where("seq <= 3"), names, codes.where("seq > 3"), names, drugs
+    )
+
+
+def _one(prefix: str, number: int, names) -> list[str]:
+    return [f"max(case when itemid = {number} and valuenum = {k} then 1 else 0 end) as {prefix}{k}" for k in names]
+
+
+def _many(ids) -> str:
+    return ", ".join(str(i) for i in ids)
+
+
+def _max(ids, name: str) -> str:
+    return f"max(case when itemid in ({_many(ids)}) then valuenum end) as {name}"
+
+
+def raw_sql(spec: P.Variant) -> str:
+    """The wide table in plain SQL: a range join on the window bounds, then one aggregation."""
+    ids = item_list(spec)
+    txt = "value" if spec.text_case_sensitive else "lower(value)"
+    normal, slow = P.CAPILLARY_TEXT if spec.text_case_sensitive else [c.lower() for c in P.CAPILLARY_TEXT]
+    age = (
+        "case when year(admit) - dob_year >= 300 then 90 else year(admit) - dob_year end"
+        if spec.age_rule == "birth" else "anchor_age + year(admit) - 2020"
+    )
+    death = "case when v.patient % 8 = 0 then 1 else 0 end" if spec.death_table == "patients" else "v.outcome"
+    f = "(valuenum - 32) * 5.0::double / 9.0::double"
+    if spec.temperature_range:
+        temp = f"""max(case when itemid in ({_many(P.CELSIUS_ITEMS)}) and valuenum between 30 and 45 then round(valuenum, 2)
+            when itemid in ({_many(P.FAHRENHEIT_ITEMS)}) and {f} between 30 and 45 then round({f}, 2) end) as temperature"""
+    else:
+        temp = f"""max(case when itemid in ({_many(P.CELSIUS_ITEMS)}) then valuenum
+            when itemid in ({_many(P.FAHRENHEIT_ITEMS)}) then round({f}, 2) end) as temperature"""
+    cols = [
+        _max(P.WEIGHT_ITEMS, "weight"), _max(P.HEIGHT_ITEMS, "height"),
+        f"max(case when itemid in ({_many(P.CAPILLARY_ITEMS)}) and {txt} = '{normal}' then 1 else 0 end) as capillary_normal",
+        f"max(case when itemid in ({_many(P.CAPILLARY_ITEMS)}) and {txt} = '{slow}' then 1 else 0 end) as capillary_slow",
+        *_one("gcs_eye_", P.EYE_ITEM, P.EYE), *_one("gcs_verbal_", P.VERBAL_ITEM, P.VERBAL), *_one("gcs_motor_", P.MOTOR_ITEM, P.MOTOR),
+    ]
+    if spec.gcs_total_item:
+        cols += _one("gcs_total_", spec.gcs_total_item, P.TOTALS)
+    else:
+        total = " + ".join(f"max(case when itemid = {i} then valuenum end)" for i in (P.EYE_ITEM, P.VERBAL_ITEM, P.MOTOR_ITEM))
+        cols += [f"case when {total} = {k} then 1 else 0 end as gcs_total_{k}" for k in P.TOTALS]
+    cols += [
+        _max([P.DIASTOLIC_ITEM], "diastolic_bp"), _max([P.SYSTOLIC_ITEM], "systolic_bp"), _max([P.MEAN_ITEM], "mean_bp"),
+        _max([P.HEART_ITEM], "heart_rate"), _max([spec.respiration_item], "respiratory_rate"), temp,
+        _max([P.LAB_ITEMS["oxygen_saturation"]], "oxygen_saturation"), _max(spec.fio2_items, "fio2"),
+        _max([P.LAB_ITEMS["glucose"]], "glucose"), _max([P.LAB_ITEMS["ph"]], "ph"),
+    ]
+    chosen = "and version % 2 = 0" if spec.code_version else ""
+    facts = [c for c in P.IDS if c not in ("weight", "height")]
+    return f"""rw_base as (
+    select v.patient, v.patient * 100 + v.visit as visit, v.admit, v.discharge, {death} as outcome,
+           round((epoch_us(discharge) - epoch_us(admit)) / 86400000000.0, 2) as los,
+           case when lead(admit) over (partition by v.patient order by admit) <= discharge + interval '30' day then 1 else 0 end as readmission,
+           case when v.patient % 3 < 2 then 1 else 0 end as sex,
+           2004 - v.patient % 60 - case when v.patient % 10 = 0 then 300 else 0 end as dob_year,
+           case when v.patient % 11 <> 0 then 20 + v.patient % 60 end as anchor_age
+    from fx_visits v),
+rw_facts as (select patient, visit, admit, discharge, outcome, los, readmission, sex, {age} as age from rw_base),
+rw_grid as (
+    select f.*, g.record, g.w0 as record_start from rw_facts f join fx_grid g on f.patient = g.patient and f.visit = g.patient * 100 + g.visit),
+rw_chart as (
+    select eid, patient, patient * 100 + visit as visit, ts, num, [{_many(ids)}][eid % {len(ids)} + 1] as itemid,
+           case eid % 3 when 0 then '{P.CAPILLARY_TEXT[0]}' when 1 then '{P.CAPILLARY_TEXT[1]}' else '{P.CAPILLARY_TEXT[0].lower()}' end as text
+    from fx_events where item <> 'error'),
+rw_events as (
+    select patient, visit, ts, itemid,
+           case itemid when {P.EYE_ITEM} then floor(num) % 4 + 1 when {P.VERBAL_ITEM} then floor(num) % 5 + 1
+                when {P.MOTOR_ITEM} then floor(num) % 6 + 1 when 198 then floor(num) % 13 + 3 else num end as valuenum,
+           case when itemid in ({_many(P.CAPILLARY_ITEMS)}) then text end as value from rw_chart
+    union all
+    select patient, patient * 100 + visit, ts, [{_many(P.LAB_ITEMS.values())}][eid % 3 + 1], num, null from fx_events where item = 'error'),
+rw_pivot as (
+    select {', '.join('g.' + c for c in facts)}, {', '.join(cols)}
+    from rw_grid g left join rw_events e on e.patient = g.patient and e.visit = g.visit
+      and e.ts >= g.record_start and e.ts < g.record_start + interval '12' hour
+    group by all),
+rw_lines as (select patient, patient * 100 + visit % 6 as visit, seq, code, title, version from fx_items),
+rw_cond as (select patient, visit, string_agg(code, ';' order by code) as codes, string_agg('Name of ' || code, ';' order by code) as titles
+            from rw_lines where code <> 'Brand#5' and seq <= 3 {chosen} group by 1, 2),
+rw_proc as (select patient, visit, string_agg(code, ';' order by code) as codes, string_agg('Name of ' || code, ';' order by code) as titles
+            from rw_lines where code <> 'Brand#5' and seq > 3 {chosen} group by 1, 2),
+rw_drug as (select patient, visit, string_agg(title, ';' order by title) as drugs from rw_lines where seq <> 2 group by 1, 2),
+rw_wide as (
+    select p.*, case when record = 1 then c.codes end as condition_codes, case when record = 1 then c.titles end as condition_titles,
+           case when record = 1 then m.drugs end as medications, case when record = 1 then o.codes end as procedure_codes,
+           case when record = 1 then o.titles end as procedure_titles
+    from rw_pivot p left join rw_cond c on p.patient = c.patient and p.visit = c.visit
+    left join rw_drug m on p.patient = m.patient and p.visit = m.visit
+    left join rw_proc o on p.patient = o.patient and p.visit = o.visit)"""
+
+
+COUNTED = ["outcome", "readmission", "sex", "age"] + [c for c in P.WIDE_NAMES if c.startswith(("capillary_", "gcs_"))]
+TIMES = ["record_start", "admit", "discharge"]
+
+
+def shown(df: DataFrame) -> DataFrame:
+    """Whole numbers as long, times as microseconds, other numbers rounded."""
+    cols = []
+    for c, kind in df.dtypes:
+        name = f"`{c}`"
+        if c in TIMES:
+            cols.append(micros(F.col(name)).alias(c))
+        elif kind in ("int", "bigint"):
+            cols.append(F.col(name).cast("long").alias(c))
+        elif kind in ("double", "float"):
+            cols.append(F.round(F.col(name).cast("double"), 6).alias(c))
+        else:
+            cols.append(F.col(name))
+    return df.select(*cols)
+
+
+def shown_sql(cols, table: str, rename=None) -> str:
+    parts = []
+    for c in cols:
+        out = f'"{(rename or {}).get(c, c)}"'
+        if c in TIMES:
+            parts.append(f"epoch_us({c}) as {out}")
+        elif c in COUNTED:
+            parts.append(f"cast({c} as bigint) as {out}")
+        elif c in P.VITALS or c in ("weight", "height", "los"):
+            parts.append(f"round({c}::double, 6) as {out}")
+        else:
+            parts.append(f"{c} as {out}")
+    return f"select {', '.join(parts)} from {table}"
+
+
+FX = "fx_events fx_visits fx_grid fx_items"
+
+
+@query("flow_wide_iii", shown_sql(P.WIDE_NAMES, "rw_wide"), FX, raw_sql(P.III))
+def _(t: Tables):
+    return shown(wide_table(raw_tables(t, P.III), P.III))
+
+
+@query("flow_wide_iv", shown_sql(P.WIDE_NAMES, "rw_wide"), FX, raw_sql(P.IV))
+def _(t: Tables):
+    return shown(wide_table(raw_tables(t, P.IV), P.IV))
+
+
+NEW_IDS = """rw_map as (
+    select patient, 10000 + row_number() over (order by md5(concat('42-', cast(patient as varchar))), patient) as new_patient
+    from (select distinct patient from rw_wide)),
+rw_new as (
+    select m.new_patient as patient, dense_rank() over (partition by w.patient order by admit) as visit, w.* exclude (patient, visit)
+    from rw_wide w join rw_map m on w.patient = m.patient)"""
+
+
+@query(
+    "flow_deidentified_iii",
+    shown_sql(P.WIDE_NAMES, "rw_new", {**P.WIDE_NAMES, **{c: c for c in TIMES}}),
+    FX,
+    raw_sql(P.III) + ",\n" + NEW_IDS,
+)
+def _(t: Tables):
+    out = display(deidentify(wide_table(raw_tables(t, P.III), P.III)))
+    return shown(out.withColumnsRenamed({P.WIDE_NAMES[c]: c for c in TIMES}))

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from vitalgrid.functions.texts import split_trim, zip_lists
-from vitalgrid.operators.ordered import ordinal
+from vitalgrid.operators.ordered import add_chunk, ordinal
 
 PART = 2048
 
 
-def _join_sorted(entries, field: str, sep: str):
-    texts = F.transform(entries, lambda e: e[field])
-    return F.array_join(F.filter(texts, lambda t: t.isNotNull()), sep)
+def _joined_lists(
+    packed: DataFrame, keys: Sequence[str], names: Iterable[str], sep: str, more: Sequence[str] = ()
+) -> DataFrame:
+    """Join the fields of the sorted entries in ``_all``, NULLs left out; NULL for no value."""
+    lists = []
+    for n in names:
+        texts = F.filter(F.transform("_all", lambda e: e[n]), lambda t: t.isNotNull())
+        lists.append(F.when(F.size(texts) > 0, F.array_join(texts, sep)).alias(n))
+    return packed.select(*keys, *more, *lists)
 
 
 def list_parts(
@@ -29,31 +35,29 @@ def list_parts(
     """
     order = list(order)
     numbered = ordinal(df, keys, order, out="_at").withColumn("_part", F.floor((F.col("_at") - 1) / F.lit(part_size)))
+    numbered = numbered.withColumn("part", F.col("_part").cast("long"))
     entry = F.struct(F.col("_at").alias("at"), *[F.col(c).alias(n) for n, c in cols.items()])
-    packed = numbered.groupBy(*keys, "_part").agg(F.array_sort(F.collect_list(entry)).alias("_all"))
-    lists = [
-        F.when(F.exists("_all", lambda e: e[n].isNotNull()), _join_sorted(F.col("_all"), n, sep)).alias(n) for n in cols
-    ]
-    return packed.select(*keys, F.col("_part").cast("long").alias("part"), *lists)
+    packed = numbered.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(entry)).alias("_all"))
+    return _joined_lists(packed, keys, cols, sep, ["part"])
 
 
 def visit_lists(
     df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], order: Sequence[str], sep: str = ";",
-    part_size: int = PART,
+    stride: float | None = None,
 ) -> DataFrame:
     """One joined list per group and column; NULL when it has no value.
 
-    Entries are joined into parts first, so only the finished parts of a group
-    meet: the last step holds no more than the cell it writes. For a group too
-    large for one cell use ``list_parts``.
+    Entries are joined per chunk of the leading order column first, by many
+    tasks, so only the finished parts of a group meet: the last step holds no
+    more than the cell it writes. The input is read once and nothing is
+    numbered. For a group too large for one cell use ``list_parts``.
     """
-    parts = list_parts(df, keys, cols, order, sep, part_size)
-    entry = F.struct("part", *cols)
-    packed = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_all"))
-    lists = [
-        F.when(F.exists("_all", lambda e: e[n].isNotNull()), _join_sorted(F.col("_all"), n, sep)).alias(n) for n in cols
-    ]
-    return packed.select(*keys, *lists)
+    order = list(order)
+    rows = add_chunk(df, order[0], stride, "_part")
+    entry = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c).alias(n) for n, c in cols.items()])
+    parts = _joined_lists(rows.groupBy(*keys, "_part").agg(F.array_sort(F.collect_list(entry)).alias("_all")), keys, cols, sep, ["_part"])
+    packed = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_part", *cols))).alias("_all"))
+    return _joined_lists(packed, keys, cols, sep)
 
 
 def top_pairs(df: DataFrame, titles: str, codes: str, k: int = 10, sep: str = ";") -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from vitalgrid.functions.texts import LEAK, fill, is_leak, keep_last_words, strip, words
 from vitalgrid.operators.joins import join_answers, keep_ids, rank_align
-from vitalgrid.operators.lists import PART
-from vitalgrid.operators.ordered import first_row, last_row, ordinal, prefix_sums
+from vitalgrid.operators.lists import visit_lists
+from vitalgrid.operators.ordered import first_row, last_row, prefix_sums
 from vitalgrid.operators.sampling import sample_exact
+from vitalgrid.session import materialize
 
 # The line formats of a visit and of an answer.
 HEADS = {
@@ -37,29 +38,20 @@ def visit_block(
     return F.concat_ws("\n", head, *body, F.lit(""))
 
 
-def _joined(df: DataFrame, key: str, order: Sequence[str], text: Column, out: str, part: int) -> DataFrame:
-    """Join a key's texts by line breaks, in order: first in parts, then the parts."""
-    rows = ordinal(df.withColumn("_t", text), [key], list(order), out="_at")
-    rows = rows.withColumn("_part", F.floor((F.col("_at") - 1) / F.lit(part)))
-    glue = lambda entries: F.array_join(F.transform(F.array_sort(entries), lambda e: e["t"]), "\n")
-    parts = rows.groupBy(key, "_part").agg(
-        glue(F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_t").alias("t")))).alias("_t")
-    )
-    return parts.groupBy(key).agg(
-        glue(F.collect_list(F.struct(F.col("_part").alias("at"), F.col("_t").alias("t")))).alias(out)
-    )
+def _joined(df: DataFrame, key: str, order: Sequence[str], text: Column, out: str) -> DataFrame:
+    """Join a key's texts by line breaks, in order."""
+    rows = df.withColumn("_t", text)
+    return visit_lists(rows, [key], {out: "_t"}, list(order), sep="\n")
 
 
-def patient_context(
-    df: DataFrame, key: str, order: Sequence[str], block: Column, out: str = "context", part: int = PART
-) -> DataFrame:
+def patient_context(df: DataFrame, key: str, order: Sequence[str], block: Column, out: str = "context") -> DataFrame:
     """A patient's visit blocks in order, stripped: (key, context).
 
     The blocks of a patient with many visits are joined in parts by many tasks.
     Where a token budget applies use ``context_within`` first, which bounds what
     a patient can bring.
     """
-    return _joined(df, key, order, block, out, part).withColumn(out, strip(F.col(out)))
+    return _joined(df, key, order, block, out).withColumn(out, strip(F.col(out)))
 
 
 def context_within(
@@ -84,7 +76,7 @@ def context_within(
 
 
 def truth_block(
-    df: DataFrame, key: str, visit: str, order: Sequence[str], label: str, out: str = "truth", part: int = PART
+    df: DataFrame, key: str, visit: str, order: Sequence[str], label: str, out: str = "truth"
 ) -> DataFrame:
     """One line ``Visit k: y`` per distinct visit, NA where the label is missing."""
     firsts = first_row(df.select(*dict.fromkeys([key, visit, *order, label])), [key, visit], order)
@@ -92,7 +84,7 @@ def truth_block(
         F.lit("Visit "), F.col(visit).cast("long").cast("string"), F.lit(": "),
         F.coalesce(F.col(label).cast("int").cast("string"), F.lit("NA")),
     )
-    return _joined(firsts, key, [visit], line, out, part)
+    return _joined(firsts, key, [visit], line, out)
 
 
 @dataclass(frozen=True)
@@ -198,16 +190,18 @@ def finetune_set(
     rank in the patient; the last visit decides the label, and a patient whose
     last visit has none is left out.
     """
+    # Sample first, on ids alone: everything below works on the sampled patients only.
+    answered = keep_ids(texts.select("patient").distinct(), answers, "patient")
+    chosen = materialize(sample_exact(answered, "patient", n, seed))
+    texts, labels, answers = (keep_ids(df, chosen, "patient") for df in (texts, labels, answers))
+
     if task in ("Outcome", "Readmission"):
         per_visit = first_row(
             labels.select("patient", "visit_pos", "record", task), ["patient", "visit_pos"], ["record"]
         ).drop("record")
     else:
         per_visit = labels.groupBy("patient", "visit_pos").agg(F.avg(task).alias(task))
-    aligned = rank_align(texts, per_visit, "patient", ["visit"], ["visit_pos"])
-    answered = keep_ids(aligned, answers, "patient")
-    chosen = sample_exact(answered, "patient", n, seed)
-    data = keep_ids(answered, chosen, "patient")
+    data = rank_align(texts, per_visit, "patient", ["visit"], ["visit_pos"])
 
     block = visit_block(F.col("visit"), F.col("gap_days"), {name: F.col(name) for _, name in LINES})
     context = patient_context(data, "patient", ["visit_rank"], block)

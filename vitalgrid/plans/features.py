@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitalgrid.operators.encode import min_max, minmax_apply
 from vitalgrid.operators.joins import attach, filter_group_size, keep_ids, patient_label
-from vitalgrid.operators.ordered import first_values, head_n, impute, ordinal, position01, truncate_after_last
+from vitalgrid.operators.ordered import first_values, impute, position01, truncate_after_last
 from vitalgrid.operators.sampling import split_labels, stratified_sample
 from vitalgrid.operators.scoring import pooled_scores, score_columns
 from vitalgrid.operators.visits import gap_days
 from vitalgrid.params import CAPILLARY, IDS, TEXT_LISTS, VITALS, Settings, Variant
+from vitalgrid.session import materialize
 
 KEYS = ["patient", "visit"]
 PHYSICAL = ["age", "weight", "height", *VITALS]
@@ -32,7 +33,7 @@ def cohort(wide: DataFrame, spec: Variant, task: str, settings: Settings = Setti
         limit = spec.readmission_rows
     else:
         raise ValueError(f"unknown task {task!r}")
-    per_patient = rows.groupBy("patient").agg(F.max(label).alias("label"))
+    per_patient = materialize(rows.groupBy("patient").agg(F.max(label).alias("label")))
     chosen = stratified_sample(per_patient, "patient", "label", total, share, settings.seed, backfill)
     kept = keep_ids(rows, chosen, "patient")
     # Records are numbered from 1 without gaps, so the first n are a plain filter.
@@ -50,12 +51,25 @@ def visit_texts(records: DataFrame) -> DataFrame:
     return first_values(records, KEYS, ["record"], ["admit", "discharge", *TEXT_LISTS])
 
 
-def scored_visits(series: DataFrame, spec: Variant) -> DataFrame:
-    """Pooled abnormality vector per visit."""
+def visit_table(series: DataFrame) -> DataFrame:
+    """One row per visit: record count, patient-level outcome and the visit's place in the patient.
+
+    Everything that depends on whole visits or patients is worked out here, on
+    visit rows, and meets the records in one join. Only three columns of the
+    records are read.
+    """
+    visits = materialize(
+        series.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_records"), F.max("outcome").alias("outcome"))
+    )
+    return position01(patient_label(visits, "patient", "outcome"), ["patient"], ["visit"], "visit_pos")
+
+
+def scored_visits(series: DataFrame, visits: DataFrame, spec: Variant) -> DataFrame:
+    """Pooled abnormality vector per visit. Records are numbered from 1 without gaps."""
     features, gcs = score_columns()
-    ranked = ordinal(series, KEYS, ["record"], out="_at", size="_n")
-    scored = ranked.select(*KEYS, "_at", "_n", gcs.alias("score_gcs"), *[c.alias(n) for n, c in features.items()])
-    return pooled_scores(scored, KEYS, "_at", "_n", list(features), "score_gcs", spec.scales, spec.pool_size)
+    scored = series.select(*KEYS, "record", gcs.alias("score_gcs"), *[c.alias(n) for n, c in features.items()])
+    sized = attach(scored, visits.select(*KEYS, "n_records"), KEYS)
+    return pooled_scores(sized, KEYS, "record", "n_records", list(features), "score_gcs", spec.scales, spec.pool_size)
 
 
 def encoded(series: DataFrame, spec: Variant) -> DataFrame:
@@ -64,11 +78,13 @@ def encoded(series: DataFrame, spec: Variant) -> DataFrame:
     ``visit_pos`` is the visit's place in the patient and ``record_pos`` the
     record's place in the visit, both in [0, 1].
     """
-    rows = attach(series, scored_visits(series, spec), KEYS).drop("record_start", "admit", "discharge")
-    rows = patient_label(rows, "patient", "outcome")
-    visits = position01(series.select(*KEYS).distinct(), ["patient"], ["visit"], "visit_pos")
-    rows = attach(rows, visits, KEYS)
-    return position01(rows, KEYS, ["record"], "record_pos")
+    visits = visit_table(series)
+    facts = materialize(attach(visits, scored_visits(series, visits, spec), KEYS))
+    rows = attach(series.drop("record_start", "admit", "discharge", "outcome"), facts, KEYS)
+    place = F.when(F.col("n_records") == 1, F.lit(1.0)).otherwise(
+        (F.col("record") - 1) / F.nullif(F.col("n_records") - 1, F.lit(0))
+    )
+    return rows.withColumn("record_pos", place).drop("n_records")
 
 
 def scaled_splits(rows: DataFrame, spec: Variant, settings: Settings = Settings()) -> DataFrame:
@@ -98,8 +114,3 @@ def display_names() -> dict[str, str]:
     """Published names of the columns kept in the feature tables."""
     return {**{k: v for k, v in IDS.items() if k not in ("record_start", "admit", "discharge")}, **CAPILLARY, **VITALS}
 
-
-__all__ = [
-    "cohort", "time_series", "visit_texts", "scored_visits", "encoded", "scaled_splits", "split_texts",
-    "feature_columns", "display_names", "head_n",
-]

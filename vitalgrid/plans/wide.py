@@ -126,9 +126,11 @@ def wide_table(raw: RawTables, spec: P.Variant, hours: int = 12, readmission_day
 
 def deidentify(wide: DataFrame, seed: int = 42, offset: int = 10_000) -> DataFrame:
     """Replace patient ids by pseudonyms and visit ids by the visit's ordinal."""
-    mapped = wide.join(pseudonym_map(wide, "patient", seed, offset, "_new"), "patient", "inner")
-    numbered = visit_ordinal(mapped, "patient", "admit", "_ordinal")
-    return numbered.withColumns({"patient": F.col("_new"), "visit": F.col("_ordinal")}).select(*wide.columns)
+    visits = visit_ordinal(wide.select("patient", "admit").distinct(), "patient", "admit", "_ordinal")
+    ids = visits.join(pseudonym_map(wide, "patient", seed, offset, "_new"), "patient", "inner")
+    numbered = wide.join(ids, ["patient", "admit"], "inner")
+    renamed = {"patient": F.col("_new").alias("patient"), "visit": F.col("_ordinal").alias("visit")}
+    return numbered.select(*[renamed.get(c, F.col(c)) for c in wide.columns])
 
 
 def display(wide: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -28,16 +28,32 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder that every executor can reach.
+def _shared_base(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, or a temporary one in a local session.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a
-    local session, where driver and executors are one process, may fall back to
-    a temporary folder.
+    Only in a local session, where driver and executors are one process, is a
+    folder of this machine visible to every task.
     """
     base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the whole cluster")
-        base = tempfile.mkdtemp(prefix="vitalgrid-")
-    return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the whole cluster")
+    return tempfile.mkdtemp(prefix="vitalgrid-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder that every executor can reach."""
+    return f"{_shared_base(spark)}/run-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute once what a plan reads several times, by a reliable checkpoint.
+
+    Meant for small tables between large ones (ids, visit facts): the stored
+    copy survives lost executors and is the same for every reader.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(_shared_base(spark))
+    return df.checkpoint(eager=True)
