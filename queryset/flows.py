@@ -7,16 +7,17 @@ lines become codes and drugs.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from queryset.registry import Tables, query
 from vitalgrid import params as P
 from vitalgrid.functions.timing import micros
-from vitalgrid.operators.joins import split_frames
-from vitalgrid.operators.narrative import PromptText, finetune_set
-from vitalgrid.operators.profile import task_balance
-from vitalgrid.plans import evaluation, features
+from vitalgrid.plans import features
 from vitalgrid.plans.wide import RawTables, deidentify, display, wide_table
+from vitalgrid.session import shared_folder
+from vitalgrid.sources.tables import save_table
 
 
 def item_list(spec: P.Variant) -> list[int]:
@@ -228,3 +229,134 @@ rw_new as (
 def _(t: Tables):
     out = display(deidentify(wide_table(raw_tables(t, P.III), P.III)))
     return shown(out.withColumnsRenamed({P.WIDE_NAMES[c]: c for c in TIMES}))
+
+
+# --- features: cohort, imputation, scores, positions, split, scaling ---------
+
+SMALL_III = replace(P.III, cohort_outcome=100, outcome_share=0.3)
+SMALL_IV = replace(P.IV, cohort_outcome=120, outcome_share=0.5)
+
+
+def _band_sql(c: str, bands) -> str:
+    tests = []
+    for lo, hi, score in bands:
+        edges = [f"{c} >= {lo}::double"] * (lo is not None) + [f"{c} <= {hi}::double"] * (hi is not None)
+        tests.append(f"when {' and '.join(edges)} then {score}.0::double")
+    return f"case when {c} is null then null {' '.join(tests)} end"
+
+
+def features_sql(spec: P.Variant, rows_limit: int) -> str:
+    """Cohort to scaled features in plain SQL, block by block."""
+    want_pos = int(spec.cohort_outcome * spec.outcome_share)
+    want_neg = spec.cohort_outcome - want_pos
+    if spec.backfill_outcome:
+        take_pos = f"least(pos, least({want_pos}, pos) + greatest({want_neg} - neg, 0))"
+        take_neg = f"least(neg, least({want_neg}, neg) + greatest({want_pos} - pos, 0))"
+    else:
+        take_pos, take_neg = str(want_pos), str(want_neg)
+    measured = ["age", "weight", "height", *P.VITALS]
+    up = "over (partition by patient, visit order by record rows between unbounded preceding and current row)"
+    down = "over (partition by patient, visit order by record rows between current row and unbounded following)"
+    fills = [f"coalesce(last_value({c} ignore nulls) {up}, first_value({c} ignore nulls) {down})::double as {c}" for c in measured]
+    other = [c for c in P.WIDE_NAMES if c not in (*measured, *P.TEXT_LISTS)]
+    scores = {f"s_{c}": _band_sql(c, b) for c, b in P.BANDS.items()}
+    scores["s_cap"] = "case when capillary_normal = 1 then 0.0::double when capillary_slow = 1 then 2.0::double end"
+    coma = "list_avg([" + ", ".join(f"case when gcs_total_{k} = 1 then {k} end" for k in P.TOTALS) + "])"
+    scales = ", ".join(f"({i}, {'null' if s == 'full' else s})" for i, s in enumerate(spec.scales))
+    n = spec.pool_size
+    points = [f"D{i}" for i in range(n)]
+    pooled = ", ".join(f"max(case when i = {i} then v end) as D{i}" for i in range(n))
+    scaled = ["visit_pos", "record_pos", *measured, *points]
+    fit = ", ".join(
+        f"min(least(greatest({c}, -250), 250)) filter (where {c} is not null) as lo_{c}, "
+        f"max(least(greatest({c}, -250), 250)) filter (where {c} is not null) as hi_{c}" for c in scaled
+    )
+    return f"""rf_label as (
+    select *, row_number() over (partition by label order by md5(concat('42-', cast(patient as varchar))), patient) as k,
+           sum(label) over () as pos, sum(1 - label) over () as neg
+    from (select patient, max(outcome) as label from rw_wide group by 1)),
+rf_rows as (
+    select w.*, l.label from rw_wide w join rf_label l on w.patient = l.patient
+    where w.record <= {rows_limit} and l.k <= case when label = 1 then {take_pos} else {take_neg} end),
+rf_series as (
+    select {', '.join(c for c in other if c != 'outcome')}, label as outcome, {', '.join(fills)},
+           count(*) over (partition by patient, visit) as n_rec
+    from rf_rows),
+rf_scores as (select patient, visit, record, n_rec, {coma} as gcs, {', '.join(f'{v} as {k}' for k, v in scores.items())} from rf_series),
+rf_blocks as (
+    select r.patient, r.visit, s.scale_no, r.record as start, coalesce(s.len, r.n_rec) as len
+    from rf_scores r, (values {scales}) s(scale_no, len) where r.record + coalesce(s.len, r.n_rec) - 1 <= r.n_rec),
+rf_tas as (
+    select b.patient, b.visit, b.scale_no, b.start,
+           (coalesce(avg(gcs), 0) * 4 / 15 + coalesce(list_avg([{', '.join(f'avg({k})' for k in scores)}]), 0)) / 8 as score
+    from rf_blocks b join rf_scores f on b.patient = f.patient and b.visit = f.visit and f.record between b.start and b.start + b.len - 1
+    group by all),
+rf_pool as (
+    select patient, visit, {pooled} from (
+      select patient, visit, i, s[lo + 1] * (1 - (x - lo)) + s[least(lo + 1, m - 1) + 1] * (x - lo) as v from (
+        select *, floor(x)::bigint as lo from (
+          select patient, visit, s, len(s) as m, i, i * (len(s) - 1) / {n - 1}.0::double as x
+          from (select patient, visit, list(score order by scale_no, start) as s from rf_tas group by 1, 2), range({n}) r(i)))) group by 1, 2),
+rf_pos as (
+    select patient, visit, case when n = 1 then 1.0::double else (r - 1) / (n - 1)::double end as visit_pos
+    from (select patient, visit, row_number() over (partition by patient order by visit) as r, count(*) over (partition by patient) as n
+          from (select distinct patient, visit from rf_series))),
+rf_split as (
+    select patient, case when r <= floor(n * 0.7::double) then 'train' when r <= floor(n * 0.7::double) + floor(n * 0.1::double) then 'val' else 'test' end as split
+    from (select patient, row_number() over (order by md5(concat('42-', cast(patient as varchar))), patient) as r, count(*) over () as n
+          from (select distinct patient from rf_series))),
+rf_all as (
+    select f.*, p.* exclude (patient, visit), v.visit_pos, s.split,
+           case when n_rec = 1 then 1.0::double else (record - 1) / (n_rec - 1)::double end as record_pos
+    from rf_series f join rf_pool p on f.patient = p.patient and f.visit = p.visit
+    join rf_pos v on f.patient = v.patient and f.visit = v.visit join rf_split s on s.patient = f.patient),
+rf_fit as (select {fit} from rf_all where split = 'train')"""
+
+
+def features_out(spec: P.Variant) -> str:
+    measured = ["age", "weight", "height", *P.VITALS]
+    scaled = ["visit_pos", "record_pos", *measured, *[f"D{i}" for i in range(spec.pool_size)]]
+    plain = [c for c in P.WIDE_NAMES if c not in (*measured, *P.TEXT_LISTS, *TIMES)]
+    rule = (
+        "case when lo_{c} is null or hi_{c} <= lo_{c} then 1 when {c} is null then 0 "
+        'when {c} < -250 or {c} > 250 then 1 else ({c} - lo_{c}) / (hi_{c} - lo_{c}) end'
+    )
+    out = [f"round(({rule.format(c=c)})::double, 5) as \"{c}\"" for c in scaled]
+    out += [f"cast({c} as bigint) as {c}" if c in COUNTED else f"round({c}::double, 5) as {c}" if c == "los" else c for c in plain]
+    return f"select {', '.join(out)}, split from rf_all, rf_fit"
+
+
+def feature_rows(t: Tables, spec: P.Variant) -> DataFrame:
+    wide = wide_table(raw_tables(t, spec), spec)
+    # The wide table is a stored result in this flow, as it is in a real run.
+    path = shared_folder(t.spark)
+    save_table(wide, path)
+    records = features.cohort(t.spark.read.parquet(path), spec, "outcome")
+    series = features.time_series(records, bound=spec.outcome_rows)
+    stored = shared_folder(t.spark)
+    save_table(series, stored)
+    return features.scaled_splits(features.encoded(t.spark.read.parquet(stored), spec), spec)
+
+
+def features_shown(df: DataFrame) -> DataFrame:
+    cols = []
+    for c, kind in df.dtypes:
+        if kind in ("int", "bigint") and c != "age":
+            cols.append(F.col(c).cast("long").alias(c))
+        elif kind == "string":
+            cols.append(F.col(c))
+        else:
+            cols.append(F.round(F.col(c).cast("double"), 5).alias(c))
+    return df.select(*cols)
+
+
+@query(
+    "flow_features_iii", features_out(SMALL_III), FX, raw_sql(P.III) + ",\n" + features_sql(SMALL_III, 200)
+)
+def _(t: Tables):
+    return features_shown(feature_rows(t, SMALL_III))
+
+
+@query("flow_features_iv", features_out(SMALL_IV), FX, raw_sql(P.IV) + ",\n" + features_sql(SMALL_IV, 4))
+def _(t: Tables):
+    return features_shown(feature_rows(t, SMALL_IV))
