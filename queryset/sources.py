@@ -25,7 +25,7 @@ def _(t: Tables):
     )
 
 
-@query("src_csv", "select o_orderkey, o_orderpriority, o_totalprice, 3 as n_header from orders")
+@query("src_csv", "select o_orderkey, o_orderpriority, o_totalprice, cast(3 as bigint) as n_header from orders")
 def _(t: Tables):
     path = shared_folder(t.spark)
     TB.write_csv(t.read("orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), path, float_fmt="%.2f")
@@ -82,7 +82,7 @@ def _(t: Tables):
     return out.select("patient", "turn", F.md5("content").alias("content"), F.lit(seen.get["skipped"]).cast("long").alias("skipped"))
 
 
-@query("snk_append_resume", "select doc_id, length(text) as n, 1 as copies from documents")
+@query("snk_append_resume", "select doc_id, length(text) as n, cast(1 as bigint) as copies from documents")
 def _(t: Tables):
     path = shared_folder(t.spark)
     docs = t.read("documents").select("doc_id", F.char_length("text").cast("long").alias("n"))

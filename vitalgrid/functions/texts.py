@@ -10,16 +10,21 @@ from pyspark.sql import Column, functions as F
 RESULT_STRICT = r"#\s*Prediction\s+Result\s*#\s*[\r\n]+\s*([01])"
 RESULT_LOOSE = r"#\s*Prediction\s+Result\s*#\s*([01])"
 LEAK = r"is [01]"
+# Every character that counts as white space at the ends of a text.
+SPACES = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
     """Remove all white space at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def is_leak(c: Column, pattern: str = LEAK) -> Column:
     """True for a missing, blank or label-revealing text."""
-    return F.coalesce(~c.rlike(r"\S") | F.lower(c).rlike(pattern), F.lit(True))
+    return F.coalesce((strip(c) == "") | F.lower(c).rlike(pattern), F.lit(True))
 
 
 def answer_label(c: Column, strict: bool = True) -> Column:

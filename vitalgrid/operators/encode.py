@@ -33,11 +33,12 @@ def minmax_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str], limits: t
     The row enters the plan as one scalar subquery: no join and no fetch to the
     driver while the plan is built.
     """
-    row = stats.select(F.struct(*stats.columns).alias("s")).scalar()
+    with_stats = df.withColumn("_s", stats.select(F.struct(*stats.columns)).scalar())
+    s = F.col("_s")
     scaled = {
-        c: minmax_scale(F.col(f"`{c}`").cast("double"), row[f"min_{c}"], row[f"max_{c}"], *limits) for c in cols
+        c: minmax_scale(F.col(f"`{c}`").cast("double"), s[f"min_{c}"], s[f"max_{c}"], *limits) for c in cols
     }
-    return df.withColumns(scaled)
+    return with_stats.withColumns(scaled).drop("_s")
 
 
 def sequences(
@@ -55,7 +56,7 @@ def sequences(
     vector = F.array(*[F.col(f"`{c}`").cast("float") for c in names])
     step = F.struct(F.col("_at").alias("at"), vector.alias("x"))
     packed = numbered.groupBy(key, "segment").agg(
-        F.array_sort(F.collect_list(step)).alias("_steps"), F.max("_n").alias("total_length")
+        F.sort_array(F.collect_list(step)).alias("_steps"), F.max("_n").alias("total_length")
     )
     return packed.select(
         key, "segment", F.size("_steps").alias("length"), F.transform("_steps", lambda s: s["x"]).alias("steps"),

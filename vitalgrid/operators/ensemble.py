@@ -69,7 +69,7 @@ def pick_best(table: DataFrame) -> DataFrame:
         )
         return F.when(better, new).otherwise(best)
 
-    folded = table.agg(F.aggregate(F.array_sort(F.collect_list(point)), start, keep).alias("b"))
+    folded = table.agg(F.aggregate(F.sort_array(F.collect_list(point)), start, keep).alias("b"))
     return folded.select("b.alpha", "b.t", "b.auroc", "b.auprc", "b.min_ps")
 
 
@@ -81,10 +81,7 @@ def grid_search(
 
 
 def evaluate(df: DataFrame, y: str, p1: str, p2: str, alpha: Column | float, t: Column | float) -> DataFrame:
-    """AUROC, average precision and min(P, Se) of the blend at a fixed weight and threshold.
-
-    Weight and threshold may be scalar subqueries on a stored choice.
-    """
+    """AUROC, average precision and min(P, Se) of the blend at a fixed weight and threshold."""
     blended = df.select(F.col(y).alias("y"), blend(F.col(p1), F.col(p2), alpha).alias("p"))
     ranking = ranking_from_counts(score_counts(blended, "y", "p"))
     at_t = confusion(blended, "y", "p", t, EPSILON).select(F.struct("min_ps").alias("c")).scalar()

@@ -47,7 +47,8 @@ def events_in_windows(
         .drop("_admit")
     )
     placed = events.withColumn("_t", micros(F.col(time))).withColumn("_day", day_of(F.col("_t")))
-    joined = placed.join(stays, keys + ["_day"], "inner")
+    # Merge join by hint: the planner does not see that ``explode`` made ``stays`` longer.
+    joined = placed.join(stays.hint("merge"), keys + ["_day"], "inner")
     number = F.floor((F.col("_t") - F.col("_us")) / F.lit(float(hours * US_PER_HOUR))).cast("long") + 1
     inside = joined.withColumn(record, number).where((F.col("_t") >= F.col("_us")) & (F.col(record) <= F.col("_n")))
     return inside.select(*events.columns, record)
@@ -66,7 +67,7 @@ def window_join(
     """
     at = list(keys) + [record]
     hits = events_in_windows(visits, events, keys, admit, discharge, time, hours, record).select(*at, *values)
-    filled = hits.join(grid, at, "inner").select(*grid.columns, *values)
+    filled = hits.join(grid.hint("merge"), at, "inner").select(*grid.columns, *values)
     empty = grid.join(hits.select(*at).distinct(), at, "left_anti")
     return filled.unionByName(empty, allowMissingColumns=True)
 

@@ -37,7 +37,7 @@ def list_parts(
     numbered = ordinal(df, keys, order, out="_at").withColumn("_part", F.floor((F.col("_at") - 1) / F.lit(part_size)))
     numbered = numbered.withColumn("part", F.col("_part").cast("long"))
     entry = F.struct(F.col("_at").alias("at"), *[F.col(c).alias(n) for n, c in cols.items()])
-    packed = numbered.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(entry)).alias("_all"))
+    packed = numbered.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(entry)).alias("_all"))
     return _joined_lists(packed, keys, cols, sep, ["part"])
 
 
@@ -55,8 +55,8 @@ def visit_lists(
     order = list(order)
     rows = add_chunk(df, order[0], stride, "_part")
     entry = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c).alias(n) for n, c in cols.items()])
-    parts = _joined_lists(rows.groupBy(*keys, "_part").agg(F.array_sort(F.collect_list(entry)).alias("_all")), keys, cols, sep, ["_part"])
-    packed = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_part", *cols))).alias("_all"))
+    parts = _joined_lists(rows.groupBy(*keys, "_part").agg(F.sort_array(F.collect_list(entry)).alias("_all")), keys, cols, sep, ["_part"])
+    packed = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_part", *cols))).alias("_all"))
     return _joined_lists(packed, keys, cols, sep)
 
 

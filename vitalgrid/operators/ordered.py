@@ -5,8 +5,10 @@ is not safe. Every operator here cuts a group into chunks of its leading order
 column (``floor(value / stride)``), works inside (group, chunk), and carries
 between chunks through a summary with one row per (group, chunk). The summary
 comes from a map-side-combined aggregation and is joined back on
-(group, chunk), the partitioning the rows already have, so the rows themselves
-are shuffled once. The chunk is a pure function of the row: retries and lost
+(group, chunk), the partitioning and order the rows already have, so the rows
+themselves are shuffled and sorted once. That join is a merge join by hint: a
+summary has no size bound, and after an ``explode`` the planner's estimate is
+too low to trust a broadcast. The chunk is a pure function of the row: retries and lost
 executors cannot change it.
 
 Group keys must not be NULL; the order columns must be a total order where the
@@ -106,7 +108,7 @@ def prefix_sums(
 
     inside = _unbounded_before(Window.partitionBy(*keys, *chunk_cols).orderBy(*order))
     local = rows.withColumns({f"_l{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in value})
-    out = local.join(carry, keys + chunk_cols, "left")
+    out = local.join(carry.hint("merge"), keys + chunk_cols, "left")
     result = {n: F.col(f"_l_m_{n}") + F.coalesce(F.col(f"_b_m_{n}"), F.lit(0)) for n in measures}
     result |= {f"{n}_total": F.col(f"_t_m_{n}") for n in totals}
     return out.select(*df.columns, *[c.alias(n) for n, c in result.items()])
@@ -141,7 +143,7 @@ def ordinal(
     if size:
         cols["_size"] = F.sum("_n").over(per_key)
     summary = summary.withColumns(cols).drop("_n")
-    joined = rows.withColumn("_local", local).join(summary, keys + [_CHUNK], "left")
+    joined = rows.withColumn("_local", local).join(summary.hint("merge"), keys + [_CHUNK], "left")
     picked = [(F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))).cast("long").alias(out)]
     if size:
         picked.append(F.col("_size").cast("long").alias(size))
@@ -175,7 +177,7 @@ def neighbour(
         .withColumn("_edge", shift("_edge").over(Window.partitionBy(*keys).orderBy(_CHUNK)))
     )
     local = rows.withColumn("_near", shift(packed).over(inside))
-    joined = local.join(summary, keys + [_CHUNK], "left")
+    joined = local.join(summary.hint("merge"), keys + [_CHUNK], "left")
     # A struct is NULL only where there is no neighbour inside the chunk.
     near = F.coalesce(F.col("_near"), F.col("_edge"))
     return joined.select(*df.columns, *[near[n].alias(n) for n in cols])
@@ -245,7 +247,7 @@ def impute(
         else:
             carried[f"_next_{c}"] = F.first(f"_head_{c}", ignorenulls=True).over(later)
     summary = summary.select(*keys, _CHUNK, *[v.alias(n) for n, v in carried.items()])
-    joined = rows.join(summary, keys + [_CHUNK], "left")
+    joined = rows.join(summary.hint("merge"), keys + [_CHUNK], "left")
     return joined.withColumns(fill(keys + [_CHUNK], joined, carry=True)).select(*df.columns)
 
 

@@ -37,8 +37,8 @@ def blended_test(val: DataFrame, test: DataFrame) -> DataFrame:
 
     Both frames have (y, p1, p2).
     """
-    best = grid_search(val, "y", "p1", "p2")
-    pick = best.select(F.struct("alpha", "t").alias("s")).scalar()
-    return evaluate(test, "y", "p1", "p2", pick["alpha"], pick["t"]).withColumns(
-        {"alpha": pick["alpha"], "t": pick["t"]}
-    )
+    best = grid_search(val, "y", "p1", "p2").first()
+    if best["alpha"] is None:
+        raise ValueError("validation has no usable scores")
+    fixed = {"alpha": F.lit(best["alpha"]), "t": F.lit(best["t"])}
+    return evaluate(test, "y", "p1", "p2", best["alpha"], best["t"]).withColumns(fixed)
