@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from vitalgrid.functions.scalars import sigmoid
 from vitalgrid.operators.joins import not_done
-from vitalgrid.operators.metrics import ranking_from_counts, score_counts
+from vitalgrid.operators.metrics import pos_weight, ranking_from_counts, score_counts
 
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -46,34 +48,42 @@ def score_batches(
     return todo.mapInPandas(run, schema)
 
 
+@dataclass(frozen=True)
+class Baseline:
+    """A fitted linear risk model: small enough to travel inside a plan as constants."""
+
+    features: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
+
+    def probability(self) -> Column:
+        terms = (F.lit(b) * F.col(f"`{c}`").cast("double") for c, b in zip(self.features, self.coefficients))
+        return sigmoid(reduce(add, terms, F.lit(self.intercept)))
+
+
 def fit_baseline(
     train: DataFrame, val: DataFrame, features: Sequence[str], label: str, grid: Sequence[Mapping[str, float]]
-) -> PipelineModel:
+) -> Baseline:
     """Logistic regression with the positives weighted by 1/mean - 1.
 
-    One model per setting; the one with the highest validation AUROC is kept.
+    The fit is Spark's distributed one. One model per setting; the one with the
+    highest validation AUROC is kept.
     """
-    weight = train.select((F.lit(1.0) / F.nullif(F.avg(label), F.lit(0.0)) - 1).alias("w")).scalar()
-    weighted = train.withColumn("_w", F.when(F.col(label) == 1, F.coalesce(weight, F.lit(1.0))).otherwise(F.lit(1.0)))
+    if not grid:
+        raise ValueError("no setting given")
+    weight = pos_weight(train, [label]).first()[0]
+    weighted = train.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(weight or 1.0))).otherwise(F.lit(1.0)))
+    rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(weighted).select("_x", label, "_w")
     best, best_score = None, -1.0
     for setting in grid:
-        stages = [
-            VectorAssembler(inputCols=list(features), outputCol="_x"),
-            LogisticRegression(featuresCol="_x", labelCol=label, weightCol="_w", **setting),
-        ]
-        model = Pipeline(stages=stages).fit(weighted)
-        scored = score_baseline(model, val, label)
-        found = ranking_from_counts(score_counts(scored, label, "p")).first()["auroc"]
-        if found is not None and found > best_score:
-            best, best_score = model, found
-        elif best is None:
-            best = model
-    if best is None:
-        raise ValueError("no setting given")
+        fitted = LogisticRegression(featuresCol="_x", labelCol=label, weightCol="_w", **setting).fit(rows)
+        model = Baseline(tuple(features), tuple(float(b) for b in fitted.coefficients), float(fitted.intercept))
+        found = ranking_from_counts(score_counts(score_baseline(model, val, label), label, "p")).first()["auroc"]
+        if best is None or (found is not None and found > best_score):
+            best, best_score = model, -1.0 if found is None else found
     return best
 
 
-def score_baseline(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
-    """Probability of the positive class as column ``p``."""
-    scored = model.transform(df.withColumn("_w", F.lit(1.0)))
-    return scored.select(*keep, vector_to_array("probability")[1].alias("p"))
+def score_baseline(model: Baseline, df: DataFrame, *keep: str) -> DataFrame:
+    """Probability of the positive class as column ``p``, a plain column expression."""
+    return df.select(*keep, model.probability().alias("p"))

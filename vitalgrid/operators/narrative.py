@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from vitalgrid.functions.texts import LEAK, fill, is_leak, keep_last_words, strip, words
@@ -142,8 +143,6 @@ def limit_tokens(df: DataFrame, col: str, n: int, mode: str, tokenizer=None) ->
             return df.where(F.size(words(F.col(col))) <= n)
         return df.withColumn(col, keep_last_words(F.col(col), n))
 
-    import pandas as pd
-
     if mode == "drop":
 
         @F.pandas_udf("int")
