@@ -32,30 +32,36 @@ def same(df, a, b):
     return df.where(~F.col(a).eqNullSafe(F.col(b))).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 30, 1000])
 @pytest.mark.parametrize("stride", [1, 50, 10_000])
-def test_row_number_and_size(data, stride):
-    out = ordinal(data, ["k"], ["t", "i"], size="n", stride=stride)
+def test_row_number_and_size(data, stride, hot):
+    out = ordinal(data, ["k"], ["t", "i"], size="n", stride=stride, hot_rows=hot)
     out = out.withColumns({"want": F.row_number().over(W()), "m": F.count("*").over(Window.partitionBy("k"))})
     assert out.count() == 900 and same(out, "ordinal", "want") and same(out, "n", "m")
 
 
 @pytest.mark.parametrize("stride", [1, 64])
-def test_dense_rank(data, stride):
-    out = ordinal(data, ["k"], ["t"], "dense_rank", stride=stride)
+@pytest.mark.parametrize("hot", [None, 30, 1000])
+def test_dense_rank(data, stride, hot):
+    out = ordinal(data, ["k"], ["t"], "dense_rank", size="n", stride=stride, hot_rows=hot)
+    sizes = data.groupBy("k").agg(F.count_distinct("t").alias("want_n"))
+    assert same(out.join(sizes, "k"), "n", "want_n")
     out = out.withColumn("want", F.dense_rank().over(Window.partitionBy("k").orderBy("t")))
     assert same(out, "ordinal", "want")
 
 
 @pytest.mark.parametrize("side, plain", [("lag", F.lag), ("lead", F.lead)])
-def test_neighbour(data, side, plain):
-    out = neighbour(data, ["k"], ["t", "i"], {"nt": "t", "nv": "v"}, side, stride=30)
+@pytest.mark.parametrize("hot", [None, 30, 1000])
+def test_neighbour(data, side, plain, hot):
+    out = neighbour(data, ["k"], ["t", "i"], {"nt": "t", "nv": "v"}, side, stride=30, hot_rows=hot)
     out = out.withColumns({"wt": plain("t").over(W()), "wv": plain("v").over(W())})
     assert same(out, "nt", "wt") and same(out, "nv", "wv")
 
 
 @pytest.mark.parametrize("forward, backward", [(True, True), (True, False), (False, True)])
-def test_impute(data, forward, backward):
-    split = impute(data, ["k"], ["t", "i"], ["v", "s"], forward, backward, stride=25)
+@pytest.mark.parametrize("hot", [None, 30, 1000])
+def test_impute(data, forward, backward, hot):
+    split = impute(data, ["k"], ["t", "i"], ["v", "s"], forward, backward, stride=25, hot_rows=hot)
     whole = impute(data, ["k"], ["t", "i"], ["v", "s"], forward, backward, bound=900)
     pairs = split.join(whole.select("i", F.col("v").alias("v2"), F.col("s").alias("s2")), "i")
     assert pairs.count() == 900 and same(pairs, "v", "v2") and same(pairs, "s", "s2")
@@ -73,8 +79,9 @@ def test_impute_bounded_has_one_exchange(spark):
 
 
 @pytest.mark.parametrize("strides", [[500.0], [500.0, 20.0], [1000.0, 100.0, 10.0]])
-def test_prefix_sums(data, strides):
-    out = prefix_sums(data, ["k"], ["t", "i"], {"p": F.col("i"), "c": F.lit(1)}, strides, totals=["c"])
+@pytest.mark.parametrize("hot", [None, 30, 1000])
+def test_prefix_sums(data, strides, hot):
+    out = prefix_sums(data, ["k"], ["t", "i"], {"p": F.col("i"), "c": F.lit(1)}, strides, totals=["c"], hot_rows=hot)
     before = W().rowsBetween(Window.unboundedPreceding, -1)
     out = out.withColumns(
         {

@@ -33,7 +33,7 @@ def score_counts(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataF
 
 def _ranked(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     measures = {"pos_below": F.col("pos"), "neg_below": F.col("neg")}
-    return prefix_sums(counts, list(by), ["p"], measures, UNIT_STRIDES, totals=list(measures))
+    return prefix_sums(counts, list(by), ["p"], measures, UNIT_STRIDES, totals=list(measures), hot_rows=None)
 
 
 def ranking_from_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:

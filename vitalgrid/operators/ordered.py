@@ -1,15 +1,19 @@
-"""Ordered per-group operators that never put a whole group into one task.
+"""Ordered per-group operators that never put a whole large group into one task.
 
 A patient or visit may own a large share of all rows, so a window over a group
-is not safe. Every operator here cuts a group into chunks of its leading order
-column (``floor(value / stride)``), works inside (group, chunk), and carries
-between chunks through a summary with one row per (group, chunk). The summary
-comes from a map-side-combined aggregation and is joined back on
+is safe only for groups of known size. Every operator here counts the group
+sizes first. The keys with more than ``hot_rows`` rows are few by definition (at
+most rows / ``hot_rows``), so that list is broadcast. A group that is not hot is
+one chunk and takes the plain window. A hot group is cut into chunks of its
+leading order column (``floor(value / stride)``); the work is done inside
+(group, chunk), and a summary with one row per hot (group, chunk) carries values
+between chunks. The summary is combined before its shuffle and joined back on
 (group, chunk), the partitioning and order the rows already have, so the rows
-themselves are shuffled and sorted once. That join is a merge join by hint: a
-summary has no size bound, and after an ``explode`` the planner's estimate is
-too low to trust a broadcast. The chunk is a pure function of the row: retries and lost
-executors cannot change it.
+are shuffled and sorted once. That join is a merge join by hint: a summary has
+no size bound that the planner can see.
+
+Hot keys and chunks are exact functions of the input, never of a sample or of a
+partition number: retries and lost executors cannot change them.
 
 Group keys must not be NULL; the order columns must be a total order where the
 result depends on it.
@@ -30,6 +34,9 @@ UNIT_STRIDES = (2.0**-12, 2.0**-24)
 
 _BEFORE_ALL = -(2**62)
 _CHUNK = "_chunk"
+_HOT = "_hot"
+# A task sorts this many rows without trouble.
+HOT_ROWS = 1_000_000
 
 
 def _axis(df: DataFrame, name: str) -> tuple[Column, float]:
@@ -54,10 +61,33 @@ def _chunk(axis: Column, stride: float) -> Column:
 
 
 def add_chunk(df: DataFrame, leading: str, stride: float | None = None, name: str = _CHUNK) -> DataFrame:
+    """Number the chunks of the leading order column, for all groups."""
     axis, default = _axis(df, leading)
     return df.withColumn(name, _chunk(axis, stride or default))
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows; at most rows / ``hot_rows`` of them."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.where(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
+
+
+def add_hot_chunks(
+    df: DataFrame, keys: Sequence[str], leading: str, strides: Sequence[float] | None, hot_rows: int | None,
+    names: Sequence[str] = (_CHUNK,),
+) -> DataFrame:
+    """Add chunk numbers: 0 for a group of usual size, by the order column for a hot one.
+
+    With ``hot_rows`` None every group is cut.
+    """
+    axis, default = _axis(df, leading)
+    chunks = {n: _chunk(axis, s) for n, s in zip(names, strides or [default])}
+    if hot_rows is None:
+        return df.withColumns({**chunks, _HOT: F.lit(True)})
+    marked = df.join(F.broadcast(hot_keys(df, keys, hot_rows)), list(keys), "left")
+    return marked.withColumns({n: F.when(F.col(_HOT), c).otherwise(F.lit(0).cast("long")) for n, c in chunks.items()})
+
+
 def _unbounded_before(window):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -69,6 +99,7 @@ def prefix_sums(
     measures: Mapping[str, Column],
     strides: Sequence[float] | None = None,
     totals: Sequence[str] = (),
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add, per measure, the sum over all earlier rows of the group (0 for the first).
 
@@ -77,14 +108,12 @@ def prefix_sums(
     ``<name>_total``.
     """
     keys, order = list(keys), list(order)
-    axis, default = _axis(df, order[0])
-    levels = list(strides or [default])
+    levels = list(strides or [_axis(df, order[0])[1]])
     chunk_cols = [f"{_CHUNK}{i}" for i in range(len(levels))]
-    rows = df.withColumns({c: _chunk(axis, s) for c, s in zip(chunk_cols, levels)})
     value = {f"_m_{n}": m for n, m in measures.items()}
-    rows = rows.withColumns(value)
+    rows = add_hot_chunks(df.withColumns(value), keys, order[0], levels, hot_rows if keys else None, chunk_cols)
 
-    summary = rows.groupBy(*keys, *chunk_cols).agg(*[F.sum(v).alias(v) for v in value])
+    summary = rows.where(_HOT).groupBy(*keys, *chunk_cols).agg(*[F.sum(v).alias(v) for v in value])
     carry = None
     for depth in range(1, len(levels) + 1):
         at = keys + chunk_cols[:depth]
@@ -106,11 +135,14 @@ def prefix_sums(
             )
         carry = table
 
-    inside = _unbounded_before(Window.partitionBy(*keys, *chunk_cols).orderBy(*order))
-    local = rows.withColumns({f"_l{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in value})
+    chunk = Window.partitionBy(*keys, *chunk_cols)
+    inside = _unbounded_before(chunk.orderBy(*order))
+    local = {f"_l{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in value}
+    local |= {f"_w_m_{n}": F.sum(f"_m_{n}").over(chunk) for n in totals}
+    local = rows.withColumns(local)
     out = local.join(carry.hint("merge"), keys + chunk_cols, "left")
     result = {n: F.col(f"_l_m_{n}") + F.coalesce(F.col(f"_b_m_{n}"), F.lit(0)) for n in measures}
-    result |= {f"{n}_total": F.col(f"_t_m_{n}") for n in totals}
+    result |= {f"{n}_total": F.coalesce(F.col(f"_t_m_{n}"), F.col(f"_w_m_{n}")) for n in totals}
     return out.select(*df.columns, *[c.alias(n) for n, c in result.items()])
 
 
@@ -122,6 +154,7 @@ def ordinal(
     out: str = "ordinal",
     size: str | None = None,
     stride: float | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Position of each row in its group, from 1.
 
@@ -131,22 +164,27 @@ def ordinal(
     keys, order = list(keys), list(order)
     if kind not in ("row_number", "dense_rank"):
         raise ValueError(f"unknown ordinal kind {kind!r}")
-    rows = add_chunk(df, order[0], stride)
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    rows = add_hot_chunks(df, keys, order[0], [stride] if stride else None, hot_rows)
+    chunk = Window.partitionBy(*keys, _CHUNK)
+    inside = chunk.orderBy(*order)
     if kind == "row_number":
         local, n_local = F.row_number().over(inside), F.count(F.lit(1))
     else:
         local, n_local = F.dense_rank().over(inside), F.count_distinct(F.struct(*order))
-    summary = rows.groupBy(*keys, _CHUNK).agg(n_local.alias("_n"))
+    summary = rows.where(_HOT).groupBy(*keys, _CHUNK).agg(n_local.alias("_n"))
     per_key = Window.partitionBy(*keys)
     cols = {"_before": F.sum("_n").over(_unbounded_before(per_key.orderBy(_CHUNK)))}
     if size:
         cols["_size"] = F.sum("_n").over(per_key)
     summary = summary.withColumns(cols).drop("_n")
-    joined = rows.withColumn("_local", local).join(summary.hint("merge"), keys + [_CHUNK], "left")
+    numbered = rows.withColumn("_local", local)
+    if size:
+        # The last number of the chunk is its number of positions.
+        numbered = numbered.withColumn("_inside", F.max("_local").over(chunk))
+    joined = numbered.join(summary.hint("merge"), keys + [_CHUNK], "left")
     picked = [(F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))).cast("long").alias(out)]
     if size:
-        picked.append(F.col("_size").cast("long").alias(size))
+        picked.append(F.coalesce(F.col("_size"), F.col("_inside")).cast("long").alias(size))
     return joined.select(*df.columns, *picked)
 
 
@@ -157,22 +195,24 @@ def neighbour(
     cols: Mapping[str, str],
     side: str,
     stride: float | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Values of the previous (``side="lag"``) or next (``"lead"``) row of the group.
 
     ``cols`` maps new names to existing columns. Only the first (last) row of a
-    chunk looks at the summary.
+    chunk of a hot group looks at the summary.
     """
     if side not in ("lag", "lead"):
         raise ValueError(f"unknown side {side!r}")
     keys, order = list(keys), list(order)
-    rows = add_chunk(df, order[0], stride)
+    rows = add_hot_chunks(df, keys, order[0], [stride] if stride else None, hot_rows)
     shift = F.lag if side == "lag" else F.lead
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     packed = F.struct(*[F.col(c).alias(n) for n, c in cols.items()])
     edge_of = F.max_by if side == "lag" else F.min_by
     summary = (
-        rows.groupBy(*keys, _CHUNK)
+        rows.where(_HOT)
+        .groupBy(*keys, _CHUNK)
         .agg(edge_of(packed, F.struct(*order)).alias("_edge"))
         .withColumn("_edge", shift("_edge").over(Window.partitionBy(*keys).orderBy(_CHUNK)))
     )
@@ -192,63 +232,54 @@ def impute(
     backward: bool = True,
     bound: int | None = None,
     stride: float | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Carry the last value forward, then fill what is left at the start backward.
 
     After the forward fill only leading rows are NULL, so the backward value is
-    the group's first non-null value. With ``bound`` the caller states that no
-    group is longer (it was limited by ``head_n``); then one window per group is
-    safe and all columns share one exchange and one sort. Without it the groups
-    are cut into chunks.
+    the group's first non-null value. All columns share one exchange and one
+    sort. With ``bound`` the caller states that no group is longer (it was
+    limited before); then sizes need not be counted.
     """
     keys, order, cols = list(keys), list(order), list(cols)
 
-    def fill(group: list[str], df: DataFrame, carry: bool) -> dict[str, Column]:
+    def fill(group: list[str], carry: bool) -> dict[str, Column]:
         base = Window.partitionBy(*group).orderBy(*order)
         upto = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ahead = base.rowsBetween(Window.currentRow, Window.unboundedFollowing)
         whole = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         out = {}
         for c in cols:
-            steps = [F.col(c)]
+            steps = []
             if forward:
-                steps = [F.last(c, ignorenulls=True).over(upto)]
-                if carry:
-                    steps.append(F.col(f"_last_{c}"))
+                steps.append(F.last(c, ignorenulls=True).over(upto))
+                steps += [F.col(f"_last_{c}")] if carry else []
             if backward:
-                if forward:
-                    steps.append(F.col(f"_first_{c}") if carry else F.first(c, ignorenulls=True).over(whole))
-                else:
-                    ahead = base.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-                    steps.append(F.first(c, ignorenulls=True).over(ahead))
-                    if carry:
-                        steps.append(F.col(f"_next_{c}"))
-            out[c] = F.coalesce(*steps)
+                steps.append(F.first(c, ignorenulls=True).over(whole if forward else ahead))
+                steps += [F.col(f"_next_{c}")] if carry else []
+            out[c] = F.coalesce(*steps) if steps else F.col(c)
         return out
 
     if bound is not None:
-        return df.withColumns(fill(keys, df, carry=False)).select(*df.columns)
+        return df.withColumns(fill(keys, carry=False)).select(*df.columns)
 
-    rows = add_chunk(df, order[0], stride)
+    rows = add_hot_chunks(df, keys, order[0], [stride] if stride else None, hot_rows)
     at = F.struct(*order)
     edges = []
     for c in cols:
         seen = F.when(F.col(c).isNotNull(), at)
         edges += [F.max_by(c, seen).alias(f"_tail_{c}"), F.min_by(c, seen).alias(f"_head_{c}")]
-    summary = rows.groupBy(*keys, _CHUNK).agg(*edges)
+    summary = rows.where(_HOT).groupBy(*keys, _CHUNK).agg(*edges)
     base = Window.partitionBy(*keys).orderBy(_CHUNK)
     earlier = _unbounded_before(base)
     later = base.rowsBetween(1, Window.unboundedFollowing)
-    whole = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried: dict[str, Column] = {}
+    carried = []
     for c in cols:
-        carried[f"_last_{c}"] = F.last(f"_tail_{c}", ignorenulls=True).over(earlier)
-        if forward:
-            carried[f"_first_{c}"] = F.first(f"_head_{c}", ignorenulls=True).over(whole)
-        else:
-            carried[f"_next_{c}"] = F.first(f"_head_{c}", ignorenulls=True).over(later)
-    summary = summary.select(*keys, _CHUNK, *[v.alias(n) for n, v in carried.items()])
+        carried.append(F.last(f"_tail_{c}", ignorenulls=True).over(earlier).alias(f"_last_{c}"))
+        carried.append(F.first(f"_head_{c}", ignorenulls=True).over(later).alias(f"_next_{c}"))
+    summary = summary.select(*keys, _CHUNK, *carried)
     joined = rows.join(summary.hint("merge"), keys + [_CHUNK], "left")
-    return joined.withColumns(fill(keys + [_CHUNK], joined, carry=True)).select(*df.columns)
+    return joined.withColumns(fill(keys + [_CHUNK], carry=True)).select(*df.columns)
 
 
 def block_windows(
@@ -301,9 +332,10 @@ def position01(
     out: str = "pos",
     single: float = 1.0,
     stride: float | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """(rank - 1) / (n - 1) inside the group; ``single`` for a group of one row."""
-    ranked = ordinal(df, keys, order, out="_rank", size="_n", stride=stride)
+    ranked = ordinal(df, keys, order, out="_rank", size="_n", stride=stride, hot_rows=hot_rows)
     pos = F.when(F.col("_n") == 1, F.lit(float(single))).otherwise(
         (F.col("_rank") - 1) / F.nullif(F.col("_n") - 1, F.lit(0))
     )
