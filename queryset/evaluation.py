@@ -10,7 +10,8 @@ from vitalgrid.functions.series import resample
 from vitalgrid.operators import metrics as M
 from vitalgrid.operators.ensemble import evaluate, grid_search, grid_table
 from vitalgrid.operators.inference import fit_baseline, score_baseline
-from vitalgrid.operators.joins import expand
+from vitalgrid.operators.joins import expand, split_frames
+from vitalgrid.operators.sampling import split_by_entity
 
 
 def rounded(df, *cols: str):
@@ -209,7 +210,8 @@ def _(t: Tables):
     )
     rows = expand(pooled, "x", "D", 12)
     names = [f"D{i}" for i in range(12)]
-    train, val = rows.where("vec_id % 10 < 7"), rows.where("vec_id % 10 >= 7")
+    parts = split_frames(split_by_entity(rows, "vec_id", (0.7, 0.1), 42), "split")
+    train, val = parts["train"], parts["val"].unionByName(parts["test"])
     grid = [{"regParam": 0.0, "maxIter": 20}, {"regParam": 0.1, "maxIter": 20}]
     model = fit_baseline(train, val, names, "y", grid)
     return score_baseline(model, rows, "vec_id").withColumn("p", F.round("p", 4))

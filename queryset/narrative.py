@@ -164,7 +164,7 @@ def _(t: Tables):
 
 @query(
     "inf_batch",
-    "select doc_id, length(text) as n_chars, length(text) % 2 as guess from documents where doc_id not in (select doc_id from labels where doc_id % 2 = 0)",
+    "select doc_id, length(text) as n_chars, length(text) % 2 as guess from documents where doc_id not in (select doc_id from labels where quality = 1)",
 )
 def _(t: Tables):
     import pandas as pd
@@ -176,7 +176,7 @@ def _(t: Tables):
 
         return score
 
-    done = t.read("labels").where("doc_id % 2 = 0")
+    done = t.read("labels").where("quality = 1")
     docs = t.read("documents").select("doc_id", "text")
     return score_batches(docs, load, "doc_id long, n_chars long, guess long", 8, "doc_id", done)
 

@@ -45,13 +45,12 @@ def _(t: Tables):
 
 @query(
     "prj_ablate",
-    "select vec_id as visit, round(cast(embedding[3] as double), 6) as \"D2\" from embeddings",
+    "select vec_id as visit, " + ", ".join(f'round(embedding[{i + 1}]::double, 6) as "D{i}"' for i in range(48, 64)) + " from embeddings",
 )
 def _(t: Tables):
-    # D0, D1 are the family to drop; D2 is what stays of the first three values.
-    wide = J.expand(t.series(), "series", "D", 3)
-    kept = J.drop_features(wide, "D", 2)
-    return kept.select("visit", F.round(F.col("D2").cast("double"), 6).alias("D2"))
+    # The first 48 columns are the family to drop, 16 stay.
+    kept = J.drop_features(J.expand(t.series(), "series", "D", 64), "D", 48)
+    return kept.select("visit", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in kept.columns[1:]])
 
 
 @query(
@@ -179,13 +178,13 @@ def _(t: Tables):
     """select l.patient, l.visit, l.r as visit_rank, r.total from
          (select patient, visit, row_number() over (partition by patient order by admit, visit) as r from fx_admissions) l
          left join (select o_custkey as patient, o_totalprice as total,
-                           row_number() over (partition by o_custkey order by o_orderkey) as r from orders where o_orderkey % 3 <> 0) r
+                           row_number() over (partition by o_custkey order by o_orderkey) as r from orders where o_orderstatus <> 'F') r
          on l.patient = r.patient and l.r = r.r""",
     "fx_admissions",
 )
 def _(t: Tables):
     left = t.admissions().select("patient", "visit", "admit")
-    right = t.read("orders").where("o_orderkey % 3 <> 0").select(
+    right = t.read("orders").where("o_orderstatus <> 'F'").select(
         F.col("o_custkey").alias("patient"), F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("total")
     )
     out = J.rank_align(left, right, "patient", ["admit", "visit"], ["k"])
@@ -203,11 +202,11 @@ def _(t: Tables):
 
 @query(
     "jn_resume",
-    "select patient, turn, role from fx_chat where patient not in (select doc_id from documents where doc_id % 3 = 0)",
+    "select patient, turn, role from fx_chat where patient not in (select doc_id from documents where lang <> 'en')",
     "fx_chat",
 )
 def _(t: Tables):
-    done = t.read("documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("patient"))
+    done = t.read("documents").where("lang <> 'en'").select(F.col("doc_id").alias("patient"))
     return J.not_done(t.chat(), done, "patient").select("patient", "turn", "role")
 
 
@@ -226,14 +225,14 @@ def _(t: Tables):
     "jn_answers",
     """select c.patient, c.turns, md5(a.answer) as answer from
          (select patient, count(*) as turns from fx_chat group by 1) c
-         join (select patient, answer from fx_answers union all select patient, 'again' from fx_answers where patient % 10 = 0) a
+         join (select patient, answer from fx_answers union all select doc_id, 'again' from labels where quality = 1) a
            on c.patient = a.patient""",
     "fx_chat fx_answers",
 )
 def _(t: Tables):
     context = t.chat().groupBy("patient").agg(F.count(F.lit(1)).alias("turns"))
     answers = t.answers()
-    again = answers.where("patient % 10 = 0").select("patient", F.lit("again").alias("answer"))
+    again = t.read("labels").where("quality = 1").select(F.col("doc_id").alias("patient"), F.lit("again").alias("answer"))
     out = J.join_answers(context, answers.union(again), "patient")
     return out.select("patient", "turns", F.md5(F.col("answer")).alias("answer"))
 
@@ -409,11 +408,11 @@ def _(t: Tables):
 
 @query(
     "set_concat",
-    "select patient, label from fx_cohort where label = 1 union all select patient, label from fx_cohort where patient % 3 = 0",
+    "select patient, label from fx_cohort where label = 1 union all select patient, label from fx_cohort where label = 0",
     "fx_cohort",
 )
 def _(t: Tables):
-    return J.union_parts(t.cohort().where("label = 1"), t.cohort().where("patient % 3 = 0"))
+    return J.union_parts(t.cohort().where("label = 1"), t.cohort().where("label = 0"))
 
 
 @query(

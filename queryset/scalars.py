@@ -90,11 +90,11 @@ def _(t: Tables):
 
 @query(
     "fn_expand_columns",
-    "select vec_id as visit, " + ", ".join(f'round(embedding[{i + 1}]::double, 6) as "D{i}"' for i in range(8)) + " from embeddings",
+    "select vec_id as visit, " + ", ".join(f'round(embedding[{i + 1}]::double, 6) as "D{i}"' for i in range(64)) + " from embeddings",
 )
 def _(t: Tables):
-    wide = expand(t.series(), "series", "D", 8)
-    return wide.select("visit", *[F.round(F.col(f"D{i}").cast("double"), 6).alias(f"D{i}") for i in range(8)])
+    wide = expand(t.series(), "series", "D", 64)
+    return wide.select("visit", *[F.round(F.col(f"D{i}").cast("double"), 6).alias(f"D{i}") for i in range(64)])
 
 
 @query("fn_sigmoid", "select patient, round(1 / (1 + exp(-(p1 * 8 - 4))), 6) as p from fx_scores", "fx_scores")

@@ -8,7 +8,9 @@ from queryset.registry import Tables, query
 from queryset.scalars import BANDS, BANDS_SQL
 from vitalgrid.functions.scalars import band_score, row_mean
 from vitalgrid.operators.encode import label_for_task, min_max, minmax_apply, pad_mask, sequences
+from vitalgrid.operators.joins import split_frames
 from vitalgrid.operators.ordered import block_means
+from vitalgrid.operators.sampling import split_by_entity
 from vitalgrid.operators.scoring import multi_scale_scores, pooled_scores
 
 PV = ["patient", "visit"]
@@ -92,11 +94,13 @@ def _(t: Tables):
 FIT = """fx_fit as (
     select min(least(greatest(view, 15), 60)) as v0, max(least(greatest(view, 15), 60)) as v1,
            min(least(greatest(error, 15), 60)) as e0, max(least(greatest(error, 15), 60)) as e1
-    from fx_wide where patient % 10 < 7)"""
+    from fx_wide where patient in (
+        select patient from (select patient, row_number() over (order by md5(concat('42-', cast(patient as varchar))), patient) as r, count(*) over () as n
+                             from (select distinct patient from fx_wide)) where r <= floor(n * 0.7::double)))"""
 
 
 def fitted(t: Tables):
-    train = t.wide().where("patient % 10 < 7").withColumn("flat", F.lit(4.0))
+    train = split_frames(split_by_entity(t.wide(), "patient", (0.7, 0.1), 42), "split")["train"].withColumn("flat", F.lit(4.0))
     return min_max(train, ["view", "error", "flat"], (15, 60))
 
 
@@ -148,20 +152,20 @@ def _(t: Tables):
 
 @query(
     "seq_pad_mask",
-    """select patient, visit, least(n, 24) as n_true, 24 - least(n, 24) as n_pad, round(s, 2) as total from
-         (select patient, visit, count(*) as n, sum(num) as s from fx_records group by 1,2) where n <= 24""",
-    "fx_records",
+    """select patient, visit, n as n_true, max(n) over () - n as n_pad, total from
+         (select patient, visit, count(*) as n, cast(sum(round(num * 100)) as bigint) as total from fx_events group by 1,2)""",
+    "fx_events",
 )
 def _(t: Tables):
     rows = t.events().withColumn("pv", F.col("patient") * 100 + F.col("visit"))
-    seq = sequences(rows, "pv", ["ts", "eid"], ["num"]).where("total_length <= 24")
-    out = pad_mask(seq, "steps", 1, 24)
-    total = F.aggregate("steps", F.lit(0.0), lambda a, x: a + F.round(x[0].cast("double"), 2))
+    seq = sequences(rows, "pv", ["ts", "eid"], ["num"])
+    out = pad_mask(seq, "steps", 1)
+    empty = F.filter(F.arrays_zip("steps", "mask"), lambda z: ~z["mask"] & (z["steps"][0] == 0))
+    total = F.aggregate("steps", F.lit(0).cast("long"), lambda a, x: a + F.round(x[0].cast("double") * 100).cast("long"))
     return out.select(
         F.floor(F.col("pv") / 100).alias("patient"), (F.col("pv") % 100).alias("visit"),
         F.size(F.filter("mask", lambda m: m)).cast("long").alias("n_true"),
-        F.size(F.filter(F.arrays_zip("steps", "mask"), lambda z: ~z["mask"] & (z["steps"][0] == 0))).cast("long").alias("n_pad"),
-        F.round(total, 2).alias("total"),
+        F.size(empty).cast("long").alias("n_pad"), total.alias("total"),
     )
 
 

@@ -51,10 +51,10 @@ def _(t: Tables):
     return JL.read_jsonl(t.spark, path, CHAT).withColumn("content", F.md5("content"))
 
 
-@query("src_jsonl_strict", "select patient, turn, role, length(content) as n from fx_chat where turn < 3", "fx_chat")
+@query("src_jsonl_strict", "select patient, turn, role, length(content) as n from fx_chat", "fx_chat")
 def _(t: Tables):
     path = shared_folder(t.spark)
-    JL.write_jsonl(t.chat().where("turn < 3"), path)
+    JL.write_jsonl(t.chat(), path)
     return JL.read_jsonl(t.spark, path, CHAT).select("patient", "turn", "role", F.char_length("content").cast("long").alias("n"))
 
 
@@ -85,8 +85,9 @@ def _(t: Tables):
 @query("snk_append_resume", "select doc_id, length(text) as n, cast(1 as bigint) as copies from documents")
 def _(t: Tables):
     path = shared_folder(t.spark)
-    docs = t.read("documents").select("doc_id", F.char_length("text").cast("long").alias("n"))
-    JL.append_new(docs.where("doc_id % 3 = 0"), path, "doc_id")
+    docs = t.read("documents").select("doc_id", "lang", F.char_length("text").cast("long").alias("n"))
+    JL.append_new(docs.where("lang = 'en'"), path, "doc_id", ["doc_id", "n"])
+    docs = docs.drop("lang")
     JL.append_new(docs, path, "doc_id")
     JL.append_new(docs, path, "doc_id")
     stored = JL.read_jsonl(t.spark, path, "doc_id long, n long")

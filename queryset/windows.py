@@ -63,11 +63,12 @@ def _(t: Tables):
     "win_position_visit",
     """select patient, visit, round(case when n = 1 then 1.0 else (r - 1) / (n - 1)::double end, 6) as visit_pos from
          (select patient, visit, row_number() over (partition by patient order by visit) as r, count(*) over (partition by patient) as n
-          from (select distinct patient, visit from fx_events where visit % 3 <> 1 or patient % 7 <> 0))""",
-    "fx_events",
+          from (select patient, visit from fx_visits where n_events > 14))""",
+    "fx_visits",
 )
 def _(t: Tables):
-    visits = t.events().where("visit % 3 <> 1 or patient % 7 <> 0").select(*PV).distinct()
+    # Busy visits only, so that patients with a single visit occur.
+    visits = t.visits().where("n_events > 14").select(*PV)
     out = position01(visits, ["patient"], ["visit"], "visit_pos")
     return out.select(*PV, F.round("visit_pos", 6).alias("visit_pos"))
 

@@ -125,3 +125,24 @@ def test_wide_names():
     with pytest.raises(ValueError):
         P.variant("v")
     assert math.isclose(P.Settings().keep_last_tokens, 24_512)
+
+
+def test_padding(spark):
+    from vitalgrid.operators.encode import label_for_task, pad_mask, sequences
+
+    df = spark.createDataFrame([(1, 2, 0.5, 2.0), (1, 1, 0.25, 1.0), (2, 1, 0.75, 3.0)], "k long, t long, b double, a double")
+    seq = sequences(df, "k", ["t"], ["b", "a"])
+    for length in (None, 2):
+        got = {r["k"]: r for r in pad_mask(seq, "steps", 2, length).collect()}
+        assert got[1]["steps"] == [[1.0, 0.25], [2.0, 0.5]] and got[1]["mask"] == [True, True]
+        assert got[2]["steps"] == [[3.0, 0.75], [0.0, 0.0]] and got[2]["mask"] == [True, False]
+    with pytest.raises(Exception, match="longer"):
+        pad_mask(seq, "steps", 2, 1).collect()
+    split = sequences(df, "k", ["t"], ["a"], segment=1)
+    assert sorted((r["k"], r["segment"], r["length"], r["total_length"]) for r in split.collect()) == [(1, 0, 1, 2), (1, 1, 1, 2), (2, 0, 1, 1)]
+    labels = df.withColumns({"Outcome": F.col("t"), "Readmission": F.col("t"), "LOS": F.col("a")})
+    pick = lambda task, c: {r["k"]: r[c] for r in label_for_task(labels, task, "k", ["t"]).collect()}
+    assert pick("outcome", "Outcome") == {1: 1.0, 2: 1.0} and pick("readmission", "Readmission") == {1: 2.0, 2: 1.0}
+    assert pick("multitask", "LOS") == {1: 1.0, 2: 3.0}
+    with pytest.raises(ValueError):
+        label_for_task(labels, "other", "k", ["t"])

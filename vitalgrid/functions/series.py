@@ -30,13 +30,13 @@ def resample(series: Column, n: int) -> Column:
     ).otherwise(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), point))
 
 
-def pad(rows: Column, width: int, length: int) -> Column:
+def pad(rows: Column, width: int, length: Column) -> Column:
     """Extend an array of feature rows with zero rows up to ``length``."""
     zero = F.array_repeat(F.lit(0.0).cast("float"), width)
-    missing = F.greatest(F.lit(length) - F.size(rows), F.lit(0))
+    missing = F.greatest(length - F.size(rows), F.lit(0))
     return F.concat(rows, F.array_repeat(zero, missing))
 
 
-def step_mask(size: Column, length: int) -> Column:
+def step_mask(size: Column, length: Column) -> Column:
     """True for real steps, False for padding."""
-    return F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda i: i < size)
+    return F.transform(F.sequence(F.lit(0), length - 1), lambda i: i < size)

@@ -64,11 +64,23 @@ def sequences(
     )
 
 
-def pad_mask(df: DataFrame, steps: str, width: int, length: int) -> DataFrame:
-    """Pad matrices to a common length with zero steps and add the mask of real steps."""
-    masked = df.withColumn("mask", step_mask(F.size(steps), length))
+def pad_mask(df: DataFrame, steps: str, width: int, length: int | None = None) -> DataFrame:
+    """Pad matrices to a common length with zero steps and add the mask of real steps.
+
+    Without ``length`` the longest matrix decides. One longer than ``length`` is
+    an error, never cut.
+    """
+    if length is None:
+        df = df.withColumn("_len", df.agg(F.max(F.size(steps))).scalar())
+    else:
+        df = df.withColumn("_len", F.lit(length))
+    size = F.size(steps)
+    fits = F.when(size <= F.col("_len"), size).otherwise(
+        F.raise_error(F.concat(F.lit("longer than the padded length: "), size.cast("string"))).cast("int")
+    )
+    masked = df.withColumn("mask", step_mask(fits, F.col("_len")))
     # A second step: the mask must see the length before padding.
-    return masked.withColumn(steps, pad(F.col(steps), width, length))
+    return masked.withColumn(steps, pad(F.col(steps), width, F.col("_len"))).drop("_len")
 
 
 def label_for_task(
