@@ -55,12 +55,12 @@ def sequences(
     numbered = numbered.withColumn("segment", F.floor((F.col("_at") - 1) / F.lit(segment)).cast("long"))
     vector = F.array(*[F.col(f"`{c}`").cast("float") for c in names])
     step = F.struct(F.col("_at").alias("at"), vector.alias("x"))
-    packed = numbered.groupBy(key, "segment").agg(
+    # Rows are moved, not half-built lists: lists cannot be combined before the shuffle.
+    packed = numbered.repartition(key, "segment").groupBy(key, "segment").agg(
         F.sort_array(F.collect_list(step)).alias("_steps"), F.max("_n").alias("total_length")
     )
     return packed.select(
-        key, "segment", F.size("_steps").alias("length"), F.transform("_steps", lambda s: s["x"]).alias("steps"),
-        "total_length",
+        key, "segment", F.size("_steps").alias("length"), F.col("_steps")["x"].alias("steps"), "total_length"
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,15 +12,18 @@ from vitalgrid.operators.ordered import add_chunk, ordinal
 PART = 2048
 
 
-def _joined_lists(
-    packed: DataFrame, keys: Sequence[str], names: Iterable[str], sep: str, more: Sequence[str] = ()
-) -> DataFrame:
-    """Join the fields of the sorted entries in ``_all``, NULLs left out; NULL for no value."""
-    lists = []
-    for n in names:
-        texts = F.filter(F.transform("_all", lambda e: e[n]), lambda t: t.isNotNull())
-        lists.append(F.when(F.size(texts) > 0, F.array_join(texts, sep)).alias(n))
-    return packed.select(*keys, *more, *lists)
+def _join_groups(df: DataFrame, group: Sequence[str], cols: Mapping[str, str], order: Sequence[str], sep: str) -> DataFrame:
+    """Join each column's values per group in order; NULLs left out, NULL for no value.
+
+    Rows go to their group by ``repartition``: a list cannot be combined before
+    the shuffle, and moving rows is cheaper than moving half-built lists.
+    """
+    entry = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c).alias(n) for n, c in cols.items()])
+    packed = df.repartition(*group).groupBy(*group).agg(
+        F.sort_array(F.collect_list(entry)).alias("_all"), *[F.count(c).alias(f"_n_{n}") for n, c in cols.items()]
+    )
+    lists = [F.when(F.col(f"_n_{n}") > 0, F.array_join(F.col("_all")[n], sep)).alias(n) for n in cols]
+    return packed.select(*group, *lists)
 
 
 def list_parts(
@@ -29,16 +32,12 @@ def list_parts(
 ) -> DataFrame:
     """Joined lists in parts of at most ``part_size`` entries: (keys, part, lists).
 
-    Duplicates stay, NULLs are skipped, the order is the given one. ``order``
-    must be a total order whose first column is a number or a time, so that a
-    large group is numbered and joined by many tasks.
+    Duplicates stay, NULLs are skipped, the order is the given one, which must
+    be total. A large group is numbered and joined by many tasks.
     """
-    order = list(order)
-    numbered = ordinal(df, keys, order, out="_at").withColumn("_part", F.floor((F.col("_at") - 1) / F.lit(part_size)))
-    numbered = numbered.withColumn("part", F.col("_part").cast("long"))
-    entry = F.struct(F.col("_at").alias("at"), *[F.col(c).alias(n) for n, c in cols.items()])
-    packed = numbered.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(entry)).alias("_all"))
-    return _joined_lists(packed, keys, cols, sep, ["part"])
+    numbered = ordinal(df, keys, list(order), out="_at")
+    numbered = numbered.withColumn("part", F.floor((F.col("_at") - 1) / F.lit(part_size)).cast("long"))
+    return _join_groups(numbered, [*keys, "part"], cols, ["_at"], sep)
 
 
 def visit_lists(
@@ -54,10 +53,8 @@ def visit_lists(
     """
     order = list(order)
     rows = add_chunk(df, order[0], stride, "_part")
-    entry = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c).alias(n) for n, c in cols.items()])
-    parts = _joined_lists(rows.groupBy(*keys, "_part").agg(F.sort_array(F.collect_list(entry)).alias("_all")), keys, cols, sep, ["_part"])
-    packed = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_part", *cols))).alias("_all"))
-    return _joined_lists(packed, keys, cols, sep)
+    parts = _join_groups(rows, [*keys, "_part"], cols, order, sep)
+    return _join_groups(parts, list(keys), {n: n for n in cols}, ["_part"], sep)
 
 
 def top_pairs(df: DataFrame, titles: str, codes: str, k: int = 10, sep: str = ";") -> DataFrame:
