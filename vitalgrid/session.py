@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +14,9 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Split an oversized join partition even where that costs one more shuffle:
-    # a patient may own a large share of all rows.
+    # Split an oversized join partition even where that costs one more shuffle: a
+    # patient may own a large share of all rows. A chunked window after a join on
+    # the patient relies on it, as it would otherwise stay on the join's partitions.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -39,7 +41,12 @@ def _shared_base(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the whole cluster")
-    return tempfile.mkdtemp(prefix="vitalgrid-")
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"vitalgrid-{application}-")
 
 
 def shared_folder(spark: SparkSession) -> str:
