@@ -159,6 +159,13 @@ fx_cells as (select m.a_no, t_no, t, sum(case when p >= t then pos else 0 end) a
 fx_points as (select r.a_no, r.alpha, c.t_no, c.t, r.auroc, r.auprc, least(tp / (tp + fp + 1e-12::double), tp / (np + 1e-12::double)) as min_ps
               from fx_rank r join fx_cells c on r.a_no = c.a_no)"""
 
+BEST = """select list_reduce(list({'alpha': alpha, 't': t, 'auroc': auroc, 'auprc': auprc, 'min_ps': min_ps} order by a_no, t_no),
+    lambda x, y: case when y.auroc > x.auroc
+        or (abs(y.auroc - x.auroc) <= 1e-8::double + 1e-5::double * abs(x.auroc) and y.auprc > x.auprc)
+        or (abs(y.auroc - x.auroc) <= 1e-8::double + 1e-5::double * abs(x.auroc)
+            and abs(y.auprc - x.auprc) <= 1e-8::double + 1e-5::double * abs(x.auprc) and y.min_ps > x.min_ps) then y else x end) as b
+    from fx_points"""
+
 
 @query(
     "ens_grid",
@@ -175,13 +182,8 @@ def _(t: Tables):
 
 @query(
     "ens_grid_best",
-    """select round(b.alpha, 6) as alpha, round(b.t, 6) as t, round(b.auroc, 6) as auroc, round(b.auprc, 6) as auprc, round(b.min_ps, 6) as min_ps from (
-         select list_reduce(list({'alpha': alpha, 't': t, 'auroc': auroc, 'auprc': auprc, 'min_ps': min_ps} order by a_no, t_no),
-           lambda x, y: case when y.auroc > x.auroc
-               or (abs(y.auroc - x.auroc) <= 1e-8::double + 1e-5::double * abs(x.auroc) and y.auprc > x.auprc)
-               or (abs(y.auroc - x.auroc) <= 1e-8::double + 1e-5::double * abs(x.auroc)
-                   and abs(y.auprc - x.auprc) <= 1e-8::double + 1e-5::double * abs(x.auprc) and y.min_ps > x.min_ps) then y else x end) as b
-         from fx_points)""",
+    f"""select round(b.alpha, 6) as alpha, round(b.t, 6) as t, round(b.auroc, 6) as auroc, round(b.auprc, 6) as auprc, round(b.min_ps, 6) as min_ps
+        from ({BEST})""",
     "fx_scores",
     ENS,
 )

@@ -11,10 +11,13 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
+from queryset.evaluation import AP, AUC, BEST, ENS
 from queryset.registry import Tables, query
 from vitalgrid import params as P
 from vitalgrid.functions.timing import micros
-from vitalgrid.plans import features
+from vitalgrid.operators.joins import split_frames
+from vitalgrid.operators.sampling import split_by_entity
+from vitalgrid.plans import evaluation, features
 from vitalgrid.plans.wide import RawTables, deidentify, display, wide_table
 from vitalgrid.session import shared_folder
 from vitalgrid.sources.tables import save_table
@@ -360,3 +363,57 @@ def _(t: Tables):
 @query("flow_features_iv", features_out(SMALL_IV), FX, raw_sql(P.IV) + ",\n" + features_sql(SMALL_IV, 4))
 def _(t: Tables):
     return features_shown(feature_rows(t, SMALL_IV))
+
+
+SMALL_COHORT = replace(P.IV, cohort_readmission=100, readmission_share=0.17, readmission_min_rows=50)
+
+
+@query(
+    "flow_cohort_readmission_iv",
+    """select patient, visit, record from rc_kept join (
+         select *, row_number() over (partition by label order by md5(concat('42-', cast(patient as varchar))), patient) as k,
+                sum(label) over () as pos, sum(1 - label) over () as neg
+         from (select patient, max(readmission) as label from rc_kept group by 1)) using (patient)
+       where record <= 200 and k <= case when label = 1 then least(pos, least(17, pos) + greatest(83 - neg, 0))
+                                         else least(neg, least(83, neg) + greatest(17 - pos, 0)) end""",
+    FX,
+    raw_sql(P.IV)
+    + """,
+rc_big as (select * from rw_wide where patient in (select patient from rw_wide group by 1 having count(*) >= 50)),
+rc_kept as (
+    select b.* from rc_big b left join (select patient, max(visit) as last from rc_big where readmission = 1 group by 1) l on b.patient = l.patient
+    where visit <= coalesce(last, visit))""",
+)
+def _(t: Tables):
+    path = shared_folder(t.spark)
+    save_table(wide_table(raw_tables(t, P.IV), P.IV), path)
+    return features.cohort(t.spark.read.parquet(path), SMALL_COHORT, "readmission").select("patient", "visit", "record")
+
+
+BLEND = (
+    """fx_all as (
+    select s.*, case when r <= floor(n * 0.5::double) then 'train' when r <= floor(n * 0.5::double) + floor(n * 0.25::double) then 'val' else 'test' end as split
+    from fx_scores s join (select patient, row_number() over (order by md5(concat('42-', cast(patient as varchar))), patient) as r, count(*) over () as n
+                           from (select distinct patient from fx_scores)) using (patient)),
+fx_val as (select * from fx_all where split <> 'test'),
+"""
+    + ENS.replace("fx_scores", "fx_val")
+    + f""",
+fx_best as ({BEST}),
+fx_tb as (select y, b.alpha * p1 + (1.0::double - b.alpha) * p2 as p, b.alpha, b.t from fx_all, fx_best where split = 'test')"""
+)
+
+
+@query(
+    "flow_blended_test",
+    f"""select x.auroc, y.auprc, z.min_ps, round(b.alpha, 6) as alpha, round(b.t, 6) as t
+        from ({AUC.format(t='fx_tb', p='p')}) x, ({AP.format(t='fx_tb', p='p')}) y, fx_best,
+        (select round(least(tp / (tp + fp + 1e-12::double), tp / (np + 1e-12::double)), 6) as min_ps from (
+           select count(*) filter (where p >= t and y = 1) as tp, count(*) filter (where p >= t and y = 0) as fp, sum(y) as np from fx_tb)) z""",
+    "fx_scores",
+    BLEND,
+)
+def _(t: Tables):
+    parts = split_frames(split_by_entity(t.scores(), "patient", (0.5, 0.25), 42), "split")
+    out = evaluation.blended_test(parts["train"].unionByName(parts["val"]), parts["test"])
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
