@@ -48,18 +48,18 @@ def feats(t: Tables):
 
 @query(
     "tas_visit_scores",
-    "select patient, visit, cast(scale_no as bigint) as scale_no, start, pos, n_scores, round(score, 6) as score from fx_tas",
+    "select patient, visit, cast(scale_no as bigint) as scale_no, start, pos, n_scores, round(score, 10) as score from fx_tas",
     "fx_records",
     SERIES,
 )
 def _(t: Tables):
     out = multi_scale_scores(feats(t), PV, "record", "n_rec", ["f1", "f2"], "gcs", SCALES)
-    return out.withColumns({"score": F.round("score", 6), "scale_no": F.col("scale_no").cast("long")})
+    return out.withColumns({"score": F.round("score", 10), "scale_no": F.col("scale_no").cast("long")})
 
 
 @query(
     "tas_feature_mean",
-    """select patient, visit, record, round(coalesce(list_avg([a, b]), 0), 6) as mean from (
+    """select patient, visit, record, round(coalesce(list_avg([a, b]), 0), 10) as mean from (
          select patient, visit, record, n_rec, avg(f1) over w as a, avg(f2) over w as b from fx_feats
          window w as (partition by patient, visit order by record rows between current row and 4 following)) where record + 4 <= n_rec""",
     "fx_records",
@@ -68,7 +68,7 @@ def _(t: Tables):
 def _(t: Tables):
     means = block_means(feats(t), PV, "record", ["f1", "f2"], 5)
     mean = row_mean([F.col("mean_f1"), F.col("mean_f2")])
-    return means.select(*PV, "record", F.round(mean, 6).alias("mean"))
+    return means.select(*PV, "record", F.round(mean, 10).alias("mean"))
 
 
 POINTS = [f"D{i}" for i in range(12)]
@@ -77,7 +77,7 @@ POINTS = [f"D{i}" for i in range(12)]
 @query(
     "tas_pooled",
     """select patient, visit, """
-    + ", ".join(f'round(max(case when i = {i} then v end), 6) as "D{i}"' for i in range(12))
+    + ", ".join(f'round(max(case when i = {i} then v end), 10) as "D{i}"' for i in range(12))
     + """ from (
          select patient, visit, i, s[lo + 1] * (1 - (x - lo)) + s[least(lo + 1, n - 1) + 1] * (x - lo) as v from (
            select *, floor(x)::bigint as lo from (
@@ -88,7 +88,7 @@ POINTS = [f"D{i}" for i in range(12)]
 )
 def _(t: Tables):
     out = pooled_scores(feats(t), PV, "record", "n_rec", ["f1", "f2"], "gcs", SCALES, 12)
-    return out.select(*PV, *[F.round(c, 6).alias(c) for c in POINTS])
+    return out.select(*PV, *[F.round(c, 10).alias(c) for c in POINTS])
 
 
 FIT = """fx_fit as (
