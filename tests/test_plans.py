@@ -3,8 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-
 from vitalgrid import params as P
 from vitalgrid.plans import evaluation, features
 from vitalgrid.plans.wide import RawTables, deidentify, display, wide_table
@@ -113,3 +111,24 @@ def test_evaluation(spark, rows):
     assert out["auroc"] == 1.0 and out["auprc"] == 1.0 and round(out["min_ps"], 6) == 1.0
     with pytest.raises(Exception, match="not unique"):
         evaluation.scored_labels(y, model.union(model), answers).collect()
+
+
+def test_whole_feature_flow_to_csv(spark, tmp_path):
+    from dataclasses import replace
+
+    from vitalgrid.sources.tables import csv_header
+
+    spec = replace(P.III, cohort_outcome=4, outcome_share=0.5)
+    records = features.cohort(wide_table(raw(spark, P.III), P.III), spec, "outcome")
+    series = features.time_series(records, bound=spec.outcome_rows).persist()
+    assert series.count() == 4 and len(series.columns) == 53
+    settings = P.Settings(split_ratios=(0.5, 0.0))
+    rows = features.scaled_splits(features.encoded(series, spec), spec, settings).persist()
+    assert {r["split"] for r in rows.select("split").distinct().collect()} == {"train", "test"}
+    folder = str(tmp_path / "splits")
+    features.write_splits(rows, spec, folder)
+    names = csv_header(spark, f"{folder}/train_features")
+    assert names[:4] == ["PatientID", "VisitID", "RecordTime", "Sex"] and names[-1] == "D23" and len(names) == 71
+    assert csv_header(spark, f"{folder}/test_labels") == ["PatientID", "VisitID", "Outcome", "LOS", "Readmission"]
+    stored = spark.read.csv(f"{folder}/*_labels", header=True)
+    assert stored.where("PatientID is not null").count() == 4

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from vitalgrid.operators.encode import min_max, minmax_apply
-from vitalgrid.operators.joins import attach, filter_group_size, keep_ids, patient_label
+from vitalgrid.operators.joins import attach, filter_group_size, keep_ids, patient_label, split_frames, to_wide_names
 from vitalgrid.operators.ordered import first_values, impute, position01, truncate_after_last
 from vitalgrid.operators.sampling import split_labels, stratified_sample
 from vitalgrid.operators.scoring import pooled_scores, score_columns
 from vitalgrid.operators.visits import gap_days
-from vitalgrid.params import CAPILLARY, IDS, TEXT_LISTS, VITALS, Settings, Variant
+from vitalgrid.params import TEXT_LISTS, VITALS, WIDE_NAMES, Settings, Variant
 from vitalgrid.session import materialize
+from vitalgrid.sources.tables import write_csv
 
 KEYS = ["patient", "visit"]
 PHYSICAL = ["age", "weight", "height", *VITALS]
@@ -110,7 +111,21 @@ def feature_columns(rows: DataFrame, drop: Sequence[str] = ()) -> list[str]:
     return [c for c in rows.columns if c not in skip]
 
 
-def display_names() -> dict[str, str]:
-    """Published names of the columns kept in the feature tables."""
-    return {**{k: v for k, v in IDS.items() if k not in ("record_start", "admit", "discharge")}, **CAPILLARY, **VITALS}
+def published(rows: DataFrame, spec: Variant) -> tuple[DataFrame, DataFrame]:
+    """Feature and label tables under their published names, with the split.
 
+    Both carry the visit's position as ``VisitID`` and one row per record.
+    """
+    ids = {"patient": "PatientID", "visit_pos": "VisitID"}
+    kept = [c for c in WIDE_NAMES if c not in (*KEYS, "record", "record_start", "admit", "discharge", *LABELS, *TEXT_LISTS)]
+    inputs = {**ids, "record_pos": "RecordTime", **{c: WIDE_NAMES[c] for c in kept}}
+    inputs |= {f"D{i}": f"D{i}" for i in range(spec.pool_size)}
+    labels = {**ids, **{c: WIDE_NAMES[c] for c in LABELS}}
+    return to_wide_names(rows, {**inputs, "split": "split"}), to_wide_names(rows, {**labels, "split": "split"})
+
+
+def write_splits(rows: DataFrame, spec: Variant, folder: str) -> None:
+    """CSV folders ``<split>_features`` and ``<split>_labels``; floats with six places."""
+    for kind, table in zip(("features", "labels"), published(rows, spec)):
+        for split, part in split_frames(table, "split").items():
+            write_csv(part, f"{folder.rstrip('/')}/{split}_{kind}")
