@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 import check
+from queryset.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 NO_SQL = {"mdl_baseline"}
@@ -21,11 +22,12 @@ def con():
 
 
 def test_contract(spark):
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == NO_SQL
+    assert set(QUERIES) - set(ORACLES) == NO_SQL
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
     assert entry_points.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     df = entry_points.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
