@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from vitalgrid.llm.bpe import digests
 from vitalgrid.llm.line_dedup import dedup_lines
+from vitalgrid.llm.packing import pack_documents
 
+VOCABULARY = "byte_bpe_50k.json"
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+def vocabulary(name: str = VOCABULARY) -> str:
+    """The text of a public tokenizer's file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
 @query(
     "op1_line_dedup",
     f"""
@@ -31,3 +42,13 @@ AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 def _(spark, folder):
     kept = dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), n_lines="n_lines", n_dropped="n_dropped")
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op4_best_fit_packing")
+def _(spark, folder):
+    return pack_documents(table(spark, folder, "documents"), vocabulary())
+
+
+@query("op9_bpe")
+def _(spark, folder):
+    return digests(table(spark, folder, "documents"), vocabulary())
