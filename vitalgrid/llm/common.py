@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vitalgrid.session import shared_folder
+
 #: The white space of the contracts, ``[\x20\x09-\x0D]``.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -16,7 +18,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
-    return F.translate(text, UPPER, LOWER)
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read back: several readers, one computation, whatever executors are lost."""
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def content_key(text: Column) -> Column:
