@@ -8,6 +8,8 @@ from vitalgrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from vitalgrid.llm.bpe import digests
 from vitalgrid.llm.line_dedup import dedup_lines
 from vitalgrid.llm.packing import pack_documents
+from vitalgrid.llm.sharding import kd_shards
+from vitalgrid.llm.warc import round_trip
 
 VOCABULARY = "byte_bpe_50k.json"
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -52,3 +54,28 @@ def _(spark, folder):
 @query("op9_bpe")
 def _(spark, folder):
     return digests(table(spark, folder, "documents"), vocabulary())
+
+
+@query(
+    "op3_warc",
+    """
+    with p as (
+      select page_id, coalesce(html, '') as html, sha256(coalesce(html, '')) as digest, strlen(coalesce(html, '')) as n from pages
+    ), f as (select digest, min(page_id) as first_id from p where n >= 100 group by digest)
+    select page_id, n as payload_bytes, p.digest as payload_digest,
+           case when page_id > first_id then 'revisit' else 'response' end as record_type,
+           case when page_id > first_id then first_id end as refers_to
+    from p left join f on p.digest = f.digest
+    """,
+)
+def _(spark, folder):
+    return round_trip(table(spark, folder, "pages"))
+
+
+@query("op8_kd_sharding")
+def _(spark, folder):
+    placed = kd_shards(table(spark, folder, "documents"), ["lang", "source", "n_chars"])
+    return placed.select(
+        "doc_id", F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
