@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from vitalgrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from vitalgrid.llm.bpe import digests
 from vitalgrid.llm.line_dedup import dedup_lines
+from vitalgrid.llm.near_dedup import near_groups
 from vitalgrid.llm.packing import pack_documents
+from vitalgrid.llm.quality import judge, train
 from vitalgrid.llm.sharding import kd_shards
 from vitalgrid.llm.warc import round_trip
 
@@ -79,3 +81,19 @@ def _(spark, folder):
         "doc_id", F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), F.lit("bytes").alias("law"),
         F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op7_crf_quality")
+def _(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    # The text isn't needed behind the judgement.
+    return judge(docs, train(docs, table(spark, folder, "labels"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_words"
+    )
+
+
+@query("op10_minhash_near_dedup")
+def _(spark, folder):
+    found = near_groups(table(spark, folder, "documents"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "class_id")
