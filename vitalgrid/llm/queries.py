@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from vitalgrid.llm.ann import nearest
 from vitalgrid.llm.bpe import digests
 from vitalgrid.llm.line_dedup import dedup_lines
 from vitalgrid.llm.near_dedup import near_groups
@@ -97,3 +98,9 @@ def _(spark, folder):
     found = near_groups(table(spark, folder, "documents"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "class_id")
+
+
+@query("op2_pruned_graph")
+def _(spark, folder):
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return nearest(rows, rows.where("vec_id % 20 = 0"))
