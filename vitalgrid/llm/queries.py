@@ -12,9 +12,11 @@ from vitalgrid.llm.near_dedup import near_groups
 from vitalgrid.llm.packing import pack_documents
 from vitalgrid.llm.quality import judge, train
 from vitalgrid.llm.sharding import kd_shards
+from vitalgrid.llm.surrogates import replace_entities
 from vitalgrid.llm.warc import round_trip
 
 VOCABULARY = "byte_bpe_50k.json"
+SURROGATE_KEY = "registered query"  # a caller's secret elsewhere
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -104,3 +106,9 @@ def _(spark, folder):
 def _(spark, folder):
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
+@query("op6_pii_surrogates")
+def _(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return replace_entities(docs, SURROGATE_KEY, n_entities="n_entities")
