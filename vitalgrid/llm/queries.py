@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vitalgrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from vitalgrid.llm.ann import nearest
 from vitalgrid.llm.bpe import digests
+from vitalgrid.llm.class_lm import HELD_FOLD, fold_of, scores
 from vitalgrid.llm.line_dedup import dedup_lines
 from vitalgrid.llm.near_dedup import near_groups
 from vitalgrid.llm.packing import pack_documents
@@ -112,3 +113,8 @@ def _(spark, folder):
 def _(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return replace_entities(docs, SURROGATE_KEY, n_entities="n_entities")
+
+
+@query("op5_class_lm")
+def _(spark, folder):
+    return scores(table(spark, folder, "documents"), fold_of(F.col("doc_id")) == HELD_FOLD)
