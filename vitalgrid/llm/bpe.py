@@ -176,7 +176,8 @@ def _shipped(docs: DataFrame, tokenizer_json: str):
 
 
 def encoded(docs: DataFrame, tokenizer_json: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each text as an array."""
+    """``docs`` with the ids of each text as an array, which replaces a column of its name."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower() == out.lower()])
     shipped = _shipped(docs, tokenizer_json)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType(), False))])
 

@@ -94,24 +94,29 @@ def _set_lines(lines: Column, dense: Column) -> Column:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, n_lines: str | None = None, n_dropped: str | None = None) -> DataFrame:
-    """``docs`` with the kept lines as text; optionally the counts of lines and of dropped lines."""
-    key = free_name(docs, "_content")
-    marks = bitmaps.select(F.col("doc_id").alias("_doc"), F.col("content").alias("_mark"), "words")
+    """``docs`` with the kept lines as text; optionally the counts of lines and of dropped lines.
+
+    A count replaces a column of its name.
+    """
+    key, doc, mark, words, dense, kept = (free_name(docs, f"_{n}") for n in ("content", "doc", "mark", "words", "dense", "kept"))
+    marks = bitmaps.select(F.col("doc_id").alias(doc), F.col("content").alias(mark), F.col("words").alias(words))
     rows = docs.withColumn(key, content_key(F.col("text")))
-    rows = rows.join(marks, (rows["doc_id"] == marks["_doc"]) & (rows[key] == marks["_mark"]), "left")
-    cut = F.col("words").isNotNull()
-    rows = rows.withColumn("_dense", F.when(cut, _dense(F.col("words"))))
-    rows = rows.withColumn("_kept", F.when(cut, _set_lines(lines_of(F.col("text")), F.col("_dense"))))
-    extra = []
+    rows = rows.join(marks, (rows["doc_id"] == marks[doc]) & (rows[key] == marks[mark]), "left")
+    cut = F.col(words).isNotNull()
+    rows = rows.withColumn(dense, F.when(cut, _dense(F.col(words))))
+    rows = rows.withColumn(kept, F.when(cut, _set_lines(lines_of(F.col("text")), F.col(dense))))
     # A text is split for counting only where it lost lines; elsewhere its line breaks are counted.
-    breaks = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n")))
+    all_lines = F.coalesce(F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"))), F.lit(0)) + 1
+    extra = {}
     if n_lines:
-        extra.append((F.coalesce(breaks, F.lit(0)) + 1).cast("long").alias(n_lines))
+        extra[n_lines] = all_lines
     if n_dropped:
-        lost = F.coalesce(breaks, F.lit(0)) + 1 - F.size("_kept")
-        extra.append(F.when(F.col("_kept").isNotNull(), lost).otherwise(0).cast("long").alias(n_dropped))
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")).alias("text")
-    return rows.select(*[text if c.lower() == "text" else docs[c] for c in docs.columns], *extra)
+        extra[n_dropped] = F.when(F.col(kept).isNotNull(), all_lines - F.size(kept)).otherwise(0)
+    text = F.when(F.col(kept).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
+    stay = [c for c in docs.columns if c.lower() not in {n.lower() for n in extra}]
+    return rows.select(
+        *[text if c.lower() == "text" else docs[c] for c in stay], *[x.cast("long").alias(n) for n, x in extra.items()]
+    )
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, **counts: str) -> DataFrame:

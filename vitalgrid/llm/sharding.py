@@ -38,9 +38,12 @@ def _number(df: DataFrame, name: str) -> Column:
 
 
 def kd_shards(docs: DataFrame, dims: list[str], shards: int = SHARDS, shard: str = "shard", slot: str = "slot") -> DataFrame:
-    """``docs`` without its text, with size, crc, shard and slot (its number in the shard, from 0)."""
+    """``docs`` without its text, with _size, _crc, shard and slot (its number in the shard, from 0).
+
+    These replace columns of their names; other columns that begin with an underscore are left out.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    kept = [c for c in docs.columns if c.lower() != "text"]
+    kept = [c for c in docs.columns if c.lower() not in ("text", shard.lower(), slot.lower()) and c[0] != "_"]
     rows = docs.select(
         *kept, (F.octet_length(text).cast("long") + 1).alias("_size"), F.crc32(text).alias("_crc"),
         F.unhex(F.md5(text)).alias("_text"), *[_number(docs, d).alias(f"_d{i}") for i, d in enumerate(dims)],

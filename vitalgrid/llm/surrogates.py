@@ -233,18 +233,19 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 
 
 def replace_entities(docs: DataFrame, key: str, n_entities: str | None = None) -> DataFrame:
-    """``docs`` with surrogates in the text."""
+    """``docs`` with surrogates in the text; the count of entities replaces a column of its name."""
     found = stored(find_entities(docs))
     made = assign(found, key)
     new = F.concat("head", written(F.col("core"), F.col("kind"), F.col("made")), "tail")
     texts = found.join(made, ["kind", "norm"]).select("doc_id", "content", F.struct("pos", new.alias("new")).alias("x"))
     lists = texts.groupBy("doc_id", "content").agg(F.array_sort(F.collect_set("x")).alias("x"))
-    lists = lists.select(F.col("doc_id").alias("_doc"), F.col("content").alias("_mark"), F.col("x.new").alias("_new"))
-    mark = free_name(docs, "_content")
+    mark, doc, own, new = (free_name(docs, f"_{n}") for n in ("content", "doc", "own", "new"))
+    lists = lists.select(F.col("doc_id").alias(doc), F.col("content").alias(own), F.col("x.new").alias(new))
     rows = docs.withColumn(mark, content_key(F.col("text")))
-    rows = rows.join(lists, rows["doc_id"].eqNullSafe(lists["_doc"]) & (rows[mark] == lists["_mark"]), "left")
+    rows = rows.join(lists, rows["doc_id"].eqNullSafe(lists[doc]) & (rows[mark] == lists[own]), "left")
     between = F.split("text", PATTERN, -1)
-    pieces = F.flatten(F.zip_with(between, F.col("_new"), lambda a, b: F.array(a, F.coalesce(b, F.lit("")))))
-    text = F.when(F.col("_new").isNull(), F.col("text")).otherwise(F.array_join(pieces, "")).alias("text")
-    extra = [F.coalesce(F.size("_new"), F.lit(0)).cast("long").alias(n_entities)] if n_entities else []
-    return rows.select(*[text if c.lower() == "text" else docs[c] for c in docs.columns], *extra)
+    pieces = F.flatten(F.zip_with(between, F.col(new), lambda a, b: F.array(a, F.coalesce(b, F.lit("")))))
+    text = F.when(F.col(new).isNull(), F.col("text")).otherwise(F.array_join(pieces, "")).alias("text")
+    extra = [F.coalesce(F.size(new), F.lit(0)).cast("long").alias(n_entities)] if n_entities else []
+    stay = [c for c in docs.columns if c.lower() != (n_entities or "").lower()]
+    return rows.select(*[text if c.lower() == "text" else docs[c] for c in stay], *extra)

@@ -208,6 +208,8 @@ def parse(data: bytes) -> tuple[dict | None, int, str]:
     for line in data[:end].split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+    if not all(fields.get(name) for name in ("warc-type", "warc-record-id", "warc-date")):
+        return None, 0, "a mandatory field is missing"
     block = data[end + 4 : end + 4 + length]
     want = fields.get("warc-block-digest", "")
     if want.startswith("sha256:") and hashlib.sha256(block).hexdigest() != want[7:]:
