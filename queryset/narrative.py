@@ -183,8 +183,8 @@ def _(t: Tables):
 
 @query(
     "inf_prompt_tail",
-    """select patient, md5(case when len(w) > 40 then array_to_string(w[-40:], ' ') else context end) as context
-       from (select patient, context, list_filter(regexp_split_to_array(context, '\\s+'), lambda w: w <> '') as w from fx_context)""",
+    """select patient, md5(case when len(w) > 40 then array_to_string(w[-40:], '') else context end) as context
+       from (select patient, context, regexp_extract_all(context, '\\S+\\s*') as w from fx_context)""",
     "fx_admissions fx_items",
     TEXTS,
 )

@@ -131,8 +131,8 @@ def _(t: Tables):
     """select doc_id, 'drop' as mode, md5(text) as kept from documents
        where len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) <= 120
        union all
-       select doc_id, 'tail', md5(case when len(w) > 120 then array_to_string(w[-120:], ' ') else text end)
-       from (select doc_id, text, list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '') as w from documents)""",
+       select doc_id, 'tail', md5(case when len(w) > 120 then array_to_string(w[-120:], '') else text end)
+       from (select doc_id, text, regexp_extract_all(text, '\\S+\\s*') as w from documents)""",
 )
 def _(t: Tables):
     docs = t.read("documents").select("doc_id", "text")
@@ -164,12 +164,14 @@ def _(t: Tables):
 
 @query(
     "jn_left_features",
-    """select e.eid, v.n_events, v.outcome from fx_events e left join (select * from fx_visits where n_events > 10) v
-       on e.patient = v.patient and e.visit = v.visit""",
+    """select e.eid, v.n_events, v.outcome from fx_events e left join fx_visits v
+       on e.patient = v.patient and e.visit = v.visit and v.n_events > 10""",
     "fx_events fx_visits",
 )
 def _(t: Tables):
-    feats = t.visits().where("n_events > 10").select(*PV, "n_events", "outcome")
+    # Every visit stays; those with few events get a key that no event has.
+    visit = F.when(F.col("n_events") > 10, F.col("visit")).otherwise(-1 - F.col("visit"))
+    feats = t.visits().withColumn("visit", visit).select(*PV, "n_events", "outcome")
     return J.attach(t.events().select("eid", *PV), feats, PV).select("eid", "n_events", "outcome")
 
 
@@ -178,14 +180,17 @@ def _(t: Tables):
     """select l.patient, l.visit, l.r as visit_rank, r.total from
          (select patient, visit, row_number() over (partition by patient order by admit, visit) as r from fx_admissions) l
          left join (select o_custkey as patient, o_totalprice as total,
-                           row_number() over (partition by o_custkey order by o_orderkey) as r from orders where o_orderstatus <> 'F') r
-         on l.patient = r.patient and l.r = r.r""",
+                           row_number() over (partition by o_custkey, o_orderstatus = 'F' order by o_orderkey) as r,
+                           o_orderstatus = 'F' as off from orders) r
+         on l.patient = r.patient and l.r = r.r and not r.off""",
     "fx_admissions",
 )
 def _(t: Tables):
     left = t.admissions().select("patient", "visit", "admit")
-    right = t.read("orders").where("o_orderstatus <> 'F'").select(
-        F.col("o_custkey").alias("patient"), F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("total")
+    # Orders of one status belong to patients that nothing meets.
+    owner = F.when(F.col("o_orderstatus") == "F", -1 - F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    right = t.read("orders").select(
+        owner.alias("patient"), F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("total")
     )
     out = J.rank_align(left, right, "patient", ["admit", "visit"], ["k"])
     return out.select("patient", "visit", "visit_rank", "total")

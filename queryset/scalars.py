@@ -104,12 +104,12 @@ def _(t: Tables):
 
 @query(
     "fn_split_zip_trim",
-    "select patient, visit, title as a, code as b, count(*) as n from fx_items where version <> 5 group by 1,2,3,4",
+    "select patient, visit, title as a, code as b, count(*) as n from fx_items group by 1,2,3,4",
     "fx_items",
 )
 def _(t: Tables):
     # Lists are joined with stray white space and taken apart again.
-    rows = t.items().where("version <> 5").withColumns(
+    rows = t.items().withColumns(
         {"title": F.concat(F.lit(" "), "title", F.lit("\t")), "code": F.concat("code", F.lit("  "))}
     )
     lists = visit_lists(rows, PV, {"codes": "code", "titles": "title"}, ["seq", "code", "title"])

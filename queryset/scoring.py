@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from queryset.registry import Tables, query
 from queryset.scalars import BANDS, BANDS_SQL
 from vitalgrid.functions.scalars import band_score, row_mean
-from vitalgrid.operators.encode import label_for_task, min_max, minmax_apply, pad_mask, sequences
+from vitalgrid.operators.encode import label_for_task, min_max, minmax_apply, pad_mask, sequence_segments, sequences
 from vitalgrid.operators.joins import split_frames
 from vitalgrid.operators.ordered import block_means
 from vitalgrid.operators.sampling import split_by_entity
@@ -128,8 +128,29 @@ def _(t: Tables):
     return out.select(*PV, "record", *[F.round(c, 6).alias(c) for c in ("view", "error", "flat")])
 
 
+def _shown(steps: str):
+    return F.transform(
+        steps,
+        lambda x: F.concat_ws(":", F.round(x[0] * 100).cast("long").cast("string"), x[1].cast("long").cast("string")),
+    )
+
+
 @query(
     "seq_build",
+    """select patient, count(*) as length,
+              string_agg(concat(cast(round(num * 100) as bigint), ':', eid % 7), ',' order by ts, eid) as steps
+       from fx_events group by 1""",
+    "fx_events",
+)
+def _(t: Tables):
+    # The feature columns are named so that sorted order is (a, b).
+    rows = t.events().select("patient", "ts", "eid", F.col("num").alias("a"), (F.col("eid") % 7).alias("b"))
+    out = sequences(rows, "patient", ["ts", "eid"], ["b", "a"])
+    return out.select("patient", F.col("length").cast("long").alias("length"), F.array_join(_shown("steps"), ",").alias("steps"))
+
+
+@query(
+    "seq_segments",
     """select patient, (r - 1) // 16 as segment, count(*) as length, max(n) as total_length,
               string_agg(concat(cast(round(num * 100) as bigint), ':', eid % 7), ',' order by r) as steps
        from (select *, row_number() over (partition by patient order by ts, eid) as r, count(*) over (partition by patient) as n from fx_events)
@@ -137,16 +158,11 @@ def _(t: Tables):
     "fx_events",
 )
 def _(t: Tables):
-    # The feature columns are named so that sorted order is (a, b).
     rows = t.events().select("patient", "ts", "eid", F.col("num").alias("a"), (F.col("eid") % 7).alias("b"))
-    out = sequences(rows, "patient", ["ts", "eid"], ["b", "a"], segment=16)
-    shown = F.transform(
-        "steps",
-        lambda x: F.concat_ws(":", F.round(x[0] * 100).cast("long").cast("string"), x[1].cast("long").cast("string")),
-    )
+    out = sequence_segments(rows, "patient", ["ts", "eid"], ["b", "a"], segment=16)
     return out.select(
         "patient", "segment", F.col("length").cast("long").alias("length"), "total_length",
-        F.array_join(shown, ",").alias("steps"),
+        F.array_join(_shown("steps"), ",").alias("steps"),
     )
 
 
@@ -169,6 +185,25 @@ def _(t: Tables):
     )
 
 
+@query(
+    "seq_pad_batch",
+    """select patient, visit, n as n_true, max(n) over (partition by patient) - n as n_pad, total from
+         (select patient, visit, count(*) as n, cast(sum(round(num * 100)) as bigint) as total from fx_events group by 1,2)""",
+    "fx_events",
+)
+def _(t: Tables):
+    rows = t.events().withColumn("pv", F.col("patient") * 100 + F.col("visit"))
+    seq = sequences(rows, "pv", ["ts", "eid"], ["num"])
+    out = pad_mask(seq.withColumn("batch", F.floor(F.col("pv") / 100)), "steps", 1, batch="batch")
+    empty = F.filter(F.arrays_zip("steps", "mask"), lambda z: ~z["mask"] & (z["steps"][0] == 0))
+    total = F.aggregate("steps", F.lit(0).cast("long"), lambda a, x: a + F.round(x[0].cast("double") * 100).cast("long"))
+    return out.select(
+        F.floor(F.col("pv") / 100).alias("patient"), (F.col("pv") % 100).alias("visit"),
+        F.size(F.filter("mask", lambda m: m)).cast("long").alias("n_true"),
+        F.size(empty).cast("long").alias("n_pad"), total.alias("total"),
+    )
+
+
 @query(
     "lbl_for_task",
     """select patient, arg_min(outcome, k) as first_outcome, arg_max(readmission, k) as last_readmission, arg_min(los, k) as first_los

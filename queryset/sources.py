@@ -16,32 +16,53 @@ CHAT = "patient long, turn long, role string, content string"
 
 @query(
     "src_table",
-    "select o_orderkey, o_custkey, round(o_totalprice, 2) as o_totalprice, epoch_us(o_orderdate) as us from orders where o_totalprice > 1000",
+    "select o_orderkey, o_custkey, round(o_totalprice, 2) as o_totalprice, epoch_us(o_orderdate) as us from orders where o_totalprice > 150000",
 )
 def _(t: Tables):
     orders = TB.read_table(t.spark, f"{t.folder}/orders.parquet", ORDERS)
-    return orders.where("o_totalprice > 1000").select(
+    return orders.where("o_totalprice > 150000").select(
         "o_orderkey", "o_custkey", F.round("o_totalprice", 2).alias("o_totalprice"), micros(F.col("o_orderdate")).alias("us")
     )
 
 
-@query("src_csv", "select o_orderkey, o_orderpriority, o_totalprice, cast(3 as bigint) as n_header from orders")
+# Quotes, commas, line breaks, empty text and NULL by turns.
+ODD_TEXT = """case o_orderkey % 5 when 0 then 'say "' || o_orderpriority || '", twice ""' when 1 then 'a,b;' || o_orderpriority
+              when 2 then 'line' || chr(10) || o_orderpriority || chr(10) when 3 then '' end"""
+
+
+def _odd_text():
+    p, k = F.col("o_orderpriority"), F.col("o_orderkey") % 5
+    return (
+        F.when(k == 0, F.concat(F.lit('say "'), p, F.lit('", twice ""'))).when(k == 1, F.concat(F.lit("a,b;"), p))
+        .when(k == 2, F.concat(F.lit("line\n"), p, F.lit("\n"))).when(k == 3, "")
+    )
+
+
+@query(
+    "src_csv",
+    f"select o_orderkey, o_orderpriority, o_totalprice, {ODD_TEXT} as note, cast(4 as bigint) as n_header from orders",
+)
 def _(t: Tables):
     path = shared_folder(t.spark)
-    TB.write_csv(t.read("orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), path, float_fmt="%.2f")
-    schema = "o_orderkey long, o_totalprice double, o_orderpriority string"
-    out = TB.read_csv(t.spark, path, schema, ["o_orderkey", "o_orderpriority", "o_totalprice"])
+    rows = t.read("orders").select("o_orderkey", _odd_text().alias("note"), "o_totalprice", "o_orderpriority")
+    TB.write_csv(rows, path, float_fmt="%.2f")
+    schema = "o_orderkey long, note string, o_totalprice double, o_orderpriority string"
+    out = TB.read_csv(t.spark, path, schema, ["o_orderkey", "o_orderpriority", "o_totalprice", "note"], multiline=True)
     return out.withColumn("n_header", F.lit(len(TB.csv_header(t.spark, path))).cast("long"))
 
 
-@query("snk_csv", "select o_orderkey, printf('%.6f', o_totalprice) as price, strftime(o_orderdate, '%Y-%m-%d') as day from orders")
+@query(
+    "snk_csv",
+    f"select o_orderkey, printf('%.6f', o_totalprice) as price, {ODD_TEXT} as note, strftime(o_orderdate, '%Y-%m-%d') as day from orders",
+)
 def _(t: Tables):
     path = shared_folder(t.spark)
     rows = t.read("orders").select(
-        "o_orderkey", F.col("o_totalprice").alias("price"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")
+        "o_orderkey", F.col("o_totalprice").alias("price"), _odd_text().alias("note"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
     )
     TB.write_csv(rows, path)
-    return TB.read_csv(t.spark, path, "o_orderkey long, price string, day string")
+    return TB.read_csv(t.spark, path, "o_orderkey long, price string, note string, day string", multiline=True)
 
 
 @query("snk_jsonl", "select patient, turn, role, md5(content) as content from fx_chat", "fx_chat")
@@ -88,7 +109,8 @@ def _(t: Tables):
     docs = t.read("documents").select("doc_id", "lang", F.char_length("text").cast("long").alias("n"))
     JL.append_new(docs.where("lang = 'en'"), path, "doc_id", ["doc_id", "n"])
     docs = docs.drop("lang")
-    JL.append_new(docs, path, "doc_id")
+    # Every key comes twice, in slices; a second run adds nothing.
+    JL.append_new(docs.union(docs), path, "doc_id", slices=3)
     JL.append_new(docs, path, "doc_id")
     stored = JL.read_jsonl(t.spark, path, "doc_id long, n long")
     return stored.groupBy("doc_id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))

@@ -184,13 +184,13 @@ def _(t: Tables):
 
 @query(
     "set_union_all",
-    """select eid, item, num, txt from fx_events where item in ('view','click')
-       union all select eid, item, num, null from fx_events where item = 'error'""",
+    """select eid, item, num, txt from fx_events where item in ('view','click','signup')
+       union all select eid, item, num, null from fx_events where item in ('error','purchase')""",
     "fx_events",
 )
 def _(t: Tables):
-    chart = t.events().where(F.col("item").isin("view", "click")).select("eid", "item", "num", "txt")
-    labs = t.events().where(F.col("item") == "error").select("eid", "item", "num")
+    chart = t.events().where(F.col("item").isin("view", "click", "signup")).select("eid", "item", "num", "txt")
+    labs = t.events().where(F.col("item").isin("error", "purchase")).select("eid", "item", "num")
     return events_union(chart, labs)
 
 

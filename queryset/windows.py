@@ -63,12 +63,13 @@ def _(t: Tables):
     "win_position_visit",
     """select patient, visit, round(case when n = 1 then 1.0 else (r - 1) / (n - 1)::double end, 6) as visit_pos from
          (select patient, visit, row_number() over (partition by patient order by visit) as r, count(*) over (partition by patient) as n
-          from (select patient, visit from fx_visits where n_events > 14))""",
+          from (select case when visit % 3 = 0 then patient * 1000 + visit else patient end as patient, visit from fx_visits))""",
     "fx_visits",
 )
 def _(t: Tables):
-    # Busy visits only, so that patients with a single visit occur.
-    visits = t.visits().where("n_events > 14").select(*PV)
+    # Every third visit is a patient of its own, so that patients with a single visit occur.
+    alone = F.when(F.col("visit") % 3 == 0, F.col("patient") * 1000 + F.col("visit")).otherwise(F.col("patient"))
+    visits = t.visits().select(alone.alias("patient"), "visit")
     out = position01(visits, ["patient"], ["visit"], "visit_pos")
     return out.select(*PV, F.round("visit_pos", 6).alias("visit_pos"))
 
@@ -106,9 +107,8 @@ def _(t: Tables):
 
 @query("win_nocb_bounded", _fills("both"), "fx_wide")
 def _(t: Tables):
-    # The visits are limited to 200 records first, so one window per visit is bounded.
-    limited = t.wide().drop("outcome").where("record <= 200")
-    return impute(limited, PV, ["record"], ITEMS, bound=200)
+    # A visit lies in five days, so it has eleven 12-hour records at most.
+    return impute(t.wide().drop("outcome"), PV, ["record"], ITEMS, bound=11)
 
 
 @query(

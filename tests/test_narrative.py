@@ -7,11 +7,17 @@ from vitalgrid.operators.inference import score_batches
 from vitalgrid.operators.joins import rank_align
 from vitalgrid.operators.lists import list_parts, top_items, top_pairs, visit_lists
 from vitalgrid.operators.narrative import (
-    DEFAULT_TEXT, chat_record, context_within, drop_leaks, finetune_set, limit_tokens, patient_context, prompt,
+    PromptText, chat_record, context_within, drop_leaks, finetune_set, limit_tokens, patient_context, prompt,
     truth_block, visit_block,
 )
 
 
+TEXT = PromptText(
+    system="Read the record.", user="# Task description #\n{task}\n\n# Patient EHR context #\n{context}\n\n# Reasoning #\n",
+    tasks={"Outcome": "Predict death.", "Readmission": "Predict readmission.", "LOS": "Predict the stay."},
+)
+
+
 def test_lists(spark, rows):
     df = spark.createDataFrame(
         [(1, 3, "c", None), (1, 1, "a", "A"), (1, 2, "a", "A"), (2, 1, None, None)], "k long, seq int, code string, title string"
@@ -78,10 +84,10 @@ def test_truth(spark, rows):
 
 def test_prompt(texts):
     context = patient_context(texts, "patient", ["visit"], block())
-    text = prompt(context, DEFAULT_TEXT, "Readmission").where("patient = 2").first()["prompt"]
+    text = prompt(context, TEXT, "Readmission").where("patient = 2").first()["prompt"]
     assert text.startswith("[SYSTEM]\n") and "Predict readmission" in text and "Visit 1:" in text and "{context}" not in text
     with pytest.raises(ValueError):
-        prompt(context, DEFAULT_TEXT, "Other")
+        prompt(context, TEXT, "Other")
 
 
 def test_own_tokenizer(spark, rows):
@@ -116,11 +122,11 @@ def test_finetune_set(spark, texts, rows):
         [(1, 0.0, 1, 0), (1, 0.0, 2, 1), (1, 1.0, 1, 1), (2, 1.0, 1, None)], "patient long, visit_pos double, record long, Outcome int"
     )
     answers = spark.createDataFrame([(1, "first"), (1, "again"), (2, "none"), (9, "other")], "patient long, answer string")
-    out = finetune_set(texts, labels, answers, "Outcome", 2, 42)
+    out = finetune_set(texts, labels, answers, "Outcome", 2, 42, TEXT)
     # A repeated answer repeats the record; a patient without a last label is left out.
     assert rows(out, "patient", "label") == [(1, 1), (1, 1)]
     with pytest.raises(Exception, match="fewer ids"):
-        finetune_set(texts, labels, answers, "Outcome", 3, 42)
+        finetune_set(texts, labels, answers, "Outcome", 3, 42, TEXT)
 
 
 def test_rank_align_refuses_repeated_ranks(spark, rows):

@@ -1,5 +1,7 @@
 """Readers and writers."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +47,82 @@ def test_append_resume(spark, tmp_path, rows):
     assert rows(JL.read_jsonl(spark, path, SCHEMA)) == [(1, "a"), (2, "later")]
 
 
+def test_append_takes_each_key_once_and_scores_it_once(spark, tmp_path, rows):
+    from vitalgrid.operators.inference import score_batches
+
+    path, log = str(tmp_path / "out"), tmp_path / "calls"
+    log.mkdir()
+
+    def load():
+        def score(frame):
+            (log / f"{uuid.uuid4().hex}").write_text(",".join(map(str, frame["id"])))
+            return frame.assign(text=frame["text"].str.upper())
+
+        return score
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c"), (2, "z")], SCHEMA)
+    JL.append_new(df.where("id = 1"), path, "id")
+    scorer = lambda d: score_batches(d, load, SCHEMA, 2)
+    out = JL.append_new(df, path, "id", transform=scorer, slices=3)
+    assert out.count() == 3 and rows(out) == [(1, "a"), (2, "B"), (3, "C")]
+    seen = [i for f in log.iterdir() for i in f.read_text().split(",")]
+    assert sorted(seen) == ["2", "3"]
+    JL.append_new(df, path, "id", transform=scorer)
+    assert len([i for f in log.iterdir() for i in f.read_text().split(",")]) == 2
+
+
+def test_append_resumes_after_a_broken_slice(spark, tmp_path, rows):
+    path = str(tmp_path / "out")
+    df = spark.range(40).select("id", F.col("id").cast("string").alias("text"))
+
+    def fail_late(part):
+        n = part.count()
+        stored = JL.existing_or_none(spark, path, "id long")
+        if stored is not None and stored.count() + n >= 40:
+            raise RuntimeError("lost")
+        return part
+
+    with pytest.raises(RuntimeError):
+        JL.append_new(df, path, "id", transform=fail_late, slices=4)
+    assert 0 < JL.read_jsonl(spark, path, SCHEMA).count() < 40
+    assert sorted(r.id for r in JL.append_new(df, path, "id", slices=4).collect()) == list(range(40))
+
+
+def test_damaged_parameters_give_the_default(spark, tmp_path):
+    path = tmp_path / "p"
+    TB.save_params(spark.createDataFrame([("t", 0.25)], "name string, value double"), str(path))
+    assert TB.load_param(spark, str(path), "t", 0.5) == 0.25 and TB.load_param(spark, str(path), "u", 0.5) == 0.5
+    assert TB.load_param(spark, str(tmp_path / "none"), "t", 0.5) == 0.5
+    for f in path.glob("part-*"):
+        f.write_bytes(b"not a table")
+    for f in path.glob(".*crc"):
+        f.write_bytes(b"")
+    assert TB.load_param(spark, str(path), "t", 0.5) == 0.5
+
+
+def test_csv_dialect(spark, tmp_path, rows):
+    """A file as other programs write it, and a broken row."""
+    schema = "id long, t string, z long"
+    path = tmp_path / "a.csv"
+    path.write_text('id,t,z\n1,"a ""q"" b, c",9\n2," two\nlines\n",8\n3,"",7\n4,,6\n5,back\\slash,5\n')
+    want = [(1, 'a "q" b, c', 9), (2, " two\nlines\n", 8), (3, "", 7), (4, None, 6), (5, "back\\slash", 5)]
+    df = TB.read_csv(spark, str(path), schema, multiline=True)
+    assert rows(df) == want
+    out = str(tmp_path / "b")
+    TB.write_csv(df, out)
+    assert rows(TB.read_csv(spark, out, schema, multiline=True)) == want
+    import pandas as pd
+
+    back = pd.concat(pd.read_csv(f, keep_default_na=False) for f in (tmp_path / "b").glob("part-*"))
+    assert sorted(back["t"]) == sorted(t or "" for _, t, _ in want)
+    bad = tmp_path / "c.csv"
+    for line in ('1,"x",2,3', "1,x", "one,x,2"):
+        bad.write_text(f"id,t,z\n{line}\n")
+        with pytest.raises(Exception):
+            TB.read_csv(spark, str(bad), schema, ["id", "t"]).collect()
+    assert TB.read_csv(spark, str(bad), schema, mode="PERMISSIVE").count() == 1
+
+
 def test_csv_round_trip(spark, tmp_path, rows):
     path = str(tmp_path / "csv")
     df = spark.createDataFrame([(1, 1 / 3, "x;y"), (2, None, None)], "id long, v double, s string")

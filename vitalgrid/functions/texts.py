@@ -83,6 +83,6 @@ def words(c: Column) -> Column:
 
 
 def keep_last_words(c: Column, n: int) -> Column:
-    """The last ``n`` tokens joined by blanks; a shorter text is left as it is."""
-    w = words(c)
-    return F.when(F.size(w) > n, F.array_join(F.slice(w, -n, n), " ")).otherwise(c)
+    """The text from its ``n``-th last token on, as it stands; a shorter text is left as it is."""
+    parts = F.regexp_extract_all(c, F.lit(r"\S+\s*"), F.lit(0))
+    return F.when(F.size(parts) > n, F.array_join(F.slice(parts, -n, n), "")).otherwise(c)

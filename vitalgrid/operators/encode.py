@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vitalgrid.functions.scalars import clip, minmax_scale
 from vitalgrid.functions.series import pad, step_mask
@@ -41,21 +41,29 @@ def minmax_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str], limits: t
     return with_stats.withColumns(scaled).drop("_s")
 
 
-def sequences(
-    df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str], segment: int = SEGMENT
-) -> DataFrame:
-    """Ordered float matrix per key: (key, segment, length, steps, total_length).
+def _vector(cols: Sequence[str]) -> Column:
+    return F.array(*[F.col(f"`{c}`").cast("float") for c in sorted(cols)])
+
 
-    Feature columns go in sorted name order. A sequence of up to ``segment``
-    steps is one row; a longer one continues in further rows, so that no key is
-    gathered whole into one task.
+def sequences(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Ordered float matrix per key: (key, length, steps). Feature columns go in sorted name order.
+
+    A matrix is one value and so lies in one task; for keys too long for that
+    there is ``sequence_segments``.
     """
-    names = sorted(cols)
+    step = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], _vector(cols).alias("x"))
+    # Rows are moved, not half-built lists: lists cannot be combined before the shuffle.
+    packed = df.repartition(key).groupBy(key).agg(F.sort_array(F.collect_list(step)).alias("_steps"))
+    return packed.select(key, F.size("_steps").alias("length"), F.col("_steps")["x"].alias("steps"))
+
+
+def sequence_segments(
+    df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str], segment: int = SEGMENT
+) -> DataFrame:
+    """The same matrix in rows of ``segment`` steps: (key, segment, length, steps, total_length)."""
     numbered = ordinal(df, [key], list(order), out="_at", size="_n")
     numbered = numbered.withColumn("segment", F.floor((F.col("_at") - 1) / F.lit(segment)).cast("long"))
-    vector = F.array(*[F.col(f"`{c}`").cast("float") for c in names])
-    step = F.struct(F.col("_at").alias("at"), vector.alias("x"))
-    # Rows are moved, not half-built lists: lists cannot be combined before the shuffle.
+    step = F.struct(F.col("_at").alias("at"), _vector(cols).alias("x"))
     packed = numbered.repartition(key, "segment").groupBy(key, "segment").agg(
         F.sort_array(F.collect_list(step)).alias("_steps"), F.max("_n").alias("total_length")
     )
@@ -64,16 +72,20 @@ def sequences(
     )
 
 
-def pad_mask(df: DataFrame, steps: str, width: int, length: int | None = None) -> DataFrame:
+def pad_mask(df: DataFrame, steps: str, width: int, length: int | None = None, batch: str | None = None) -> DataFrame:
     """Pad matrices to a common length with zero steps and add the mask of real steps.
 
-    Without ``length`` the longest matrix decides. One longer than ``length`` is
-    an error, never cut.
+    Without ``length`` the longest matrix decides, of the same ``batch`` if one is
+    named, so that one long matrix does not widen all. One longer than
+    ``length`` is an error, never cut.
     """
-    if length is None:
+    if length is not None:
+        df = df.withColumn("_len", F.lit(length))
+    elif batch is None:
         df = df.withColumn("_len", df.agg(F.max(F.size(steps))).scalar())
     else:
-        df = df.withColumn("_len", F.lit(length))
+        longest = df.groupBy(F.col(batch).alias("_batch")).agg(F.max(F.size(steps)).alias("_len"))
+        df = df.join(longest, F.col(batch).eqNullSafe(F.col("_batch")), "left").drop("_batch")
     size = F.size(steps)
     fits = F.when(size <= F.col("_len"), size).otherwise(
         F.raise_error(F.concat(F.lit("longer than the padded length: "), size.cast("string"))).cast("int")

@@ -102,22 +102,6 @@ class PromptText:
         return self.tasks[name].strip()
 
 
-DEFAULT_TEXT = PromptText(
-    system="You read a structured patient record and explain, step by step, what it implies for one prediction task.",
-    user=(
-        "# Task description #\n{task}\n\n# Patient EHR context #\n{context}\n\n"
-        "Explain patient overview, acute severity, chronic comorbidities, therapy complexity and conclusion.\n"
-        "Use only facts of the context.\n\n"
-        "# Reasoning #\n\n# Prediction Result #\n"
-    ),
-    tasks={
-        "Outcome": "Predict death in hospital (1 = death, 0 = survival).",
-        "Readmission": "Predict readmission within 30 days after discharge (1 = yes, 0 = no).",
-        "LOS": "Predict the length of stay in days.",
-    },
-)
-
-
 def prompt(
     df: DataFrame, text: PromptText, task: str, context: str = "context", truth: str | None = None, out: str = "prompt"
 ) -> DataFrame:
@@ -179,7 +163,7 @@ def chat_record(df: DataFrame, system: Column, user: Column, answer: Column, lab
 
 
 def finetune_set(
-    texts: DataFrame, labels: DataFrame, answers: DataFrame, task: str, n: int, seed: int, text: PromptText = DEFAULT_TEXT
+    texts: DataFrame, labels: DataFrame, answers: DataFrame, task: str, n: int, seed: int, text: PromptText
 ) -> DataFrame:
     """Chat records for ``n`` sampled patients: (patient, label, messages).
 

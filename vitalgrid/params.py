@@ -145,6 +145,7 @@ class Variant:
         return items + ([self.gcs_total_item] if self.gcs_total_item is not None else [])
 
 
+# Item numbers, limits and shares of the two source variants.
 III = Variant(
     name="iii", death_column="dod_hosp", death_table="patients", age_rule="birth",
     respiration_item=220210, fio2_items=(3420, 2981), gcs_total_item=198,
@@ -175,15 +176,9 @@ TASKS = ("Outcome", "Readmission", "LOS")
 
 @dataclass(frozen=True)
 class Settings:
-    """Run settings that do not depend on the variant."""
+    """Run settings that do not depend on the variant. Fixed values are the source's."""
 
     seed: int = 42
     split_ratios: tuple[float, float] = (0.7, 0.1)
     clip: tuple[float, float] = (-250.0, 250.0)
     readmission_days: int = 30
-    record_hours: int = 12
-    finetune_patients: int = 10_000
-    los_tolerance: float = 0.25
-    drop_over_tokens: int = 20_000
-    keep_last_tokens: int = 32_768 - 8_192 - 64
-    id_offset: int = 10_000

@@ -42,8 +42,11 @@ def cohort(wide: DataFrame, spec: Variant, task: str, settings: Settings = Setti
 
 
 def time_series(records: DataFrame, bound: int | None = None) -> DataFrame:
-    """Records without the text lists, gaps filled inside each visit."""
-    cols = [c for c in records.columns if c not in (*TEXT_LISTS, *KEYS, "record")]
+    """Records without the text lists, gaps of the measured columns filled inside each visit.
+
+    Times, labels and flags are never NULL.
+    """
+    cols = [c for c in PHYSICAL if c in records.columns]
     return impute(records.drop(*TEXT_LISTS), KEYS, ["record"], cols, bound=bound)
 
 

@@ -103,15 +103,6 @@ def wide_table(raw: RawTables, spec: P.Variant, hours: int = 12, readmission_day
     widest shuffle carries aggregated rows.
     """
     facts = visit_facts(raw.patients, raw.admissions, spec, readmission_days)
-    grid = time_grid(facts, "admit", "discharge", hours)
-    placed = events_in_windows(facts, selected_events(raw, spec), KEYS, "admit", "discharge", "time", hours)
-    measured = pivot_items(placed, [*KEYS, "record"], measurements(spec))
-    if spec.gcs_total_item is None:
-        measured = measured.withColumns(expand_onehot(F.col("gcs_total"), P.TOTALS, "gcs_total_")).drop("gcs_total")
-    records = grid.join(measured, [*KEYS, "record"], "left")
-    flags = [c for c in P.WIDE_NAMES if c.startswith(("capillary_", "gcs_"))]
-    records = records.withColumns({c: flag(F.col(c) == 1) for c in flags})
-
     drugs = raw.prescriptions.select(
         F.col("subject_id").alias("patient"), F.col("hadm_id").alias("visit"), "drug"
     )
@@ -120,8 +111,16 @@ def wide_table(raw: RawTables, spec: P.Variant, hours: int = 12, readmission_day
         visit_lists(drugs, KEYS, {"medications": "drug"}, ["drug"]),
         code_lists(raw.procedures, raw.procedure_names, spec, "procedure"),
     ]
-    full = assemble(records, *lists, keys=KEYS)
-    return only_first_record(full, "record", list(P.TEXT_LISTS)).select(*P.WIDE_NAMES)
+    # The lists meet one row per visit, before the visit is spread over its records.
+    grid = time_grid(assemble(facts, *lists, keys=KEYS), "admit", "discharge", hours)
+    grid = only_first_record(grid, "record", list(P.TEXT_LISTS))
+    placed = events_in_windows(facts, selected_events(raw, spec), KEYS, "admit", "discharge", "time", hours)
+    measured = pivot_items(placed, [*KEYS, "record"], measurements(spec))
+    if spec.gcs_total_item is None:
+        measured = measured.withColumns(expand_onehot(F.col("gcs_total"), P.TOTALS, "gcs_total_")).drop("gcs_total")
+    records = grid.join(measured, [*KEYS, "record"], "left")
+    flags = [c for c in P.WIDE_NAMES if c.startswith(("capillary_", "gcs_"))]
+    return records.withColumns({c: flag(F.col(c) == 1) for c in flags}).select(*P.WIDE_NAMES)
 
 
 def deidentify(wide: DataFrame, seed: int = 42, offset: int = 10_000) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -72,21 +72,39 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists", keep_null
 
 
 def existing_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """The output's good lines, or None where there is no output yet."""
     try:
         return spark.read.schema(_struct(schema)).option("mode", "DROPMALFORMED").json(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
-def append_new(df: DataFrame, path: str, key: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Append the rows whose key the output does not hold yet; returns those rows.
+def append_new(
+    df: DataFrame, path: str, key: str, columns: Sequence[str] | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None, slices: int = 1,
+) -> DataFrame:
+    """Append one row per key the output does not hold yet; returns the output as it is stored.
 
-    A repeated call writes nothing new, so an interrupted run can be resumed.
+    ``transform``, such as a model's scoring, runs after the keys were compared, once per
+    row. The work is written in ``slices`` by the key's hash, one after the other, so a run
+    that breaks off loses one slice and a repeated call goes on from there. Of rows
+    with the same key the smallest is taken.
     """
     spark = df.sparkSession
-    out = df.select(*columns) if columns else df
-    done = existing_or_none(spark, path, out.schema)
-    todo = out if done is None else not_done(out, done, key)
-    if not todo.isEmpty():
-        write_jsonl(todo, path, mode="append")
-    return todo
+    keep = list(columns or df.columns)
+    out = transform(df).select(*keep) if transform else df.select(*keep)
+    key_type = [f for f in df.schema.fields if f.name == key]
+    done = existing_or_none(spark, path, T.StructType(key_type))
+    todo = df if done is None else not_done(df, done, key)
+    rest = [c for c in df.columns if c != key]
+    if rest:
+        one = F.min(F.struct(*rest)).alias("_row")
+        todo = todo.groupBy(key).agg(one).select(*[F.col(c) if c == key else F.col("_row")[c].alias(c) for c in df.columns])
+    else:
+        todo = todo.distinct()
+    for i in range(slices):
+        part = todo if slices == 1 else todo.where(F.pmod(F.xxhash64(key), F.lit(slices)) == i)
+        write_jsonl((transform(part) if transform else part).select(*keep), path, mode="append")
+    return spark.read.schema(out.schema).option("mode", "DROPMALFORMED").json(path)

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vitalgrid.functions.scalars import nan_to_null
 
+#: What Spark calls an absent or damaged file.
+UNREADABLE = ("PATH_NOT_FOUND", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA")
+
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, kind: str = "parquet",
@@ -28,11 +33,24 @@ def read_table(
     return df.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in floats}) if floats else df
 
 
+#: The usual dialect: quotes are doubled inside quotes.
+DIALECT = {"quote": '"', "escape": '"'}
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, columns: Sequence[str] | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, columns: Sequence[str] | None = None,
+    multiline: bool = False, mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Read CSV with a header; only the wanted columns are parsed."""
-    df = spark.read.csv(path, schema=schema, header=True, enforceSchema=False, multiLine=False)
+    """Read CSV with a header.
+
+    ``multiline`` allows line breaks inside quotes; a file is then read by one task.
+    Nothing between two commas is NULL, two quotes are an empty text. A row that does not fit the schema is an error unless ``mode`` says otherwise. For that
+    all columns are parsed, and the wanted ones converted; with PERMISSIVE or DROPMALFORMED
+    only the wanted ones are parsed.
+    """
+    # A null mark that no file holds: with an empty one a quoted empty text would be NULL as well.
+    reader = spark.read.options(**DIALECT, columnPruning=str(mode != "FAILFAST").lower(), nullValue="\x01", emptyValue="")
+    df = reader.csv(path, schema=schema, header=True, enforceSchema=False, multiLine=multiline, mode=mode)
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
     df = df.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in floats}) if floats else df
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
@@ -40,7 +58,7 @@ def read_csv(
 
 def csv_header(spark: SparkSession, path: str, drop: Sequence[str] = ()) -> list[str]:
     """Column names of a CSV file, without its rows."""
-    return [c for c in spark.read.csv(path, header=True).columns if c not in set(drop)]
+    return [c for c in spark.read.options(**DIALECT).csv(path, header=True).columns if c not in set(drop)]
 
 
 def as_text_floats(df: DataFrame, float_fmt: str = "%.6f") -> DataFrame:
@@ -58,7 +76,8 @@ def as_text_floats(df: DataFrame, float_fmt: str = "%.6f") -> DataFrame:
 def write_csv(df: DataFrame, path: str, float_fmt: str | None = "%.6f", mode: str = "errorifexists") -> None:
     """Write CSV with a header, floats in a fixed format."""
     out = as_text_floats(df, float_fmt) if float_fmt else df
-    out.write.mode(mode).csv(path, header=True)
+    blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    out.write.mode(mode).options(**DIALECT, **blanks).csv(path, header=True)
 
 
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -78,11 +97,11 @@ def save_params(df: DataFrame, path: str) -> None:
 
 def load_param(spark: SparkSession, path: str, name: str, default: float) -> float:
     """A stored fitted value; the default when it is absent or cannot be read."""
-    from pyspark.errors import AnalysisException
-
     try:
         stored = spark.read.schema("name string, value double").parquet(path)
         rows = stored.where(F.col("name") == name).select("value").limit(1).collect()
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError) as e:  # a task's failure arrives unconverted
+        if not any(f"[{c}" in str(e) for c in UNREADABLE):
+            raise
         return default
     return default if not rows or rows[0][0] is None else float(rows[0][0])
