@@ -1,12 +1,12 @@
 """A key with a third of all rows: how the work is split."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from vitalgrid.operators.lists import visit_lists
-from vitalgrid.operators.ordered import hot_keys, neighbour, ordinal
+from vitalgrid.operators.ordered import add_hot_chunks, hot_keys, impute, neighbour, ordinal, prefix_sums
 from vitalgrid.operators.sampling import hash_rank
-from vitalgrid.operators.visits import join_admissions, readmission
+from vitalgrid.operators.visits import join_admissions
 
 SMALL = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
@@ -46,11 +46,8 @@ def final_plan(df):
 def test_join_on_a_hot_patient_is_split(spark, stays, small_partitions):
     patients = spark.range(20_000).select(F.col("id").alias("patient"), (F.col("id") % 2).alias("sex"))
     joined = join_admissions(patients, stays, "patient")
-    out = readmission(joined, "patient", "visit", "admit", "discharge").groupBy("sex").agg(F.sum("readmission").alias("n"))
-    plan = final_plan(out)
-    assert "SortMergeJoin(skew=true)" in plan
-    # The window after the join gets its own partitioning on (patient, chunk).
-    assert "Exchange hashpartitioning(patient#" in plan and "_chunk#" in plan
+    out = joined.groupBy("sex").agg(F.max("admit").alias("a"), F.max("discharge").alias("d"), F.sum("visit").alias("n"))
+    assert "SortMergeJoin(skew=true)" in final_plan(out)
 
 
 def test_hot_keys_are_few(stays):
@@ -58,17 +55,41 @@ def test_hot_keys_are_few(stays):
     assert [r["patient"] for r in hot.collect()] == [7]
 
 
-def largest_partition(df, *cols):
-    return max(r[0] for r in df.groupBy(*cols).count().select("count").collect())
-
+SHAPES = {
+    "clustered times": lambda i: F.lit("2020-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=(i * 7919 % 400_000).cast("double")),
+    "common start": lambda i: F.concat(F.lit("Brand#"), F.lpad((i * 7919 % 100_000).cast("string"), 6, "0")),
+    "sparse ids": lambda i: F.xxhash64(i),
+    "ties": lambda i: (i % 4).cast("long"),
+}
 
-def test_chunks_spread_a_hot_patient(stays):
-    from vitalgrid.operators.ordered import add_hot_chunks
 
-    chunked = add_hot_chunks(stays, ["patient"], "admit", None, 1000)
-    assert largest_partition(stays, "patient") >= 80_000
-    assert largest_partition(chunked, "patient", "_chunk") < 500
-    assert chunked.where("patient <> 7 and _chunk <> 0").count() == 0
+@pytest.mark.parametrize("shape", SHAPES)
+def test_hot_groups_are_cut_by_rows(spark, shape):
+    """A key with a third of all rows: chunks of bounded size, few of them, and the plain window's results."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000)
+    rows = spark.range(0, 150_000, 1, 8).select(hot.alias("k"), SHAPES[shape](F.col("id")).alias("t"), "id")
+    limit = 2000
+    chunked = add_hot_chunks(rows, ["k"], ["t", "id"], None, limit)
+    sizes = {r["_chunk"]: r["count"] for r in chunked.where("k = -1").groupBy("_chunk").count().collect()}
+    assert sum(sizes.values()) == 50_000 and 0 not in sizes
+    assert max(sizes.values()) <= 2 * limit and len(sizes) <= 2 * -(-50_000 // limit)
+    assert chunked.where("k <> -1 and _chunk <> 0").isEmpty()
+    order = Window.partitionBy("k").orderBy("t", "id")
+    out = ordinal(rows, ["k"], ["t", "id"], size="n", hot_rows=limit)
+    out = out.withColumns({"r": F.row_number().over(order), "m": F.count("*").over(Window.partitionBy("k"))})
+    assert out.count() == 150_000 and out.where("ordinal <> r or n <> m").isEmpty()
+    dense = ordinal(rows, ["k"], ["t"], "dense_rank", hot_rows=limit)
+    assert dense.withColumn("r", F.dense_rank().over(Window.partitionBy("k").orderBy("t"))).where("ordinal <> r").isEmpty()
+    near = neighbour(rows, ["k"], ["t", "id"], {"before": "id"}, "lag", hot_rows=limit)
+    assert near.withColumn("r", F.lag("id").over(order)).where("not before <=> r").isEmpty()
+    gaps = rows.withColumn("v", F.when(F.col("id") % 7 == 0, F.col("id")))
+    filled = impute(gaps, ["k"], ["t", "id"], ["v"], backward=False, hot_rows=limit).withColumnRenamed("v", "f")
+    want = gaps.withColumn("w", F.last("v", ignorenulls=True).over(order)).select("id", "w")
+    assert filled.join(want, "id").where("not f <=> w").isEmpty()
+    sums = prefix_sums(rows, ["k"], ["t", "id"], {"s": F.col("id")}, totals=["s"], hot_rows=limit)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumns({"w": F.coalesce(F.sum("id").over(before), F.lit(0)), "t2": F.sum("id").over(Window.partitionBy("k"))})
+    assert sums.where("s <> w or s_total <> t2").isEmpty()
 
 
 def test_hot_and_plain_agree(stays):

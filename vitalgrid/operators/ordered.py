@@ -2,18 +2,19 @@
 
 A patient or visit may own a large share of all rows, so a window over a group
 is safe only for groups of known size. Every operator here counts the group
-sizes first. The keys with more than ``hot_rows`` rows are few by definition (at
-most rows / ``hot_rows``), so that list is broadcast. A group that is not hot is
-one chunk and takes the plain window. A hot group is cut into chunks of its
-leading order column (``floor(value / stride)``); the work is done inside
+sizes first. If no group has more than ``hot_rows`` rows, the plain window is all
+there is. Otherwise the rows of the hot groups, and only they, are range-partitioned by keys and
+order columns; the range bounds follow the rows themselves, so clustered times,
+texts with a common start, sparse ids and ties on the leading column are cut into
+parts of about half of ``hot_rows``. A part's number is the rows' chunk. The work is done inside
 (group, chunk), and a summary with one row per hot (group, chunk) carries values
 between chunks. The summary is combined before its shuffle and joined back on
-(group, chunk), the partitioning and order the rows already have, so the rows
-are shuffled and sorted once. That join is a merge join by hint: a summary has
-no size bound that the planner can see.
+(group, chunk) by a merge join, as it has no size bound that the planner can see.
 
-Hot keys and chunks are exact functions of the input, never of a sample or of a
-partition number: retries and lost executors cannot change them.
+Chunks are stored with their rows in the shared folder before they are used:
+retries and lost executors cannot change them. Rows that are equal in all order
+columns are never separated. With ``hot_rows`` None every group is cut by fixed strides of the
+leading order column instead, for values whose range is known.
 
 Group keys must not be NULL; the order columns must be a total order where the
 result depends on it.
@@ -26,6 +27,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from vitalgrid.functions.timing import US_PER_DAY, micros
+from vitalgrid.session import materialize
 
 TIME_STRIDE = 7 * US_PER_DAY
 COUNT_STRIDE = 4096
@@ -67,25 +69,35 @@ def add_chunk(df: DataFrame, leading: str, stride: float | None = None, name: st
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows; at most rows / ``hot_rows`` of them."""
+    """Keys with more than ``hot_rows`` rows, and their sizes; at most rows / ``hot_rows`` of them."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.where(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
+    return sizes.where(F.col("_n") > hot_rows)
 
 
 def add_hot_chunks(
-    df: DataFrame, keys: Sequence[str], leading: str, strides: Sequence[float] | None, hot_rows: int | None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], strides: Sequence[float] | None, hot_rows: int | None,
     names: Sequence[str] = (_CHUNK,),
 ) -> DataFrame:
-    """Add chunk numbers: 0 for a group of usual size, by the order column for a hot one.
+    """Add chunk numbers: 0 for a group of usual size, from 1 on for a hot one.
 
-    With ``hot_rows`` None every group is cut.
+    With ``hot_rows`` None every group is cut by strides, a level per name.
     """
-    axis, default = _axis(df, leading)
-    chunks = {n: _chunk(axis, s) for n, s in zip(names, strides or [default])}
     if hot_rows is None:
+        axis, default = _axis(df, order[0])
+        chunks = {n: _chunk(axis, s) for n, s in zip(names, strides or [default])}
         return df.withColumns({**chunks, _HOT: F.lit(True)})
-    marked = df.join(F.broadcast(hot_keys(df, keys, hot_rows)), list(keys), "left")
-    return marked.withColumns({n: F.when(F.col(_HOT), c).otherwise(F.lit(0).cast("long")) for n, c in chunks.items()})
+    plain = {n: F.lit(0).cast("long") for n in names}
+    hot = materialize(hot_keys(df, keys, hot_rows))
+    total = hot.agg(F.sum("_n")).first()[0]
+    if not total:
+        return df.withColumns({**plain, _HOT: F.lit(False)})
+    parts = 2 * -(-total // hot_rows)
+    # Rows on the left: a hot key may be most of them, and the list has one row per key.
+    warm = df.join(hot.select(*keys), list(keys), "left_semi").select(*df.columns)
+    warm = warm.repartitionByRange(parts, *keys, *order).withColumn(names[0], F.spark_partition_id().cast("long") + 1)
+    warm = materialize(warm).withColumns({n: plain[n] for n in names[1:]} | {_HOT: F.lit(True)})
+    cold = df.join(hot.select(*keys), list(keys), "left_anti").select(*df.columns)
+    return cold.withColumns({**plain, _HOT: F.lit(False)}).unionByName(warm)
 
 
 def _unbounded_before(window):
@@ -108,10 +120,12 @@ def prefix_sums(
     ``<name>_total``.
     """
     keys, order = list(keys), list(order)
-    levels = list(strides or [_axis(df, order[0])[1]])
+    # The stride levels are for cutting every group; hot groups are cut by their rows, in one level.
+    cut_all = hot_rows is None or not keys
+    levels = list(strides or [_axis(df, order[0])[1]]) if cut_all else [1]
     chunk_cols = [f"{_CHUNK}{i}" for i in range(len(levels))]
     value = {f"_m_{n}": m for n, m in measures.items()}
-    rows = add_hot_chunks(df.withColumns(value), keys, order[0], levels, hot_rows if keys else None, chunk_cols)
+    rows = add_hot_chunks(df.withColumns(value), keys, order, levels, None if cut_all else hot_rows, chunk_cols)
 
     summary = rows.where(_HOT).groupBy(*keys, *chunk_cols).agg(*[F.sum(v).alias(v) for v in value])
     carry = None
@@ -164,7 +178,7 @@ def ordinal(
     keys, order = list(keys), list(order)
     if kind not in ("row_number", "dense_rank"):
         raise ValueError(f"unknown ordinal kind {kind!r}")
-    rows = add_hot_chunks(df, keys, order[0], [stride] if stride else None, hot_rows)
+    rows = add_hot_chunks(df, keys, order, [stride] if stride else None, hot_rows)
     chunk = Window.partitionBy(*keys, _CHUNK)
     inside = chunk.orderBy(*order)
     if kind == "row_number":
@@ -205,7 +219,7 @@ def neighbour(
     if side not in ("lag", "lead"):
         raise ValueError(f"unknown side {side!r}")
     keys, order = list(keys), list(order)
-    rows = add_hot_chunks(df, keys, order[0], [stride] if stride else None, hot_rows)
+    rows = add_hot_chunks(df, keys, order, [stride] if stride else None, hot_rows)
     shift = F.lag if side == "lag" else F.lead
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     packed = F.struct(*[F.col(c).alias(n) for n, c in cols.items()])
@@ -263,7 +277,7 @@ def impute(
     if bound is not None:
         return df.withColumns(fill(keys, carry=False)).select(*df.columns)
 
-    rows = add_hot_chunks(df, keys, order[0], [stride] if stride else None, hot_rows)
+    rows = add_hot_chunks(df, keys, order, [stride] if stride else None, hot_rows)
     at = F.struct(*order)
     edges = []
     for c in cols:

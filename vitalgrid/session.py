@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -46,7 +48,9 @@ def _shared_base(spark: SparkSession) -> str:
 
 @cache
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"vitalgrid-{application}-")
+    path = tempfile.mkdtemp(prefix=f"vitalgrid-{application}-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def shared_folder(spark: SparkSession) -> str:
