@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from queryset.registry import Tables, query
 from vitalgrid.functions.scalars import blend
-from vitalgrid.functions.series import resample
 from vitalgrid.operators import metrics as M
 from vitalgrid.operators.ensemble import evaluate, grid_search, grid_table
 from vitalgrid.operators.inference import fit_baseline, score_baseline
-from vitalgrid.operators.joins import expand, split_frames
+from vitalgrid.operators.joins import split_frames
 from vitalgrid.operators.sampling import split_by_entity
 
 
@@ -204,16 +203,21 @@ def _(t: Tables):
     return rounded(evaluate(t.scores(), "y", "p1", "p2", 0.6, 0.35), "auroc", "auprc", "min_ps")
 
 
-@query("mdl_baseline")
+@query(
+    "mdl_baseline",
+    """with e as (
+         select vec_id, label % 2 as y, case when embedding[1] > 0 then 1 else 0 end as x,
+                row_number() over (order by md5(concat('42-', cast(vec_id as varchar))), vec_id) as r, count(*) over () as n from embeddings),
+       m as (select 1.0::double / avg(y) - 1 as w from e where r <= floor(n * 0.7::double)),
+       f as (select x, sum(y) * max(w) / (sum(y) * max(w) + sum(1 - y)) as p from e, m where r <= floor(n * 0.7::double) group by x)
+       select vec_id, round(p, 4) as p from e join f on e.x = f.x""",
+)
 def _(t: Tables):
-    # Pooled vectors against a label; no SQL twin for an iterative fit.
-    pooled = t.read("embeddings").select(
-        "vec_id", (F.col("label") % 2).cast("double").alias("y"), resample(F.col("embedding"), 12).alias("x")
+    # One binary feature and no penalty: the fit is the weighted two by two table.
+    rows = t.read("embeddings").select(
+        "vec_id", (F.col("label") % 2).cast("double").alias("y"), (F.col("embedding")[0] > 0).cast("double").alias("x")
     )
-    rows = expand(pooled, "x", "D", 12)
-    names = [f"D{i}" for i in range(12)]
     parts = split_frames(split_by_entity(rows, "vec_id", (0.7, 0.1), 42), "split")
-    train, val = parts["train"], parts["val"].unionByName(parts["test"])
-    grid = [{"regParam": 0.0, "maxIter": 20}, {"regParam": 0.1, "maxIter": 20}]
-    model = fit_baseline(train, val, names, "y", grid)
+    grid = [{"regParam": 0.0, "tol": 1e-9}, {"regParam": 1.0}]
+    model = fit_baseline(parts["train"], parts["val"], ["x"], "y", grid)
     return score_baseline(model, rows, "vec_id").withColumn("p", F.round("p", 4))

@@ -236,10 +236,6 @@ def _(t: Tables):
 
 # --- features: cohort, imputation, scores, positions, split, scaling ---------
 
-SMALL_III = replace(P.III, cohort_outcome=100, outcome_share=0.3)
-SMALL_IV = replace(P.IV, cohort_outcome=120, outcome_share=0.5)
-
-
 def _band_sql(c: str, bands) -> str:
     tests = []
     for lo, hi, score in bands:
@@ -354,18 +350,15 @@ def features_shown(df: DataFrame) -> DataFrame:
 
 
 @query(
-    "flow_features_iii", features_out(SMALL_III), FX, raw_sql(P.III) + ",\n" + features_sql(SMALL_III, 200)
+    "flow_features_iii", features_out(P.III), FX, raw_sql(P.III) + ",\n" + features_sql(P.III, 200)
 )
 def _(t: Tables):
-    return features_shown(feature_rows(t, SMALL_III))
+    return features_shown(feature_rows(t, P.III))
 
 
-@query("flow_features_iv", features_out(SMALL_IV), FX, raw_sql(P.IV) + ",\n" + features_sql(SMALL_IV, 4))
+@query("flow_features_iv", features_out(P.IV), FX, raw_sql(P.IV) + ",\n" + features_sql(P.IV, 4))
 def _(t: Tables):
-    return features_shown(feature_rows(t, SMALL_IV))
-
-
-SMALL_COHORT = replace(P.IV, cohort_readmission=100, readmission_share=0.17, readmission_min_rows=50)
+    return features_shown(feature_rows(t, P.IV))
 
 
 @query(
@@ -374,12 +367,12 @@ SMALL_COHORT = replace(P.IV, cohort_readmission=100, readmission_share=0.17, rea
          select *, row_number() over (partition by label order by md5(concat('42-', cast(patient as varchar))), patient) as k,
                 sum(label) over () as pos, sum(1 - label) over () as neg
          from (select patient, max(readmission) as label from rc_kept group by 1)) using (patient)
-       where record <= 200 and k <= case when label = 1 then least(pos, least(17, pos) + greatest(83 - neg, 0))
-                                         else least(neg, least(83, neg) + greatest(17 - pos, 0)) end""",
+       where record <= 200 and k <= case when label = 1 then least(pos, least(3400, pos) + greatest(16600 - neg, 0))
+                                         else least(neg, least(16600, neg) + greatest(3400 - pos, 0)) end""",
     FX,
     raw_sql(P.IV)
     + """,
-rc_big as (select * from rw_wide where patient in (select patient from rw_wide group by 1 having count(*) >= 50)),
+rc_big as (select * from rw_wide where patient in (select patient from rw_wide group by 1 having count(*) >= 8)),
 rc_kept as (
     select b.* from rc_big b left join (select patient, max(visit) as last from rc_big where readmission = 1 group by 1) l on b.patient = l.patient
     where visit <= coalesce(last, visit))""",
@@ -387,7 +380,7 @@ rc_kept as (
 def _(t: Tables):
     path = shared_folder(t.spark)
     save_table(wide_table(raw_tables(t, P.IV), P.IV), path)
-    return features.cohort(t.spark.read.parquet(path), SMALL_COHORT, "readmission").select("patient", "visit", "record")
+    return features.cohort(t.spark.read.parquet(path), P.IV, "readmission").select("patient", "visit", "record")
 
 
 BLEND = (

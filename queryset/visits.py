@@ -226,6 +226,55 @@ def _(t: Tables):
     return ordinal(t.admissions(), ["patient"], ["admit"], "dense_rank", "visit_id").select("visit", "visit_id")
 
 
+def _hot(rows) -> int:
+    """A bound that makes every kind of event a large group, at any size of the table."""
+    return max(2, rows.count() // 8)
+
+
+@query("win_dense_rank_hot", "select eid, dense_rank() over (partition by item order by ts) as place from fx_events", "fx_events")
+def _(t: Tables):
+    from vitalgrid.operators.ordered import ordinal
+
+    rows = t.events().select("item", "ts", "eid")
+    return ordinal(rows, ["item"], ["ts"], "dense_rank", "place", hot_rows=_hot(rows)).select("eid", "place")
+
+
+@query("win_lag_hot", "select eid, lag(num) over (partition by item order by ts, eid) as before from fx_events", "fx_events")
+def _(t: Tables):
+    from vitalgrid.operators.ordered import neighbour
+
+    rows = t.events().select("item", "ts", "eid", "num")
+    return neighbour(rows, ["item"], ["ts", "eid"], {"before": "num"}, "lag", hot_rows=_hot(rows)).select("eid", "before")
+
+
+@query(
+    "win_running_sum_hot",
+    """select eid, coalesce(sum(eid) over (partition by item order by ts, eid rows between unbounded preceding and 1 preceding), 0)::bigint as before,
+              (sum(eid) over (partition by item))::bigint as total from fx_events""",
+    "fx_events",
+)
+def _(t: Tables):
+    from vitalgrid.operators.ordered import prefix_sums
+
+    rows = t.events().select("item", "ts", "eid")
+    out = prefix_sums(rows, ["item"], ["ts", "eid"], {"s": F.col("eid")}, totals=["s"], hot_rows=_hot(rows))
+    return out.select("eid", F.col("s").alias("before"), F.col("s_total").alias("total"))
+
+
+@query(
+    "win_nocb_hot",
+    """select eid, coalesce(last_value(v ignore nulls) over (partition by item order by ts, eid rows between unbounded preceding and current row),
+                            first_value(v ignore nulls) over (partition by item order by ts, eid rows between current row and unbounded following)) as v
+       from (select *, case when eid % 5 = 3 then num end as v from fx_events)""",
+    "fx_events",
+)
+def _(t: Tables):
+    from vitalgrid.operators.ordered import impute
+
+    rows = t.events().select("item", "ts", "eid", F.when(F.col("eid") % 5 == 3, F.col("num")).alias("v"))
+    return impute(rows, ["item"], ["ts", "eid"], ["v"], hot_rows=_hot(rows)).select("eid", "v")
+
+
 @query(
     "did_visit_ordinal",
     """select a.visit, count(distinct b.admit) as visit_id from fx_admissions a

@@ -8,7 +8,7 @@ import check
 from queryset.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-NO_SQL = {"mdl_baseline"}
+NO_SQL = set()
 PYTHON_ALLOWED = {"mdl_baseline", "inf_batch"}
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vitalgrid.functions.scalars import sigmoid
 from vitalgrid.operators.joins import not_done
 from vitalgrid.operators.metrics import pos_weight, ranking_from_counts, score_counts
+from vitalgrid.session import materialize
 
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -66,14 +67,17 @@ def fit_baseline(
 ) -> Baseline:
     """Logistic regression with the positives weighted by 1/mean - 1.
 
-    The fit is Spark's distributed one. One model per setting; the one with the
-    highest validation AUROC is kept.
+    The fit is Spark's distributed one. One model per setting; the first one with the
+    highest validation AUROC is kept. Both tables are computed once and stored, then
+    read by every setting.
     """
     if not grid:
         raise ValueError("no setting given")
-    weight = pos_weight(train, [label]).first()[0]
-    weighted = train.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(weight or 1.0))).otherwise(F.lit(1.0)))
-    rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(weighted).select("_x", label, "_w")
+    assembled = VectorAssembler(inputCols=list(features), outputCol="_x").transform(train).select("_x", label)
+    assembled = materialize(assembled)
+    val = materialize(val.select(*features, label))
+    weight = pos_weight(assembled, [label]).first()[0]
+    rows = assembled.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(weight or 1.0))).otherwise(F.lit(1.0)))
     best, best_score = None, -1.0
     for setting in grid:
         fitted = LogisticRegression(featuresCol="_x", labelCol=label, weightCol="_w", **setting).fit(rows)
