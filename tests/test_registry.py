@@ -9,7 +9,7 @@ from queryset.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 NO_SQL = set()
-PYTHON_ALLOWED = {"mdl_baseline", "inf_batch"}
+PYTHON_ALLOWED = {"mdl_baseline", "inf_batch", "flow_reasoning"}
 
 
 @pytest.fixture(scope="module")

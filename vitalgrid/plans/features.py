@@ -127,8 +127,26 @@ def published(rows: DataFrame, spec: Variant) -> tuple[DataFrame, DataFrame]:
     return to_wide_names(rows, {**inputs, "split": "split"}), to_wide_names(rows, {**labels, "split": "split"})
 
 
-def write_splits(rows: DataFrame, spec: Variant, folder: str) -> None:
-    """CSV folders ``<split>_features`` and ``<split>_labels``; floats with six places."""
-    for kind, table in zip(("features", "labels"), published(rows, spec)):
+#: The published names of the visit texts.
+TEXT_NAMES = {
+    "patient": "PatientID", "visit": "VisitID", "gap_days": "GapTime", "condition_titles": "Conditions_Long",
+    "medications": "Medications", "procedure_titles": "Procedures_Long",
+}
+
+
+def published_texts(texts: DataFrame) -> DataFrame:
+    """``split_texts`` rows under their published names, with the split."""
+    return to_wide_names(texts, {**TEXT_NAMES, "split": "split"})
+
+
+def write_splits(rows: DataFrame, spec: Variant, folder: str, texts: DataFrame | None = None) -> None:
+    """CSV folders ``<split>_features`` and ``<split>_labels``; floats with six places.
+
+    With the ``split_texts`` rows also ``<split>_cmps``, the visit texts.
+    """
+    tables = dict(zip(("features", "labels"), published(rows, spec)))
+    if texts is not None:
+        tables["cmps"] = published_texts(texts)
+    for kind, table in tables.items():
         for split, part in split_frames(table, "split").items():
             write_csv(part, f"{folder.rstrip('/')}/{split}_{kind}")
