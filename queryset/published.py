@@ -6,15 +6,20 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from queryset.flows import FX, features_sql, raw_sql, raw_tables
-from queryset.narrative import TEXTS, block, texts
+from queryset.evaluation import AP, AUC
+from queryset.flows import BLEND, FX, features_sql, raw_sql, raw_tables
+from queryset.narrative import TEXT, TEXTS, block, texts
 from queryset.registry import Tables, query
 from vitalgrid import params as P
-from vitalgrid.operators.narrative import PromptText
-from vitalgrid.operators.sampling import split_labels
-from vitalgrid.plans import features, reasoning
+from vitalgrid.operators.inference import score_batches
+from vitalgrid.operators.joins import split_frames
+from vitalgrid.operators.narrative import PromptText, limit_tokens, patient_context, prompt
+from vitalgrid.operators.sampling import split_by_entity, split_labels
+from vitalgrid.plans import evaluation, features, reasoning
+from vitalgrid.plans.report import report
 from vitalgrid.plans.wide import wide_table
 from vitalgrid.session import shared_folder
+from vitalgrid.sources.jsonlines import append_new
 from vitalgrid.sources.tables import read_csv, save_table
 
 SPLITS = ("train", "val", "test")
@@ -122,3 +127,80 @@ def _(t: Tables):
     reasoning.reasoning(prompts.where("patient % 3 = 0"), "Outcome", load, path, 10)
     kept, _seen = reasoning.reasoning(prompts, "Outcome", load, path, 10, slices=2)
     return kept.select("patient", "task", "answer")
+
+
+def _top_sql(who: str, kind: str) -> str:
+    dead = "" if who == "all" else " and patient in (select patient from rf_rows where outcome = 1)"
+    if kind == "medication":
+        source = f"select trim(unnest(string_split(medications, ';'))) as name from rf_rows where record = 1 and medications is not null{dead}"
+    else:
+        source = f"""select concat(trim(title), ' / ', trim(code)) as name from (
+            select unnest(string_split({kind}_titles, ';')) as title, unnest(string_split({kind}_codes, ';')) as code
+            from rf_rows where record = 1 and {kind}_titles is not null{dead})"""
+    return f"""select '{who}' as who, '{kind}' as kind, row_number() over (order by n desc, name) as place, name, n::double as value
+        from (select name, count(*) as n from ({source}) group by 1 order by n desc, name limit 10)"""
+
+
+PROFILE = """select 'all' as who, 'profile' as kind, place, name, round(value, 6) as value from (
+    select count(*)::double as v1, sum(o)::double as v2, (count(*) - sum(o))::double as v3, sum(o) / count(*)::double as v4,
+           avg(nv) as v5, avg(nr / nv::double) as v6, avg(los) as v7, avg(re) as v8
+    from (select patient, max(o) as o, count(*) as nv, sum(n) as nr, avg(los) as los, avg(re) as re from
+            (select patient, visit, max(outcome) as o, count(*) as n, arg_min(los, record) as los, arg_min(readmission, record) as re
+             from rf_rows group by 1, 2) group by 1)) m,
+    lateral (values (1, 'patients', v1), (2, 'dead', v2), (3, 'alive', v3), (4, 'mortality', v4), (5, 'visits_per_patient', v5),
+                    (6, 'records_per_visit', v6), (7, 'mean_los', v7), (8, 'mean_readmission', v8)) x(place, name, value)"""
+
+
+@query(
+    "flow_report",
+    f"{PROFILE} union all "
+    + " union all ".join(f"select * from ({_top_sql(w, k)})" for w in ("all", "dead") for k in ("condition", "medication", "procedure")),
+    FX,
+    raw_sql(P.III) + ",\n" + features_sql(P.III, 200),
+)
+def _(t: Tables):
+    records = features.cohort(_stored(t, wide_table(raw_tables(t, P.III), P.III)), P.III, "outcome")
+    return report(_stored(t, records)).withColumn("value", F.round("value", 6))
+
+
+ANSWERS = """fx_asked as (
+    select patient, regexp_extract_all(concat('[SYSTEM]', chr(10), 'You read records.', chr(10), chr(10), '[USER]', chr(10), '# Task #', chr(10),
+           'Predict death.', chr(10), chr(10), '# Context #', chr(10), context, chr(10), chr(10), 'Answer:', chr(10)), '\\S+\\s*') as w from fx_context),
+fx_scores as (
+    select a.patient, c.label as y, ((a.patient * 37) % 101) / 100.0::double as p1,
+           case when a.patient % 5 = 0 then 0 else length(array_to_string(case when len(w) > 60 then w[-60:] else w end, '')) % 2 end::double as p2
+    from fx_asked a join fx_cohort c on a.patient = c.patient)"""
+
+
+@query(
+    "flow_answers_blended",
+    f"""select x.auroc, y.auprc, z.min_ps, round(b.alpha, 6) as alpha, round(b.t, 6) as t
+        from ({AUC.format(t='fx_tb', p='p')}) x, ({AP.format(t='fx_tb', p='p')}) y, fx_best b,
+        (select round(least(tp / (tp + fp + 1e-12::double), tp / (np + 1e-12::double)), 6) as min_ps from (
+           select count(*) filter (where p >= t and y = 1) as tp, count(*) filter (where p >= t and y = 0) as fp, sum(y) as np from fx_tb)) z""",
+    "fx_admissions fx_items fx_cohort",
+    TEXTS + ",\n" + ANSWERS + ",\n" + BLEND,
+)
+def _(t: Tables):
+    def load():
+        def answer(frame):
+            result = "\n\n# Prediction Result #\n\n " + (frame["prompt"].str.len() % 2).astype(str)
+            return frame[["patient"]].assign(answer="# Reasoning #" + result.where(frame["patient"] % 5 != 0, ""))
+
+        return answer
+
+    def score(df: DataFrame) -> DataFrame:
+        return score_batches(df, load, "patient long, answer string", 8)
+
+    context = patient_context(texts(t), "patient", ["visit"], block())
+    asked = limit_tokens(prompt(context, TEXT, "Outcome"), "prompt", 60, "tail").select("patient", "prompt")
+    path = shared_folder(t.spark)
+    columns = ["patient", "answer"]
+    append_new(asked.where("patient % 4 = 1"), path, "patient", columns, transform=score)
+    answers = append_new(asked, path, "patient", columns, transform=score, slices=2)
+    labels = t.cohort().select("patient", F.col("label").alias("y"))
+    sequence = t.cohort().select("patient", (((F.col("patient") * 37) % 101) / F.lit(100.0)).alias("p1"))
+    rows = _stored(t, evaluation.scored_labels(labels, sequence, answers))
+    parts = split_frames(split_by_entity(rows, "patient", (0.5, 0.25), 42), "split")
+    out = evaluation.blended_test(parts["train"].unionByName(parts["val"]), parts["test"])
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
