@@ -8,10 +8,12 @@ its m - MATCHES + 1 rarest (the prefix: two candidates share at least one of the
 common order of rarity), and the rest is counted on the signatures themselves
 (the skip). Candidates are confirmed on the full sets.
 
-Not all pairs of a group are formed. First every node meets the smallest node of
-each of its lists. Confirmed links join nodes to components; then only nodes of
-different components that share a list meet. So every link between candidates
-is either inside a component or confirmed itself.
+Not all pairs of a group are formed. Shingles that a node shares with no other listed
+node bound its overlap with anything: a node with too many of them is out, and two nodes
+meet only if sizes and shared parts allow the similarity. First every node meets one node of
+each of its lists, the one whose coordinates are the most common. Confirmed links join
+nodes to components; then only nodes of different components that share a list meet. So every
+link between candidates is either inside a component or confirmed itself.
 
 At a similarity of 0.8 a pair has fewer than 38 of 64 agreeing coordinates with a
 probability of about 3e-5, and less above.
@@ -27,7 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from vitalgrid.llm.common import stored, text_pieces
 from vitalgrid.llm.textblock import TextBlock, mix
@@ -110,13 +112,47 @@ def _postings(nodes: DataFrame, coords: int) -> DataFrame:
 
 
 def prefixes(nodes: DataFrame, coords: int, matches: int) -> DataFrame:
-    """(key, node): each node under its rarest shared coordinates, as many as a candidate can't avoid."""
+    """(key, node, score): each node under its rarest shared coordinates, as many as a candidate can't avoid.
+
+    ``score`` is the number of agreements with other nodes: largest in the middle of a group.
+    """
     postings = _postings(nodes, coords)
     shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(shared)  # apart from the join, so that it can split a frequent key
     lists = postings.join(shared, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("own"))
     rarest = F.slice("own", 1, F.size("own") - (matches - 1))
-    return lists.where(F.size("own") >= matches).select("node", F.explode(rarest).alias("x")).select("x.key", "node")
+    score = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    lists = lists.where(F.size("own") >= matches).select("node", score.alias("score"), F.explode(rarest).alias("x"))
+    return lists.select("x.key", "node", "score")
+
+
+def _exploded(sets: DataFrame) -> DataFrame:
+    """(node, shingle)"""
+
+    def run(batches):
+        for batch in batches:
+            for node, raw in zip(batch.column("node").to_pylist(), batch.column("shingles")):
+                x = np.frombuffer(raw.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), node)), pa.array(x)], ["node", "shingle"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, shingle long")
+
+
+def _shared_parts(sets: DataFrame) -> DataFrame:
+    """(node, size, common): the size of each set and how many of its shingles another set has too."""
+    rows = _exploded(sets)
+    private = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("_node")).where("n = 1")
+    private = private.groupBy("_node").agg(F.count(F.lit(1)).alias("own"))
+    sized = sets.select("node", F.expr("octet_length(shingles) div 8").alias("size"))
+    joined = sized.join(private, F.col("node") == F.col("_node"), "left")
+    return joined.select("node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("common"))
+
+
+def _may_link(percent: int, s: str, c: str, t: str, d: str) -> Column:
+    """Whether sets of sizes s, t with shared parts c, d can be as similar as that."""
+    small, large = F.least(s, t), F.greatest(s, t)
+    overlap = F.least(c, d) * (100 + percent) >= (F.col(s) + F.col(t)) * percent
+    return (small * 100 >= large * percent) & overlap
 
 
 def _like(pairs: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
@@ -198,16 +234,45 @@ def components(edges: DataFrame) -> DataFrame:
         seen = after
 
 
-def _met(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components in a list: nodes outside a list's largest component meet all others."""
-    rows = lists.join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+def _star(lists: DataFrame, percent: int) -> DataFrame:
+    """Each node with the middle node of each of its lists."""
+    middle = lists.groupBy("key").agg(F.max_by(F.struct("node", "size", "common"), F.struct("score", -F.col("node"))).alias("m"))
+    middle = stored(middle.select("key", F.col("m.node").alias("b"), F.col("m.size").alias("t"), F.col("m.common").alias("d")))
+    pairs = lists.join(middle, "key").where((F.col("node") != F.col("b")) & _may_link(percent, "size", "common", "t", "d"))
+    return pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+
+
+def _met(lists: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a list and may be similar enough.
+
+    Only nodes of lists with several components are left, and one of a pair is
+    outside some list's largest component. Among them the rarest shingles decide (a
+    prefix again, now of the sets): the first shingle that two sets have in common stands
+    early enough in both to leave room for the overlap they need.
+    """
+    rows = lists.join(labels, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
     rows = stored(rows)
     sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     major = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.count(F.lit(1)).alias("_k"))
     major = stored(major.where("_k > 1").select("key", "major"))
-    mixed = stored(rows.join(major, "key"))
-    minor = mixed.where("root <> major").select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-    pairs = minor.join(mixed, "key").where("rx <> root and (root = major or x < node)")
+    mixed = rows.join(major, "key").groupBy("node").agg(
+        F.first("size").alias("size"), F.first("root").alias("root"), F.bool_or(F.col("root") != F.col("major")).alias("outside")
+    )
+    mixed = stored(mixed)
+    shingles = stored(_exploded(mixed.join(sets.select("node", "shingles"), "node")))
+    common = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    own = W.partitionBy("node")
+    ranked = shingles.join(stored(common), "shingle").select(
+        "node", "shingle", (F.row_number().over(own.orderBy("n", "shingle")) - 1).alias("at"), F.count(F.lit(1)).over(own).alias("common")
+    )
+    front = ranked.join(mixed, "node").where((F.col("common") - F.col("at")) * 100 >= F.col("size") * percent)
+    front = stored(front)
+    some = front.where("outside").select(
+        "shingle", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("size").alias("t"), (F.col("common") - F.col("at")).alias("rest_x")
+    )
+    fits = F.least("rest_x", F.expr("common - at")) * (100 + percent) >= (F.col("size") + F.col("t")) * percent
+    near = F.least("size", "t") * 100 >= F.greatest("size", "t") * percent
+    pairs = some.join(front, "shingle").where(F.expr("rx <> root and (not outside or x < node)") & fits & near)
     return pairs.select(F.greatest("x", "node").alias("a"), F.least("x", "node").alias("b")).distinct()
 
 
@@ -221,15 +286,14 @@ def near_groups(
     nodes = full.join(classes.withColumnRenamed("class_key", "_key"), (F.col("doc_id") == F.col("node")) & (F.col("class_key") == F.col("_key")))
     nodes = stored(nodes.select("node", "class_key", "signature").dropDuplicates(["node"]))
     lists = stored(prefixes(nodes, coords, matches))
-    first = lists.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "b")
-    star = lists.join(stored(first), "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    star = stored(_like(star, nodes, matches))
-    # Candidates of the second round share lists with these or with each other.
-    live = lists.join(stored(lists.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")), "key", "left_semi")
-    wanted = nodes.join(live.select("node").distinct(), "node").select("node", "class_key")
+    shared = stored(lists.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    lists = stored(lists.join(shared, "key"))
+    wanted = nodes.join(lists.select("node").distinct(), "node").select("node", "class_key")
     sets = stored(_sets(docs, wanted, width))
-    links = stored(_confirmed(star, sets, percent))
-    rest = stored(_like(_met(lists, components(links)), nodes, matches))
+    parts = stored(_shared_parts(sets).where(F.col("common") * 100 >= F.col("size") * percent))
+    lists = stored(lists.join(parts, "node"))
+    links = stored(_confirmed(stored(_like(_star(lists, percent), nodes, matches)), sets, percent))
+    rest = stored(_like(_met(lists, sets, components(links), percent), nodes, matches))
     more = stored(_confirmed(rest, sets, percent))
     roots = components(links.union(more))
     named = classes.join(roots, "node", "left").select(
