@@ -50,8 +50,12 @@ def _split_odd(text: str) -> list[str]:
     return _STRICT.findall(text)
 
 
-def keys_of(text: str, special: str | None = None) -> list[str]:
-    """The keys of a text's chunks, in order."""
+def keys_of(text: str, special: str | None = None, risky: Callable[[set[str]], bool] | None = None) -> list[str]:
+    """The keys of a text's chunks, in order.
+
+    ``risky`` may say that no key of a set is empty or begins with white space; then no
+    blank stands between white space, and the text needs no search for it.
+    """
     if special and special in text:
         keys: list[str] = []
         for i, part in enumerate(text.split(special)):
@@ -60,10 +64,10 @@ def keys_of(text: str, special: str | None = None) -> list[str]:
             if part:
                 keys += keys_of(part)
         return keys
-    if _UNSAFE.search(text):
-        return ["   " + w for w in words_of(text)]
     keys = text.split(" ")
     keys[0] = " " + keys[0]
+    if (risky is None or risky(set(keys))) and _UNSAFE.search(text):
+        return ["   " + w for w in words_of(text)]
     return keys
 
 
@@ -88,29 +92,63 @@ class ChunkCache:
     newer half goes: what was met early is more often what is frequent.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], special: str | None, special_id: int | None, limit: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], special: str | None, special_id: int | None, limit: int = 800_000):
         self.encode, self.special, self.limit = encode, special, limit
         self.ids: dict[str, bytes] = {} if special_id is None else {_SPECIAL: special_id.to_bytes(4, "little")}
         self.words: dict[str, bytes] = {}
-
-    def _learn(self, texts: list[str]) -> None:
+        self.loose: set[str] = {""}  # keys that begin with white space
+
+    def _keys(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
+        """(keys of each text, keys that aren't known yet)."""
+        new: set[str] = set()
+        taken = False
+
+        def risky(distinct: set[str]) -> bool:
+            nonlocal taken
+            fresh = distinct.difference(self.ids)
+            self.loose.update(k for k in fresh if k[:1].isspace() and k[0] != " ")
+            taken = self.loose.isdisjoint(distinct)
+            if taken:
+                new.update(fresh)
+            return not taken
+
+        keys = []
+        for t in texts:
+            taken = False
+            ks = keys_of(t, self.special, risky)
+            keys.append(ks)
+            if not taken:
+                new.update(set(ks).difference(self.ids))
+        return keys, new
+
+    def _trim(self) -> None:
         for name in ("ids", "words"):
             if len(getattr(self, name)) > self.limit:
                 setattr(self, name, dict(islice(getattr(self, name).items(), self.limit // 2)))
-        new: dict[str, None] = {}
-        for t in texts:
-            new.update(dict.fromkeys(set(keys_of(t, self.special)).difference(self.ids)))
-        split = {k: key_words(k) for k in new}
-        fresh = list(dict.fromkeys(w for ws in split.values() for w in ws if w not in self.words))
-        self.words.update(zip(fresh, self.encode(fresh)))
+
+    def _learn(self, new: set[str]) -> None:
+        # Most keys are one word of letters; these need no second table.
+        plain = [k for k in new if k.isalpha()]
+        self.ids.update(zip(plain, self.encode([" " + k for k in plain])))
+        split = {k: key_words(k) for k in new.difference(plain)}
+        fresh: dict[str, None] = {}
+        for w in {w for ws in split.values() for w in ws}.difference(self.words):
+            known = self.ids.get(w[1:]) if w[0] == " " and w[1:].isalpha() else None
+            if known is None:
+                fresh[w] = None
+            else:
+                self.words[w] = known
+        self.words.update(zip(fresh, self.encode(list(fresh))))
         word = self.words.__getitem__
-        self.ids.update((k, word(ws[0]) if len(ws) == 1 else b"".join(map(word, ws))) for k, ws in split.items())
+        self.ids.update((k, b"".join(map(word, ws))) for k, ws in split.items())
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. All new words of the texts are encoded in one call."""
-        self._learn(texts)
+        """The ids of each text. New words of all texts are encoded together."""
+        self._trim()
+        keys, new = self._keys(texts)
+        self._learn(new)
         at = self.ids.__getitem__
-        return [b"".join(map(at, keys_of(t, self.special))) for t in texts]
+        return [b"".join(map(at, ks)) for ks in keys]
 
 
 def specials(tokenizer_json: str) -> tuple[str | None, int | None]:

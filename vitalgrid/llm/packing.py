@@ -42,8 +42,19 @@ def library_cache(tokenizer_json: str) -> ChunkCache:
     tokenizer = Tokenizer.from_str(tokenizer_json)
 
     def encode(words: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        out: list[bytes] = []
+        for first in range(0, len(words), 256):
+            part = words[first : first + 256]
+            if all(w[0] == " " and w[1:].isalpha() for w in part):
+                # Such words stay apart in one text, and a call for many costs less than many calls.
+                found = tokenizer.encode("".join(part), add_special_tokens=False)
+                cuts = (np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1)) * 4).tolist()
+                ids = np.array(found.ids, "<u4").tobytes()
+                out += [ids[i:j] for i, j in zip(cuts, cuts[1:])]
+            else:
+                found = tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                out += [np.array(x.ids, "<u4").tobytes() for x in found]
+        return out
 
     return ChunkCache(encode, *specials(tokenizer_json))
 
