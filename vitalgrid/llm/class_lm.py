@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -179,7 +180,8 @@ def best_class(moved: np.ndarray, right: np.ndarray, left: np.ndarray, own: floa
     rest[:, now] -= left
     rest[now, now] -= own
     diagonal = np.arange(len(moved))
-    rows, cols = rest.sum(1), rest.sum(0)
+    # What others have before or behind the unit stays in their sums wherever the unit goes.
+    rows, cols = rest.sum(1) + left, rest.sum(0) + right
     gain = (_f(rest + right[None, :]) - _f(rest)).sum(1) + (_f(rest + left[:, None]) - _f(rest)).sum(0)
     d = rest[diagonal, diagonal]
     gain += _f(d + right + left + own) - _f(d + right) - _f(d + left) + _f(d)
@@ -332,19 +334,52 @@ def _requests(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, "word long, block long, own boolean, places binary")
 
 
+GATHER_ROWS = 200_000
+
+
 def _gathered(batches):
-    """Places of one block whose words have the same count, put together: (block, own, c, places)."""
-    for batch in batches:
-        block, own, c = (np.asarray(batch.column(n)) for n in ("block", "own", "c"))
-        places = batch.column("places").to_pylist()
-        order = np.lexsort((c, own, block))
-        same = (block[order][1:] == block[order][:-1]) & (c[order][1:] == c[order][:-1]) & ~own[order][1:] & ~own[order][:-1]
-        first = np.flatnonzero(np.concatenate(([True], ~same))) if len(order) else np.zeros(0, np.int64)
-        joined = [b"".join(places[i] for i in order[a:b]) for a, b in zip(first, [*first[1:], len(order)])]
-        at = order[first]
+    """One row for all words of a block that a task has met: (block, own, counts, places).
+
+    ``counts`` holds the words' counts and, behind them, how many places each count has;
+    words of the same count are put together.
+    """
+    names = ["block", "own", "counts", "places"]
+    held: list[pa.RecordBatch] = []
+    rows = 0
+
+    def flush():
+        table = pa.Table.from_batches(held).combine_chunks()
+        block, c = (np.asarray(table[n]) for n in ("block", "c"))
+        places = table["places"].to_pylist()
+        sizes = np.fromiter(map(len, places), np.int64, len(places)) // 2
+        order = np.lexsort((c, block))
+        cuts = [0, *(np.flatnonzero(np.diff(block[order])) + 1).tolist(), len(order)]
+        out = []
+        for i, j in zip(cuts, cuts[1:]):
+            at = order[i:j]
+            value, inverse = np.unique(c[at], return_inverse=True)
+            head = np.concatenate((value, np.bincount(inverse, sizes[at]).astype(np.int64)))
+            out.append((int(block[at[0]]), False, head.tobytes(), b"".join([places[k] for k in at])))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(block[at]), pa.array(own[at]), pa.array(c[at]), pa.array(joined, pa.binary())], ["block", "own", "c", "places"]
+            [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.bool_(), pa.binary(), pa.binary()))], names
         )
+        held.clear()
+
+    for batch in batches:
+        own = batch.column("own")
+        if own.true_count:
+            alone = batch.filter(own)
+            none = pa.array([b""] * alone.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([alone.column("block"), alone.column("own"), none, alone.column("places")], names)
+        rest = batch.filter(pa.compute.invert(own)).select(["block", "c", "places"])
+        if rest.num_rows:
+            held.append(rest)
+            rows += rest.num_rows
+        if rows >= GATHER_ROWS:
+            yield from flush()
+            rows = 0
+    if held:
+        yield from flush()
 
 
 def scores(docs: DataFrame, held: Column) -> DataFrame:
@@ -354,21 +389,23 @@ def scores(docs: DataFrame, held: Column) -> DataFrame:
     asked = _requests(docs, model)
     known = asked.join(counts.select("word", "c"), "word", "left")
     known = known.select("block", "own", F.coalesce("c", F.lit(0)).alias("c"), "places")
-    lists = known.mapInArrow(_gathered, "block long, own boolean, c long, places binary")
+    lists = known.mapInArrow(_gathered, "block long, own boolean, counts binary, places binary")
     all_log, end_log = float(np.log10(model.n + model.v + 1)), float(np.log10(model.n_docs + 1))
     n_train, end_known = model.n, model.n_docs > 0
 
     def run(table: pa.Table) -> pa.Table:
-        own, c, places = np.asarray(table["own"]), np.asarray(table["c"]), table["places"].to_pylist()
+        own, heads, places = np.asarray(table["own"]), table["counts"].to_pylist(), table["places"].to_pylist()
         facts = np.frombuffer(places[int(np.flatnonzero(own)[0])], np.float64).reshape(_META, -1)
         n = facts.shape[1]
         logs, seen = facts[5].copy(), facts[4].astype(np.int64)
         rest = np.flatnonzero(~own)
         if len(rest):
+            doc = np.frombuffer(b"".join([places[i] for i in rest]), "<u2")
+            head = [np.frombuffer(heads[i], np.int64).reshape(2, -1) for i in rest]
+            count = np.repeat(np.concatenate([h[0] for h in head]), np.concatenate([h[1] for h in head]))
             # In the order of the counts, so that sums do not depend on the rows' order.
-            rest = rest[np.argsort(c[rest], kind="stable")]
-            doc = np.frombuffer(b"".join(places[i] for i in rest), "<u2")
-            count = np.repeat(c[rest], [len(places[i]) // 2 for i in rest])
+            order = np.argsort(count, kind="stable")
+            doc, count = doc[order], count[order]
             logs += np.bincount(doc, np.log10(count + 1.0), n)
             seen += np.bincount(doc, count > 0, n).astype(np.int64)
         tokens = facts[3].astype(np.int64) + 1
