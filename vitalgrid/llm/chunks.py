@@ -50,12 +50,8 @@ def _split_odd(text: str) -> list[str]:
     return _STRICT.findall(text)
 
 
-def keys_of(text: str, special: str | None = None, risky: Callable[[set[str]], bool] | None = None) -> list[str]:
-    """The keys of a text's chunks, in order.
-
-    ``risky`` may say that no key of a set is empty or begins with white space; then no
-    blank stands between white space, and the text needs no search for it.
-    """
+def keys_of(text: str, special: str | None = None) -> list[str]:
+    """The keys of a text's chunks, in order."""
     if special and special in text:
         keys: list[str] = []
         for i, part in enumerate(text.split(special)):
@@ -64,13 +60,22 @@ def keys_of(text: str, special: str | None = None, risky: Callable[[set[str]], b
             if part:
                 keys += keys_of(part)
         return keys
+    if _UNSAFE.search(text):
+        return ["   " + w for w in words_of(text)]
+    return _blank_keys(text)
+
+
+def _blank_keys(text: str) -> list[str]:
     keys = text.split(" ")
     keys[0] = " " + keys[0]
-    if (risky is None or risky(set(keys))) and _UNSAFE.search(text):
-        return ["   " + w for w in words_of(text)]
     return keys
 
 
+def _loose(key: str) -> bool:
+    """Whether a key is empty or begins with white space: one of a text that isn't safe to cut is."""
+    return not key or (key[0] != " " and key[0].isspace())
+
+
 def key_words(key: str) -> list[str]:
     """The pre-tokenizer's words of a key that isn't the special token's."""
     if key.isalpha():
@@ -89,40 +94,18 @@ class ChunkCache:
     """Keys to little-endian 32-bit ids, filled by ``encode``.
 
     ``encode`` maps a list of words to a list of id bytes. Beyond ``limit`` entries the
-    newer half goes: what was met early is more often what is frequent.
+    newer half goes: what was met early is more often what is frequent. Loose keys have a
+    table of their own, so that a text with one is noticed by its miss.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], special: str | None, special_id: int | None, limit: int = 800_000):
         self.encode, self.special, self.limit = encode, special, limit
         self.ids: dict[str, bytes] = {} if special_id is None else {_SPECIAL: special_id.to_bytes(4, "little")}
         self.words: dict[str, bytes] = {}
-        self.loose: set[str] = {""}  # keys that begin with white space
-
-    def _keys(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
-        """(keys of each text, keys that aren't known yet)."""
-        new: set[str] = set()
-        taken = False
-
-        def risky(distinct: set[str]) -> bool:
-            nonlocal taken
-            fresh = distinct.difference(self.ids)
-            self.loose.update(k for k in fresh if k[:1].isspace() and k[0] != " ")
-            taken = self.loose.isdisjoint(distinct)
-            if taken:
-                new.update(fresh)
-            return not taken
-
-        keys = []
-        for t in texts:
-            taken = False
-            ks = keys_of(t, self.special, risky)
-            keys.append(ks)
-            if not taken:
-                new.update(set(ks).difference(self.ids))
-        return keys, new
+        self.loose: dict[str, bytes] = {}
 
     def _trim(self) -> None:
-        for name in ("ids", "words"):
+        for name in ("ids", "words", "loose"):
             if len(getattr(self, name)) > self.limit:
                 setattr(self, name, dict(islice(getattr(self, name).items(), self.limit // 2)))
 
@@ -140,15 +123,35 @@ class ChunkCache:
                 self.words[w] = known
         self.words.update(zip(fresh, self.encode(list(fresh))))
         word = self.words.__getitem__
-        self.ids.update((k, b"".join(map(word, ws))) for k, ws in split.items())
+        for k, ws in split.items():
+            (self.loose if _loose(k) else self.ids)[k] = b"".join(map(word, ws))
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. New words of all texts are encoded together."""
         self._trim()
-        keys, new = self._keys(texts)
+        get, late = self.ids.get, self.loose
+        parts: list[list[bytes | None]] = []
+        waiting: list[tuple[list[bytes | None], list[tuple[int, str]]]] = []
+        new: set[str] = set()
+        for t in texts:
+            odd = bool(self.special) and self.special in t
+            keys = keys_of(t, self.special) if odd else _blank_keys(t)
+            found = list(map(get, keys))
+            if None in found:
+                missing = [(i, keys[i]) for i, v in enumerate(found) if v is None]
+                if not odd and any(_loose(k) for _, k in missing) and _UNSAFE.search(t):
+                    keys = keys_of(t)
+                    found = list(map(get, keys))
+                    missing = [(i, keys[i]) for i, v in enumerate(found) if v is None]
+                new.update(k for _, k in missing if k not in late)
+                waiting.append((found, missing))
+            parts.append(found)
         self._learn(new)
-        at = self.ids.__getitem__
-        return [b"".join(map(at, ks)) for ks in keys]
+        ids = self.ids
+        for found, missing in waiting:
+            for i, k in missing:
+                found[i] = late[k] if k in late else ids[k]
+        return [b"".join(x) for x in parts]
 
 
 def specials(tokenizer_json: str) -> tuple[str | None, int | None]:
