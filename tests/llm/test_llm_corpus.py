@@ -239,6 +239,25 @@ def test_lm_edges(spark):
     assert class_lm.scores(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_lm_rare_words_by_their_context(spark):
+    """Rare words of one ending and one count have the class of their own neighbours."""
+    rng = np.random.default_rng(5)
+    groups = [["red", "blue", "green"], ["cat", "dog", "cow"], ["runs", "eats", "sleeps"]]
+    rows = []
+    for i in range(3600):
+        words = [w for _ in range(6) for g in groups for w in [g[rng.integers(3)]]]
+        if i < 1200:  # 200 rare words, six times each, below a share of 1e-4
+            words[3 + 1 + i % 2] = f"rare{i % 200:03d}xyz"
+        rows.append((i, " ".join(words)))
+    asked = [(10_000 + i, f"red rare{i:03d}xyz runs") for i in range(200)]
+    df = spark.createDataFrame(rows + asked, "doc_id long, text string")
+    got = {r.doc_id: r for r in class_lm.scores(df, F.col("doc_id") >= 10_000).collect()}
+    assert all(got[10_000 + i].n_known == 4 for i in range(200)) and 6 < got[0].train_tokens * 1e-4
+    right = min(got[10_000 + i].score for i in range(0, 200, 2))
+    assert right > max(got[10_000 + i].score for i in range(1, 200, 2))
+    assert class_lm.classes_for(10**6 + 10**9) >= 500 and class_lm.classes_for(0) == class_lm.CLASSES
+
+
 def check_shards(rows, texts, shards, slack):
     sizes, slots = collections.Counter(), collections.defaultdict(list)
     for r in rows:
