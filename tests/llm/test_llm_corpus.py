@@ -167,6 +167,19 @@ def test_surrogate_collisions(spark):
     assert len(twice) == 1500
 
 
+def test_surrogates_grow(spark):
+    """More entities than the first length of a format has surrogates."""
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)] + list("àáâãäåæçèéêëìíîïñòóôõöøùúûü")
+    mails = [(i, f"{c}@mail.example.com") for i, c in enumerate(letters)]
+    phones = [(100 + i, f"+1 {i:02d} {j:02d}") for i in range(100) for j in range(100)]
+    greek = "αβγδεζηθικλμνοπρστυφχψω"
+    names = [(200, f"Mr {a.upper()}{b}{c}{d}") for a, b, c, d in itertools.product(greek[:20], greek[:20], greek[:20], greek[:2])]
+    df = spark.createDataFrame(mails + phones + names, "doc_id long, text string")
+    out = [r.text for r in surrogates.replace_entities(df, "k").collect()]
+    old = {t for _, t in mails + phones + names}
+    assert len(out) == len(old) == len(set(out)) and not old & set(out)
+
+
 def test_lm_query(spark):
     texts = documents(spark)
     tokens = {i: [*(t or "").encode().lower().split(), None] for i, t in texts.items()}

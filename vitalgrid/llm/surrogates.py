@@ -4,7 +4,10 @@ One pattern finds all kinds, left to right. An entity is a kind and a normal for
 (digits of a phone number, lower-cased mail address), so its spellings share a
 surrogate, which is written back in each spelling's format. Surrogates come from a keyed hash of the
 entity and an attempt number. An attempt is refused while its surrogate is taken by another
-entity or equals an entity of the corpus; the refused take their next attempt.
+entity or equals an entity of the corpus; the refused take their next attempt. Every
+``GROW`` attempts a name gets another syllable, the local part of a mail address, a secret or a key another
+letter, a phone number another digit, so that their surrogates are never used up. The other
+kinds have a fixed length of at least nine digits (or four octets).
 
 Everything is DataFrame functions. Defined cases: a null text stays null, an empty
 one empty; rows with null or repeated doc_ids are treated by their own text;
@@ -17,7 +20,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from vitalgrid.llm.common import content_key, free_name, stored
 
-MAX_ATTEMPTS = 64  # beyond this a kind's surrogates are used up
+MAX_ATTEMPTS = 64  # beyond this the surrogates of a fixed length are used up
+GROW = 4
 
 _MEN = "Mr|Herr|Herrn|Monsieur|Señor|Sr|Господин"
 _WOMEN = "Mrs|Ms|Miss|Frau|Mme|Madame|Mademoiselle|Señora|Señorita|Sra|Госпожа"
@@ -122,7 +126,7 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), value), F.lit(0), lambda s, x: s + x) % 10
 
 
-def _made_name(norm: Column, seed: Column) -> Column:
+def _made_name(norm: Column, seed: Column, extra: Column) -> Column:
     words = F.split(F.substr(norm, F.lit(3), F.char_length(norm)), " ")
 
     def one(w: Column, i: Column) -> Column:
@@ -131,6 +135,10 @@ def _made_name(norm: Column, seed: Column) -> Column:
             s = F.array(*map(F.lit, syllables.split()))
             m, f = (F.array(*map(F.lit, x.split())) for x in (men, women))
             picks = [F.get(s, _draw(seed, F.lit(10) * i + k, len(syllables.split()))) for k in range(3)]
+            more = F.transform(
+                F.sequence(F.lit(1), extra), lambda j: F.get(s, _draw(seed, F.lit(1000) * (i + 1) + j, len(syllables.split())))
+            )
+            picks.append(F.when(extra > 0, F.array_join(more, "")).otherwise(""))
             end = F.when(F.startswith(norm, F.lit("f:")), F.get(f, _draw(seed, F.lit(10) * i + 7, len(women.split())))).otherwise(
                 F.get(m, _draw(seed, F.lit(10) * i + 7, len(men.split())))
             )
@@ -154,12 +162,15 @@ def surrogate_of(kind: Column, norm: Column, attempt: Column, key: str) -> Colum
         return F.sha2(F.concat(secret, inner), 256)  # keyed inside and outside
 
     own = seed(kind, norm, attempt.cast("string"))
+    extra = F.floor(attempt / GROW).cast("int")
+    letters = F.repeat(F.lit("a"), extra)  # drawn anew like the others
+    longer = F.concat(norm, F.when(kind == "secret", letters).when(kind == "phone", F.repeat(F.lit("0"), extra)).otherwise(""))
     zero, no = F.lit(0), F.lit(False)
     domain = F.substring_index(norm, "@", -1)
     top = F.substring_index(domain, ".", -1)
     labels = F.substr(domain, F.lit(1), F.char_length(domain) - F.char_length(top))
     mail = F.concat(
-        _drawn_chars(F.substring_index(norm, "@", 1), own, zero, no), F.lit("@"),
+        _drawn_chars(F.concat(F.substring_index(norm, "@", 1), letters), own, zero, no), F.lit("@"),
         _drawn_chars(labels, seed(F.lit("domain"), domain), zero, no), top,
     )
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_draw(own, i, 254) + 1).cast("string")), ".")
@@ -171,16 +182,16 @@ def surrogate_of(kind: Column, norm: Column, attempt: Column, key: str) -> Colum
     keeps = keeps.when(kind == "key_block", F.instr(norm, "KEY-----") + 7).otherwise(0)
     return (
         F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "card", card)
-        .when(kind == "name", F.concat(F.substr(norm, F.lit(1), F.lit(2)), F.lower(_made_name(norm, own))))
-        .when(kind == "key_block", _key_block(norm, own, keeps))
-        .otherwise(_drawn_chars(norm, own, keeps, (kind == "secret") & norm.rlike("^[0-9a-f]+$")))
+        .when(kind == "name", F.concat(F.substr(norm, F.lit(1), F.lit(2)), F.lower(_made_name(norm, own, extra))))
+        .when(kind == "key_block", _key_block(norm, own, keeps, letters))
+        .otherwise(_drawn_chars(longer, own, keeps, (kind == "secret") & norm.rlike("^[0-9a-f]+$")))
     )
 
 
-def _key_block(norm: Column, seed: Column, head: Column) -> Column:
+def _key_block(norm: Column, seed: Column, head: Column, letters: Column) -> Column:
     tail = F.substring_index(norm, "-----END", -1)
     body = F.substr(norm, head + 1, F.char_length(norm) - head - F.char_length(tail) - 8)
-    return F.concat(F.substr(norm, F.lit(1), head), _drawn_chars(body, seed, F.lit(0), F.lit(False)), F.lit("-----END"), tail)
+    return F.concat(F.substr(norm, F.lit(1), head), _drawn_chars(F.concat(body, letters), seed, F.lit(0), F.lit(False)), F.lit("-----END"), tail)
 
 
 def written(core: Column, kind: Column, made: Column) -> Column:
@@ -190,7 +201,8 @@ def written(core: Column, kind: Column, made: Column) -> Column:
         # Each character of the class takes the surrogate's next one.
         chars = F.split(core, "")
         nth = F.transform(chars, lambda c, i: F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x.rlike(pattern))))
-        return F.array_join(F.zip_with(chars, nth, lambda c, n: F.when(c.rlike(pattern), F.substr(made, n, F.lit(1))).otherwise(c)), "")
+        put = F.array_join(F.zip_with(chars, nth, lambda c, n: F.when(c.rlike(pattern), F.substr(made, n, F.lit(1))).otherwise(c)), "")
+        return F.concat(put, F.substr(made, F.size(F.filter(chars, lambda x: x.rlike(pattern))) + 1, F.char_length(made)))
 
     cased = F.array_join(
         F.zip_with(F.split(core, ""), F.split(made, ""), lambda c, m: F.when((c != F.lower(c)) & m.isNotNull(), F.upper(m)).otherwise(m)), ""
