@@ -145,6 +145,27 @@ def test_ann_edges(spark):
     assert ann.nearest(df.limit(0), df).count() == 0 and ann.nearest(df, df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("longest", [1.0, 3e3, 1e20])
+def test_ann_recall_with_long_vectors(spark, longest):
+    """One long vector leaves the graphs of all others as they are."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[7] *= longest
+    x = x.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    hits = 0
+    asked = range(20, 4000, 40)
+    found = {}
+    for r in ann.nearest(df, df.where("vec_id % 40 = 20")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    for i in asked:
+        score = x @ x[i]
+        score[i] = -np.inf
+        hits += len(found[i] & set(np.argsort(-score)[:20].tolist()))
+    assert hits >= 0.95 * 20 * len(asked)
+
+
 def test_graph_prunes_and_connects():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, 8)).astype(np.float32)

@@ -5,7 +5,9 @@ greedy beam search proposes neighbours for each new vector, relaxed distance
 pruning keeps those that no kept neighbour is ``ALPHA`` times closer to, and reverse edges
 are pruned the same way. A query runs a beam search in every shard and the best of all
 shards are merged. Graphs are built on vectors with one more coordinate, which
-makes the largest inner product the smallest distance; scores are exact.
+makes the largest inner product the smallest distance; it is measured from the longest vector's
+length, so that it is small for short vectors, and all distances are in double precision. A
+search orders by the products alone; scores are exact.
 
 A shard holds 65,536 distinct vectors at most on average; there are ``SHARDS`` at least.
 
@@ -42,16 +44,16 @@ def valid(vector: Column) -> Column:
     return vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0)
 
 
-def search_graph(x: np.ndarray, near: np.ndarray, entry: int, queries: np.ndarray, beam: int, trail: bool = False):
-    """Beam searches of all queries together; squared distances.
+def search_graph(x: np.ndarray, near: np.ndarray, entry: int, queries: np.ndarray, beam: int, trail: bool = False, products: bool = False):
+    """Beam searches of all queries together; squared distances, or with ``products`` the negative products, doubled.
 
     Returns ids and distances of the final beams (-1 and inf where short), and with
     ``trail`` the nodes that were expanded.
     """
     n_q = len(queries)
-    norms = np.einsum("ij,ij->i", x, x)
+    norms = np.zeros(len(x), x.dtype) if products else np.einsum("ij,ij->i", x, x)
     ids = np.full((n_q, beam), -1, np.int32)
-    dist = np.full((n_q, beam), np.inf, np.float32)
+    dist = np.full((n_q, beam), np.inf, x.dtype)
     open_ = np.zeros((n_q, beam), bool)
     seen = np.zeros((n_q, len(x)), bool)
     ids[:, 0], open_[:, 0], seen[:, entry] = entry, True, True
@@ -81,7 +83,7 @@ def search_graph(x: np.ndarray, near: np.ndarray, entry: int, queries: np.ndarra
         return ids, dist
     width = max(len(walked), 1)
     path = np.full((n_q, width), -1, np.int32)
-    far = np.full((n_q, width), np.inf, np.float32)
+    far = np.full((n_q, width), np.inf, x.dtype)
     for k, (who, node, d) in enumerate(walked):
         path[who, k], far[who, k] = node, d
     return np.concatenate((ids, path), 1), np.concatenate((dist, far), 1)
@@ -165,9 +167,14 @@ def _add_reverse(x: np.ndarray, near: np.ndarray, new: np.ndarray, degree: int,
 
 
 def lifted(x: np.ndarray, top: float) -> np.ndarray:
-    """One more coordinate, after which all vectors are as long as the longest of the table."""
-    rest = np.maximum(0.0, top - np.einsum("ij,ij->i", x.astype(np.float64), x.astype(np.float64)))
-    return np.concatenate((x, np.sqrt(rest)[:, None]), 1).astype(np.float32)
+    """One more coordinate, which would make all vectors as long as the longest of the table, less that length.
+
+    Distances don't change by the shift, and nothing large cancels in them.
+    """
+    x = x.astype(np.float64)
+    own = np.einsum("ij,ij->i", x, x)
+    lift = own / np.maximum(np.sqrt(top) + np.sqrt(np.maximum(0.0, top - own)), np.finfo(np.float64).tiny)
+    return np.concatenate((x, lift[:, None]), 1)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
@@ -274,16 +281,15 @@ def search_index(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int
                 table = pa.Table.from_batches(held)
                 x = _matrix(table["vec"].combine_chunks())
                 near = np.frombuffer(b"".join(table["near"].to_pylist()), np.int32).reshape(len(x), -1)
-                norms = np.einsum("ij,ij->i", x.astype(np.float64), x.astype(np.float64))
-                graph = x, lifted(x, float(norms.max())), near, table["ids"].to_pylist()
+                graph = x.astype(np.float64), near, table["ids"].to_pylist()
                 step = max(1, min(BATCH, (64 << 20) // len(x)))
-            x, deep, near, ids = graph
+            x, near, ids = graph
             asked = part.slice(cut)
             for a in range(0, asked.num_rows, step):
                 some = asked.slice(a, step)
-                q = _matrix(some.column("vec"))
-                found, _ = search_graph(deep, near, 0, np.concatenate((q, np.zeros((len(q), 1), np.float32)), 1), min(beam, len(x)))
-                score = np.einsum("qrd,qd->qr", x[np.maximum(found, 0)].astype(np.float64), q.astype(np.float64))
+                q = _matrix(some.column("vec")).astype(np.float64)
+                found, _ = search_graph(x, near, 0, q, min(beam, len(x)), products=True)
+                score = np.einsum("qrd,qd->qr", x[np.maximum(found, 0)], q)
                 score[found < 0] = -np.inf
                 out = []
                 for (own,), line, values in zip(some.column("ids").to_pylist(), found, score):
