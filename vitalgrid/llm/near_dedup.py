@@ -16,7 +16,7 @@ nodes to components; then only nodes of different components that share a list m
 link between candidates is either inside a component or confirmed itself.
 
 At a similarity of 0.8 a pair has fewer than 38 of 64 agreeing coordinates with a
-probability of about 3e-5, and less above.
+probability of about 4.3e-5, and less above.
 
 Defined cases: a text without words has an empty set and is linked with nothing; a
 text with fewer words than a shingle is one shingle; a null doc_id is left
