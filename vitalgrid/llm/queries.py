@@ -11,6 +11,7 @@ from vitalgrid.llm.class_lm import HELD_FOLD, fold_of, scores
 from vitalgrid.llm.line_dedup import dedup_lines
 from vitalgrid.llm.near_dedup import near_groups
 from vitalgrid.llm.packing import pack_documents
+from vitalgrid.llm.periodic import collapse_runs
 from vitalgrid.llm.quality import judge, train
 from vitalgrid.llm.sharding import kd_shards
 from vitalgrid.llm.surrogates import replace_entities
@@ -118,3 +119,34 @@ def _(spark, folder):
 @query("op5_class_lm")
 def _(spark, folder):
     return scores(table(spark, folder, "documents"), fold_of(F.col("doc_id")) == HELD_FOLD)
+
+
+def with_planted_runs(docs):
+    """Every tenth document, by its id's checksum, repeats a part of its own words to its end."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    check = F.crc32(F.col("doc_id").cast("string"))
+    n = F.size("_words").cast("long")
+    d = docs.withColumn("_check", check).withColumn("_g", F.expr("_check div 10"))
+    d = d.withColumn("_words", F.when(F.col("_check") % 10 == 0, words))
+    d = d.withColumn("_a", F.when(n > 0, F.col("_g") % n))
+    d = d.withColumn("_p", 1 + F.expr("(size(_words) - _a) div (3 + _g % 8)"))
+    start, period = F.col("_a").cast("int"), F.col("_p").cast("int")
+    times = F.expr("(size(_words) - _a + _p - 1) div _p").cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("_words", start + 1, period), times)), F.lit(1), n.cast("int") - start)
+    planted = F.array_join(F.concat(F.slice("_words", F.lit(1), start), tail), " ")
+    return d.select("doc_id", F.when(F.col("_a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def _(spark, folder):
+    found = collapse_runs(with_planted_runs(table(spark, folder, "documents").select("doc_id", "text")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    ahead = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"].alias("at"), r["period"].alias("by"))))
+    longest = found.withColumn("_top", ahead)
+    length, period = F.col("_top.length"), F.col("_top.by")
+    return longest.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("_top.at").alias("start"), length.alias("length"), period.alias("period"),
+        F.expr("1000 * _top.length div _top.by").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(F.array_join(line, "\n"), F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
