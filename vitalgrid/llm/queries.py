@@ -8,6 +8,7 @@ from vitalgrid.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from vitalgrid.llm.ann import nearest
 from vitalgrid.llm.bpe import digests
 from vitalgrid.llm.class_lm import HELD_FOLD, fold_of, scores
+from vitalgrid.llm.collocations import collocations
 from vitalgrid.llm.line_dedup import dedup_lines
 from vitalgrid.llm.near_dedup import near_groups
 from vitalgrid.llm.packing import pack_documents
@@ -121,6 +122,11 @@ def _(spark, folder):
     return scores(table(spark, folder, "documents"), fold_of(F.col("doc_id")) == HELD_FOLD)
 
 
+@query("op11_tiled_collocations")
+def _(spark, folder):
+    return collocations(table(spark, folder, "documents"))
+
+
 def with_planted_runs(docs):
     """Every tenth document, by its id's checksum, repeats a part of its own words to its end."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
