@@ -10,6 +10,7 @@ from vitalgrid.llm.bpe import digests
 from vitalgrid.llm.class_lm import HELD_FOLD, fold_of, scores
 from vitalgrid.llm.collocations import collocations
 from vitalgrid.llm.line_dedup import dedup_lines
+from vitalgrid.llm import main_text
 from vitalgrid.llm.near_dedup import near_groups
 from vitalgrid.llm.packing import pack_documents
 from vitalgrid.llm.periodic import collapse_runs
@@ -127,6 +128,12 @@ def _(spark, folder):
     return collocations(table(spark, folder, "documents"))
 
 
+@query("op12_tree_main_text")
+def _(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return main_text.main_texts(pages, main_text.train(pages))
+
+
 def with_planted_runs(docs):
     """Every tenth document, by its id's checksum, repeats a part of its own words to its end."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
