@@ -149,3 +149,61 @@ def test_params(spark, tmp_path):
 def test_sorted_export(spark):
     out = TB.sorted_export(spark.range(1000).repartition(7).selectExpr("(id * 7919) % 1000 as k"), ["k"])
     assert [r[0] for r in out.collect()] == list(range(1000))
+
+
+ODD = ["plain", 'say ""q"", twice', "two\nlines", "\n", "a,b\n,c\n", '""\n""', "", None, "x" * 300, "é\n日本\n" * 5, "end \r\nof"]
+
+
+def odd_file(path, n, seed=0, ending="\n"):
+    import random
+
+    rng = random.Random(seed)
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        f.write(f"id,t,z{ending}")
+        for i in range(n):
+            t = rng.choice(ODD)
+            f.write(f"{i},{'' if t is None else chr(34) + t + chr(34)},{i % 7}{ending}")
+
+
+@pytest.mark.parametrize("block", [64, 1000, 20_000])
+def test_quoted_breaks_are_read_by_many_tasks(spark, tmp_path, block):
+    """Blocks of any size, also smaller than a record, give what one task reads from the whole file."""
+    schema = "id long, t string, z long"
+    for i, n in enumerate((1500, 0, 40)):
+        odd_file(tmp_path / f"f{i}.csv", n, i)
+    (tmp_path / "f3.csv").write_text("id,t,z\n\n7,\"last\nline\",1")  # an empty line, no line break at the end
+    whole = spark.read.options(**TB.DIALECT, **TB.CELLS).csv(str(tmp_path), schema=schema, header=True, multiLine=True, mode="FAILFAST")
+    expected = sorted(map(tuple, whole.collect()), key=str)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        from vitalgrid.sources.records import _lines
+
+        lines = _lines(spark, str(tmp_path))
+        assert lines.select("_file", "_block").distinct().count() >= 8 or block > 1000
+        assert block > 1000 or lines.rdd.getNumPartitions() >= 8
+        assert sorted(map(tuple, TB.read_csv(spark, str(tmp_path), schema, multiline=True).collect()), key=str) == expected
+        assert len(expected) == 1541
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_quoted_breaks_with_carriage_returns(spark, tmp_path, rows):
+    path = tmp_path / "a.csv"
+    path.write_bytes(b'id,t\r\n1,"a\r\nb"\r\n2,c\r\n')
+    assert rows(TB.read_csv(spark, str(path), "id long, t string", multiline=True)) == [(1, "a\r\nb"), (2, "c")]
+
+
+def test_broken_quotes_and_headers(spark, tmp_path):
+    schema = "id long, t string"
+    path = tmp_path / "a.csv"
+    for text in ('id,t\n1,"open\n2,b\n', 'id,t\n1,x"\n2,y"\n', "id,other\n1,x\n", "t,id\n1,x\n"):
+        path.write_text(text)
+        with pytest.raises(Exception):
+            TB.read_csv(spark, str(path), schema, multiline=True).collect()
+    path.write_text('id,t\n1,"a\nb"\none,c\n2,d,e\n3,f\n')
+    read = lambda mode: TB.read_csv(spark, str(path), schema, multiline=True, mode=mode)
+    assert sorted(map(tuple, read("DROPMALFORMED").collect())) == [(1, "a\nb"), (3, "f")]
+    assert read("PERMISSIVE").count() == 4

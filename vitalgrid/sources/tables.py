@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vitalgrid.functions.scalars import nan_to_null
+from vitalgrid.sources.records import csv_records
 
 #: What Spark calls an absent or damaged file.
 UNREADABLE = ("PATH_NOT_FOUND", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA")
@@ -37,25 +40,51 @@ def read_table(
 DIALECT = {"quote": '"', "escape": '"'}
 
 
+#: A null mark that no file holds: with an empty one a quoted empty text would be NULL as well.
+CELLS = {"nullValue": "\x01", "emptyValue": ""}
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str, columns: Sequence[str] | None = None,
     multiline: bool = False, mode: str = "FAILFAST",
 ) -> DataFrame:
     """Read CSV with a header.
 
-    ``multiline`` allows line breaks inside quotes; a file is then read by one task.
+    ``multiline`` allows line breaks inside quotes (``records.py``); files are read by as many tasks without it.
     Nothing between two commas is NULL, two quotes are an empty text. A row that does not fit the schema is an error unless ``mode`` says otherwise. For that
     all columns are parsed, and the wanted ones converted; with PERMISSIVE or DROPMALFORMED
-    only the wanted ones are parsed.
+    only the wanted ones are parsed where no line breaks are expected.
     """
-    # A null mark that no file holds: with an empty one a quoted empty text would be NULL as well.
-    reader = spark.read.options(**DIALECT, columnPruning=str(mode != "FAILFAST").lower(), nullValue="\x01", emptyValue="")
-    df = reader.csv(path, schema=schema, header=True, enforceSchema=False, multiLine=multiline, mode=mode)
+    if multiline:
+        df = _read_records(spark, path, schema, mode)
+    else:
+        reader = spark.read.options(**DIALECT, **CELLS, columnPruning=str(mode != "FAILFAST").lower())
+        df = reader.csv(path, schema=schema, header=True, enforceSchema=False, mode=mode)
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
     df = df.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in floats}) if floats else df
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
+def _read_records(spark: SparkSession, path: str, schema: T.StructType | str, mode: str) -> DataFrame:
+    """Records parsed one by one; a head that does not name the schema's columns is an error."""
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    records = csv_records(spark, path)
+    names = T.StructType([T.StructField(f"n{i}", T.StringType()) for i in range(len(wanted))])
+    head = F.from_csv("record", names.simpleString()[7:-1].replace(":", " "), DIALECT)
+    fits = [F.lower(F.trim(head[f"n{i}"])).eqNullSafe(f.name.lower()) for i, f in enumerate(wanted)]
+    named = F.assert_true(reduce(and_, fits), F.concat(F.lit("unexpected CSV header: "), F.col("record")))
+    rows = records.where(F.when(F.col("is_head"), named.isNotNull()).otherwise(F.lit(True)))
+    broken = "_broken"
+    permissive = mode != "FAILFAST"
+    full = T.StructType([*wanted.fields, T.StructField(broken, T.StringType())]) if permissive else wanted
+    options = {**DIALECT, **CELLS, "mode": "PERMISSIVE" if permissive else "FAILFAST", "columnNameOfCorruptRecord": broken}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
+    rows = rows.select(F.from_csv("record", ddl, options).alias("_r"))
+    if mode == "DROPMALFORMED":
+        rows = rows.where(F.col("_r")[broken].isNull())
+    return rows.select(*[F.col("_r")[f.name].alias(f.name) for f in wanted])
+
+
 def csv_header(spark: SparkSession, path: str, drop: Sequence[str] = ()) -> list[str]:
     """Column names of a CSV file, without its rows."""
     return [c for c in spark.read.options(**DIALECT).csv(path, header=True).columns if c not in set(drop)]
