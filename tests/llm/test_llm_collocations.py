@@ -67,15 +67,23 @@ def test_tiles_dense_and_sparse(monkeypatch):
     rng = np.random.default_rng(3)
     width = 3 * TILE + 5
     x, y = (np.minimum(rng.geometric(0.01, 4000) - 1 + rng.integers(0, 2, 4000) * 2 * TILE, width - 1) for _ in range(2))
-    codes, counts, place = count_tiles(x, y, width)
-    assert (codes[place] == x * width + y).all() and len(np.unique(codes)) == len(codes)
+    codes, counts = count_tiles(x, y, width)
+    assert len(np.unique(codes)) == len(codes)
     assert dict(zip(codes.tolist(), counts.tolist())) == Counter((x * width + y).tolist())
-    codes, counts, place = count_tiles(x[:0], y[:0], width)
-    assert not len(codes) and not len(counts) and not len(place)
+    assert [len(c) for c in count_tiles(x[:0], y[:0], width)] == [0, 0]
 
 
-@pytest.mark.parametrize("block_bytes,dense", [(1 << 20, 1 << 16), (700, 20)])
-def test_collocations_equal_plain_count(spark, monkeypatch, block_bytes, dense):
+def test_packed_numbers():
+    values = np.array([0, 1, 127, 128, 16383, 16384, 2**62, 5, 2**63 - 1])
+    assert module._unpacked(module._packed(values)).tolist() == values.tolist()
+    assert module._packed(values[:0]) == b"" and not len(module._unpacked(b""))
+
+
+@pytest.mark.parametrize("block_bytes,dense,known,merged", [(1 << 20, 1 << 16, 10**6, 10**6), (700, 20, 10**6, 50), (900, 20, 60, 200), (900, 20, 0, 200)])
+def test_collocations_equal_plain_count(spark, monkeypatch, block_bytes, dense, known, merged):
+    """Ids of frequent phrases broadcast, joined from some level on, and always joined."""
+    monkeypatch.setattr(module, "KNOWN_SYMBOLS", known)
+    monkeypatch.setattr(module, "MERGED_PAIRS", merged)
     monkeypatch.setattr(module, "BLOCK_BYTES", block_bytes)
     monkeypatch.setattr(module, "DENSE_PAIRS", dense)
     rows = corpus(random.Random(11), 500)

@@ -1,20 +1,22 @@
 """Phrase collocations by direct-address tiling, recursively over frequent pairs.
 
-Texts become blocks of one language and about ``BLOCK_BYTES``: a stream of symbol places, 0
-where a piece ends, and the block's own table of symbols with their counts. Each level does
-the same four steps:
-
-1. the blocks' tables are summed; symbols with ``min_count`` occurrences or more stay;
-2. these are ranked by frequency (in steps of an eighth of a doubling), and the rank is their id;
-3. every block asks for the ids of its symbols: (symbol, block) rows meet the ranked symbols and
-   go back by block, so a symbol's mapping is never broadcast;
-4. in each block, pairs of neighbouring ids are counted by tiles of ``TILE`` x ``TILE`` ids: a tile
-   with many pairs by one dense bincount, where frequent ids come together, all others
-   as sorted coordinates. The pairs are the next level's symbols.
-
-At the first level symbols are words, at level k they are phrases of k words: a
-phrase's pair joins its first and its last k - 1 words, which are both frequent if it is. What
-goes to a join is a block's distinct pairs of frequent ids, never its words.
+Texts become blocks of one language and about ``BLOCK_BYTES``: a stream of word numbers, 0
+where a piece ends, and the block's own table of words with their counts. The tables are summed, words with ``min_count``
+occurrences or more are ranked by frequency (in steps of an eighth of a doubling), and the rank is a
+word's id. Every block asks for the ids of its own words: (word, block) rows meet the
+ranked words and go back by block.
+
+Each further level counts pairs of neighbouring ids and makes the frequent ones its symbols:
+
+1. in a block, pairs are counted by tiles of ``TILE`` x ``TILE`` ids: a tile with many pairs by one
+   dense bincount, where frequent ids come together, all others as sorted coordinates;
+2. a task merges its blocks' counts and sends them, dealt by hash and coded by their differences, to the
+   tasks that add them up;
+3. the frequent pairs are ranked again and get ids of their own.
+
+At level k symbols are phrases of k words: a phrase's pair joins its first and its last
+k - 1 words, which are both frequent if it is. Ids of up to ``KNOWN_SYMBOLS`` phrases a level are sent to
+the tasks, which rebuild the level's stream from the words'; of more, blocks ask for theirs by a join as for words.
 
 A phrase carries the counts of all its heads and tails, so every cut's score is exact arithmetic on its own
 row (decimals of 38 digits). A phrase inside a longer one of the same count has a neighbour
@@ -28,13 +30,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from vitalgrid.llm.common import LOWER, UPPER, numbered, stored, text_pieces
+from vitalgrid.llm.textblock import mix
 
 MIN_COUNT = 100
 LONGEST = 5
@@ -46,6 +50,11 @@ BLOCK_BYTES = 1 << 20
 #: All open blocks of a task, whatever the number of languages.
 OPEN_BYTES = 32 << 20
 BLOCKS_PER_TASK = 16
+MOST_IDS = 3_000_000_000
+#: A level's phrases whose ids are broadcast: 16 bytes each, 32 MB at most.
+KNOWN_SYMBOLS = 2_000_000
+#: Pairs that a task merges before it sends them, and that one adding task is planned for.
+MERGED_PAIRS, PAIRS_PER_PART = 4 << 20, 8 << 20
 
 _BREAKS = re.compile(rb"[.,;:!?\x0A-\x0D]+")
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -118,37 +127,106 @@ def _list(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def count_tiles(x: np.ndarray, y: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes, counts, place of each pair's code) of the pairs (x, y); a code is x * width + y.
+def count_tiles(x: np.ndarray, y: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of the pairs (x, y); a code is x * width + y.
 
     Dense tiles come first, each in the order of its cells, then all other pairs in the order of their codes.
     """
-    place = np.empty(len(x), np.int64)
-    codes, counts, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    codes, counts = [], []
     across = width // TILE + 1
-    tile = x // TILE * across + y // TILE
-    tiles, inverse, sizes = np.unique(tile, return_inverse=True, return_counts=True)
+    tiles, inverse, sizes = np.unique(x // TILE * across + y // TILE, return_inverse=True, return_counts=True)
     for t in np.flatnonzero(sizes >= DENSE_PAIRS):
         at = np.flatnonzero(inverse == t)
-        cell = x[at] % TILE * TILE + y[at] % TILE
-        dense = np.bincount(cell, minlength=TILE * TILE)
+        dense = np.bincount(x[at] % TILE * TILE + y[at] % TILE)
         used = np.flatnonzero(dense)
-        address = np.empty(TILE * TILE, np.int64)  # cell to place, read where cells are used
-        address[used] = np.arange(n, n + len(used))
-        place[at] = address[cell]
         row, column = divmod(int(tiles[t]), across)
         codes.append((row * TILE + used // TILE) * width + column * TILE + used % TILE)
         counts.append(dense[used])
-        n += len(used)
     at = np.flatnonzero(sizes[inverse] < DENSE_PAIRS)
-    code, where, count = np.unique(x[at] * width + y[at], return_inverse=True, return_counts=True)
-    place[at] = where + n
-    return np.concatenate([*codes, code]), np.concatenate([*counts, count]), place
+    code, count = np.unique(x[at] * width + y[at], return_counts=True)
+    return np.concatenate([*codes, code]), np.concatenate([*counts, count])
+
+
+def _merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes with their summed counts."""
+    code, count = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(code, kind="stable")
+    code, count = code[order], count[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+    return code[first], np.add.reduceat(count, first) if len(code) else count
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 on, seven bits a byte, the lowest first; the last byte of each is below 128."""
+    size = np.ones(len(values), np.int64)
+    for bits in range(7, 63, 7):
+        size += values >= 1 << bits
+    ends = np.cumsum(size)
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    at = ends - size
+    for i in range(9):
+        live = np.flatnonzero(size > i)
+        if not len(live):
+            break
+        more = (size[live] > i + 1).astype(np.uint8) << 7
+        out[at[live] + i] = (values[live] >> (7 * i) & 127).astype(np.uint8) | more
+    return out.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(raw < 128)
+    starts = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
+    place = np.arange(len(raw)) - np.repeat(starts, ends - starts + 1)
+    return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), starts) if len(ends) else np.zeros(0, np.int64)
+
+
+@dataclass
+class Symbols:
+    """One level's phrases: sorted codes, their ids, and the number of ids below."""
+
+    codes: np.ndarray
+    ids: np.ndarray
+    width: int
+
+
+@dataclass
+class Reader:
+    """Opens rows of ids, -1 for none, and puts the known symbols of further levels on top."""
+
+    kind: str
+    levels: list[Broadcast]
+
+    def streams(self, batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        """(block, ids of the highest level), one by one."""
+        for i in range(batch.num_rows):
+            seq = np.frombuffer(batch.column("ids")[i].as_py(), self.kind).astype(np.int64)
+            for level in self.levels:
+                s = level.value
+                at = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
+                code = seq[at] * s.width + seq[at + 1]
+                where = np.minimum(np.searchsorted(s.codes, code), len(s.codes) - 1)
+                hit = s.codes[where] == code
+                seq = np.full(len(seq), -1, np.int64)
+                seq[at[hit]] = s.ids[where[hit]]
+            yield batch.column("block")[i].as_py(), seq
+
+
+@dataclass
+class Blocks:
+    """(block, ids), a row per block, and how to read them."""
 
+    rows: DataFrame
+    reader: Reader
 
-def pair_blocks(blocks: DataFrame, ranked: DataFrame, on: list[str], width: int) -> DataFrame:
-    """(block, stream, symbols, counts): every block's pairs of neighbouring ids; ``width``: the number of ids."""
-    spark = blocks.sparkSession
+
+def _kind(width: int) -> str:
+    return "<i4" if width < 1 << 31 else "<i8"
+
+
+def with_ids(blocks: DataFrame, ranked: DataFrame, on: list[str], width: int) -> Blocks:
+    """Streams of ids for ``blocks`` (block, stream, symbols): each asks for the ids of its own symbols."""
+    spark, kind = blocks.sparkSession, _kind(width)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // BLOCKS_PER_TASK))
     asked = blocks.select("block", *[c for c in on if c != "symbol"], F.posexplode("symbols").alias("at", "symbol"))
     hits = asked.join(ranked.select(*on, "id"), on).select("block", "at", "id").repartition(tasks, "block")
@@ -161,32 +239,104 @@ def pair_blocks(blocks: DataFrame, ranked: DataFrame, on: list[str], width: int)
                 known = batch.column("hits")[i].values
                 ids = np.full(int(stream.max(initial=0)) + 1, -1, np.int64)
                 ids[np.asarray(known.field(0)) + 1] = np.asarray(known.field(1))
-                seq = ids[stream]
-                at = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
-                if not len(at):
-                    continue
-                codes, counts, place = count_tiles(seq[at], seq[at + 1], width)
-                out = np.zeros(len(seq), "<u4")
-                out[at] = place + 1
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("block").slice(i, 1), pa.array([out.tobytes()], pa.binary()), _list(pa.array(codes)), _list(pa.array(counts))],
-                    ["block", "stream", "symbols", "counts"],
-                )
+                row = [batch.column("block").slice(i, 1), pa.array([ids[stream].astype(kind).tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(row, ["block", "ids"])
 
     rows = blocks.select("block", "stream").repartition(tasks, "block").join(hits, "block")
-    return rows.mapInArrow(run, "block long, stream binary, symbols array<long>, counts array<long>")
+    return Blocks(stored(rows.mapInArrow(run, "block long, ids binary")), Reader(kind, []))
+
+
+def pair_counts(blocks: Blocks, width: int, parts: int, min_count: int) -> DataFrame:
+    """(symbol, f): the frequent pairs of neighbouring ids; ``width``: the number of ids."""
+    reader = blocks.reader
+
+    def count(batches):
+        codes: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        size = 0
+
+        def flush():
+            code, count = _merged(codes, counts)
+            part = (mix(code.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            code, count = code[order], count[order]
+            at = np.flatnonzero(np.diff(cuts))
+            rows = [(_packed(np.diff(code[a:b], prepend=0)), _packed(count[a:b])) for a, b in zip(cuts[at], cuts[at + 1])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int32()), *[pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)]], ["part", "codes", "counts"]
+            )
+            codes.clear()
+            counts.clear()
 
+        for batch in batches:
+            for _, seq in reader.streams(batch):
+                at = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
+                if len(at):
+                    code, n = count_tiles(seq[at], seq[at + 1], width)
+                    codes.append(code)
+                    counts.append(n)
+                    size += len(code)
+                if size >= MERGED_PAIRS:
+                    yield from flush()
+                    size = 0
+        if codes:
+            yield from flush()
+
+    def add(batches):
+        codes: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for a, b in zip(batch.column("codes"), batch.column("counts")):
+                codes.append(np.cumsum(_unpacked(a.as_py())))
+                counts.append(_unpacked(b.as_py()))
+                size += len(codes[-1])
+                if size > 2 * len(codes[0]) + MERGED_PAIRS:
+                    code, n = _merged(codes, counts)
+                    codes, counts, size = [code], [n], len(code)
+        if codes:
+            code, n = _merged(codes, counts)
+            many = n >= min_count
+            yield pa.RecordBatch.from_arrays([pa.array(code[many]), pa.array(n[many])], ["symbol", "f"])
+
+    sums = blocks.rows.mapInArrow(count, "part int, codes binary, counts binary")
+    return sums.repartition(parts, "part").select("codes", "counts").mapInArrow(add, "symbol long, f long")
+
+
+def pair_tables(blocks: Blocks, width: int) -> DataFrame:
+    """(block, stream, symbols): every block's pairs as its own table, and their places."""
+    reader = blocks.reader
 
-def ranked_symbols(blocks: DataFrame, on: list[str], min_count: int) -> DataFrame:
-    """(symbol, f, id): the frequent symbols of all blocks, numbered from 0 by falling frequency."""
-    seen = blocks.select(*[c for c in on if c != "symbol"], F.explode(F.arrays_zip("symbols", "counts")).alias("s"))
-    seen = seen.withColumn("symbol", F.col("s.symbols")).groupBy(*on).agg(F.sum("s.counts").alias("f"))
+    def run(batches):
+        for batch in batches:
+            for block, seq in reader.streams(batch):
+                at = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
+                codes, place = np.unique(seq[at] * width + seq[at + 1], return_inverse=True)
+                stream = np.zeros(len(seq), "<u4")
+                stream[at] = place + 1
+                row = [pa.array([block]), pa.array([stream.tobytes()], pa.binary()), _list(pa.array(codes))]
+                yield pa.RecordBatch.from_arrays(row, ["block", "stream", "symbols"])
+
+    return blocks.rows.mapInArrow(run, "block long, stream binary, symbols array<long>")
+
+
+def ranked_symbols(counts: DataFrame, on: list[str]) -> DataFrame:
+    """(symbol, f, id): symbols numbered from 0 by falling frequency."""
     # Pieces of the ranking: an eighth of a doubling of the frequency, in 64 parts.
     step = 1024 - F.floor(F.log2("f") * 8)
-    frequent = stored(seen.where(F.col("f") >= min_count).withColumn("chunk", step * 64 + F.pmod(F.xxhash64("symbol"), F.lit(64))))
+    frequent = stored(counts.withColumn("chunk", step * 64 + F.pmod(F.xxhash64("symbol"), F.lit(64))))
     return stored(numbered(frequent, [], [F.desc("f"), *on], "id", "chunk").drop("chunk"))
 
 
+def _known(ranked: DataFrame, width: int) -> Symbols:
+    """A level's codes and ids on the driver: at most ``KNOWN_SYMBOLS`` rows."""
+    table = ranked.select("symbol", "id").toArrow()
+    codes, ids = np.asarray(table["symbol"]).astype(np.int64), np.asarray(table["id"]).astype(np.int64)
+    order = np.argsort(codes)
+    return Symbols(codes[order], ids[order], width)
+
+
 def _phrases(ranked: DataFrame, shorter: DataFrame, width: int) -> DataFrame:
     """Phrases of one word more: their parts' ids, words, and the counts of all heads and tails."""
     pairs = ranked.select("id", "f", F.expr(f"symbol div {width}").alias("x"), (F.col("symbol") % width).alias("y"))
@@ -200,20 +350,30 @@ def _phrases(ranked: DataFrame, shorter: DataFrame, width: int) -> DataFrame:
 
 def phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, text: str = "text", lang: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
     """((lang, n), [phrases of 1 word, of 2 words, ...]); phrases: id, lang, f, words, heads, tails, and the parts of longer ones."""
-    blocks = stored(word_blocks(docs, text, lang))
-    totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    on = ["lang", "symbol"]
-    ranked = ranked_symbols(blocks, on, min_count)
+    spark = docs.sparkSession
+    words = stored(word_blocks(docs, text, lang))
+    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (words.agg(F.sum("n")).first()[0] or 0) // PAIRS_PER_PART)
+    seen = words.select("lang", F.explode(F.arrays_zip("symbols", "counts")).alias("s"))
+    seen = seen.groupBy("lang", F.col("s.symbols").alias("symbol")).agg(F.sum("s.counts").alias("f"))
+    ranked = ranked_symbols(seen.where(F.col("f") >= min_count), ["lang", "symbol"])
     none = F.array().cast("array<bigint>")
     levels = [ranked.select("id", "lang", "f", F.array("symbol").alias("words"), none.alias("heads"), none.alias("tails"))]
-    for _ in range(1, longest):
-        width = ranked.count()
+    width = ranked.count()
+    blocks = with_ids(words, ranked, ["lang", "symbol"], width) if width else None
+    for level in range(2, longest + 1):
         if not width:
             break
-        blocks = stored(pair_blocks(blocks, ranked, on, width))
-        on = ["symbol"]
-        ranked = ranked_symbols(blocks, on, min_count)
+        if width > MOST_IDS:
+            raise ValueError(f"{width} phrases of a level: a pair of them does not fit 63 bits")
+        ranked = ranked_symbols(pair_counts(blocks, width, parts, min_count), ["symbol"])
         levels.append(stored(_phrases(ranked, levels[-1], width)))
+        below, width = width, ranked.count()
+        if level < longest and 0 < width <= KNOWN_SYMBOLS:
+            known = spark.sparkContext.broadcast(_known(ranked, below))
+            blocks = Blocks(blocks.rows, Reader(blocks.reader.kind, [*blocks.reader.levels, known]))
+        elif level < longest and width:
+            blocks = with_ids(stored(pair_tables(blocks, below)), ranked, ["symbol"], width)
     return totals, levels
 
 
