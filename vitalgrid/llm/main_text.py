@@ -249,9 +249,18 @@ def fit(f: Forest, labels: np.ndarray, rounds: int = ROUNDS) -> Model:
 
 
 def sample(pages: DataFrame, n: int = SAMPLE_PAGES, longest: int = SAMPLE_CHARS, page: str = "html") -> list[str]:
-    """Pages that mark their article, by hash order: at most ``n`` of at most ``longest`` characters."""
-    rows = pages.select(F.col(page).alias("page")).where((F.length("page") <= longest) & F.col("page").rlike(r"(?i)<(article|main)[\s>]"))
-    return [r["page"] for r in rows.orderBy(F.xxhash64("page"), "page").limit(n).collect()]
+    """Different pages that mark their article, by hash order: at most ``n`` of at most ``longest`` characters.
+
+    Hashes are picked first, so that no task sends more than ``n`` numbers, then one page of each.
+    """
+    rows = pages.select(F.col(page).alias("page"), F.xxhash64(page).alias("key"))
+    rows = rows.where((F.length("page") <= longest) & F.col("page").rlike(r"(?i)<(article|main)[\s>]"))
+    keys = [r["key"] for r in rows.select("key").distinct().orderBy("key").limit(n).collect()]
+    if not keys:
+        return []
+    # Hash order: the chosen keys are the smallest.
+    one = rows.where(F.col("key") <= max(keys)).groupBy("key").agg(F.min("page").alias("page"))
+    return [r["page"] for r in one.orderBy("key").collect()]
 
 
 def train(pages: DataFrame | None = None, page: str = "html", rule_pages: int = RULE_PAGES) -> Model:
