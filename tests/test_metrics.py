@@ -57,6 +57,49 @@ def test_logits_outside_the_unit_range(spark):
     assert np.isclose(M.auroc(frame(spark, data), "y", "p").first()["auroc"], direct_auroc(data))
 
 
+@pytest.mark.parametrize("shape", ["logits", "crowded", "rounded", "huge"])
+def test_parts_follow_the_scores(spark, shape):
+    """Any range of scores gives parts of about equal size and the direct values."""
+    from vitalgrid.operators.ordered import add_range_chunks
+
+    rng = random.Random(2)
+    value = {
+        "logits": lambda: rng.gauss(0, 30), "crowded": lambda: 0.5 + rng.random() * 1e-9, "rounded": lambda: round(rng.random(), 3),
+        "huge": lambda: rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300),
+    }[shape]
+    data = [(int(rng.random() < 0.4), value()) for _ in range(4000)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts = M.score_counts(frame(spark, data), "y", "p")
+        sizes = [r["count"] for r in add_range_chunks(counts, [], ["p"]).groupBy("_chunk").count().collect()]
+        assert len(sizes) == 8 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+        got = M.ranking_from_counts(counts).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert np.isclose(got["auroc"], fast_auroc(data)) and np.isclose(got["auprc"], direct_ap(data) if shape == "rounded" else fast_ap(data))
+
+
+def fast_auroc(data):
+    p, y = np.array([d[1] for d in data]), np.array([d[0] for d in data])
+    values, inverse, count = np.unique(p, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(count) - (count - 1) / 2)[inverse]
+    n = y.sum()
+    return (rank[y == 1].sum() - n * (n + 1) / 2) / (n * (len(y) - n))
+
+
+def fast_ap(data):
+    """Average precision of scores without ties."""
+    y = np.array([d[0] for d in sorted(data, key=lambda d: -d[1])])
+    return (np.cumsum(y) / np.arange(1, len(y) + 1))[y == 1].mean()
+
+
+def test_rows_without_a_score_are_not_ranked(spark):
+    data = [(1, 0.9), (0, 0.2), (1, None), (0, float("nan")), (1, -0.0), (0, 0.0)]
+    got = M.ranking_from_counts(M.score_counts(frame(spark, data), "y", "p")).first()
+    assert np.isclose(got["auroc"], (1 + 1 + 0 + 0.5) / 4)
+
+
 def test_confusion_and_f1(spark):
     df = frame(spark, [(1, 0.5), (1, 0.4), (0, 0.5), (0, 0.1), (1, 0.9)])
     c = M.confusion(df, "y", "p", 0.5).first()

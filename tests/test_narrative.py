@@ -23,8 +23,8 @@ def test_lists(spark, rows):
         [(1, 3, "c", None), (1, 1, "a", "A"), (1, 2, "a", "A"), (2, 1, None, None)], "k long, seq int, code string, title string"
     )
     want = [(1, "a;a;c", "A;A"), (2, None, None)]
-    for stride in (1, 2, 100):
-        assert rows(visit_lists(df, ["k"], {"codes": "code", "titles": "title"}, ["seq"], stride=stride)) == want
+    for part_rows in (1, 2, 100):
+        assert rows(visit_lists(df, ["k"], {"codes": "code", "titles": "title"}, ["seq"], part_rows=part_rows)) == want
     parts = list_parts(df, ["k"], {"codes": "code"}, ["seq"], part_size=2)
     assert rows(parts) == [(1, 0, "a;a"), (1, 1, "c"), (2, 0, None)]
 

@@ -5,6 +5,7 @@ from pyspark.sql import Window, functions as F
 
 from vitalgrid.operators.lists import visit_lists
 from vitalgrid.operators.ordered import add_hot_chunks, hot_keys, impute, neighbour, ordinal, prefix_sums
+from vitalgrid.operators.sizes import group_sizes
 from vitalgrid.operators.sampling import hash_rank
 from vitalgrid.operators.visits import join_admissions
 
@@ -118,6 +119,48 @@ def test_list_of_a_hot_visit_is_whole(spark):
     assert len(got[0].split(";")) == 40_000
 
 
+def test_list_of_drugs_with_a_common_start(spark):
+    """A hot visit whose entries begin alike is joined in parts of bounded size; ties and equal rows stay."""
+    name = F.concat(F.lit("Sodium chloride "), F.lpad((F.col("id") * 7919 % 9000).cast("string"), 5, "0"))
+    df = spark.range(0, 30_000, 1, 8).select(F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id")).alias("k"), name.alias("drug"))
+    limit = 1000
+    parts = add_hot_chunks(df, ["k"], ["drug"], None, limit).where("k = 0").groupBy("_chunk").count()
+    sizes = [r["count"] for r in parts.collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 2 * limit
+    got = {r["k"]: r["l"] for r in visit_lists(df, ["k"], {"l": "drug"}, ["drug"], part_rows=limit).collect()}
+    assert got[0].split(";") == sorted(r["drug"] for r in df.where("k = 0").collect())
+    assert len(got) == 10_001 and got[2] == "Sodium chloride 06838"
+
+
+def test_list_too_large_for_a_cell_is_an_error(spark):
+    df = spark.range(100).select((F.col("id") % 2).alias("k"), "id", F.lit("é" * 10).alias("s"))
+    assert visit_lists(df, ["k"], {"l": "s"}, ["id"], cell_bytes=50 * 21).count() == 2
+    with pytest.raises(ValueError, match="list_parts"):
+        visit_lists(df, ["k"], {"l": "s"}, ["id"], cell_bytes=50 * 21 - 1)
+
+
+def test_sizes_are_counted_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id % 3 as a", "id % 7 as b", "id as t").write.parquet(path)
+    read = lambda: spark.read.schema("a long, b long, t long").parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    group = f"sizes-{tmp_path}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        sizes = group_sizes(read(), ["a"])
+        assert sizes.rows == 334
+        first = len(tracker.getJobIdsForGroup(group))
+        assert first > 0 and group_sizes(read(), ["a"]) is sizes
+        for out in (ordinal(read(), ["a"], ["t"]), neighbour(read(), ["a"], ["t"], {"p": "t"}, "lag"), impute(read(), ["a", "b"], ["t"], ["b"], sizes=sizes)):
+            assert out.columns  # planned without a job
+        assert len(tracker.getJobIdsForGroup(group)) == first
+        # A bound above the limit says nothing about smaller groups: they are counted.
+        ordinal(read(), ["a", "b"], ["t"], hot_rows=100, sizes=sizes)
+        assert len(tracker.getJobIdsForGroup(group)) > first
+    finally:
+        spark.sparkContext.setJobGroup(None, None)
+
+
 def test_hash_ranks_are_a_permutation(spark):
     ids = spark.range(30_000)
     ranks = hash_rank(ids, "id", 1)

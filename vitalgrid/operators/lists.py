@@ -7,9 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from vitalgrid.functions.texts import split_trim, zip_lists
-from vitalgrid.operators.ordered import add_chunk, ordinal
+from vitalgrid.operators.ordered import add_hot_chunks, ordinal
+from vitalgrid.operators.sizes import group_sizes
 
 PART = 2048
+#: A task joins this many entries of one group; larger groups are joined in parts.
+LIST_ROWS = 200_000
+#: What one cell can hold, with room for the engine's own copies.
+CELL_BYTES = 1 << 30
 
 
 def _join_groups(df: DataFrame, group: Sequence[str], cols: Mapping[str, str], order: Sequence[str], sep: str) -> DataFrame:
@@ -42,19 +47,27 @@ def list_parts(
 
 def visit_lists(
     df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], order: Sequence[str], sep: str = ";",
-    stride: float | None = None,
+    part_rows: int = LIST_ROWS, cell_bytes: int = CELL_BYTES,
 ) -> DataFrame:
     """One joined list per group and column; NULL when it has no value.
 
-    Entries are joined per chunk of the leading order column first, by many
-    tasks, so only the finished parts of a group meet: the last step holds no
-    more than the cell it writes. The input is read once and nothing is
-    numbered. For a group too large for one cell use ``list_parts``.
+    If no group has more than ``part_rows`` entries, groups are joined in one step. Otherwise
+    the rows of larger groups are range-partitioned by their order, so that clustered or common
+    starts are cut as well, each part is joined by a task of its own, and only finished parts
+    of a group meet: the last step holds no more than the cell it writes. A list of
+    more than ``cell_bytes`` bytes is an error before anything is joined: use ``list_parts``.
     """
     order = list(order)
-    rows = add_chunk(df, order[0], stride, "_part")
-    parts = _join_groups(rows, [*keys, "_part"], cols, order, sep)
-    return _join_groups(parts, list(keys), {n: n for n in cols}, ["_part"], sep)
+    df = df.select(*dict.fromkeys([*keys, *order, *cols.values()]))
+    texts = sorted(set(cols.values()))
+    sizes = group_sizes(df, keys, texts)
+    if sizes.bytes > cell_bytes:
+        raise ValueError(f"a joined list of {sizes.bytes} bytes does not fit one cell: use list_parts, which gives it in parts")
+    if sizes.rows <= part_rows:
+        return _join_groups(df, list(keys), cols, order, sep)
+    rows = add_hot_chunks(df, keys, order, None, part_rows, sizes=sizes)
+    parts = _join_groups(rows, [*keys, "_chunk"], cols, order, sep)
+    return _join_groups(parts, list(keys), {n: n for n in cols}, ["_chunk"], sep)
 
 
 def top_pairs(df: DataFrame, titles: str, codes: str, k: int = 10, sep: str = ";") -> DataFrame:

@@ -1,9 +1,10 @@
 """Exact ranking and threshold metrics.
 
 Rows are first collapsed to one row per distinct score with its counts of
-positives and negatives. Running counts over the distinct scores use two levels
-of value chunks (``prefix_sums``), so no task sees all scores. ``by`` groups,
-such as the blending weights of a grid, are handled in the same pass.
+positives and negatives. Running counts over the distinct scores use parts of about equal
+size, cut at the scores' own quantiles (``prefix_sums``), so no task sees all scores, whether they are
+probabilities, logits or crowded around one value. ``by`` groups, such as the blending weights of a
+grid, are handled in the same pass. Rows without a score (NULL or NaN) are not ranked.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vitalgrid.operators.ordered import UNIT_STRIDES, prefix_sums
+from vitalgrid.operators.ordered import prefix_sums
 
 # Fixed value: keeps a ratio with an empty denominator at 0.
 EPSILON = 1e-12
@@ -26,14 +27,16 @@ def linspace(start: float, stop: float, n: int) -> list[float]:
 
 def score_counts(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score: (by, p, pos, neg)."""
-    return df.groupBy(*by, F.col(p).cast("double").alias("p")).agg(
+    score = F.col(p).cast("double")
+    # Adding zero makes both zeros one score.
+    return df.where(score.isNotNull() & ~F.isnan(score)).groupBy(*by, (score + F.lit(0.0)).alias("p")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
     )
 
 
 def _ranked(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     measures = {"pos_below": F.col("pos"), "neg_below": F.col("neg")}
-    return prefix_sums(counts, list(by), ["p"], measures, UNIT_STRIDES, totals=list(measures), hot_rows=None)
+    return prefix_sums(counts, list(by), ["p"], measures, totals=list(measures), hot_rows=None)
 
 
 def ranking_from_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -1,8 +1,8 @@
 """Ordered per-group operators that never put a whole large group into one task.
 
 A patient or visit may own a large share of all rows, so a window over a group
-is safe only for groups of known size. Every operator here counts the group
-sizes first. If no group has more than ``hot_rows`` rows, the plain window is all
+is safe only for groups of known size. Every operator here asks for the largest group's
+size first (``sizes.py``: counted once per table and keys, or handed in as ``sizes``). If no group has more than ``hot_rows`` rows, the plain window is all
 there is. Otherwise the rows of the hot groups, and only they, are range-partitioned by keys and
 order columns; the range bounds follow the rows themselves, so clustered times,
 texts with a common start, sparse ids and ties on the leading column are cut into
@@ -27,12 +27,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from vitalgrid.functions.timing import US_PER_DAY, micros
+from vitalgrid.operators.sizes import GroupSizes, group_sizes
 from vitalgrid.session import materialize
 
 TIME_STRIDE = 7 * US_PER_DAY
 COUNT_STRIDE = 4096
-# Two levels for probabilities; powers of two keep the chunk numbers exact.
-UNIT_STRIDES = (2.0**-12, 2.0**-24)
 
 _BEFORE_ALL = -(2**62)
 _CHUNK = "_chunk"
@@ -62,10 +61,13 @@ def _chunk(axis: Column, stride: float) -> Column:
     return F.coalesce(F.floor(axis / step).cast("long"), F.lit(_BEFORE_ALL))
 
 
-def add_chunk(df: DataFrame, leading: str, stride: float | None = None, name: str = _CHUNK) -> DataFrame:
-    """Number the chunks of the leading order column, for all groups."""
-    axis, default = _axis(df, leading)
-    return df.withColumn(name, _chunk(axis, stride or default))
+def add_range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = _CHUNK) -> DataFrame:
+    """Cut all rows by the order of (keys, order columns) into parts of about equal size, whatever the values are.
+
+    The bounds come from the rows themselves. Stored, as a retry could sample other bounds.
+    """
+    parts = df.repartitionByRange(*keys, *order).withColumn(name, F.spark_partition_id().cast("long") + 1)
+    return materialize(parts).withColumn(_HOT, F.lit(True))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
@@ -76,21 +78,24 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
 
 def add_hot_chunks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], strides: Sequence[float] | None, hot_rows: int | None,
-    names: Sequence[str] = (_CHUNK,),
+    names: Sequence[str] = (_CHUNK,), sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Add chunk numbers: 0 for a group of usual size, from 1 on for a hot one.
 
-    With ``hot_rows`` None every group is cut by strides, a level per name.
+    With ``hot_rows`` None every group is cut by strides, a level per name. ``sizes`` is that of a table whose
+    groups are at least as large, by these keys or fewer of them.
     """
     if hot_rows is None:
         axis, default = _axis(df, order[0])
         chunks = {n: _chunk(axis, s) for n, s in zip(names, strides or [default])}
         return df.withColumns({**chunks, _HOT: F.lit(True)})
     plain = {n: F.lit(0).cast("long") for n in names}
+    if not (sizes is not None and sizes.bounds(keys) and sizes.rows <= hot_rows) and keys:
+        sizes = group_sizes(df, keys)
+    if sizes is not None and sizes.rows <= hot_rows:
+        return df.withColumns({**plain, _HOT: F.lit(False)})
     hot = materialize(hot_keys(df, keys, hot_rows))
     total = hot.agg(F.sum("_n")).first()[0]
-    if not total:
-        return df.withColumns({**plain, _HOT: F.lit(False)})
     parts = 2 * -(-total // hot_rows)
     # Rows on the left: a hot key may be most of them, and the list has one row per key.
     warm = df.join(hot.select(*keys), list(keys), "left_semi").select(*df.columns)
@@ -112,20 +117,24 @@ def prefix_sums(
     strides: Sequence[float] | None = None,
     totals: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Add, per measure, the sum over all earlier rows of the group (0 for the first).
 
-    ``strides`` go from coarse to fine; each level bounds the summary window of
-    the level above it. For a name in ``totals`` the group total is added as
+    Without keys, or with ``hot_rows`` None, all rows are cut: by ``strides`` from coarse to fine, where each level
+    bounds the summary window of the level above it, or, without strides, into parts of about equal size. For a name in ``totals`` the group total is added as
     ``<name>_total``.
     """
     keys, order = list(keys), list(order)
     # The stride levels are for cutting every group; hot groups are cut by their rows, in one level.
     cut_all = hot_rows is None or not keys
-    levels = list(strides or [_axis(df, order[0])[1]]) if cut_all else [1]
+    levels = list(strides or [1]) if cut_all else [1]
     chunk_cols = [f"{_CHUNK}{i}" for i in range(len(levels))]
     value = {f"_m_{n}": m for n, m in measures.items()}
-    rows = add_hot_chunks(df.withColumns(value), keys, order, levels, None if cut_all else hot_rows, chunk_cols)
+    if cut_all and strides is None:
+        rows = add_range_chunks(df.withColumns(value), keys, order, chunk_cols[0])
+    else:
+        rows = add_hot_chunks(df.withColumns(value), keys, order, levels, None if cut_all else hot_rows, chunk_cols, sizes)
 
     summary = rows.where(_HOT).groupBy(*keys, *chunk_cols).agg(*[F.sum(v).alias(v) for v in value])
     carry = None
@@ -169,6 +178,7 @@ def ordinal(
     size: str | None = None,
     stride: float | None = None,
     hot_rows: int | None = HOT_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Position of each row in its group, from 1.
 
@@ -178,7 +188,7 @@ def ordinal(
     keys, order = list(keys), list(order)
     if kind not in ("row_number", "dense_rank"):
         raise ValueError(f"unknown ordinal kind {kind!r}")
-    rows = add_hot_chunks(df, keys, order, [stride] if stride else None, hot_rows)
+    rows = add_hot_chunks(df, keys, order, [stride] if stride else None, hot_rows, sizes=sizes)
     chunk = Window.partitionBy(*keys, _CHUNK)
     inside = chunk.orderBy(*order)
     if kind == "row_number":
@@ -210,6 +220,7 @@ def neighbour(
     side: str,
     stride: float | None = None,
     hot_rows: int | None = HOT_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Values of the previous (``side="lag"``) or next (``"lead"``) row of the group.
 
@@ -219,7 +230,7 @@ def neighbour(
     if side not in ("lag", "lead"):
         raise ValueError(f"unknown side {side!r}")
     keys, order = list(keys), list(order)
-    rows = add_hot_chunks(df, keys, order, [stride] if stride else None, hot_rows)
+    rows = add_hot_chunks(df, keys, order, [stride] if stride else None, hot_rows, sizes=sizes)
     shift = F.lag if side == "lag" else F.lead
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     packed = F.struct(*[F.col(c).alias(n) for n, c in cols.items()])
@@ -247,6 +258,7 @@ def impute(
     bound: int | None = None,
     stride: float | None = None,
     hot_rows: int | None = HOT_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Carry the last value forward, then fill what is left at the start backward.
 
@@ -277,7 +289,7 @@ def impute(
     if bound is not None:
         return df.withColumns(fill(keys, carry=False)).select(*df.columns)
 
-    rows = add_hot_chunks(df, keys, order, [stride] if stride else None, hot_rows)
+    rows = add_hot_chunks(df, keys, order, [stride] if stride else None, hot_rows, sizes=sizes)
     at = F.struct(*order)
     edges = []
     for c in cols:
@@ -347,9 +359,10 @@ def position01(
     single: float = 1.0,
     stride: float | None = None,
     hot_rows: int | None = HOT_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """(rank - 1) / (n - 1) inside the group; ``single`` for a group of one row."""
-    ranked = ordinal(df, keys, order, out="_rank", size="_n", stride=stride, hot_rows=hot_rows)
+    ranked = ordinal(df, keys, order, out="_rank", size="_n", stride=stride, hot_rows=hot_rows, sizes=sizes)
     pos = F.when(F.col("_n") == 1, F.lit(float(single))).otherwise(
         (F.col("_rank") - 1) / F.nullif(F.col("_n") - 1, F.lit(0))
     )
