@@ -112,7 +112,7 @@ def _(t: Tables):
     # Every key comes twice, in slices; a second run adds nothing.
     JL.append_new(docs.union(docs), path, "doc_id", slices=3)
     JL.append_new(docs, path, "doc_id")
-    stored = JL.read_jsonl(t.spark, path, "doc_id long, n long")
+    stored = JL.read_appended(t.spark, path, "doc_id long, n long")
     return stored.groupBy("doc_id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
 
 

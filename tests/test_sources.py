@@ -44,7 +44,7 @@ def test_append_resume(spark, tmp_path, rows):
     JL.append_new(df.where("id = 1"), path, "id")
     JL.append_new(df.withColumn("text", F.lit("later")), path, "id")
     JL.append_new(df, path, "id")
-    assert rows(JL.read_jsonl(spark, path, SCHEMA)) == [(1, "a"), (2, "later")]
+    assert rows(JL.read_appended(spark, path, SCHEMA)) == [(1, "a"), (2, "later")]
 
 
 def test_append_takes_each_key_once_and_scores_it_once(spark, tmp_path, rows):
@@ -84,10 +84,64 @@ def test_append_resumes_after_a_broken_slice(spark, tmp_path, rows):
 
     with pytest.raises(RuntimeError):
         JL.append_new(df, path, "id", transform=fail_late, slices=4)
-    assert 0 < JL.read_jsonl(spark, path, SCHEMA).count() < 40
+    assert 0 < JL.read_appended(spark, path, SCHEMA).count() < 40
     assert sorted(r.id for r in JL.append_new(df, path, "id", slices=4).collect()) == list(range(40))
 
 
+def test_append_scans_its_input_once_and_shows_committed_slices_only(spark, tmp_path):
+    """Killed inside the third of five slices: two are seen, and the second call scores what is left."""
+    path, scans, scored = str(tmp_path / "out"), tmp_path / "scans", tmp_path / "scored"
+    scans.mkdir(), scored.mkdir()
+
+    def logged(folder, fail_at=None):
+        folder = str(folder)
+
+        def run(batches):
+            for batch in batches:
+                for i in batch.column("id").to_pylist():
+                    if i == fail_at:
+                        raise RuntimeError("lost")
+                    with open(f"{folder}/{i}-{uuid.uuid4().hex}", "w"):
+                        pass
+                yield batch
+
+        return run
+
+    source = spark.range(0, 60, 1, 3).select("id", F.col("id").cast("string").alias("text")).mapInArrow(logged(scans), SCHEMA)
+    slice_of = {r["id"]: r["s"] for r in spark.range(60).select("id", F.pmod(F.xxhash64("id"), F.lit(5)).alias("s")).collect()}
+    last = max(i for i in slice_of if slice_of[i] == 2)
+    scorer = lambda fail: lambda d: d.mapInArrow(logged(scored, fail), SCHEMA)
+    with pytest.raises(Exception):
+        JL.append_new(source, path, "id", transform=scorer(last), slices=5)
+    assert len(list(scans.iterdir())) == 60
+    seen = sorted(r["id"] for r in JL.read_appended(spark, path, SCHEMA).collect())
+    assert seen == [i for i in range(60) if slice_of[i] < 2]
+    # Half of a slice may lie there, without its line in the log.
+    (tmp_path / "out" / "slices" / "torn").mkdir()
+    (tmp_path / "out" / "slices" / "torn" / "part-0.json").write_text('{"id": 1, "text": "x"}\n{"id": 59, "te')
+    for f in scored.iterdir():
+        f.unlink()
+    out = JL.append_new(source, path, "id", transform=scorer(None), slices=5)
+    assert sorted(int(f.name.split("-")[0]) for f in scored.iterdir()) == [i for i in range(60) if slice_of[i] >= 2]
+    assert sorted(map(tuple, out.collect())) == sorted((i, str(i)) for i in range(60))
+
+
+def test_append_of_columns_without_an_order(spark, tmp_path):
+    df = spark.sql("select k, map('a', k) as m, array(map('b', v)) as n from values (1, 5), (1, 4), (2, 7) as t(k, v)")
+    out = JL.append_new(df, str(tmp_path / "out"), "k", slices=2)
+    assert sorted((r["k"], r["m"], r["n"]) for r in out.collect()) == [(1, {"a": 1}, [{"b": 4}]), (2, {"a": 2}, [{"b": 7}])]
+
+
+def test_append_to_plain_lines(spark, tmp_path, rows):
+    """Lines written before, by any writer, count as done."""
+    path = str(tmp_path / "out")
+    JL.write_jsonl(spark.createDataFrame([(1, "old")], SCHEMA), path)
+    out = JL.append_new(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), path, "id")
+    assert rows(out) == [(1, "old"), (2, "b")]
+    with pytest.raises(FileNotFoundError):
+        JL.read_appended(spark, str(tmp_path / "none"), SCHEMA)
+
+
 def test_damaged_parameters_give_the_default(spark, tmp_path):
     path = tmp_path / "p"
     TB.save_params(spark.createDataFrame([("t", 0.25)], "name string, value double"), str(path))

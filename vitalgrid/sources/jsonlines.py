@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from vitalgrid.operators.joins import not_done
+from vitalgrid.session import shared_folder
 
 
 def _struct(schema: T.StructType | str) -> T.StructType:
@@ -71,26 +73,61 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists", keep_null
     df.write.mode(mode).option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
 
 
-def existing_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
-    """The output's good lines, or None where there is no output yet."""
+#: Beside the plain lines of an output, slices lie in folders of their own, and one line each in the log of commits.
+SLICES, COMMITS = "slices", "_commits"
+STAGED_SLICE = "_staged_slice"
+
+
+def _or_none(df: Callable[[], DataFrame]) -> DataFrame | None:
     try:
-        return spark.read.schema(_struct(schema)).option("mode", "DROPMALFORMED").json(path)
+        return df()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
+def committed_paths(spark: SparkSession, path: str) -> list[str]:
+    """The folders of an output's committed slices: one line of the log each."""
+    log = _or_none(lambda: spark.read.schema("slice string").json(f"{path}/{COMMITS}"))
+    return [] if log is None else sorted(f"{path}/{SLICES}/{r['slice']}" for r in log.distinct().collect())
+
+
+def existing_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """The output's good lines, or None where there is no output yet.
+
+    Plain lines count as they are; of slices only the committed ones are seen.
+    """
+    reader = lambda: spark.read.schema(_struct(schema)).option("mode", "DROPMALFORMED")
+    plain = _or_none(lambda: reader().option("pathGlobFilter", "*.json").json(path))
+    slices = committed_paths(spark, path)
+    done = reader().json(slices) if slices else None
+    if plain is None or done is None:
+        return plain if done is None else done
+    return plain.unionByName(done)
+
+
+def _ordering(schema: T.StructType, name: str) -> Column:
+    """A form of a column that has an order: maps and what holds them as text."""
+
+    def holds_map(t: T.DataType) -> bool:
+        inner = [t.elementType] if isinstance(t, T.ArrayType) else [f.dataType for f in t] if isinstance(t, T.StructType) else []
+        return isinstance(t, (T.MapType, T.VariantType)) or any(holds_map(x) for x in inner)
+
+    return F.to_json(F.struct(name)) if holds_map(schema[name].dataType) else F.col(name)
+
+
 def append_new(
     df: DataFrame, path: str, key: str, columns: Sequence[str] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None, slices: int = 1,
 ) -> DataFrame:
     """Append one row per key the output does not hold yet; returns the output as it is stored.
 
-    ``transform``, such as a model's scoring, runs after the keys were compared, once per
-    row. The work is written in ``slices`` by the key's hash, one after the other, so a run
-    that breaks off loses one slice and a repeated call goes on from there. Of rows
-    with the same key the smallest is taken.
+    The input is computed once: rows with new keys go to a staging table in the shared folder, in ``slices`` by
+    the key's hash. ``transform``, such as a model's scoring, then runs slice after slice on what is staged, and each
+    slice is committed by a line in the output's log when it is written. So a run that breaks off loses the
+    slice at work, nobody sees half of one, and a repeated call goes on from there. Of rows with the same key the
+    smallest is taken; columns without an order are compared as JSON text.
     """
     spark = df.sparkSession
     keep = list(columns or df.columns)
@@ -100,11 +137,27 @@ def append_new(
     todo = df if done is None else not_done(df, done, key)
     rest = [c for c in df.columns if c != key]
     if rest:
-        one = F.min(F.struct(*rest)).alias("_row")
+        one = F.min_by(F.struct(*rest), F.struct(*[_ordering(df.schema, c) for c in rest])).alias("_row")
         todo = todo.groupBy(key).agg(one).select(*[F.col(c) if c == key else F.col("_row")[c].alias(c) for c in df.columns])
     else:
         todo = todo.distinct()
+    staged = shared_folder(spark)
+    number = F.pmod(F.xxhash64(key), F.lit(slices)).cast("int")
+    todo.withColumn(STAGED_SLICE, number).hint("rebalance", STAGED_SLICE).write.partitionBy(STAGED_SLICE).parquet(staged)
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(STAGED_SLICE, T.IntegerType())])).parquet(staged)
+    run = uuid.uuid4().hex
     for i in range(slices):
-        part = todo if slices == 1 else todo.where(F.pmod(F.xxhash64(key), F.lit(slices)) == i)
-        write_jsonl((transform(part) if transform else part).select(*keep), path, mode="append")
-    return spark.read.schema(out.schema).option("mode", "DROPMALFORMED").json(path)
+        part = rows.where(F.col(STAGED_SLICE) == i).drop(STAGED_SLICE)
+        name = f"{run}-{i}"
+        write_jsonl((transform(part) if transform else part).select(*keep), f"{path}/{SLICES}/{name}")
+        spark.createDataFrame([(name,)], "slice string").coalesce(1).write.mode("append").json(f"{path}/{COMMITS}")
+    return read_appended(spark, path, out.schema)
+
+
+def read_appended(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """All rows that ``append_new`` has committed to an output."""
+    found = existing_or_none(spark, path, schema)
+    if found is None:
+        raise FileNotFoundError(f"{path} holds no output")
+    return found
+
