@@ -2,12 +2,18 @@
 
 One pattern finds all kinds, left to right. An entity is a kind and a normal form
 (digits of a phone number, lower-cased mail address), so its spellings share a
-surrogate, which is written back in each spelling's format. Surrogates come from a keyed hash of the
-entity and an attempt number. An attempt is refused while its surrogate is taken by another
-entity or equals an entity of the corpus; the refused take their next attempt. Every
+surrogate, which is written back in each spelling's format. A name is found by a title in front of it; each of
+its words is an entity of its own with the title's gender, so a surname keeps its surrogate whether the
+given name stands before it or not. Once a document has named a person, every mention of these words in it,
+without a title too, is replaced; a title that tells no gender takes the one that the document gives
+the word elsewhere.
+
+Surrogates come from a keyed hash of the entity and an attempt number. An attempt is refused while its surrogate is taken by another
+entity or equals an entity of the corpus; the refused take their next attempt, as often as it needs. Every
 ``GROW`` attempts a name gets another syllable, the local part of a mail address, a secret or a key another
 letter, a phone number another digit, so that their surrogates are never used up. The other
-kinds have a fixed length of at least nine digits (or four octets).
+kinds have a fixed length of at least nine digits (or four octets); only a corpus whose entities
+fill half of such a kind is refused.
 
 Everything is DataFrame functions. Defined cases: a null text stays null, an empty
 one empty; rows with null or repeated doc_ids are treated by their own text;
@@ -16,20 +22,29 @@ equal rows give equal rows; extra columns pass through.
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from vitalgrid.llm.common import content_key, free_name, stored
 
-MAX_ATTEMPTS = 64  # beyond this the surrogates of a fixed length are used up
 GROW = 4
-
-_MEN = "Mr|Herr|Herrn|Monsieur|Señor|Sr|Господин"
-_WOMEN = "Mrs|Ms|Miss|Frau|Mme|Madame|Mademoiselle|Señora|Señorita|Sra|Госпожа"
+#: Rounds after which the kinds of fixed length are counted against their values.
+COUNTED_ROUND = 64
+FIXED_VALUES = {"ssn": 10**9, "ip": 254**4}
+
+# Titles by the gender that they tell.
+_MEN = "Mr|Sir|Lord|Herr|Herrn|Monsieur|Señor|Sr|Don|Господин|Κύριος"
+_WOMEN = "Mrs|Ms|Miss|Lady|Dame|Frau|Fräulein|Mme|Mlle|Madame|Mademoiselle|Señora|Señorita|Sra|Srta|Doña|Dra|Doctora|Госпожа|Κυρία"
+_ANYONE = "Mx|Dr|Doctor|Docteur|Prof|Professor|Rev|Reverend|Hon|Judge|Captain|Maître|Доктор"
+_TITLES = f"{_MEN}|{_WOMEN}|{_ANYONE}"
+_WORD = r"\p{Lu}(?:[\p{L}\p{M}]|-(?=\p{L})|['’](?=\p{Lu}))+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: kind -> pattern; the first that fits at a place counts.
 PATTERNS = {
     "key_block": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----",
-    "secret": r"(?<![\p{L}\p{N}_])(?i:token|secret|password|passwd|pwd|api[_-]?key)(?-i)\s{0,3}[=:]\s{0,3}(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|(?=[^\s\"']{0,200}\d)[^\s\"',;&%#*$!]{6,})",
+    "secret": r"(?<![\p{L}\p{N}_])(?i:token|secret|password|passwd|pwd|api[_-]?key)(?-i)\s{0,3}[=:]\s{0,3}(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|[^\s\"']{5,}[^\s\"'.,;:!?)\]}>])",
     "cloud_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]{0,62})\.){1,8}\p{L}{2,24}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -37,10 +52,10 @@ PATTERNS = {
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MEN}|{_WOMEN})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {_WORD}(?: {_WORD}){{0,2}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_TITLE = rf"^((?:{_MEN}|{_WOMEN})\.? )"
+_TITLE = rf"^((?:{_TITLES})\.? )"
 _ASSIGN = r"^([\p{L}_-]+\s{0,3}[=:]\s{0,3}[\"']?)"
 #: Syllables and endings of made-up names: script -> (syllables, men's endings, women's endings).
 SYLLABLES = {
@@ -52,13 +67,31 @@ SYLLABLES = {
 
 def may_hold(text: Column) -> Column:
     """False only for texts without any entity; cheaper than the pattern."""
-    titles = [t for t in f"{_MEN}|{_WOMEN}".split("|")]
     found = text.rlike("[0-9@=:]") | F.contains(text, F.lit("PRIVATE KEY"))
-    for t in titles:
+    for t in _TITLES.split("|"):
         found = found | F.contains(text, F.lit(t))
     return found
 
 
+def _gender(head: Column) -> Column:
+    return F.when(head.rlike(rf"^(?:{_WOMEN})\.? "), "f:").when(head.rlike(rf"^(?:{_MEN})\.? "), "m:").otherwise("n:")
+
+
+def named_words(text: Column) -> Column:
+    """(word, gender) of every titled name's words, lower-cased, in the order of the text."""
+
+    def words(raw: Column) -> Column:
+        return F.transform(F.split(F.regexp_replace(raw, _TITLE, ""), " "), lambda w: F.struct(w.alias("word"), _gender(raw).alias("gender")))
+
+    return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(PATTERNS["name"]), F.lit(0)), words))
+
+
+def mention_pattern(named: Column) -> Column:
+    """The pattern of a text with named words, NULL without them: also the words alone, as they are or in capitals."""
+    words = F.transform(named, lambda n: n["word"])
+    words = F.array_join(F.array_distinct(F.concat(words, F.transform(words, lambda w: F.upper(w)))), "|")
+    around = r"|(?<![\p{L}\p{N}]|\p{L}['’-])(?=\p{Lu})(?:"
+    return F.when(F.size(named) > 0, F.concat(F.lit(PATTERN + around), words, F.lit(r")(?![\p{L}\p{M}\p{N}]|['’-]\p{Lu})")))
 
 
 def kind_of(raw: Column) -> Column:
@@ -76,9 +109,11 @@ def parts_of(raw: Column, kind: Column) -> tuple[Column, Column, Column]:
     return head, F.substr(raw, F.char_length(head) + 1, F.char_length(raw) - F.char_length(head) - F.char_length(tail)), tail
 
 
-def normal_form(core: Column, kind: Column, head: Column) -> Column:
-    """Equal for two spellings of one entity. A name's gender belongs to it."""
-    gender = F.when(head.rlike(rf"^(?:{_WOMEN})\.? $"), "f:").otherwise("m:")
+def normal_form(core: Column, kind: Column, head: Column, named: Column) -> Column:
+    """Equal for two spellings of one entity. A name's gender belongs to it: the title's, or what the text tells elsewhere."""
+    known = F.filter(named, lambda n: (F.lower(n["word"]) == F.lower(core)) & (n["gender"] != "n:"))
+    own = _gender(head)
+    gender = F.when(own != "n:", own).otherwise(F.coalesce(F.get(known, F.lit(0))["gender"], F.lit("n:")))
     return (
         F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(core, r"\D", ""))
         .when(kind == "iban", F.regexp_replace(core, " ", ""))
@@ -139,9 +174,9 @@ def _made_name(norm: Column, seed: Column, extra: Column) -> Column:
                 F.sequence(F.lit(1), extra), lambda j: F.get(s, _draw(seed, F.lit(1000) * (i + 1) + j, len(syllables.split())))
             )
             picks.append(F.when(extra > 0, F.array_join(more, "")).otherwise(""))
-            end = F.when(F.startswith(norm, F.lit("f:")), F.get(f, _draw(seed, F.lit(10) * i + 7, len(women.split())))).otherwise(
-                F.get(m, _draw(seed, F.lit(10) * i + 7, len(men.split())))
-            )
+            her, his = F.get(f, _draw(seed, F.lit(10) * i + 7, len(women.split()))), F.get(m, _draw(seed, F.lit(10) * i + 7, len(men.split())))
+            told = F.substr(norm, F.lit(1), F.lit(2))
+            end = F.when((told == "f:") | ((told == "n:") & (_draw(seed, F.lit(10) * i + 8, 2) == 0)), her).otherwise(his)
             made = F.initcap(F.concat(*picks, end))
             if script == "latin":
                 last = made
@@ -217,31 +252,46 @@ def written(core: Column, kind: Column, made: Column) -> Column:
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, pos, head, core, tail, kind, norm): every entity of every text."""
+    """(doc_id, content, pattern, pos, part, head, core, tail, kind, norm): every entity of every text.
+
+    A name gives a row per word, with the title or the blank before it as its head. ``pattern`` is the text's own where it names someone.
+    """
     text = F.col("text")
-    found = docs.where(may_hold(text)).select(
-        "doc_id", content_key(text).alias("content"), F.posexplode(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("pos", "raw")
-    )
+    rows = docs.where(may_hold(text)).select("doc_id", content_key(text).alias("content"), "text", named_words(text).alias("named"))
+    rows = rows.withColumn("pattern", mention_pattern(F.col("named")))
+    plain = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    own = F.regexp_extract_all(text, F.col("pattern"), F.lit(0))
+    found = rows.select("doc_id", "content", "named", "pattern", F.posexplode(F.when(F.col("pattern").isNull(), plain).otherwise(own)).alias("pos", "raw"))
     found = found.withColumn("kind", kind_of(F.col("raw")))
     head, core, tail = parts_of(F.col("raw"), F.col("kind"))
-    found = found.select("doc_id", "content", "pos", "kind", head.alias("head"), core.alias("core"), tail.alias("tail"))
-    return found.withColumn("norm", normal_form(F.col("core"), F.col("kind"), F.col("head")))
+    found = found.select("doc_id", "content", "named", "pattern", "pos", "kind", head.alias("head"), core.alias("core"), tail.alias("tail"))
+    words = F.when(F.col("kind") == "name", F.split("core", " ")).otherwise(F.array("core"))
+    found = found.withColumn("title", F.col("head")).select("*", F.posexplode(words).alias("part", "word")).drop("core")
+    found = found.withColumn("norm", normal_form(F.col("word"), F.col("kind"), F.col("title"), F.col("named")))
+    head = F.when(F.col("part") > 0, " ").otherwise(F.col("head")).alias("head")
+    return found.select("doc_id", "content", "pattern", "pos", "part", head, F.col("word").alias("core"), "tail", "kind", "norm")
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """(kind, norm, made) for the distinct entities, without two alike and without a real one."""
     made = surrogate_of(F.col("kind"), F.col("norm"), F.col("attempt"), key).alias("made")
-    now = stored(entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0)).select("*", made))
-    for _ in range(MAX_ATTEMPTS):
+    # Dealt by number: drawing is work for the processor, whatever the bytes.
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = entities.select("kind", "norm").repartition(tasks, "kind", "norm").distinct()
+    now = stored(distinct.withColumn("attempt", F.lit(0)).select("*", made))
+    for i in itertools.count(1):
         real = now.select(F.col("kind").alias("_k"), F.col("norm").alias("_n"))
         nth = F.row_number().over(W.partitionBy("kind", "made").orderBy("attempt", "norm"))
         checked = now.withColumn("nth", nth).join(real, (F.col("kind") == F.col("_k")) & (F.col("made") == F.col("_n")), "left")
         checked = stored(checked.select("kind", "norm", "attempt", "made", ((F.col("nth") > 1) | F.col("_n").isNotNull()).alias("bad")))
         if checked.where("bad").isEmpty():
             return checked.select("kind", "norm", "made")
+        if i == COUNTED_ROUND:
+            for r in checked.groupBy("kind").count().collect():  # a row per kind
+                if 2 * r["count"] > FIXED_VALUES.get(r["kind"], math.inf):
+                    raise ValueError(f"{r['count']} entities of kind {r['kind']} fill half of its format: too few surrogates are left")
         again = checked.where("bad").select("kind", "norm", (F.col("attempt") + 1).alias("attempt")).select("*", made)
         now = stored(checked.where("not bad").select("kind", "norm", "attempt", "made").union(again))
-    raise ValueError(f"no free surrogate after {MAX_ATTEMPTS} attempts: a kind has more entities than its format has surrogates")
 
 
 def replace_entities(docs: DataFrame, key: str, n_entities: str | None = None) -> DataFrame:
@@ -249,13 +299,16 @@ def replace_entities(docs: DataFrame, key: str, n_entities: str | None = None) -
     found = stored(find_entities(docs))
     made = assign(found, key)
     new = F.concat("head", written(F.col("core"), F.col("kind"), F.col("made")), "tail")
-    texts = found.join(made, ["kind", "norm"]).select("doc_id", "content", F.struct("pos", new.alias("new")).alias("x"))
-    lists = texts.groupBy("doc_id", "content").agg(F.array_sort(F.collect_set("x")).alias("x"))
-    mark, doc, own, new = (free_name(docs, f"_{n}") for n in ("content", "doc", "own", "new"))
-    lists = lists.select(F.col("doc_id").alias(doc), F.col("content").alias(own), F.col("x.new").alias(new))
+    texts = found.join(made, ["kind", "norm"]).select("doc_id", "content", "pattern", "pos", F.struct("part", new.alias("new")).alias("x"))
+    # Equal rows of one document give equal parts once.
+    whole = F.array_join(F.transform(F.array_sort(F.collect_set("x")), lambda x: x["new"]), "")
+    texts = texts.groupBy("doc_id", "content", "pattern", "pos").agg(whole.alias("new"))
+    lists = texts.groupBy("doc_id", "content").agg(F.array_sort(F.collect_list(F.struct("pos", "new"))).alias("x"), F.max("pattern").alias("pattern"))
+    mark, doc, own, new, pattern = (free_name(docs, f"_{n}") for n in ("content", "doc", "own", "new", "pattern"))
+    lists = lists.select(F.col("doc_id").alias(doc), F.col("content").alias(own), F.col("x.new").alias(new), F.col("pattern").alias(pattern))
     rows = docs.withColumn(mark, content_key(F.col("text")))
     rows = rows.join(lists, rows["doc_id"].eqNullSafe(lists[doc]) & (rows[mark] == lists[own]), "left")
-    between = F.split("text", PATTERN, -1)
+    between = F.when(F.col(pattern).isNull(), F.split("text", PATTERN, -1)).otherwise(F.split("text", F.col(pattern), -1))
     pieces = F.flatten(F.zip_with(between, F.col(new), lambda a, b: F.array(a, F.coalesce(b, F.lit("")))))
     text = F.when(F.col(new).isNull(), F.col("text")).otherwise(F.array_join(pieces, "")).alias("text")
     extra = [F.coalesce(F.size(new), F.lit(0)).cast("long").alias(n_entities)] if n_entities else []
