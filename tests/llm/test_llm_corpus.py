@@ -75,6 +75,24 @@ def test_near_dedup_groups(spark):
     assert near_dedup.near_groups(df.limit(0)).count() == 0
 
 
+def test_ids_with_several_texts(spark):
+    """One doc_id has two texts: near copies of either follow that text's own class; of equal rows one stays."""
+    rng = np.random.default_rng(8)
+    w, v = (" ".join(f"{c}{i}" for i in rng.integers(0, 10**6, 60)) for c in "wv")
+    rows = [(1, w), (1, v), (2, w + " x"), (3, v + " x"), (5, w + " y"), (6, v + " y"), (7, "alone here"), (1, w), (2, None), (2, None), (1, w.upper())]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n int")
+    got = near_dedup.near_groups(df).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (5, 1), (6, 1), (7, 7), (2, 2)}
+    kept = near_dedup.drop_near_copies(df, 5).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept if r.doc_id != 1) == [(2, ""), (2, ""), (7, "alone here")]
+    ones = [r.text.lower() for r in kept if r.doc_id == 1]
+    assert sorted(ones) == sorted([w, v])
+    again = df.unionByName(df.withColumn("n", F.col("n") + 100)).withColumn("_content", F.map_from_arrays(F.array("n"), F.array("n")))
+    kept = near_dedup.drop_near_copies(again, 5)
+    assert kept.columns == again.columns
+    assert sorted((r.doc_id, r.text.lower()) for r in kept.collect() if r.text) == sorted([(1, w), (1, v), (7, "alone here")])
+
+
 def test_components(spark):
     rng = np.random.default_rng(0)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(2000, x) for x in range(2001, 2100)]

@@ -1,6 +1,7 @@
 """MinHash near-dedup by an inverted join over signature coordinates.
 
-Texts with the same shingle set form one class, and classes are the nodes. A node
+Texts with the same shingle set form one class. Classes are the nodes and have numbers of their own; only
+at the end do they get document ids, so that ids which several texts share confuse nothing. A node
 is posted under each (coordinate, value) of its signature. A pair is a candidate if at
 least ``MATCHES`` of ``COORDS`` coordinates agree. Coordinates whose value no other
 node has cannot agree; of the m others a node needs to be looked up only under
@@ -15,12 +16,13 @@ each of its lists, the one whose coordinates are the most common. Confirmed link
 nodes to components; then only nodes of different components that share a list meet. So every
 link between candidates is either inside a component or confirmed itself.
 
-At a similarity of 0.8 a pair has fewer than 38 of 64 agreeing coordinates with a
-probability of about 4.3e-5, and less above.
+At a similarity of 0.8 a pair has fewer than 32 of 64 agreeing coordinates with a
+probability of about 2e-8, and less above.
 
 Defined cases: a text without words has an empty set and is linked with nothing; a
 text with fewer words than a shingle is one shingle; a null doc_id is left
-alone (component null, kept); equal rows fall together, and the smallest doc_id is kept.
+alone (component null, kept); equal rows fall together, and the smallest doc_id is kept; rows of one doc_id with
+different texts are told apart by their content.
 """
 
 from __future__ import annotations
@@ -31,14 +33,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from vitalgrid.llm.common import stored, text_pieces
+from vitalgrid.llm.common import content_key, free_name, numbered, stored, text_pieces
 from vitalgrid.llm.textblock import TextBlock, mix
 
 SHINGLE = 4
 PERCENT = 80
 COORDS = 64
-MATCHES = 38
+MATCHES = 32
 PIECE_BYTES = 1 << 20
+NODE_CHUNKS = 1024
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -75,7 +78,7 @@ def signatures(sets: list[np.ndarray], coords: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int = SHINGLE, coords: int = COORDS) -> DataFrame:
-    """(doc_id, n_shingles, class_key, signature); key and signature are null for an empty set."""
+    """(doc_id, content, n_shingles, class_key, signature); key and signature are null for an empty set."""
 
     def run(batches):
         for batch in batches:
@@ -88,12 +91,13 @@ def sketches(docs: DataFrame, width: int = SHINGLE, coords: int = COORDS) -> Dat
                     keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     sigs.append(next(signed).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, end - first), pa.array([len(s) for s in sets], pa.int64()),
+                    [*(batch.column(c).slice(first, end - first) for c in ("doc_id", "content")), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-                    ["doc_id", "n_shingles", "class_key", "signature"],
+                    ["doc_id", "content", "n_shingles", "class_key", "signature"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, class_key binary, signature binary")
+    rows = docs.select("doc_id", content_key(F.col("text")).alias("content"), "text")
+    return rows.mapInArrow(run, "doc_id long, content long, n_shingles long, class_key binary, signature binary")
 
 
 def _postings(nodes: DataFrame, coords: int) -> DataFrame:
@@ -174,18 +178,15 @@ def _like(pairs: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the wanted nodes; of rows with one doc_id the one whose set is the class's."""
+    """(node, shingles) of the wanted nodes: (node, doc_id, content) of one row of each class."""
 
     def run(batches):
         for batch in batches:
             for first, end, data, offsets in text_pieces(batch, "text", PIECE_BYTES):
                 sets = [s.tobytes() for s in shingle_sets(data, offsets, width)]
-                keys = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
-                nodes = batch.column("node").slice(first, end - first)
-                same = pa.array([k == w for k, w in zip(keys, batch.column("class_key").slice(first, end - first).to_pylist())])
-                yield pa.RecordBatch.from_arrays([nodes, pa.array(sets, pa.binary())], ["node", "shingles"]).filter(same)
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(first, end - first), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    rows = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node").select("node", "class_key", "text")
+    rows = docs.select("doc_id", content_key(F.col("text")).alias("content"), "text").join(wanted, ["doc_id", "content"]).select("node", "text")
     return rows.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
 
@@ -279,31 +280,60 @@ def _met(lists: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) ->
 def near_groups(
     docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, coords: int = COORDS, matches: int = MATCHES
 ) -> DataFrame:
-    """(doc_id, n_shingles, class_key, class_id, component_id): a row per document."""
+    """(doc_id, content, n_shingles, class_key, class_id, component_id, first): a row per document.
+
+    ``class_id`` and ``component_id`` are the smallest doc_ids of the document's class and component. ``first`` is true for one
+    (doc_id, content) of each component, the one to keep, and for what is linked with nothing.
+    """
     drawn = stored(sketches(docs, width, coords))
     full = drawn.where("class_key is not null and doc_id is not null")
-    classes = stored(full.groupBy("class_key").agg(F.min("doc_id").alias("node")))
-    nodes = full.join(classes.withColumnRenamed("class_key", "_key"), (F.col("doc_id") == F.col("node")) & (F.col("class_key") == F.col("_key")))
-    nodes = stored(nodes.select("node", "class_key", "signature").dropDuplicates(["node"]))
+    classes = full.groupBy("class_key").agg(F.min(F.struct("doc_id", "content")).alias("own"))
+    classes = classes.select("class_key", "own.doc_id", "own.content", F.pmod(F.xxhash64("class_key"), F.lit(NODE_CHUNKS)).alias("chunk"))
+    classes = stored(numbered(stored(classes), [], ["class_key"], "node", "chunk").drop("chunk"))
+    nodes = stored(full.join(classes, ["class_key", "doc_id", "content"]).select("node", "doc_id", "content", "signature").dropDuplicates(["node"]))
     lists = stored(prefixes(nodes, coords, matches))
     shared = stored(lists.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
     lists = stored(lists.join(shared, "key"))
-    wanted = nodes.join(lists.select("node").distinct(), "node").select("node", "class_key")
+    wanted = nodes.join(lists.select("node").distinct(), "node").select("node", "doc_id", "content")
     sets = stored(_sets(docs, wanted, width))
     parts = stored(_shared_parts(sets).where(F.col("common") * 100 >= F.col("size") * percent))
     lists = stored(lists.join(parts, "node"))
     links = stored(_confirmed(stored(_like(_star(lists, percent), nodes, matches)), sets, percent))
     rest = stored(_like(_met(lists, sets, components(links), percent), nodes, matches))
     more = stored(_confirmed(rest, sets, percent))
-    roots = components(links.union(more))
-    named = classes.join(roots, "node", "left").select(
-        "class_key", F.col("node").alias("class_id"), F.coalesce("root", "node").alias("component_id")
-    )
+    named = classes.join(components(links.union(more)), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = stored(named)
-    out = drawn.join(named, "class_key", "left")
+    heads = named.groupBy("root").agg(F.min(F.struct("doc_id", "node", "content")).alias("head"))
+    named = named.join(heads, "root").select(
+        "class_key", F.col("doc_id").alias("class_id"), F.col("head.doc_id").alias("component_id"),
+        F.col("head.content").alias("_content"), (F.col("head.node") == F.col("node")).alias("_head"),
+    )
+    out = drawn.join(stored(named), "class_key", "left")
     alone: Column = F.col("doc_id")
     own = F.when(F.col("doc_id").isNull(), None)
+    first = F.col("_head") & (F.col("component_id") == alone) & (F.col("_content") == F.col("content"))
     return out.select(
-        "doc_id", "n_shingles", "class_key", own.otherwise(F.coalesce("class_id", alone)).alias("class_id"),
-        own.otherwise(F.coalesce("component_id", alone)).alias("component_id"),
+        "doc_id", "content", "n_shingles", "class_key", own.otherwise(F.coalesce("class_id", alone)).alias("class_id"),
+        own.otherwise(F.coalesce("component_id", alone)).alias("component_id"), F.coalesce(F.when(alone.isNull(), True), first, F.lit(True)).alias("first"),
     )
+
+
+def drop_near_copies(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of near copies; rows without words and without a doc_id stay.
+
+    Only rows whose (doc_id, content) occurs again are compared with one another; of these the first by the hash of its columns stays.
+    """
+    found = stored(near_groups(docs, width, percent).select("doc_id", "content", "first", (F.col("n_shingles") > 0).alias("full")))
+    mark, doc, own, place = (free_name(docs, f"_{n}") for n in ("content", "doc", "own", "place"))
+    gone = found.where("not first").select(F.col("doc_id").alias(doc), F.col("content").alias(own)).distinct()
+    again = found.where("first and full and doc_id is not null").groupBy(F.col("doc_id").alias(doc), F.col("content").alias(own))
+    again = again.count().where("count > 1").select(doc, own)
+    rows = docs.withColumn(mark, content_key(F.col("text")))
+    same = (F.col("doc_id") == F.col(doc)) & (F.col(mark) == F.col(own))
+    once = rows.join(gone.union(again), same, "left_anti")
+    if again.isEmpty():
+        return once.select(*docs.columns)
+    order = F.xxhash64(*[F.to_json(F.struct(c)) for c in docs.columns if c.lower() not in ("doc_id", "text")], F.lit(0))
+    number = F.row_number().over(W.partitionBy("doc_id", mark).orderBy(order))
+    one = rows.join(again, same, "left_semi").withColumn(place, number).where(F.col(place) == 1)
+    return once.select(*docs.columns).unionByName(one.select(*docs.columns))
