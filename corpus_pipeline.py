@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitalgrid.llm.line_dedup import dedup_lines
-from vitalgrid.llm.near_dedup import near_groups
+from vitalgrid.llm.near_dedup import drop_near_copies
 from vitalgrid.llm.packing import pack_documents
 from vitalgrid.llm.quality import judge, train
 from vitalgrid.llm.queries import SURROGATE_KEY, vocabulary
@@ -40,9 +40,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    gone = near_groups(docs, width=SHINGLE).where("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies one row of the document with the smallest id stays."""
+    return drop_near_copies(docs, width=SHINGLE)
 
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
