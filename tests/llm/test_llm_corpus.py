@@ -333,6 +333,58 @@ def test_sharding_is_a_tree(spark):
     assert [shard[i] for i in range(600)] == sorted(shard[i] for i in range(600))
 
 
+def tree_by_hand(points, sizes, shards):
+    """Shard of each point: the widest dimension, as a share of the whole range, is cut at the weighted median."""
+    dims = len(points[0])
+    span = [max(p[d] for p in points) - min(p[d] for p in points) for d in range(dims)]
+    shard = [0] * len(points)
+
+    def split(rows, first, k):
+        for i in rows:
+            shard[i] = first
+        if k == 1:
+            return
+        width = [(max(points[i][d] for i in rows) - min(points[i][d] for i in rows)) / span[d] for d in range(dims)]
+        d = max(range(dims), key=lambda d: (width[d], -d))
+        rows = sorted(rows, key=lambda i: points[i][d])
+        want, left = sum(sizes[i] for i in rows) * (k // 2) // k, []
+        for i in rows:
+            if want < sizes[i]:
+                left += [i] if 2 * want >= sizes[i] and want > 0 else []
+                break
+            left.append(i)
+            want -= sizes[i]
+            if want == 0:
+                break
+        split(left, first, k // 2)
+        split([i for i in rows if i not in set(left)], first + k // 2, k - k // 2)
+
+    split(list(range(len(points))), 0, shards)
+    return shard
+
+
+def test_sharding_is_a_tree_in_two_dimensions(spark):
+    rng = np.random.default_rng(6)
+    n = 500
+    points = list(zip(rng.permutation(n).tolist(), (rng.permutation(n) ** 2).tolist()))
+    texts = ["y" * int(rng.integers(1, 60)) + str(i) for i in range(n)]
+    df = spark.createDataFrame([(i, t, *p) for i, (t, p) in enumerate(zip(texts, points))], "doc_id long, text string, a long, b long")
+    got = {r.doc_id: r.shard for r in sharding.kd_shards(df.repartition(5), ["a", "b"], shards=6).collect()}
+    assert [got[i] for i in range(n)] == tree_by_hand(points, [len(t) + 1 for t in texts], 6)
+
+
+def test_sharding_tells_texts_with_a_common_start_apart(spark):
+    rows = [(i, f"{i:04d}", "common_crawl_" + "ab"[i % 2], {"k": i}, i, "s") for i in range(64)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, m map<string,int>, _meta int, `c0.x` string")
+    out = sharding.kd_shards(df, ["source"], shards=2)
+    assert out.columns == ["doc_id", "source", "m", "_meta", "c0.x", "_size", "_crc", "shard", "slot"]
+    seen = collections.Counter((r.source[-1], r.shard) for r in out.collect())
+    assert seen == {("a", 0): 32, ("b", 1): 32}
+    assert all(r.m == {"k": r.doc_id} and r["_meta"] == r.doc_id for r in out.collect())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan
+
+
 def test_pipeline(spark):
     folder = SF2
     docs = spark.read.parquet(f"{folder}/documents.parquet")

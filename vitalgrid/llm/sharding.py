@@ -2,7 +2,7 @@
 
 A unit is a group of equal texts; only a group with over a 25th of a shard's
 bytes is cut into up to 256 units. A node of the tree holds some shards. It is cut along its
-widest metadata dimension (its range as a share of the whole table's range) where
+widest metadata dimension (texts count by their rank among the distinct values; its range as a share of the whole table's range) where
 the bytes on both sides match the numbers of shards. The cut is exact: 16 bits of
 the key are fixed per pass from a histogram of at most 65,536 cells a node, so
 that only cuts, one per node, reach the driver.
@@ -14,9 +14,10 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from vitalgrid.llm.common import free_name, numbered, stored
+from vitalgrid.llm.common import numbered, stored
 
 SHARDS = 8
 HEAVY_SHARE = 25  # a group is cut from 1/25 of a shard on
@@ -25,30 +26,58 @@ VALUE_BITS, HASH_BITS, STEP_BITS = 31, 31, 16
 SLOT_ROWS = 200_000
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """An order-preserving number: texts by their first six bytes."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
+def _number(df: DataFrame, name: str) -> Column | None:
+    """An order-preserving number; None for texts, which are ranked."""
     kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return None
     if isinstance(kind, T.NumericType):
         number = F.col(name).cast("double")
         return F.when(F.isnan(number), None).otherwise(number)
     return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
 
 
+def _ranked(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a text column replaced by its value's place among the column's distinct values, NULL for NULL.
+
+    Values are cut where the order itself cuts them into parts of equal size, whatever they begin with.
+    """
+    values = rows.select(F.col(name).alias("_v")).where("_v is not null").distinct()
+    parts = stored(values.repartitionByRange("_v").withColumn("_c", F.spark_partition_id()))
+    ranks = stored(numbered(parts, [], ["_v"], "_r", "_c").select("_v", F.col("_r").cast("double").alias("_r")))
+    joined = rows.join(ranks, rows[name] == ranks["_v"], "left")
+    return joined.select(*[F.col("_r").alias(name) if c == name else rows[c] for c in rows.columns])
+
+
+def _plain(schema: T.StructType, name: str) -> Column:
+    """A form of a column that can be hashed and ordered: what holds maps as text."""
+
+    def holds_map(t: T.DataType) -> bool:
+        inner = [t.elementType] if isinstance(t, T.ArrayType) else [f.dataType for f in t] if isinstance(t, T.StructType) else []
+        return isinstance(t, T.MapType) or any(holds_map(x) for x in inner)
+
+    return F.to_json(F.struct(name)) if holds_map(schema[name].dataType) else F.col(name)
+
+
 def kd_shards(docs: DataFrame, dims: list[str], shards: int = SHARDS, shard: str = "shard", slot: str = "slot") -> DataFrame:
     """``docs`` without its text, with _size, _crc, shard and slot (its number in the shard, from 0).
 
-    These replace columns of their names; other columns that begin with an underscore are left out.
+    These replace columns of their names; all others pass through.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    kept = [c for c in docs.columns if c.lower() not in ("text", shard.lower(), slot.lower()) and c[0] != "_"]
+    outputs = {"text", "_size", "_crc", shard.lower(), slot.lower()}
+    names = {f"c{i}": c for i, c in enumerate(c for c in docs.columns if c.lower() not in outputs)}
+    numbers = [_number(docs, d) for d in dims]
     rows = docs.select(
-        *kept, (F.octet_length(text).cast("long") + 1).alias("_size"), F.crc32(text).alias("_crc"),
-        F.unhex(F.md5(text)).alias("_text"), *[_number(docs, d).alias(f"_d{i}") for i, d in enumerate(dims)],
+        *[F.col(f"`{c}`").alias(n) for n, c in names.items()], (F.octet_length(text).cast("long") + 1).alias("_size"), F.crc32(text).alias("_crc"),
+        F.unhex(F.md5(text)).alias("_text"), *[(F.col(d) if x is None else x).alias(f"_d{i}") for i, (d, x) in enumerate(zip(dims, numbers))],
     )
+    kept = list(names)
+    plain = [_plain(rows.schema, c) for c in kept]
     rows = stored(rows)
+    for i, x in enumerate(numbers):
+        if x is None:
+            rows = stored(_ranked(rows, f"_d{i}"))
     ranges = rows.agg(
         F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("n"),
         *[f(f"_d{i}").alias(f"{f.__name__}{i}") for i in range(len(dims)) for f in (F.min, F.max)],
@@ -60,7 +89,7 @@ def kd_shards(docs: DataFrame, dims: list[str], shards: int = SHARDS, shard: str
         .where((F.col("_bytes") * shards * HEAVY_SHARE > total) | (F.col("_rows") * shards * HEAVY_SHARE > n))
         .select("_text", (F.col("_bytes") * shards * HEAVY_SHARE > total).alias("_heavy"))
     )
-    salt = F.pmod(F.xxhash64(*kept), F.lit(CUTS))
+    salt = F.pmod(F.xxhash64(*plain, F.lit(0)), F.lit(CUTS))
     rows = rows.join(F.broadcast(heavy), "_text", "left")  # its size is bounded above
     rows = rows.withColumn("_sub", F.when(F.col("_heavy").isNull(), 0).otherwise(salt))
     # A group with many rows and few bytes is salted for the join only and stays together.
@@ -83,15 +112,18 @@ def kd_shards(docs: DataFrame, dims: list[str], shards: int = SHARDS, shard: str
     rows = rows.join(placed, (rows["_text"] == placed["_t"]) & (rows["_sub"] == placed["_s"]))
     out = rows.select(*kept, "_size", "_crc", "_text", shard)
     chunks = max(1, n // shards // SLOT_ROWS)
-    chunk = free_name(out, "_chunk")
-    out = out.withColumn(chunk, F.pmod(F.xxhash64("_text", *kept), F.lit(chunks)))
-    order = [c for c in kept if not isinstance(docs.schema[c].dataType, T.MapType)]
-    return numbered(out, [shard], [*order, "_text"], slot, chunk).drop(chunk, "_text")
+    out = out.withColumn("_chunk", F.pmod(F.xxhash64("_text", *plain), F.lit(chunks)))
+    out = numbered(out, [shard], [*plain, "_text"], slot, "_chunk")
+    return out.select(*[F.col(n).alias(c) for n, c in names.items()], "_size", "_crc", shard, slot)
+
+
+def _at(values: list, kind: type) -> Column:
+    """A column of one value per node, from a constant array: nodes are numbered from 0."""
+    return F.get(F.lit(np.array(values, kind)), F.col("node"))
 
 
 def _split(units: DataFrame, dims: int, shards: int) -> DataFrame:
     """``units`` with the column node: the shard, from 0."""
-    spark = units.sparkSession
     units = units.withColumn("node", F.lit(0).cast("int"))
     parts = {0: shards}  # first shard of a node -> its number of shards
     while any(k > 1 for k in parts.values()):
@@ -128,29 +160,31 @@ def _split(units: DataFrame, dims: int, shards: int) -> DataFrame:
                 grown[node], grown[node + k // 2] = k // 2, k - k // 2
             else:
                 grown[node] = k
-        cuts = [(n, s["dim"], s["cut"], n + parts[n] // 2) for n, s in search.items()]
-        if cuts:
-            table = spark.createDataFrame(cuts, "node int, _dim int, _cut long, _right int")
-            key = F.get(F.array(*[f"k{i}" for i in range(dims)]), F.col("_dim"))
-            units = units.join(F.broadcast(table), "node", "left").withColumn(  # a row per node
-                "node", F.when(key > F.col("_cut"), F.col("_right")).otherwise(F.col("node"))
-            ).drop("_dim", "_cut", "_right")
+        if search:
+            at = [search.get(n) for n in range(shards)]
+            key = _key_of([s["dim"] if s else -1 for s in at], dims)
+            beyond = key > _at([s["cut"] if s else 0 for s in at], np.int64)
+            right = _at([n + parts[n] // 2 if s else n for n, s in enumerate(at)], np.int32)
+            units = units.withColumn("node", F.when(beyond, right).otherwise(F.col("node")))
         parts = grown
     return units
 
 
+def _key_of(dims_by_node: list[int], dims: int) -> Column:
+    """The key of each unit along its node's dimension, NULL for -1."""
+    return F.get(F.array(*[f"k{i}" for i in range(dims)]), _at(dims_by_node, np.int32))
+
+
 def _cells(units: DataFrame, search: dict[int, dict], dims: int) -> list[tuple[int, int, int, int]]:
     """(node, cell, bytes up to it, its bytes) of the cell in which each node reaches its mark."""
-    spark = units.sparkSession
-    table = spark.createDataFrame(
-        [(n, s["dim"], s["low"], s["high"], s["shift"], s["want"]) for n, s in search.items()],
-        "node int, _dim int, _low long, _high long, _shift int, _want long",
-    )
-    key = F.get(F.array(*[f"k{i}" for i in range(dims)]), F.col("_dim"))
-    inside = units.join(F.broadcast(table), "node").withColumn("_key", key)  # a row per node
+    at = [search.get(n) for n in range(max(search) + 1)]
+    inside = units.where(_at([s is not None for s in at], np.int32) == 1).withColumns({
+        "_key": _key_of([s["dim"] if s else -1 for s in at], dims),
+        **{f"_{c}": _at([s[c] if s else 0 for s in at], np.int64) for c in ("low", "high", "shift", "want")},
+    })
     cells = (
         inside.where("_key between _low and _high")
-        .groupBy("node", F.expr("shiftright(_key - _low, _shift)").alias("cell"))
+        .groupBy("node", F.expr("shiftright(_key - _low, cast(_shift as int))").alias("cell"))
         .agg(F.sum("w").alias("w"), F.max("_want").alias("_want"))
     )
     upto = F.sum("w").over(W.partitionBy("node").orderBy("cell"))
