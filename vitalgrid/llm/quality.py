@@ -2,8 +2,8 @@
 
 The field has two labels, line features and a transition score. It is fitted on the lines of a
 bounded sample of labelled documents (``SAMPLE_DOCS`` documents by hash order, of each at most
-``SAMPLE_LINES`` lines spread over it), a document's label standing for all
-its lines. Viterbi decoding then labels every line of every whole document; the
+``SAMPLE_LINES`` lines in runs of ``RUN_LINES`` neighbours spread over it), a document's label standing for all
+its lines. A run is a chain of its own, so that only lines that do follow one another teach the transitions. Viterbi decoding then labels every line of every whole document; the
 share of words in content lines decides. Two plain rules come first: too few words,
 or too many words in repeated windows.
 
@@ -28,6 +28,7 @@ REPEAT_PERCENT = 20
 WINDOW = 5
 SAMPLE_DOCS = 1500
 SAMPLE_LINES = 256
+RUN_LINES = 32
 CONTENT_SHARE = 0.5
 SYMBOLS = "#*$%&|<>"
 PIECE_BYTES = 1 << 20
@@ -116,7 +117,7 @@ def measure(block: TextBlock, lines: bool = True) -> Measures:
         np.ones(len(starts)), np.log1p(words), words == 0, np.minimum(solid / w, 30.0), (symbols[ends] - symbols[starts]) / solid,
         *[(r[ends] - r[starts]) / solid for r in map(_running, (c[data] for c in _CLASSES))],
         again, (echoes[word_at[:-1] + words] - echoes[word_at[:-1]]) / w, (repeated[word_at[:-1] + words] - repeated[word_at[:-1]]) / w,
-        np.log1p(np.minimum(counts["n_repeat_words"], 10_000) / np.maximum(1, counts["n_words"]))[doc_of_line],
+        np.log1p(counts["n_repeat_words"] / np.maximum(1, counts["n_words"]))[doc_of_line],
     ]
     return Measures(counts, np.stack(features, 1).astype(np.float64), words, line_at)
 
@@ -167,49 +168,78 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def fit_field(features: np.ndarray, line_at: np.ndarray, label: np.ndarray, rounds: int = 150, l2: float = 1e-3) -> Field:
-    """Maximum likelihood with an L2 penalty; ``label`` per text stands for all its lines."""
-    mean, scale = features.mean(0), features.std(0)
-    mean[0], scale[0] = 0.0, 1.0
-    scale[scale < 1e-9] = 1.0
-    x = (features - mean) / scale
-    lengths = np.diff(line_at)
-    order = np.argsort(-lengths, kind="stable")
-    falling = -lengths[order]
-    top = int(lengths.max())
-    lives = [order[: np.searchsorted(falling, -t, "left")] for t in range(top)]
-    y = np.repeat(label, lengths)
-    gold = np.zeros((len(x), 2))
-    gold[np.arange(len(x)), y] = 1
-    share = np.bincount(label, minlength=2) / len(label)
-    weight = (0.5 / np.maximum(share, 1e-9))[label] / lengths  # both kinds count alike, and each text
-    per_line = np.repeat(weight, lengths)
-    gold_moves = np.zeros((2, 2))
-    for c in (0, 1):
-        gold_moves[c, c] = (weight * (lengths - 1))[label == c].sum()
-    total = (weight * lengths).sum()
-    theta, m, v = np.zeros(2 * x.shape[1] + 4), 0.0, 0.0
-    for step in range(1, rounds + 1):
+class Fit:
+    """The penalised log-likelihood of labelled chains and its gradient.
+
+    A chain's label stands for all its lines. Both labels count alike, and so does each document: ``doc`` tells
+    which chains are of one.
+    """
+
+    def __init__(self, features: np.ndarray, line_at: np.ndarray, label: np.ndarray, doc: np.ndarray | None = None, l2: float = 1e-3):
+        self.mean, self.scale = features.mean(0), features.std(0)
+        self.mean[0], self.scale[0] = 0.0, 1.0
+        self.scale[self.scale < 1e-9] = 1.0
+        self.x, self.line_at, self.l2 = (features - self.mean) / self.scale, line_at, l2
+        lengths = np.diff(line_at)
+        order = np.argsort(-lengths, kind="stable")
+        falling = -lengths[order]
+        self.lives = [order[: np.searchsorted(falling, -t, "left")] for t in range(int(lengths.max()))]
+        self.y = np.repeat(label, lengths)
+        self.gold = np.zeros((len(self.x), 2))
+        self.gold[np.arange(len(self.x)), self.y] = 1
+        _, first, doc = np.unique(np.arange(len(label)) if doc is None else doc, return_index=True, return_inverse=True)
+        share = np.bincount(label[first], minlength=2) / len(first)
+        weight = (0.5 / np.maximum(share, 1e-9))[label] / np.bincount(doc, lengths)[doc]
+        self.per_line = np.repeat(weight, lengths)
+        self.gold_moves = np.zeros((2, 2))
+        for c in (0, 1):
+            self.gold_moves[c, c] = (weight * (lengths - 1))[label == c].sum()
+        self.total = self.per_line.sum()
+
+    def field(self, theta: np.ndarray) -> Field:
+        return Field(self.mean, self.scale, theta[:-4].reshape(-1, 2), theta[-4:].reshape(2, 2))
+
+    def value_and_gradient(self, theta: np.ndarray) -> tuple[float, np.ndarray]:
         weights, moves = theta[:-4].reshape(-1, 2), theta[-4:].reshape(2, 2)
-        s = x @ weights
+        s, line_at = self.x @ weights, self.line_at
         ahead, behind = np.zeros_like(s), np.zeros_like(s)
-        for t, live in enumerate(lives):
+        for t, live in enumerate(self.lives):
             at = line_at[live] + t
             ahead[at] = s[at] if t == 0 else s[at] + _log_sum(ahead[at - 1][:, :, None] + moves[None], 1)
-        for t in range(top - 2, -1, -1):
-            at = line_at[lives[t + 1]] + t
+        for t in range(len(self.lives) - 2, -1, -1):
+            at = line_at[self.lives[t + 1]] + t
             behind[at] = _log_sum(moves[None] + (s[at + 1] + behind[at + 1])[:, None, :], 2)
         z = _log_sum(ahead + behind, 1)
         p = np.exp(ahead + behind - z[:, None])
-        follows = np.ones(len(x), bool)
+        follows = np.ones(len(self.x), bool)
         follows[line_at[:-1]] = False
         at = np.flatnonzero(follows)
         pair = np.exp(ahead[at - 1][:, :, None] + moves[None] + (s[at] + behind[at])[:, None, :] - z[at][:, None, None])
-        g_moves = gold_moves - (pair * per_line[at][:, None, None]).sum(0)
-        g = np.concatenate([(x.T @ ((gold - p) * per_line[:, None])).ravel(), g_moves.ravel()]) / total - l2 * theta
+        g_moves = self.gold_moves - (pair * self.per_line[at][:, None, None]).sum(0)
+        g = np.concatenate([(self.x.T @ ((self.gold - p) * self.per_line[:, None])).ravel(), g_moves.ravel()]) / self.total
+        given = self.per_line @ s[np.arange(len(s)), self.y] + (self.gold_moves * moves).sum()
+        # A chain's weight is that of its first line.
+        value = (given - self.per_line[line_at[:-1]] @ z[line_at[:-1]]) / self.total
+        return float(value - self.l2 / 2 * theta @ theta), g - self.l2 * theta
+
+
+def fit_field(features: np.ndarray, line_at: np.ndarray, label: np.ndarray, doc: np.ndarray | None = None, rounds: int = 150) -> Field:
+    """Maximum likelihood with an L2 penalty over chains of at least one line."""
+    task = Fit(features, line_at, label, doc)
+    theta, m, v = np.zeros(2 * features.shape[1] + 4), 0.0, 0.0
+    for step in range(1, rounds + 1):
+        _, g = task.value_and_gradient(theta)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta = theta + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return Field(mean, scale, theta[:-4].reshape(-1, 2), theta[-4:].reshape(2, 2))
+    return task.field(theta)
+
+
+def sample_runs(first: int, end: int, lines: int = SAMPLE_LINES, run: int = RUN_LINES) -> list[tuple[int, int]]:
+    """At most ``lines`` of the lines from ``first`` to ``end``, as runs of neighbours spread evenly."""
+    if end - first <= lines:
+        return [(first, end)]
+    starts = np.linspace(first, end - run, max(1, lines // run)).astype(np.int64)
+    return [(int(a), int(a) + run) for a in starts]
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES) -> Field | None:
@@ -221,24 +251,22 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
         for batch in batches:
             for first, end, data, offsets in text_pieces(batch, "text", PIECE_BYTES):
                 m = measure(TextBlock(data, offsets))
-                rows = []
-                for i in range(end - first):
-                    a, b = int(m.line_at[i]), int(m.line_at[i + 1])
-                    at = np.unique(np.linspace(a, b - 1, min(b - a, sample_lines)).astype(np.int64))
-                    rows.append(m.features[at].tobytes())
+                rows = [sample_runs(int(a), int(b), sample_lines) for a, b in zip(m.line_at, m.line_at[1:])]
+                runs = [[m.features[a:b].tobytes() for a, b in r] for r in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(first, end - first) for c in ("doc_id", "_quality")] + [pa.array(rows, pa.binary())],
-                    ["doc_id", "_quality", "features"],
+                    [batch.column(c).slice(first, end - first) for c in ("doc_id", "_quality")] + [pa.array(runs, pa.list_(pa.binary()))],
+                    ["doc_id", "_quality", "runs"],
                 )
 
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "_quality", "text")
-    found = sample.mapInArrow(lines, "doc_id long, _quality int, features binary").collect()  # the bounded sample
-    found.sort(key=lambda r: (r["doc_id"], r["features"]))
-    label = np.array([r["_quality"] for r in found], np.int64)
+    found = sample.mapInArrow(lines, "doc_id long, _quality int, runs array<binary>").collect()  # the bounded sample
+    found.sort(key=lambda r: (r["doc_id"], [bytes(x) for x in r["runs"]]))
+    label = np.array([r["_quality"] for r in found for _ in r["runs"]], np.int64)
     if len(np.unique(label)) < 2:
         return None
-    parts = [np.frombuffer(r["features"], np.float64).reshape(-1, N_FEATURES) for r in found]
-    return fit_field(np.concatenate(parts), _running([len(p) for p in parts]), label)
+    doc = np.repeat(np.arange(len(found)), [len(r["runs"]) for r in found])
+    parts = [np.frombuffer(x, np.float64).reshape(-1, N_FEATURES) for r in found for x in r["runs"]]
+    return fit_field(np.concatenate(parts), _running([len(p) for p in parts]), label, doc)
 
 
 def judge(docs: DataFrame, field: Field | None, share: float = CONTENT_SHARE) -> DataFrame:
