@@ -31,8 +31,18 @@ def _stored(t: Tables, df: DataFrame) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+_done: dict[tuple[str, str], tuple[str, list[str]]] = {}
+
+
 def _published(t: Tables) -> tuple[str, list[str]]:
-    """The folder of all published tables of variant III, and the columns of the features."""
+    """The folder of all published tables of variant III, and the columns of the features; written once per session and input."""
+    at = t.spark.sparkContext.applicationId, t.folder
+    if at not in _done:
+        _done[at] = _publish(t)
+    return _done[at]
+
+
+def _publish(t: Tables) -> tuple[str, list[str]]:
     records = _stored(t, features.cohort(_stored(t, wide_table(raw_tables(t, P.III), P.III)), P.III, "outcome"))
     series = _stored(t, features.time_series(records, bound=P.III.outcome_rows))
     rows = features.scaled_splits(features.encoded(series, P.III), P.III)

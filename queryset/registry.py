@@ -209,11 +209,11 @@ class Tables:
     def hits(self) -> DataFrame:
         from vitalgrid.operators.events import window_join
 
-        grid = self.grid().select("patient", "visit", "outcome", "record")
+        grid = self.grid().select("patient", "visit", "outcome", "record", "record_start")
         return window_join(
             grid, self.visits(), self.events(), ["patient", "visit"], "admit", "discharge", "ts", 12,
-            values=["item", "num", "txt"],
-        )
+            values=["item", "num", "txt"], start="record_start",
+        ).drop("record_start")
 
     def wide(self) -> DataFrame:
         from vitalgrid.operators.events import max_of, pivot_items

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from queryset.registry import ITEMS, Tables, query
 from vitalgrid.functions.scalars import flag
-from vitalgrid.functions.texts import is_leak
 from vitalgrid.operators import joins as J
 from vitalgrid.operators.encode import min_max
 from vitalgrid.operators.lists import list_parts, top_items, top_pairs, visit_lists
@@ -15,6 +14,8 @@ from vitalgrid.operators.narrative import drop_leaks, limit_tokens
 from vitalgrid.operators.ordered import first_values
 from vitalgrid.operators.profile import cohort_profile, deceased, distinct_counts, nested_means, task_balance
 from vitalgrid.operators.sampling import split_by_entity
+from vitalgrid.session import shared_folder
+from vitalgrid.sources.tables import save_table
 
 PV = ["patient", "visit"]
 
@@ -105,8 +106,10 @@ def _(t: Tables):
     "fx_answers",
 )
 def _(t: Tables):
-    marked = t.answers().select(is_leak(F.col("answer")).alias("leak"))
-    return marked.agg(F.count_if(~F.col("leak")).alias("kept"), F.count_if("leak").alias("dropped"))
+    # The filter's own counts, filled by the run that writes the kept texts.
+    kept, seen = drop_leaks(t.answers(), "answer")
+    save_table(kept, shared_folder(t.spark))
+    return t.spark.createDataFrame([(seen.get["kept"], seen.get["dropped"])], "kept long, dropped long")
 
 
 @query(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from queryset.registry import Tables, query
-from vitalgrid.operators.sampling import pseudonymize, sample_exact, split_by_entity, stratified_sample
+from vitalgrid.operators.sampling import extend_pseudonyms, pseudonymize, sample_exact, split_by_entity, stratified_sample
+from vitalgrid.session import shared_folder
 
 RANKED = """fx_ranked as (
     select patient, label, row_number() over (partition by label order by md5(concat('42-', cast(patient as varchar))), patient) as r,
@@ -61,3 +62,19 @@ def _(t: Tables):
 )
 def _(t: Tables):
     return pseudonymize(t.admissions().select("visit", "patient"), "patient", 42).select("visit", F.col("patient"))
+
+
+@query(
+    "did_pseudonym_map",
+    """select patient, 10000 + case when old then r else n_old + r end as new_id from (
+         select *, row_number() over (partition by old order by md5(concat('42-', cast(patient as varchar))), patient) as r,
+                count(*) filter (where old) over () as n_old
+         from (select patient, patient in (select patient from fx_admissions) as old from fx_cohort))""",
+    "fx_admissions fx_cohort",
+)
+def _(t: Tables):
+    # A second load brings all customers: patients of the first load keep their numbers.
+    path = shared_folder(t.spark)
+    first = t.admissions().join(t.cohort().select("patient"), "patient", "left_semi")
+    extend_pseudonyms(t.spark, path, first, "patient", 42)
+    return extend_pseudonyms(t.spark, path, t.cohort(), "patient", 42)

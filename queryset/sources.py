@@ -141,11 +141,17 @@ def _(t: Tables):
     return t.spark.read.parquet(path)
 
 
-@query("snk_partitioned", "select patient, label from fx_cohort where patient is not null", "fx_cohort")
+@query(
+    "snk_partitioned",
+    """select patient, label, case when r <= floor(n * 0.7::double) then 'train'
+              when r <= floor(n * 0.7::double) + floor(n * 0.1::double) then 'val' else 'test' end as split
+       from (select *, row_number() over (order by md5(concat('42-', cast(patient as varchar))), patient) as r, count(*) over () as n from fx_cohort)""",
+    "fx_cohort",
+)
 def _(t: Tables):
     path = shared_folder(t.spark)
     TB.save_table(split_by_entity(t.cohort(), "patient", (0.7, 0.1), 42), path, ["split"])
-    return t.spark.read.parquet(path).select("patient", "label")
+    return t.spark.read.parquet(path).select("patient", "label", "split")
 
 
 @query("srt_global", "select patient, visit, record from fx_grid order by patient, visit, record", "fx_grid")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vitalgrid.operators.sampling import pseudonym_map, pseudonymize, sample_exact, split_by_entity, split_labels, stratified_sample
+from vitalgrid.operators.sampling import extend_pseudonyms, pseudonym_map, pseudonymize, sample_exact, split_by_entity, split_labels, stratified_sample
 
 
 @pytest.fixture(scope="module")
@@ -61,3 +61,27 @@ def test_pseudonyms(people, rows):
     assert sorted(r[0] for r in m.select("new_id").collect()) == list(range(10_001, 11_001))
     out = pseudonymize(people, "patient", 42)
     assert out.columns == people.columns and sizes(out) == sizes(people)
+
+
+def test_stored_pseudonyms_stay(spark, tmp_path):
+    """A later load with more patients keeps all old numbers and repeats none."""
+    path = str(tmp_path / "map")
+    load = lambda lo, hi: spark.range(lo, hi).select(F.col("id").alias("patient"))
+    first = {r[0]: r[1] for r in extend_pseudonyms(spark, path, load(0, 50).union(load(0, 50)), "patient", 42).collect()}
+    assert sorted(first.values()) == list(range(10_001, 10_051)) and sorted(first.values()) != [first[i] for i in range(50)]
+    more = load(30, 200).union(spark.createDataFrame([(None,)], "patient long"))
+    second = {r[0]: r[1] for r in extend_pseudonyms(spark, path, more, "patient", 42).collect()}
+    assert all(second[i] == n for i, n in first.items()) and sorted(second.values()) == list(range(10_001, 10_201))
+    assert {r[0]: r[1] for r in extend_pseudonyms(spark, path, load(0, 200), "patient", 42).collect()} == second
+    rows = pseudonymize(load(0, 3).withColumn("v", F.col("patient")), "patient", 42, path=path).collect()
+    assert {r["v"]: r["patient"] for r in rows} == {i: second[i] for i in range(3)}
+    spark.createDataFrame([(900, 10_001)], "patient long, new_id long").write.mode("append").parquet(path)
+    with pytest.raises(ValueError):
+        extend_pseudonyms(spark, path, load(0, 3), "patient", 42)
+
+
+def test_pseudonyms_of_an_empty_first_load(spark, tmp_path):
+    path = str(tmp_path / "map")
+    none = spark.range(0).select(F.col("id").alias("patient"))
+    assert extend_pseudonyms(spark, path, none, "patient", 1).count() == 0
+    assert extend_pseudonyms(spark, path, spark.range(3).select(F.col("id").alias("patient")), "patient", 1).count() == 3

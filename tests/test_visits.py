@@ -1,6 +1,7 @@
 """Hand cases for stays, windows, events and pivots."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,44 @@ def test_window_join_has_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("hot_rows", [10**6, 40])
+@pytest.mark.parametrize("start", [None, "record_start"])
+def test_window_join_equals_range_join(spark, hot_rows, start):
+    """Against the plain range join: events on borders, before, behind and in gaps; a hot visit; ties; NULL keys."""
+    rng = random.Random(4)
+    visits = spark.createDataFrame(
+        [(p, v, T0 + rng.randint(0, 50) * H, T0 + rng.randint(40, 160) * H) for p in range(6) for v in range(2)],
+        "patient long, visit long, admit timestamp_ntz, discharge timestamp_ntz",
+    )
+    grid = time_grid(visits, "admit", "discharge").where("record % 5 <> 3").withColumn("_us", F.col("record") * 10)
+    data = []
+    for i in range(900):
+        p = 1 if i % 3 == 0 else rng.randint(0, 7)
+        step = rng.choice([H, H / 2, dt.timedelta(seconds=1)])
+        data.append((p if i % 50 else None, 0 if i % 3 == 0 else rng.randint(0, 1), i, T0 + rng.randint(-20, 200) * step))
+    events = spark.createDataFrame(data + data[:5], "patient long, visit long, e int, ts timestamp_ntz")
+    keys = ["patient", "visit"]
+    out = window_join(grid, visits, events, keys, "admit", "discharge", "ts", values=["e"], start=start, hot_rows=hot_rows)
+    assert out.columns == [*grid.columns, "e"]
+    until = F.col("record_start") + F.make_dt_interval(hours=F.lit(12))
+    g, x = grid.alias("g"), events.alias("x")
+    on = (F.col("g.patient") == F.col("x.patient")) & (F.col("g.visit") == F.col("x.visit")) & (F.col("ts") >= F.col("record_start")) & (F.col("ts") < until)
+    want = g.join(x, on, "left").select("g.*", "e")
+    take = lambda d: sorted(map(tuple, d.select("patient", "visit", "record", "_us", "e").collect()), key=str)
+    assert take(out) == take(want)
+
+
+def test_window_join_shuffles_events_once(spark, tmp_path):
+    path = str(tmp_path / "e")
+    visits = stays(spark, (T0, T0 + 40 * H))
+    spark.createDataFrame([(1, 1, 7, T0)], "patient long, visit long, e int, ts timestamp_ntz").write.parquet(path)
+    grid = time_grid(visits, "admit", "discharge")
+    out = window_join(grid, visits, spark.read.parquet(path), ["patient", "visit"], "admit", "discharge", "ts", values=["e"], start="record_start")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
 def test_pivot_values(spark, rows):
     data = [(1, 10, 90.0), (1, 11, 98.6), (1, 12, 20.0), (2, 10, 36.5), (2, 11, 200.0), (3, 12, 1.0), (3, 13, 2.0), (3, 14, 3.0)]
     df = spark.createDataFrame(data, "k long, item int, num double")

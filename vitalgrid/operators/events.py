@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import add
+from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitalgrid.functions.scalars import f_to_c, flag, guard
 from vitalgrid.functions.timing import US_PER_DAY, US_PER_HOUR, micros
+from vitalgrid.operators.ordered import HOT_ROWS, add_hot_chunks
+from vitalgrid.operators.sizes import group_sizes
 from vitalgrid.operators.visits import n_windows
 
 
@@ -56,20 +58,67 @@ def events_in_windows(
 
 def window_join(
     grid: DataFrame, visits: DataFrame, events: DataFrame, keys: Sequence[str], admit: str, discharge: str, time: str,
-    hours: int = 12, record: str = "record", values: Sequence[str] = (),
+    hours: int = 12, record: str = "record", values: Sequence[str] = (), start: str | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every window of ``grid`` with its events; a window without events stays, with NULLs.
 
-    Events find their window by ``events_in_windows``. The filled windows are
-    the events joined to the grid on (keys, record), so an oversized window is
-    split on the event side; the empty ones come from an anti join with the
-    distinct filled windows.
+    One pass over the union of window starts and events in time order: an event takes the last window that began
+    before it in its visit, if that has not ended, and a window is empty if what follows it is no
+    event of its own. Both look at neighbours only, so they share one shuffle and one sort of the
+    events. Windows of a visit follow one another or leave gaps; they do not overlap. The rows of a visit that is
+    too large for one task are range-partitioned by time, and a summary row per part carries the
+    open window into the next part and the first row of the next part back.
+
+    ``start`` names the grid's column with the windows' starts; without it they follow from the visits' admission.
     """
-    at = list(keys) + [record]
-    hits = events_in_windows(visits, events, keys, admit, discharge, time, hours, record).select(*at, *values)
-    filled = hits.join(grid.hint("merge"), at, "inner").select(*grid.columns, *values)
-    empty = grid.join(hits.select(*at).distinct(), at, "left_anti")
-    return filled.unionByName(empty, allowMissingColumns=True)
+    keys = list(keys)
+    spare = lambda name: _spare([*grid.columns, *events.columns], name)
+    at, kind, window, value, opened, follows = map(spare, ("_us", "_kind", "_window", "_value", "_open", "_next"))
+    long = F.lit(hours * US_PER_HOUR)
+    packed = F.struct(*[F.col(c) for c in grid.columns])
+    if start is not None:
+        windows = grid.withColumn(at, micros(F.col(start)))
+    else:
+        facts = visits.select(*keys, micros(F.col(admit)).alias(at))
+        windows = grid.join(facts, keys).withColumn(at, F.col(at) + (F.col(record) - 1) * long)
+    windows = windows.select(*keys, F.col(at), F.lit(0).alias(kind), packed.alias(window))
+    events = events.where(reduce(and_, (F.col(k).isNotNull() for k in keys)))
+    rows = events.select(
+        *keys, micros(F.col(time)).alias(at), F.lit(1).alias(kind), F.struct(*[F.col(v) for v in values], F.lit(1).alias("_is")).alias(value)
+    )
+    both = windows.unionByName(rows, allowMissingColumns=True)
+    order = [at, kind]
+    # A visit has few windows beside its events.
+    cut = add_hot_chunks(both, keys, order, None, hot_rows, sizes=group_sizes(events, keys))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    mine = F.struct(F.col(at), F.col(window).alias("w"))
+    seen = F.last(F.when(F.col(kind) == 0, mine), ignorenulls=True)
+    ahead = F.struct(F.col(at), F.col(kind))
+    cut = cut.withColumns({
+        opened: seen.over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)), follows: F.lead(ahead).over(inside),
+    })
+    # Of hot visits only: the last window begun in each part, and the part's first row.
+    parts = cut.where("_hot").groupBy(*keys, "_chunk").agg(
+        F.max_by(mine, F.when(F.col(kind) == 0, F.struct(*order))).alias("_last"), F.min(ahead).alias("_first")
+    )
+    by = Window.partitionBy(*keys).orderBy("_chunk")
+    parts = parts.select(
+        *keys, "_chunk", F.last("_last", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("_last"),
+        F.lead("_first").over(by).alias("_first"),
+    )
+    cut = cut.join(parts.hint("merge"), [*keys, "_chunk"], "left")
+    cut = cut.withColumns({opened: F.coalesce(F.col(opened), F.col("_last")), follows: F.coalesce(F.col(follows), F.col("_first"))})
+    filled = (F.col(kind) == 1) & (F.col(at) < F.col(opened)[at] + long)
+    own = (F.col(follows)[kind] == 1) & (F.col(follows)[at] < F.col(at) + long)
+    empty = (F.col(kind) == 0) & ~F.coalesce(own, F.lit(False))
+    kept = cut.where(filled | empty)
+    return kept.select(*[F.col(opened)["w"][c].alias(c) for c in grid.columns], *[F.col(value)[v].alias(v) for v in values])
+
+
+def _spare(taken: Sequence[str], name: str) -> str:
+    while name in taken:
+        name = "_" + name
+    return name
 
 
 def max_of(item: str, ids: Sequence, value: str) -> Column:

@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from vitalgrid.session import materialize
 
 PREFIX = 3  # hexadecimal digits: 4,096 buckets, evenly filled by the hash
 
@@ -105,7 +108,44 @@ def pseudonym_map(ids: DataFrame, id_col: str, seed: int, offset: int = 10_000,
     return ranked.select(id_col, (F.col("_r") + offset).alias(out))
 
 
-def pseudonymize(df: DataFrame, id_col: str, seed: int, offset: int = 10_000) -> DataFrame:
-    """Replace an id by its pseudonym."""
-    mapped = df.join(pseudonym_map(df, id_col, seed, offset, "_new"), id_col, "inner")
-    return mapped.withColumn(id_col, F.col("_new")).select(*df.columns)
+def extend_pseudonyms(
+    spark: SparkSession, path: str, ids: DataFrame, id_col: str, seed: int, offset: int = 10_000, out: str = "new_id"
+) -> DataFrame:
+    """The pseudonym map stored at ``path``, extended by the ids it lacks.
+
+    Old ids keep their pseudonyms whatever comes later; new ones go on behind the largest number in use, in the
+    order of their hash rank (in two levels, as in ``pseudonym_map``). One writer at a time; after a run that broke off
+    the next one numbers what is still missing.
+    """
+    wanted = ids.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    old = stored_pseudonyms(spark, path, id_col, out)
+    last = None if old is None else old.agg(F.max(out)).first()[0]
+    fresh = wanted if old is None else wanted.join(old.select(id_col), id_col, "left_anti")
+    # Stored before it is appended, so that the map is not read and written in one job.
+    fresh = materialize(pseudonym_map(fresh, id_col, seed, offset if last is None else last, out))
+    if old is None or not fresh.isEmpty():
+        fresh.write.mode("append").parquet(path)
+    return stored_pseudonyms(spark, path, id_col, out)
+
+
+def stored_pseudonyms(spark: SparkSession, path: str, id_col: str, out: str = "new_id") -> DataFrame | None:
+    """The map at ``path``, None where there is none yet; two ids with one number, or an id with two, are an error."""
+    try:
+        found = spark.read.parquet(path).select(id_col, out)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    n, n_ids, n_numbers = found.agg(F.count(F.lit(1)), F.count_distinct(id_col), F.count_distinct(out)).first()
+    if not n == n_ids == n_numbers:
+        raise ValueError(f"{path}: {n} rows for {n_ids} ids and {n_numbers} pseudonyms; two writers at once?")
+    return found
+
+
+def pseudonymize(df: DataFrame, id_col: str, seed: int, offset: int = 10_000, path: str | None = None) -> DataFrame:
+    """Replace an id by its pseudonym; with ``path`` by that of the map stored there, which is extended first."""
+    if path is None:
+        ids = pseudonym_map(df, id_col, seed, offset, "_new")
+    else:
+        ids = extend_pseudonyms(df.sparkSession, path, df, id_col, seed, offset).withColumnRenamed("new_id", "_new")
+    return df.join(ids, id_col, "inner").withColumn(id_col, F.col("_new")).select(*df.columns)
