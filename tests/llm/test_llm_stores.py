@@ -178,3 +178,25 @@ def test_graph_prunes_and_connects():
                 seen.add(int(j))
                 todo.append(int(j))
     assert len(seen) >= 595
+
+
+def test_double_vectors_keep_their_precision(spark):
+    """Scores are those of the original doubles; large finite components take part."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 8))
+    x[7] *= 1e39
+    x[8, 0] = 10.800000006900001
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(900, [float("inf")] * 8), (901, [0.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for r in ann.nearest(df, df.where("vec_id % 50 = 0"), top=5).collect():
+        assert np.isclose(r.score, float(x[r.query_id] @ x[r.vec_id]), rtol=1e-14) and r.vec_id not in (r.query_id, 900, 901)
+
+
+def test_queries_in_slices_find_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(500, 6)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    queries = df.where("vec_id % 5 = 0")
+    whole = sorted(map(tuple, ann.nearest(df, queries, top=7).collect()))
+    monkeypatch.setattr(ann, "SLICE_QUERIES", 30)
+    assert sorted(map(tuple, ann.nearest(df, queries, top=7).collect())) == whole and len(whole) == 700

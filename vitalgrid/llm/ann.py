@@ -9,7 +9,8 @@ makes the largest inner product the smallest distance; it is measured from the l
 length, so that it is small for short vectors, and all distances are in double precision. A
 search orders by the products alone; scores are exact.
 
-A shard holds 65,536 distinct vectors at most on average; there are ``SHARDS`` at least.
+A shard holds 65,536 distinct vectors at most on average; there are ``SHARDS`` at least. Of more than ``SLICE_QUERIES`` queries
+each shard's are cut into slices by hash, which load its graph anew. Vectors are kept in double precision.
 
 Defined cases: vectors that are null, zero or hold a null or non-finite component take
 no part, nor do rows without a vec_id; vectors of different lengths never meet; equal
@@ -35,6 +36,7 @@ BUILD_BEAM = 64
 BEAM = 96
 ALPHA = 1.2
 BATCH = 1024
+SLICE_QUERIES = 16_384
 
 INDEX_SCHEMA = "dim int, shard int, slot int, vec binary, near binary, ids array<long>"
 
@@ -189,13 +191,13 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column("v")
-        vec = pa.array([np.asarray(v.values, np.float32).tobytes() for v in lists], pa.binary())
+        vec = pa.array([np.asarray(v.values, np.float64).tobytes() for v in lists], pa.binary())
         yield pa.RecordBatch.from_arrays(
             [vec if n == "v" else batch.column(n) for n in batch.schema.names], ["vec" if n == "v" else n for n in batch.schema.names]
         )
@@ -203,7 +205,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def vectors_of(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
     return rows.where(valid(F.col(vector)) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v")
+        F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")
     )
 
 
@@ -213,10 +215,12 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", vector: str = "embeddin
     nth = F.row_number().over(W.partitionBy("v").orderBy("id"))
     points = points.withColumn("nth", nth).where(F.col("nth") <= top + 1)
     points = points.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    points = stored(points.withColumn("_len", length))
-    facts = points.agg(F.count(F.lit(1)).alias("n"), F.max("_len").alias("top")).first()
-    shards, longest = max(SHARDS, -(-facts["n"] // SHARD_ROWS)), facts["top"] or 0.0
+    points = stored(points)
+    facts = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_max(F.transform("v", F.abs))).alias("big")).first()
+    # Graphs are built on multiples of the largest component, whose squares don't overflow.
+    shards, scale = max(SHARDS, -(-facts["n"] // SHARD_ROWS)), facts["big"] or 1.0
+    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / scale) * (x / scale))
+    longest = points.agg(F.max(length)).first()[0] or 0.0
     dealt = points.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"), "v", "ids")
     dealt = stored(dealt.mapInArrow(_packed, "dim int, shard int, vec binary, ids array<long>"))
 
@@ -227,7 +231,7 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", vector: str = "embeddin
             table = pa.Table.from_batches(held).combine_chunks()
             order = np.array(sorted(range(len(table)), key=lambda i: table["vec"][i].as_py()))
             table = table.take(pa.array(np.random.default_rng(7).permutation(order)))
-            near, entry = build_graph(lifted(_matrix(table["vec"].combine_chunks()), longest))
+            near, entry = build_graph(lifted(_matrix(table["vec"].combine_chunks()) / scale, longest))
             n = len(table)
             slot = np.arange(n, dtype=np.int32)
             # The entry point is the first slot.
@@ -256,15 +260,19 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", vector: str = "embeddin
 def search_index(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int = BEAM) -> DataFrame:
     """(query_id, rank, vec_id, score) for queries (id, v)."""
     shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
-    # A shard's rows come before the queries, which stream past its graph.
+    slices = max(1, -(-queries.count() // SLICE_QUERIES))
+    parts = shards * slices
+    # A shard's rows come before the queries, which stream past its graph; a slice has its own copy of them.
     asked = queries.mapInArrow(_packed, "id long, vec binary")
+    own = F.pmod(F.xxhash64("id"), F.lit(slices))
     asked = asked.select(
-        (F.octet_length("vec") / 4).cast("int").alias("dim"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), F.lit(0).alias("slot"), "vec",
+        (F.octet_length("vec") / 8).cast("int").alias("dim"),
+        F.explode(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: (s * slices + own).cast("int"))).alias("shard"), F.lit(1).alias("kind"), F.lit(0).alias("slot"), "vec",
         F.lit(None).cast("binary").alias("near"), F.array("id").alias("ids"),
     )
-    rows = index.select("dim", "shard", F.lit(0).alias("kind"), "slot", "vec", "near", "ids").union(asked)
-    stream = rows.repartitionByRange(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "kind", "slot")
+    copies = F.explode(F.sequence(F.col("shard") * slices, F.col("shard") * slices + slices - 1)).alias("shard")
+    rows = index.select("dim", copies, F.lit(0).alias("kind"), "slot", "vec", "near", "ids").union(asked)
+    stream = rows.repartitionByRange(parts, "shard", "dim").sortWithinPartitions("shard", "dim", "kind", "slot")
 
     def run(batches):
         now, held, graph = None, [], None
@@ -281,13 +289,13 @@ def search_index(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int
                 table = pa.Table.from_batches(held)
                 x = _matrix(table["vec"].combine_chunks())
                 near = np.frombuffer(b"".join(table["near"].to_pylist()), np.int32).reshape(len(x), -1)
-                graph = x.astype(np.float64), near, table["ids"].to_pylist()
+                graph = x, near, table["ids"].to_pylist()
                 step = max(1, min(BATCH, (64 << 20) // len(x)))
             x, near, ids = graph
             asked = part.slice(cut)
             for a in range(0, asked.num_rows, step):
                 some = asked.slice(a, step)
-                q = _matrix(some.column("vec")).astype(np.float64)
+                q = _matrix(some.column("vec"))
                 found, _ = search_graph(x, near, 0, q, min(beam, len(x)), products=True)
                 score = np.einsum("qrd,qd->qr", x[np.maximum(found, 0)], q)
                 score[found < 0] = -np.inf
