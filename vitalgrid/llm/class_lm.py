@@ -45,6 +45,8 @@ FOLDS, HELD_FOLD = 7, 2
 PIECE_BYTES = 1 << 20
 BLOCK_BYTES = 12 << 20
 BLOCK_DOCS = 60_000
+#: Tokens whose requests one task answers, and whose answers one task gathers.
+TOKENS_PER_TASK = 1 << 20
 
 
 def fold_of(doc_id: Column) -> Column:
@@ -352,7 +354,7 @@ def _fitted(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     for r in words.groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).collect():  # a row per class
         tokens[r["cls"]] += r["c"]
         kinds[r["cls"]] += r["k"]
-    blocks = stored(_resolved(docs, units, classes, words))
+    blocks = stored(_resolved(docs, units, classes, words, n))
     moved = _class_pairs(blocks, k)
     moves = np.log10((moved + 1) / (moved.sum(1, keepdims=True) + k))
     emits = np.log10(tokens + kinds + 1)
@@ -482,9 +484,14 @@ def _gathered(batches):
         yield from flush()
 
 
-def _resolved(docs: DataFrame, units: Units, classes: np.ndarray, words: DataFrame) -> DataFrame:
-    """(facts, seq): a row per block; its documents' numbers and the class of every token."""
-    known = _requests(docs, units, classes).join(words.select("word", "cls", "c"), "word", "left")
+def _resolved(docs: DataFrame, units: Units, classes: np.ndarray, words: DataFrame, tokens: int) -> DataFrame:
+    """(facts, seq): a row per block; its documents' numbers and the class of every token.
+
+    ``tokens``, about the number of all, sets the number of tasks, so that none grows with the corpus.
+    """
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), tokens // TOKENS_PER_TASK)
+    asked = _requests(docs, units, classes).repartition(tasks, "word")
+    known = asked.join(words.select("word", "cls", "c").repartition(tasks, "word"), "word", "left")
     known = known.select("block", "own", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("cls", F.lit(-1)).alias("cls"), "places")
     lists = known.mapInArrow(_gathered, "block long, own boolean, counts binary, places binary")
 
@@ -508,7 +515,7 @@ def _resolved(docs: DataFrame, units: Units, classes: np.ndarray, words: DataFra
             facts[5] += np.bincount(owner, np.log10(seen + 1.0), n)
         return pa.table({"facts": pa.array([facts.tobytes()], pa.binary()), "seq": pa.array([seq.tobytes()], pa.binary())})
 
-    return lists.groupBy("block").applyInArrow(run, "facts binary, seq binary")
+    return lists.repartition(tasks, "block").groupBy("block").applyInArrow(run, "facts binary, seq binary")
 
 
 def _opened(batch: pa.RecordBatch, end: int):
