@@ -261,3 +261,29 @@ def test_broken_quotes_and_headers(spark, tmp_path):
     read = lambda mode: TB.read_csv(spark, str(path), schema, multiline=True, mode=mode)
     assert sorted(map(tuple, read("DROPMALFORMED").collect())) == [(1, "a\nb"), (3, "f")]
     assert read("PERMISSIVE").count() == 4
+
+
+def test_scratch_folders_go_with_their_block(spark, tmp_path):
+    import os
+
+    from vitalgrid.session import scratch, shared_folder
+
+    kept = shared_folder(spark)
+    spark.range(3).write.parquet(kept)
+    with scratch(spark):
+        with scratch(spark):
+            shared_folder(spark)
+        later = shared_folder(spark)
+        spark.range(1).write.parquet(later)
+    assert not os.path.exists(later)
+    with pytest.raises(RuntimeError), scratch(spark):
+        outer = shared_folder(spark)
+        spark.range(3).write.parquet(outer)
+        with scratch(spark):
+            inner = shared_folder(spark)
+            spark.read.parquet(outer).write.parquet(inner)
+            spark.read.parquet(inner).write.parquet(str(tmp_path / "out"))
+        assert not os.path.exists(inner) and os.path.exists(outer)
+        shared_folder(spark)  # given, never written
+        raise RuntimeError
+    assert not os.path.exists(outer) and os.path.exists(kept) and spark.read.parquet(str(tmp_path / "out")).count() == 3

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,9 +55,35 @@ def _local_folder(application: str) -> str:
     return path
 
 
+#: Folders given out inside open ``scratch`` blocks.
+_given: list[list[str]] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach."""
-    return f"{_shared_base(spark)}/run-{uuid.uuid4().hex}"
+    path = f"{_shared_base(spark)}/run-{uuid.uuid4().hex}"
+    for block in _given:
+        block.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the shared folders that are given out inside the block when it ends.
+
+    For work that has written its result elsewhere by then: results are computed when they are
+    read, so a frame must not leave the block unwritten.
+    """
+    block: list[str] = []
+    _given.append(block)
+    try:
+        yield
+    finally:
+        _given[:] = [b for b in _given if b is not block]
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in block:
+            at = hadoop.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
