@@ -15,7 +15,7 @@ from vitalgrid.llm.packing import pack_documents
 from vitalgrid.llm.quality import judge, train
 from vitalgrid.llm.queries import SURROGATE_KEY, vocabulary
 from vitalgrid.llm.surrogates import replace_entities
-from vitalgrid.session import shared_folder, tune
+from vitalgrid.session import scratch, shared_folder, tune
 
 #: Near copies are compared by shingles of five words.
 SHINGLE = 5
@@ -72,6 +72,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
-        stage(spark, docs, sf_dir.rstrip("/")).write.parquet(path)
+        with scratch(spark):  # what a stage has stored on its way
+            stage(spark, docs, sf_dir.rstrip("/")).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
