@@ -123,7 +123,49 @@ def _(spark, folder):
     return scores(table(spark, folder, "documents"), fold_of(F.col("doc_id")) == HELD_FOLD)
 
 
-@query("op11_tiled_collocations")
+@query(
+    "op11_tiled_collocations",
+    rf"""
+    with texts as (
+      select row_number() over () as rid, coalesce(lang, 'und') as lang, translate(coalesce(text, ''), {AZ}) as t from documents
+    ), pieces as (
+      select rid, lang, unnest(ps) as piece, unnest(range(len(ps))) as pno
+      from (select *, regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]') as ps from texts)
+    ), words as (
+      select rid, lang, pno, unnest(ws) as w, unnest(range(len(ws))) as pos
+      from (select *, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces)
+    ), totals as (select lang, count(*) as n from words group by lang),
+    runs as (
+      select lang, w as w1, ws[2] as w2, ws[3] as w3, ws[4] as w4, ws[5] as w5
+      from (select lang, w, array_agg(w) over (partition by rid, pno order by pos rows between current row and 4 following) as ws from words)
+    ), f as (
+      select lang, k, phrase, count(*) as c from (
+        select lang, 1 as k, w1 as phrase from runs
+        union all select lang, 2, w1 || ' ' || w2 from runs
+        union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from runs
+        union all select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 from runs
+        union all select lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 from runs
+      ) where phrase is not null group by all having count(*) >= 100
+    ), cuts as (
+      select lang, k, phrase, c, cut, array_to_string(ws[:cut], ' ') as head, array_to_string(ws[cut + 1:], ' ') as tail
+      from (select *, string_split(phrase, ' ') as ws, unnest(range(1, k)) as cut from f where k > 1)
+    ), scored as (
+      select x.lang, x.k, x.phrase, x.c as a, h.c as l, t.c as r, n, x.cut, (1000::hugeint * x.c * n) // (h.c::hugeint * t.c) as score
+      from cuts x join f h on h.lang = x.lang and h.phrase = x.head and h.k = x.cut
+      join f t on t.lang = x.lang and t.phrase = x.tail and t.k = x.k - x.cut join totals on totals.lang = x.lang
+    ), low as (
+      select * from scored qualify row_number() over (partition by lang, phrase, k order by score, cut) = 1
+    ), kept as (
+      select * from low where not exists (
+        select 1 from f g where g.lang = low.lang and g.c = low.a and g.k > low.k
+          and contains(' ' || g.phrase || ' ', ' ' || low.phrase || ' '))
+    )
+    select * from (
+      select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase,
+             a, l, r, n, score::bigint as score from kept)
+    where rank <= 2000
+    """,
+)
 def _(spark, folder):
     return collocations(table(spark, folder, "documents"))
 
