@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitalgrid.functions.texts import split_trim, zip_lists
 from vitalgrid.operators.ordered import add_hot_chunks, ordinal
-from vitalgrid.operators.sizes import group_sizes
+from vitalgrid.operators.sizes import GroupSizes, group_sizes
 
 PART = 2048
 #: A task joins this many entries of one group; larger groups are joined in parts.
@@ -47,7 +47,7 @@ def list_parts(
 
 def visit_lists(
     df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], order: Sequence[str], sep: str = ";",
-    part_rows: int = LIST_ROWS, cell_bytes: int = CELL_BYTES,
+    part_rows: int = LIST_ROWS, cell_bytes: int = CELL_BYTES, sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """One joined list per group and column; NULL when it has no value.
 
@@ -56,11 +56,15 @@ def visit_lists(
     starts are cut as well, each part is joined by a task of its own, and only finished parts
     of a group meet: the last step holds no more than the cell it writes. A list of
     more than ``cell_bytes`` bytes is an error before anything is joined: use ``list_parts``.
+
+    ``sizes`` is that of a table whose groups are at least as large; entries are then taken to be short, and bytes
+    are measured only where it has a group of more than ``part_rows`` entries.
     """
     order = list(order)
     df = df.select(*dict.fromkeys([*keys, *order, *cols.values()]))
     texts = sorted(set(cols.values()))
-    sizes = group_sizes(df, keys, texts)
+    if sizes is None or not sizes.bounds(keys) or sizes.rows > part_rows:
+        sizes = group_sizes(df, keys, texts)
     if sizes.bytes > cell_bytes:
         raise ValueError(f"a joined list of {sizes.bytes} bytes does not fit one cell: use list_parts, which gives it in parts")
     if sizes.rows <= part_rows:

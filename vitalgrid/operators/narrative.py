@@ -184,7 +184,8 @@ def finetune_set(
         ).drop("record")
     else:
         per_visit = labels.groupBy("patient", "visit_pos").agg(F.avg(task).alias(task))
-    data = rank_align(texts, per_visit, "patient", ["visit"], ["visit_pos"])
+    # Read for the contexts, their sizes and the last visits; bounded by the sample.
+    data = materialize(rank_align(texts, per_visit, "patient", ["visit"], ["visit_pos"]))
 
     block = visit_block(F.col("visit"), F.col("gap_days"), {name: F.col(name) for _, name in LINES})
     context = patient_context(data, "patient", ["visit_rank"], block)

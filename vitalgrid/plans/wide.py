@@ -15,6 +15,7 @@ from vitalgrid.operators.events import (
 from vitalgrid.operators.joins import assemble, code_version, join_dictionary, only_first_record, to_wide_names
 from vitalgrid.operators.lists import visit_lists
 from vitalgrid.operators.sampling import pseudonym_map
+from vitalgrid.operators.sizes import group_sizes
 from vitalgrid.operators.visits import time_grid, visit_facts, visit_ordinal
 
 KEYS = ["patient", "visit"]
@@ -87,13 +88,13 @@ def code_lists(codes: DataFrame, names: DataFrame, spec: P.Variant, prefix: str)
     on = [spec.code_column] + (["icd_version"] if spec.code_version is not None else [])
     if spec.code_version is not None:
         codes, names = code_version(codes, "icd_version", spec.code_version), code_version(names, "icd_version", spec.code_version)
-    rows = join_dictionary(
-        codes.select("subject_id", "hadm_id", *on), names.select(*on, "long_title"), on
-    ).select(
-        F.col("subject_id").alias("patient"), F.col("hadm_id").alias("visit"),
-        F.col(spec.code_column).alias("code"), F.col("long_title").alias("title"),
+    coded = codes.select(F.col("subject_id").alias("patient"), F.col("hadm_id").alias("visit"), *on)
+    rows = join_dictionary(coded, names.select(*on, "long_title"), on).select(
+        *KEYS, F.col(spec.code_column).alias("code"), F.col("long_title").alias("title")
     )
-    return visit_lists(rows, KEYS, {f"{prefix}_codes": "code", f"{prefix}_titles": "title"}, ["code", "title"])
+    # A code has one title: the codes alone tell how long the lists are.
+    lists = {f"{prefix}_codes": "code", f"{prefix}_titles": "title"}
+    return visit_lists(rows, KEYS, lists, ["code", "title"], sizes=group_sizes(coded, KEYS))
 
 
 def wide_table(raw: RawTables, spec: P.Variant, hours: int = 12, readmission_days: int = 30) -> DataFrame:
