@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitalgrid.operators import metrics as M
+from vitalgrid.operators import ensemble
 from vitalgrid.operators.ensemble import evaluate, grid_search, grid_table, pick_best
 
 
@@ -167,6 +168,37 @@ def test_grid_and_choice(spark):
     assert np.isclose(done["auroc"], best[4]) and np.isclose(done["auprc"], best[5]) and np.isclose(done["min_ps"], best[6])
 
 
+@pytest.mark.parametrize("shape", ["even", "one score", "crowded"])
+def test_grid_in_chunks(spark, monkeypatch, shape):
+    """Many blocks and chunks give what one gives; no more than a quarter of pairs times weights is handed on."""
+    monkeypatch.setattr(ensemble, "BLOCK_PAIRS", 128)
+    monkeypatch.setattr(ensemble, "CHUNK_SCORES", 100)
+    rng = random.Random(5)
+    second = {"even": rng.random, "one score": lambda: 0.25, "crowded": lambda: 0.5 + rng.choice([0, 1e-12, 1e-9])}[shape]
+    rows = [(int(rng.random() < 0.4), round(rng.random(), 3), second()) for _ in range(900)]
+    extra = [(1, None, 0.5), (0, 0.5, None), (1, float("nan"), 0.1), (None, 0.4, 0.25)]
+    df = spark.createDataFrame(rows + extra, "y long, a double, b double")
+    got = sorted(tuple(r) for r in grid_table(df, "y", "a", "b", 5, (0.05, 0.95, 7)).select("a_no", "t_no", "auroc", "auprc", "min_ps").collect())
+    want = []
+    for i, w in enumerate(np.linspace(0, 1, 5)):
+        mix = [(y, w * a + (1 - w) * b) for y, a, b in rows]
+        n, roc, ap = sum(y for y, _ in mix), fast_auroc(mix), direct_ap(mix)
+        for j, t in enumerate(np.linspace(0.05, 0.95, 7)):
+            tp, fp = (sum(1 for y, p in mix if p >= t and y == k) for k in (1, 0))
+            want.append((i, j, roc, ap, min(tp / (tp + fp + 1e-12), tp / (n + 1e-12))))
+    assert np.allclose(np.array(got), np.array(want))
+    pairs = ensemble.score_pairs(df, "y", "a", "b")
+    n, alphas = pairs.count(), np.linspace(0, 1, 5).tolist()
+    handed = ensemble.packed_scores(pairs.repartition(8), alphas, ensemble._score_cuts(pairs, n, alphas), [0.5]).count()
+    assert handed <= n * len(alphas) / 4
+
+
+def test_grid_of_nothing(spark):
+    assert grid_table(spark.createDataFrame([], "y long, a double, b double"), "y", "a", "b").isEmpty()
+    one = grid_table(spark.createDataFrame([(1, 0.5, 0.5)], "y long, a double, b double"), "y", "a", "b", 3, (0.1, 0.9, 3))
+    assert one.count() == 9 and one.where("auroc is null and auprc = 1").count() == 9
+
+
 def test_other_measures(spark):
     df = spark.createDataFrame([(1.0, 1.2), (2.0, 1.0), (4.0, 4.0)], "y double, p double")
     r = M.regression_metrics(df, "y", "p", 0.25).first()
