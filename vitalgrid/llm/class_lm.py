@@ -1,10 +1,10 @@
 """Brown class-based bigram model: exchange clustering, smoothed transitions and emissions.
 
 log P(text) = sum of log P(class | class before) + log P(word | class) over the words and the
-end token. Every training token counts. Classes begin with units: words with a share of
-``FREQUENT`` of all tokens or more (at most 1 / FREQUENT words) are units of their own, every other
-word belongs to the unit of its ending (``ENDINGS`` units). Exchange clustering deals the units to classes:
-in a sweep each unit of one third moves to the class that raises the likelihood of the
+end token. Every training token counts. Classes begin with units: words of ``LEAST`` tokens and a
+share of ``FREQUENT`` or more (at most 1 / FREQUENT words) are units of their own, every other
+word belongs to the unit of its ending (``ENDINGS`` units). Exchange clustering deals the units to
+classes: in a sweep each unit of one third moves to the class that raises the likelihood of the
 class bigrams most. Then every other word, however rare, is inserted by its own
 neighbours into the class that makes them most likely; its ending's class counts as ``PRIOR`` nats
 of evidence. The class bigrams are counted again over all words' own classes. The number
@@ -36,7 +36,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vitalgrid.llm.common import stored, text_pieces
 from vitalgrid.llm.textblock import TextBlock, mix
 
-FREQUENT = 1e-4
+FREQUENT = 1e-5
+LEAST = 100  # tokens of a word that is a unit
 ENDINGS = 1024
 CLASSES = 32  # at least
 PRIOR = 3.0
@@ -117,7 +118,7 @@ def units_of(counts: DataFrame, n_docs: int, frequent: float = FREQUENT) -> tupl
     """(units, training tokens, distinct training tokens), the end token included."""
     totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = (totals["n"] or 0) + n_docs, totals["v"] + (n_docs > 0)
-    top = counts.where(F.col("c") >= frequent * n).select("word", "ending", "c").collect()  # at most 1 / frequent rows
+    top = counts.where(F.col("c") >= max(LEAST, frequent * n)).select("word", "ending", "c").collect()  # at most 1 / frequent rows
     top.sort(key=lambda r: r["word"])
     words, own = (np.array([r[k] for r in top], np.int64) for k in ("word", "c"))
     tokens, kinds = np.zeros(len(top) + ENDINGS + 1, np.int64), np.zeros(len(top) + ENDINGS + 1, np.int64)
