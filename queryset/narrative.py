@@ -11,6 +11,7 @@ from vitalgrid.operators.lists import visit_lists
 from vitalgrid.operators.narrative import (
     PromptText, chat_record, context_within, finetune_set, limit_tokens, patient_context, prompt, truth_block, visit_block,
 )
+from vitalgrid.operators.sizes import group_sizes
 from vitalgrid.operators.visits import gap_days
 
 PV = ["patient", "visit"]
@@ -47,12 +48,15 @@ TEXT = PromptText(
 
 def texts(t: Tables):
     rows = gap_days(t.admissions(), "patient", "visit", "admit", "discharge")
-    items = t.items()
+    # Joined once for three lists, whose groups are no larger than those of all items; and the texts are read by every
+    # step that counts, limits or joins them.
+    items = t.stored(t.items())
+    sizes = group_sizes(items, PV, ["title", "code"])
     for name, col, cond in (
         ("conditions", "title", "version < 35"), ("medications", "code", "version < 20"), ("procedures", "title", "version > 30"),
     ):
-        rows = attach(rows, visit_lists(items.where(cond), PV, {name: col}, ["seq", "code", "title"]), PV)
-    return rows
+        rows = attach(rows, visit_lists(items.where(cond), PV, {name: col}, ["seq", "code", "title"], sizes=sizes), PV)
+    return t.stored(rows)
 
 
 def block(style: str = "plain"):

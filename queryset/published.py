@@ -45,11 +45,13 @@ def _published(t: Tables) -> tuple[str, list[str]]:
 def _publish(t: Tables) -> tuple[str, list[str]]:
     records = _stored(t, features.cohort(_stored(t, wide_table(raw_tables(t, P.III), P.III)), P.III, "outcome"))
     series = _stored(t, features.time_series(records, bound=P.III.outcome_rows))
-    rows = features.scaled_splits(features.encoded(series, P.III), P.III)
+    rows = features.scaled_splits(_stored(t, features.encoded(series, P.III)), P.III)
     splits = split_labels(series, "patient", (0.7, 0.1), 42)
     folder = shared_folder(t.spark)
     rows = _stored(t, rows)
-    features.write_splits(rows, P.III, folder, features.split_texts(features.visit_texts(records), splits))
+    # Three files are written from the texts, so they are put together once; their visits are counted on stored rows.
+    texts = _stored(t, features.visit_texts(records))
+    features.write_splits(rows, P.III, folder, _stored(t, features.split_texts(texts, splits)))
     return folder, features.published(rows, P.III)[0].drop("split").columns
 
 
@@ -131,7 +133,8 @@ def _(t: Tables):
 
     rows = texts(t)
     labels = rows.select("patient", "visit", F.explode(F.array(F.lit(1), F.lit(2))).alias("record"), "outcome")
-    prompts = reasoning.reasoning_prompts(rows, labels, block(), ASK, "Outcome", "outcome", BUDGET)
+    # Two runs read the prompts.
+    prompts = _stored(t, reasoning.reasoning_prompts(rows, labels, block(), ASK, "Outcome", "outcome", BUDGET))
     path = shared_folder(t.spark)
     # A first run that got to every third patient, then the rest.
     reasoning.reasoning(prompts.where("patient % 3 = 0"), "Outcome", load, path, 10)
@@ -200,10 +203,11 @@ def _(t: Tables):
         return answer
 
     def score(df: DataFrame) -> DataFrame:
-        return score_batches(df, load, "patient long, answer string", 8)
+        return score_batches(df, load, "patient long, answer string", 8, tasks=t.spark.sparkContext.defaultParallelism)
 
     context = patient_context(texts(t), "patient", ["visit"], block())
-    asked = limit_tokens(prompt(context, TEXT, "Outcome"), "prompt", 60, "tail").select("patient", "prompt")
+    # Two runs read the prompts.
+    asked = _stored(t, limit_tokens(prompt(context, TEXT, "Outcome"), "prompt", 60, "tail").select("patient", "prompt"))
     path = shared_folder(t.spark)
     columns = ["patient", "answer"]
     append_new(asked.where("patient % 4 = 1"), path, "patient", columns, transform=score)

@@ -12,7 +12,8 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitalgrid.functions.scalars import flag
-from vitalgrid.session import tune
+from vitalgrid.session import shared_folder, tune
+from vitalgrid.sources.tables import save_table
 
 Query = Callable[["Tables"], DataFrame]
 
@@ -121,6 +122,12 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stored(self, df: DataFrame) -> DataFrame:
+        """Write an intermediate table to the shared folder and read it back: computed once, whoever reads it."""
+        path = shared_folder(self.spark)
+        save_table(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def visits(self) -> DataFrame:
         return (
             self.read("events")

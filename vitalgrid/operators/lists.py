@@ -57,13 +57,13 @@ def visit_lists(
     of a group meet: the last step holds no more than the cell it writes. A list of
     more than ``cell_bytes`` bytes is an error before anything is joined: use ``list_parts``.
 
-    ``sizes`` is that of a table whose groups are at least as large; entries are then taken to be short, and bytes
-    are measured only where it has a group of more than ``part_rows`` entries.
+    ``sizes`` is that of a table whose groups are at least as large; entries are then taken to be short unless it says
+    otherwise, and bytes are measured only where it has a group of more than ``part_rows`` entries or ``cell_bytes`` bytes.
     """
     order = list(order)
     df = df.select(*dict.fromkeys([*keys, *order, *cols.values()]))
     texts = sorted(set(cols.values()))
-    if sizes is None or not sizes.bounds(keys) or sizes.rows > part_rows:
+    if sizes is None or not sizes.bounds(keys) or sizes.rows > part_rows or sizes.bytes > cell_bytes:
         sizes = group_sizes(df, keys, texts)
     if sizes.bytes > cell_bytes:
         raise ValueError(f"a joined list of {sizes.bytes} bytes does not fit one cell: use list_parts, which gives it in parts")

@@ -27,15 +27,19 @@ def reasoning_prompts(
 
 
 def reasoning(
-    prompts: DataFrame, task: str, load: Callable[[], Scorer], path: str, batch_size: int, slices: int = 1
+    prompts: DataFrame, task: str, load: Callable[[], Scorer], path: str, batch_size: int, slices: int = 1,
+    tasks: int | None = None,
 ) -> tuple[DataFrame, Observation]:
     """Score the prompts the output does not hold yet, append, and drop texts that reveal the label.
 
     ``load`` gives a scorer of (patient, prompt) frames that returns (patient, answer).
-    The stored lines are (patient, task, answer).
+    The stored lines are (patient, task, answer). A slice is scored by ``tasks`` model copies, one per core of the
+    session unless stated: a staged slice is a few files, and as many tasks would score it.
     """
+    copies = tasks or prompts.sparkSession.sparkContext.defaultParallelism
+
     def score(df: DataFrame) -> DataFrame:
-        answers = score_batches(df, load, "patient long, answer string", batch_size)
+        answers = score_batches(df, load, "patient long, answer string", batch_size, tasks=copies)
         return answers.withColumn("task", F.lit(task))
 
     stored = append_new(prompts, path, "patient", ["patient", "task", "answer"], transform=score, slices=slices)
