@@ -18,6 +18,10 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Shuffles begin with many parts and are put together to about this size. So a task's share, and the memory of its
+    # sorts, follows this size and not the input divided by the cores.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "512",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # Split an oversized join partition even where that costs one more shuffle: a
     # patient may own a large share of all rows. A chunked window after a join on
     # the patient relies on it, as it would otherwise stay on the join's partitions.
