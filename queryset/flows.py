@@ -61,7 +61,8 @@ def raw_tables(t: Tables, spec: P.Variant) -> RawTables:
         user, hadm, F.col("ts").alias("charttime"),
         F.element_at(F.array(*[F.lit(i) for i in labs]), (eid % 3 + 1).cast("int")).alias("itemid"), num.alias("valuenum"),
     )
-    lines = t.items().withColumn("visit", F.col("visit") % 6).select(user, hadm, "seq", "code", "title", "version")
+    # Joined once: codes, procedures and drugs are counted and listed from it.
+    lines = t.stored(t.items()).withColumn("visit", F.col("visit") % 6).select(user, hadm, "seq", "code", "title", "version")
     version = F.when(F.col("version") % 2 == 0, 9).otherwise(10).alias("icd_version")
     code = spec.code_column
     codes = lines.select("subject_id", "hadm_id", "seq", F.col("code").alias(code), version)
@@ -334,7 +335,7 @@ def feature_rows(t: Tables, spec: P.Variant) -> DataFrame:
     series = features.time_series(records, bound=spec.outcome_rows)
     stored = shared_folder(t.spark)
     save_table(series, stored)
-    return features.scaled_splits(features.encoded(t.spark.read.parquet(stored), spec), spec)
+    return features.scaled_splits(t.stored(features.encoded(t.spark.read.parquet(stored), spec)), spec)
 
 
 def features_shown(df: DataFrame) -> DataFrame:

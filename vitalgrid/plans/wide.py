@@ -17,6 +17,7 @@ from vitalgrid.operators.lists import visit_lists
 from vitalgrid.operators.sampling import pseudonym_map
 from vitalgrid.operators.sizes import group_sizes
 from vitalgrid.operators.visits import time_grid, visit_facts, visit_ordinal
+from vitalgrid.session import materialize
 
 KEYS = ["patient", "visit"]
 
@@ -103,7 +104,8 @@ def wide_table(raw: RawTables, spec: P.Variant, hours: int = 12, readmission_day
     Events are reduced to one row per window before they meet the grid, so the
     widest shuffle carries aggregated rows.
     """
-    facts = visit_facts(raw.patients, raw.admissions, spec, readmission_days)
+    # One row per visit, for the grid and for the events.
+    facts = materialize(visit_facts(raw.patients, raw.admissions, spec, readmission_days))
     drugs = raw.prescriptions.select(
         F.col("subject_id").alias("patient"), F.col("hadm_id").alias("visit"), "drug"
     )
