@@ -3,8 +3,9 @@
 Texts become blocks of one language and about ``BLOCK_BYTES``: a stream of word numbers, 0
 where a piece ends, and the block's own table of words with their counts. The tables are summed, words with ``min_count``
 occurrences or more are ranked by frequency (in steps of an eighth of a doubling), and the rank is a
-word's id. Every block asks for the ids of its own words: (word, block) rows meet the
-ranked words and go back by block.
+word's id. Up to ``KNOWN_WORDS_BYTES`` of ranked words are sent to the tasks, which turn their blocks into ids
+where they are. Of more words, every block asks for the ids of its own: (word, block) rows meet the ranked words and go
+back by block.
 
 Each further level counts pairs of neighbouring ids and makes the frequent ones its symbols:
 
@@ -34,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
@@ -53,6 +55,8 @@ BLOCKS_PER_TASK = 16
 MOST_IDS = 3_000_000_000
 #: A level's phrases whose ids are broadcast: 16 bytes each, 32 MB at most.
 KNOWN_SYMBOLS = 2_000_000
+#: The ranked words that are broadcast, 16 bytes each besides their letters.
+KNOWN_WORDS_BYTES = 32 << 20
 #: Pairs that a task merges before it sends them, and that one adding task is planned for.
 MERGED_PAIRS, PAIRS_PER_PART = 4 << 20, 8 << 20
 
@@ -246,6 +250,39 @@ def with_ids(blocks: DataFrame, ranked: DataFrame, on: list[str], width: int) ->
     return Blocks(stored(rows.mapInArrow(run, "block long, ids binary")), Reader(kind, []))
 
 
+def with_known_words(blocks: DataFrame, ranked: DataFrame, width: int) -> Blocks:
+    """Streams of ids for ``blocks`` (block, lang, stream, symbols) from the broadcast words: no block is moved."""
+    table, kind = ranked.select("lang", "symbol", "id").toArrow(), _kind(width)
+    own: dict[str, tuple[pa.Array, np.ndarray]] = {}
+    for name in table["lang"].unique().to_pylist():
+        rows = table.filter(pc.equal(table["lang"], name))
+        own[name] = rows["symbol"].combine_chunks().cast(pa.string()), np.asarray(rows["id"]).astype(np.int64)
+    known = blocks.sparkSession.sparkContext.broadcast(own)
+
+    def run(batches):
+        for batch in batches:
+            names = batch.column("lang")
+            for name in names.unique().to_pylist():
+                if name not in known.value:
+                    continue
+                words, numbers = known.value[name]
+                rows = batch.filter(pc.equal(names, name))
+                # One look at the words for all blocks of the batch.
+                at = pc.index_in(rows.column("symbols").flatten().cast(pa.string()), value_set=words).fill_null(-1).to_numpy()
+                found = np.where(at < 0, -1, numbers[at])
+                ends = np.cumsum(pc.list_value_length(rows.column("symbols")).to_numpy())
+                for i, (a, b) in enumerate(zip(np.append(0, ends[:-1]), ends)):
+                    if (found[a:b] < 0).all():
+                        continue
+                    ids = np.append(-1, found[a:b])
+                    stream = np.frombuffer(rows.column("stream")[i].as_py(), "<u4")
+                    row = [rows.column("block").slice(i, 1), pa.array([ids[stream].astype(kind).tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(row, ["block", "ids"])
+
+    rows = blocks.select("block", "lang", "stream", "symbols")
+    return Blocks(stored(rows.mapInArrow(run, "block long, ids binary")), Reader(kind, []))
+
+
 def pair_counts(blocks: Blocks, width: int, parts: int, min_count: int) -> DataFrame:
     """(symbol, f): the frequent pairs of neighbouring ids; ``width``: the number of ids."""
     reader = blocks.reader
@@ -360,7 +397,10 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST,
     none = F.array().cast("array<bigint>")
     levels = [ranked.select("id", "lang", "f", F.array("symbol").alias("words"), none.alias("heads"), none.alias("tails"))]
     width = ranked.count()
-    blocks = with_ids(words, ranked, ["lang", "symbol"], width) if width else None
+    blocks = None
+    if width:
+        size = ranked.agg(F.sum(F.octet_length("symbol") + 16)).first()[0]
+        blocks = with_known_words(words, ranked, width) if size <= KNOWN_WORDS_BYTES else with_ids(words, ranked, ["lang", "symbol"], width)
     for level in range(2, longest + 1):
         if not width:
             break
