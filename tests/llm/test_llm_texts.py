@@ -243,3 +243,25 @@ def test_quality_held_out_accuracy(spark):
     good = [k for k, q in right if q == 1]
     bad = [k for k, q in right if q == 0]
     assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.2 * len(bad)
+
+
+def test_chunks_looked_up_once_a_block(library):
+    """A block's distinct chunks are looked up once each, whatever their number of occurrences; the ids are the library's."""
+    cache = packing.library_cache(vocabulary())
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    cache.ids = Counted(cache.ids)
+    pieces = ["a", "é", " ", "  ", "\n", ".", "\t ", "7", "'s", "\x1c", "　", "<|endoftext|>", "B,", "\n ", " \n", "x.\ny", "x.\ny,", "\x00"]
+    rng = random.Random(4)
+    texts = ["", " ", "one two. two\nthree " * 2000] + ["".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(400)]
+    for part in (texts[:3], texts):  # unknown and known
+        assert [np.frombuffer(x, "<u4").tolist() for x in cache.ids_of(part)] == [
+            x.ids for x in library.encode_batch(part, add_special_tokens=False)
+        ]
+    assert Counted.asked < 6000

@@ -17,6 +17,9 @@ import re
 from collections.abc import Callable
 from itertools import islice
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: The published pattern of this byte-level pre-tokenizer.
@@ -82,6 +85,12 @@ def key_words(key: str) -> list[str]:
         return [" " + key]
     if key[:-1].isalpha() and key[-1] in _ENDS:
         return [" " + key[:-1], key[-1]]
+    line, _, rest = key.partition("\n")
+    if line[:-1].isalpha() and line[-1] in _ENDS:
+        if rest.isalpha():
+            return [" " + line[:-1], line[-1], "\n", rest]
+        if rest[:-1].isalpha() and rest[-1] in _ENDS:
+            return [" " + line[:-1], line[-1], "\n", rest[:-1], rest[-1]]
     if key[:1] != " ":
         return words_of(" " + key)
     return [key[3:]] if key[:3] == "   " else words_of(key[1:])
@@ -90,6 +99,12 @@ def key_words(key: str) -> list[str]:
 _ENDS = frozenset(".,;:!?|%&#$*")
 
 
+def _joined(keys: pa.Array) -> str:
+    """Keys with a blank between each."""
+    row = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
+    return pc.binary_join(row, pa.scalar(" ", keys.type))[0].as_py()
+
+
 class ChunkCache:
     """Keys to little-endian 32-bit ids, filled by ``encode``.
 
@@ -127,31 +142,55 @@ class ChunkCache:
             (self.loose if _loose(k) else self.ids)[k] = b"".join(map(word, ws))
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. New words of all texts are encoded together."""
+        """The ids of each text. Every distinct key of the texts is looked up once, new ones are encoded together."""
         self._trim()
-        get, late = self.ids.get, self.loose
-        parts: list[list[bytes | None]] = []
-        waiting: list[tuple[list[bytes | None], list[tuple[int, str]]]] = []
-        new: set[str] = set()
-        for t in texts:
-            odd = bool(self.special) and self.special in t
-            keys = keys_of(t, self.special) if odd else _blank_keys(t)
-            found = list(map(get, keys))
-            if None in found:
-                missing = [(i, keys[i]) for i, v in enumerate(found) if v is None]
-                if not odd and any(_loose(k) for _, k in missing) and _UNSAFE.search(t):
-                    keys = keys_of(t)
-                    found = list(map(get, keys))
-                    missing = [(i, keys[i]) for i, v in enumerate(found) if v is None]
-                new.update(k for _, k in missing if k not in late)
-                waiting.append((found, missing))
-            parts.append(found)
-        self._learn(new)
-        ids = self.ids
-        for found, missing in waiting:
-            for i, k in missing:
-                found[i] = late[k] if k in late else ids[k]
-        return [b"".join(x) for x in parts]
+        if not texts:
+            return []
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = np.asarray(parts.offsets)
+        coded = parts.values.dictionary_encode()
+        # No key holds a blank, so that all of them are read as one text.
+        keys: list[str] = _joined(coded.dictionary).split(" ")
+        place = coded.indices.to_numpy().copy()
+        get, late = self.ids.get, self.loose.get
+        # Texts that aren't safe to cut hold a loose key, most texts hold none, and no known key is one.
+        ids = list(map(get, keys))
+        gaps = [i for i, v in enumerate(ids) if v is None]
+        unsure = np.zeros(len(keys), bool)
+        unsure[[i for i in gaps if _loose(keys[i])]] = True
+        doubtful = unsure[place]
+        doubtful[bounds[:-1]] = False
+        sums = np.append(0, np.cumsum(doubtful))
+        doubtful = sums[bounds[1:]] > sums[bounds[:-1]]
+        apart: dict[int, list[str]] = {}
+        for i, t in enumerate(texts):
+            if (doubtful[i] and _UNSAFE.search(t)) or (self.special and self.special in t):
+                apart[i] = keys_of(t, self.special)
+        # A text's first key has no blank in front.
+        first, at = np.unique(place[bounds[:-1]], return_inverse=True)
+        place[bounds[:-1]] = len(keys) + at
+        more = [" " + keys[k] for k in first.tolist()]
+        keys += more
+        more = list(map(get, more))
+        gaps += [len(ids) + i for i, v in enumerate(more) if v is None]
+        ids += more
+        asked = np.ones(len(place), bool)
+        for i in apart:
+            asked[bounds[i] : bounds[i + 1]] = False
+        used = (np.bincount(place[asked], minlength=len(keys)) > 0).tolist()
+        gaps = [i for i in gaps if used[i]]
+        new = {keys[i] for i in gaps}.union(k for ks in apart.values() for k in ks if get(k) is None)
+        self._learn(new.difference(self.loose))
+        for i in gaps:
+            ids[i] = late(k) if (v := get(k := keys[i])) is None else v
+        joined = pa.array(ids, pa.large_binary()).take(pa.array(place))
+        _, offsets, data = joined.buffers()
+        cuts = np.frombuffer(offsets, np.int64)[: len(place) + 1][bounds].tolist()
+        data = memoryview(data) if data is not None else b""
+        out = [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+        for i, ks in apart.items():
+            out[i] = b"".join([late(k) if (v := get(k)) is None else v for k in ks])
+        return out
 
 
 def specials(tokenizer_json: str) -> tuple[str | None, int | None]:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from vitalgrid.llm.bpe import blocks
+from vitalgrid.llm.bpe import blocks, byte_symbols
 from vitalgrid.llm.chunks import ChunkCache, specials
 from vitalgrid.llm.common import numbered
 from vitalgrid.session import materialize
@@ -30,7 +30,7 @@ SIZE = 2048
 END_ID = 0
 CLASSES = 512
 CHUNK_ROWS = 100_000
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -41,25 +41,38 @@ def library_cache(tokenizer_json: str) -> ChunkCache:
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
 
-    def joined(words: list[str], mark: str, step: int) -> list[bytes]:
+    # Inside words of letters no token holds a blank or a line break.
+    vocab = tokenizer.get_vocab()
+    blank, line = ("".join(c for c, b in byte_symbols().items() if b == ord(mark)) for mark in " \n")
+    opens = {" ": np.zeros(max(vocab.values(), default=0) + 1, bool), "\n": np.zeros(max(vocab.values(), default=0) + 1, bool)}
+    for token, i in vocab.items():
+        opens[" "][i], opens["\n"][i] = token.startswith(blank), token == line
+
+    def joined(words: list[str], mark: str) -> list[bytes]:
+        """The ids of words of letters: behind a line break each, or with a blank of their own in front."""
         out: list[bytes] = []
         for first in range(0, len(words), 256):
             part = words[first : first + 256]
-            found = tokenizer.encode("".join([mark + w for w in part]), add_special_tokens=False)
-            # Each word is the last of ``step`` pieces that the pre-tokenizer makes.
-            at = np.arange(step - 1, step * len(part), step)
-            place = np.array(found.word_ids)
-            starts, ends = (np.searchsorted(place, at, side) * 4 for side in ("left", "right"))
-            ids = np.array(found.ids, "<u4").tobytes()
-            out += [ids[i:j] for i, j in zip(starts.tolist(), ends.tolist())]
+            text = "".join(part) if mark == " " else mark + mark.join(part)
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            starts = np.flatnonzero(opens[mark][ids])
+            if len(starts) != len(part):  # a vocabulary that doesn't mark them
+                out += [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                continue
+            data = ids.tobytes()
+            skip = 0 if mark == " " else 4
+            cuts = [*(starts * 4).tolist(), len(data)]
+            out += [data[i + skip : j] for i, j in zip(cuts, cuts[1:])]
         return out
 
     def encode(words: list[str]) -> list[bytes]:
         # Such words stay apart in one text, the second kind with a line break in front of each;
         # a call for many costs less than many calls.
         spaced = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        if len(spaced) == len(words):
+            return joined(words, " ")
         bare = [w for w in words if w.isalpha()]
-        known = dict(zip(spaced, joined(spaced, "", 1))) | dict(zip(bare, joined(bare, "\n", 2)))
+        known = dict(zip(spaced, joined(spaced, " "))) | dict(zip(bare, joined(bare, "\n")))
         rest = [w for w in words if w not in known]
         found = tokenizer.encode_batch_fast(rest, add_special_tokens=False)
         known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(rest, found))
