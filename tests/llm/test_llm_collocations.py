@@ -126,3 +126,27 @@ def test_query(spark, tmp_path):
     spark.createDataFrame(rows, "text string, lang string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     got = QUERIES["op11_tiled_collocations"](spark, str(tmp_path))
     assert sorted(map(tuple, got.collect())) == by_hand(rows, 100)
+
+
+@pytest.mark.parametrize("numbers", [False, True])
+def test_ids_are_asked_by_block_and_part(spark, numbers):
+    """Blocks get the ids of their symbols by a packed row for each block and part, not by a row for each symbol."""
+    named = (lambda i: i * i * 977 + 2**40) if numbers else (lambda i: f"é{i}")
+    kind = "long" if numbers else "string"
+    sets = {1: range(500), 2: range(250, 900), 3: [], 1 << 40: [0, 1000]}
+    langs = {1: "en", 2: "de", 3: "en", 1 << 40: "en"}
+    blocks = spark.createDataFrame(
+        [(b, langs[b], [named(i) for i in s]) for b, s in sets.items()], f"block long, lang string, symbols array<{kind}>"
+    )
+    known = {("en", i): 3 * i for i in range(0, 500, 2)} | {("de", i): 7 * i for i in range(300, 1200)}
+    if numbers:
+        known = {("", i): 3 * i for i in range(0, 900, 2)}
+    ranked = spark.createDataFrame([(g, named(i), n) for (g, i), n in known.items()], f"lang string, symbol {kind}, id long")
+    rows = module.answers(blocks, ranked, ["symbol"] if numbers else ["lang", "symbol"], 5).collect()
+    assert len(rows) <= 5 * len(sets)
+    got = {}
+    for r in rows:
+        at = np.cumsum(module._unpacked(r["at"])).tolist()
+        got |= {(r["block"], k): n for k, n in zip(at, module._unpacked(r["ids"]).tolist(), strict=True)}
+    expected = {(b, k): known[g, i] for b, s in sets.items() for k, i in enumerate(s) if (g := "" if numbers else langs[b], i) in known}
+    assert got == expected and len(expected) > 500

@@ -3,8 +3,8 @@
 Texts become blocks of one language and about ``BLOCK_BYTES``: a stream of word numbers, 0
 where a piece ends, and the block's own table of words with their counts. The tables are summed, words with ``min_count``
 occurrences or more are ranked by frequency (in steps of an eighth of a doubling), and the rank is a
-word's id. Every block asks for the ids of its own words: (word, block) rows meet the
-ranked words and go back by block.
+word's id. Every block asks for the ids of its own words: they are dealt by hash to parts, a row for each block
+and part, the ranked words are dealt alike, and what is known goes back by block as packed numbers.
 
 Each further level counts pairs of neighbouring ids and makes the frequent ones its symbols:
 
@@ -29,11 +29,14 @@ each; pieces end with a text; an empty table gives no rows; other columns are no
 from __future__ import annotations
 
 import re
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
@@ -55,6 +58,8 @@ MOST_IDS = 3_000_000_000
 KNOWN_SYMBOLS = 2_000_000
 #: Pairs that a task merges before it sends them, and that one adding task is planned for.
 MERGED_PAIRS, PAIRS_PER_PART = 4 << 20, 8 << 20
+#: Questions for ids, and ranked symbols, that one answering task is planned for.
+ASKED_PER_PART, RANKED_PER_PART = 4 << 20, 1 << 18
 
 _BREAKS = re.compile(rb"[.,;:!?\x0A-\x0D]+")
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -81,7 +86,7 @@ def _parts(text: bytes) -> Iterator[bytes]:
 
 
 def word_blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(block, lang, n, stream, symbols, counts): blocks of one language with their words."""
+    """(block, lang, n, stream, symbols, counts): blocks of one language with their words, a block's frequent ones first."""
 
     def run(batches):
         part, serial = TaskContext.get().partitionId(), 0
@@ -96,10 +101,14 @@ def word_blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
             sizes.pop(name)
             stream = np.fromiter(map(table.__getitem__, words), np.int64, len(words))
             counts = np.bincount(stream, minlength=len(table))[1:]
+            order = np.argsort(-counts, kind="stable")
+            number = np.zeros(len(table), np.int64)
+            number[order + 1] = np.arange(1, len(table))
             row = {
                 "block": pa.array([part << 32 | serial]), "lang": pa.array([name]), "n": pa.array([int(counts.sum())]),
-                "stream": pa.array([stream.astype("<u4").tobytes()], pa.binary()),
-                "symbols": _list(pa.array(list(table)[1:], pa.binary()).cast(pa.string())), "counts": _list(pa.array(counts)),
+                "stream": pa.array([_packed(number[stream])], pa.binary()),
+                "symbols": _list(pa.array(list(table)[1:], pa.binary()).cast(pa.string()).take(pa.array(order))),
+                "counts": _list(pa.array(counts[order])),
             }
             serial += 1
             return pa.RecordBatch.from_arrays(list(row.values()), list(row))
@@ -224,25 +233,108 @@ def _kind(width: int) -> str:
     return "<i4" if width < 1 << 31 else "<i8"
 
 
+def _dealt(symbols: pa.Array, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, places) of symbols by hash."""
+    if pa.types.is_integer(symbols.type):
+        hashes = mix(np.asarray(symbols).astype(np.int64).view(np.uint64))
+    else:
+        hashes = np.fromiter((zlib.crc32(w.encode()) for w in symbols.to_pylist()), np.uint64, len(symbols))
+    part = (hashes % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    for i in np.flatnonzero(np.diff(cuts)).tolist():
+        yield i, order[cuts[i] : cuts[i + 1]]
+
+
+def _written(symbols: pa.Array) -> bytes:
+    """Symbols as bytes: words with a blank between each, which no word holds, or packed numbers."""
+    if pa.types.is_integer(symbols.type):
+        return _packed(np.asarray(symbols).astype(np.int64))
+    return " ".join(symbols.to_pylist()).encode()
+
+
+def _read(data: bytes, numbers: bool) -> list:
+    return _unpacked(data).tolist() if numbers else data.split(b" ")
+
+
+def answers(blocks: DataFrame, ranked: DataFrame, on: list[str], parts: int) -> DataFrame:
+    """(block, at, ids): the places and ids of the ranked ones among a block's symbols, packed; a row for each part that has some."""
+    numbers = isinstance(ranked.schema["symbol"].dataType, T.LongType)
+    lang = F.col("lang") if "lang" in on else F.lit("")
+
+    def ask(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                symbols = batch.column("symbols")[i].values
+                rows = [(p, _packed(np.diff(at, prepend=0)), _written(symbols.take(pa.array(at)))) for p, at in _dealt(symbols, parts)]
+                if rows:
+                    yield _rows(rows, batch.column("block")[i].as_py(), batch.column("lang")[i].as_py())
+
+    def tell(batches):
+        for batch in batches:
+            names = batch.column("lang")
+            for name in names.unique():
+                own = batch.filter(pc.equal(names, name))
+                ids = np.asarray(own.column("id")).astype(np.int64)
+                symbols = own.column("symbol")
+                yield _rows([(p, _packed(ids[at]), _written(symbols.take(pa.array(at)))) for p, at in _dealt(symbols, parts)], -1, name.as_py())
+
+    def answer(batches):
+        now, known = -1, defaultdict(dict)  # of one part; its ranked symbols, block -1, come first
+        for batch in batches:
+            rows = []
+            for part, block, name, at, symbols in zip(*[batch.column(c).to_pylist() for c in ("part", "block", "lang", "at", "symbols")]):
+                if part != now:
+                    now, known = part, defaultdict(dict)
+                if block < 0:
+                    known[name].update(zip(_read(symbols, numbers), _unpacked(at).tolist()))
+                    continue
+                own = known[name]
+                ids = np.array([own.get(s, -1) for s in _read(symbols, numbers)], np.int64)
+                hit = np.flatnonzero(ids >= 0)
+                if len(hit):
+                    rows.append((block, _packed(np.diff(np.cumsum(_unpacked(at))[hit], prepend=0)), _packed(ids[hit])))
+            if rows:
+                kinds = (pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["block", "at", "ids"])
+
+    schema = "part int, block long, lang string, at binary, symbols binary"
+    asked = blocks.select("block", lang.alias("lang"), "symbols").mapInArrow(ask, schema)
+    told = ranked.select(lang.alias("lang"), "symbol", "id").mapInArrow(tell, schema)
+    rows = asked.union(told).repartition(parts, "part").sortWithinPartitions("part", "block")
+    return rows.mapInArrow(answer, "block long, at binary, ids binary")
+
+
+def _rows(rows: list[tuple[int, bytes, bytes]], block: int, lang: str) -> pa.RecordBatch:
+    part, at, symbols = zip(*rows)
+    n = len(rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part, pa.int32()), pa.array([block] * n, pa.int64()), pa.array([lang] * n, pa.string()), pa.array(at, pa.binary()), pa.array(symbols, pa.binary())],
+        ["part", "block", "lang", "at", "symbols"],
+    )
+
+
 def with_ids(blocks: DataFrame, ranked: DataFrame, on: list[str], width: int) -> Blocks:
     """Streams of ids for ``blocks`` (block, stream, symbols): each asks for the ids of its own symbols."""
     spark, kind = blocks.sparkSession, _kind(width)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // BLOCKS_PER_TASK))
-    asked = blocks.select("block", *[c for c in on if c != "symbol"], F.posexplode("symbols").alias("at", "symbol"))
-    hits = asked.join(ranked.select(*on, "id"), on).select("block", "at", "id").repartition(tasks, "block")
-    hits = hits.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("hits"))  # a block's symbols at most
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n, asked = blocks.agg(F.count(F.lit(1)), F.sum(F.size("symbols"))).first()
+    tasks = max(shuffles, -(-n // BLOCKS_PER_TASK))
+    parts = max(shuffles, -(-(asked or 0) // ASKED_PER_PART), -(-width // RANKED_PER_PART))
+    hits = answers(blocks, ranked, on, parts).repartition(tasks, "block")
+    hits = hits.groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("hits"))  # a block's symbols at most
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                stream = np.frombuffer(batch.column("stream")[i].as_py(), "<u4")
-                known = batch.column("hits")[i].values
+                stream = _unpacked(batch.column("stream")[i].as_py())
                 ids = np.full(int(stream.max(initial=0)) + 1, -1, np.int64)
-                ids[np.asarray(known.field(0)) + 1] = np.asarray(known.field(1))
+                for hit in batch.column("hits")[i].as_py():
+                    ids[np.cumsum(_unpacked(hit["at"])) + 1] = _unpacked(hit["ids"])
                 row = [batch.column("block").slice(i, 1), pa.array([ids[stream].astype(kind).tobytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(row, ["block", "ids"])
 
-    rows = blocks.select("block", "stream").repartition(tasks, "block").join(hits, "block")
+    rows = blocks.select("block", "stream").repartition(tasks, "block").join(hits.hint("merge"), "block")
     return Blocks(stored(rows.mapInArrow(run, "block long, ids binary")), Reader(kind, []))
 
 
@@ -313,9 +405,9 @@ def pair_tables(blocks: Blocks, width: int) -> DataFrame:
             for block, seq in reader.streams(batch):
                 at = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
                 codes, place = np.unique(seq[at] * width + seq[at + 1], return_inverse=True)
-                stream = np.zeros(len(seq), "<u4")
+                stream = np.zeros(len(seq), np.int64)
                 stream[at] = place + 1
-                row = [pa.array([block]), pa.array([stream.tobytes()], pa.binary()), _list(pa.array(codes))]
+                row = [pa.array([block]), pa.array([_packed(stream)], pa.binary()), _list(pa.array(codes))]
                 yield pa.RecordBatch.from_arrays(row, ["block", "stream", "symbols"])
 
     return blocks.rows.mapInArrow(run, "block long, stream binary, symbols array<long>")
