@@ -16,7 +16,7 @@ Each further level counts pairs of neighbouring ids and makes the frequent ones
 
 At level k symbols are phrases of k words: a phrase's pair joins its first and its last
 k - 1 words, which are both frequent if it is. Ids of up to ``KNOWN_SYMBOLS`` phrases a level are sent to
-the tasks, which rebuild the level's stream from the words'; of more, blocks ask for theirs by a join as for words.
+the tasks, which rebuild the level's stream from the words'; of more, blocks ask for theirs as for words.
 
 A phrase carries the counts of all its heads and tails, so every cut's score is exact arithmetic on its own
 row (decimals of 38 digits). A phrase inside a longer one of the same count has a neighbour
