@@ -265,3 +265,19 @@ def test_chunks_looked_up_once_a_block(library):
             x.ids for x in library.encode_batch(part, add_special_tokens=False)
         ]
     assert Counted.asked < 6000
+
+
+def test_words_encoded_once_whatever_stands_beside_them(library):
+    """Words met in ever other company (marks, line breaks, quotes) are neither looked up nor encoded apart; the ids are the library's."""
+    cache = packing.library_cache(vocabulary())
+    encode, asked = cache.encode, []
+    cache.encode = lambda words: asked.extend(words) or encode(words)
+    words = [a + b for a in "bdfgklmnprst" for b in ("a", "é", "oon", "中", "՘", "½")]
+    rng = random.Random(6)
+    breaks = [" ", ".\n", ", ", "\n\n", "'s ", "   ", "\t", "!", "'re\r\n", "<|endoftext|>", " '", "\x1c"]
+    texts = ["".join(rng.choice(words) + rng.choice(breaks) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    for part in (texts[:1500], texts):
+        assert [np.frombuffer(x, "<u4").tolist() for x in cache.ids_of(part)] == [
+            x.ids for x in library.encode_batch(part, add_special_tokens=False)
+        ]
+    assert len(asked) == len(set(asked)) < 600 and len(cache.ids) < 600

@@ -1,196 +1,160 @@
-"""Byte-level BPE text in independent chunks, so that each distinct chunk is encoded once.
+"""Byte-level BPE text in words of the pre-tokenizer, so that each distinct word is encoded once.
 
-The pre-tokenizer binds one blank to the word behind it. So a text may be cut
-before each blank, unless white space stands on both sides of it (or in front
-of it at the end); such texts go through the full pattern instead. What a chunk
-is encoded to does not depend on its surroundings.
-
-A chunk's key is its text without the leading blank. Keys for other cases start
-with a blank, which no chunk can hold: " c" has no leading blank, "  e" is the
-special token, "   w" is the ready word w.
+The words of a block of texts are told by the classes of its bytes: letters, numbers,
+white space and the rest. What a word is encoded to does not depend on its surroundings.
 """
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import islice
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
-
-#: The published pattern of this byte-level pre-tokenizer.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-_UNSAFE = re.compile(r"\s (?:\s|\Z)")
-_ODD = re.compile("[\x1c-\x1f]")  # white space to one library and not to the other
-_WORDS = regex.compile(PATTERN)
-_SPECIAL = "  e"
-
-
-def words_of(text: str) -> list[str]:
-    if _ODD.search(text):
-        # The stand-ins are neither white space, nor letters, nor numbers to any library.
-        marks = {"\x1c": "\ue000", "\x1d": "\ue001", "\x1e": "\ue002", "\x1f": "\ue003"}
-        if not any(m in text for m in marks.values()):
-            back = str.maketrans({m: c for c, m in marks.items()})
-            return [w.translate(back) for w in _WORDS.findall(text.translate(str.maketrans(marks)))]
-        return _split_odd(text)
-    return _WORDS.findall(text)
-
-
-_STRICT = regex.compile(
-    PATTERN.replace(r"[^\s", r"[^\t-\r \x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
-    .replace(r"(?!\S)", "(?![^\\t-\\r \\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])")
-    .replace(r"\s+", "[\\t-\\r \\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-)
-
-
-def _split_odd(text: str) -> list[str]:
-    return _STRICT.findall(text)
-
-
-def keys_of(text: str, special: str | None = None) -> list[str]:
-    """The keys of a text's chunks, in order."""
-    if special and special in text:
-        keys: list[str] = []
-        for i, part in enumerate(text.split(special)):
-            if i:
-                keys.append(_SPECIAL)
-            if part:
-                keys += keys_of(part)
-        return keys
-    if _UNSAFE.search(text):
-        return ["   " + w for w in words_of(text)]
-    return _blank_keys(text)
-
-
-def _blank_keys(text: str) -> list[str]:
-    keys = text.split(" ")
-    keys[0] = " " + keys[0]
-    return keys
-
-
-def _loose(key: str) -> bool:
-    """Whether a key is empty or begins with white space: one of a text that isn't safe to cut is."""
-    return not key or (key[0] != " " and key[0].isspace())
-
-
-def key_words(key: str) -> list[str]:
-    """The pre-tokenizer's words of a key that isn't the special token's."""
-    if key.isalpha():
-        return [" " + key]
-    if key[:-1].isalpha() and key[-1] in _ENDS:
-        return [" " + key[:-1], key[-1]]
-    line, _, rest = key.partition("\n")
-    if line[:-1].isalpha() and line[-1] in _ENDS:
-        if rest.isalpha():
-            return [" " + line[:-1], line[-1], "\n", rest]
-        if rest[:-1].isalpha() and rest[-1] in _ENDS:
-            return [" " + line[:-1], line[-1], "\n", rest[:-1], rest[-1]]
-    if key[:1] != " ":
-        return words_of(" " + key)
-    return [key[3:]] if key[:3] == "   " else words_of(key[1:])
-
-
-_ENDS = frozenset(".,;:!?|%&#$*")
-
-
-def _joined(keys: pa.Array) -> str:
-    """Keys with a blank between each."""
-    row = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
-    return pc.binary_join(row, pa.scalar(" ", keys.type))[0].as_py()
+from tokenizers.pre_tokenizers import ByteLevel
+
+#: The published pattern of this byte-level pre-tokenizer, which ``word_bounds`` follows, is
+#: '(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
+_OTHER, _LETTER, _NUMBER, _SPACE = range(4)
+_SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """The class of each code point."""
+    kinds = np.full(0x110000, _OTHER, np.uint8)
+    points = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for kind, pattern, known in ((_LETTER, r"\p{L}+", "a"), (_NUMBER, r"\p{N}+", "1")):
+        found = "".join(regex.findall(pattern, points))
+        kinds[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = kind
+        # Of characters newer than Python's tables, the library's version decides: it leaves them with a known one or not.
+        newer = [c for c in found if category(c) == "Cn"]
+        cuts = ByteLevel(add_prefix_space=False).pre_tokenize_str("".join(known + c for c in newer))
+        cuts = {first for _, (first, _) in cuts}
+        kinds[[ord(c) for i, c in enumerate(newer) if 2 * i + 1 in cuts]] = _OTHER
+    kinds[_SPACES] = _SPACE
+    return kinds
+
+
+def _byte_classes(data: np.ndarray) -> np.ndarray:
+    """The class of each byte's character."""
+    kinds = _classes()
+    out = kinds[:256][data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        point = data[lead].astype(np.int64) & (0x7F >> size)
+        for k in range(1, 4):
+            has = size > k
+            point[has] = point[has] << 6 | (data[lead[has] + k] & 0x3F)
+        found = kinds[point]
+        for k in range(4):
+            has = size > k
+            out[lead[has] + k] = found[has]
+    return out
+
+
+def word_bounds(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the words of texts begin, and the end. ``bounds``: of the texts in ``data``, their UTF-8 bytes."""
+    n = len(data)
+    opens = np.zeros(n + 1, bool)
+    opens[bounds] = True
+    if not n:
+        return np.flatnonzero(opens)
+    kind = _byte_classes(data)
+    cut = opens.copy()
+    cut[1:n] |= kind[1:] != kind[:-1]
+    # Of white space in front of something the last character stands apart; a blank goes with what follows.
+    space = kind == _SPACE
+    behind = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    behind = behind[~opens[behind]]
+    last = behind - 1
+    for _ in range(2):
+        last = last - ((data[last] & 0xC0) == 0x80)
+    cut[last] = True
+    cut[behind[data[last] == ord(" ")]] = False
+    # A quote that begins a word takes certain letters, and the word ends there.
+    quote = np.flatnonzero(data == ord("'"))
+    quote = quote[cut[quote]]
+    ahead = np.append(data, np.zeros(2, np.uint8))
+    a, b = ahead[quote + 1], ahead[quote + 2]
+    size = np.isin(a, list(b"stmd")) + 2 * (((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l")))
+    inside = (size > 0) & ~opens[np.minimum(quote + 1, n)] & ((size < 2) | ~opens[np.minimum(quote + 2, n)])
+    quote, size = quote[inside], size[inside]
+    cut[quote + 1] = False
+    cut[quote + 1 + size] = True
+    return np.flatnonzero(cut)
+
+
+def _found(data: np.ndarray, bounds: np.ndarray, mark: bytes) -> list[int]:
+    """Where ``mark`` begins inside a text, from the left and without overlaps."""
+    raw, out, at = data.tobytes(), [], 0
+    while (at := raw.find(mark, at)) >= 0:
+        if int(bounds[np.searchsorted(bounds, at, "right")]) < at + len(mark):
+            at += 1  # over the border of two texts
+        else:
+            out.append(at)
+            at += len(mark)
+    return out
 
 
 class ChunkCache:
-    """Keys to little-endian 32-bit ids, filled by ``encode``.
+    """Words to little-endian 32-bit ids, filled by ``encode``.
 
     ``encode`` maps a list of words to a list of id bytes. Beyond ``limit`` entries the
-    newer half goes: what was met early is more often what is frequent. Loose keys have a
-    table of their own, so that a text with one is noticed by its miss.
+    newer half goes: what was met early is more often what is frequent.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], special: str | None, special_id: int | None, limit: int = 800_000):
         self.encode, self.special, self.limit = encode, special, limit
-        self.ids: dict[str, bytes] = {} if special_id is None else {_SPECIAL: special_id.to_bytes(4, "little")}
-        self.words: dict[str, bytes] = {}
-        self.loose: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {} if special_id is None else {special: special_id.to_bytes(4, "little")}
 
     def _trim(self) -> None:
-        for name in ("ids", "words", "loose"):
-            if len(getattr(self, name)) > self.limit:
-                setattr(self, name, dict(islice(getattr(self, name).items(), self.limit // 2)))
-
-    def _learn(self, new: set[str]) -> None:
-        # Most keys are one word of letters; these need no second table.
-        plain = [k for k in new if k.isalpha()]
-        self.ids.update(zip(plain, self.encode([" " + k for k in plain])))
-        split = {k: key_words(k) for k in new.difference(plain)}
-        fresh: dict[str, None] = {}
-        for w in {w for ws in split.values() for w in ws}.difference(self.words):
-            known = self.ids.get(w[1:]) if w[0] == " " and w[1:].isalpha() else None
-            if known is None:
-                fresh[w] = None
-            else:
-                self.words[w] = known
-        self.words.update(zip(fresh, self.encode(list(fresh))))
-        word = self.words.__getitem__
-        for k, ws in split.items():
-            (self.loose if _loose(k) else self.ids)[k] = b"".join(map(word, ws))
-
-    def ids_of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. Every distinct key of the texts is looked up once, new ones are encoded together."""
+        if len(self.ids) > self.limit:
+            self.ids = dict(islice(self.ids.items(), self.limit // 2))
+
+    def _words(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The words of all texts, and where each text's begin among them."""
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if bounds[-1] > bounds[0] else np.zeros(0, np.uint8)
+        bounds = bounds - bounds[0]
+        mark = (self.special or "").encode()
+        marks = np.array(_found(data, bounds, mark) if mark else [], np.int64)
+        if len(marks):
+            # What stands beside the special token is encoded as a text of its own.
+            starts = word_bounds(data, np.concatenate((bounds, marks, marks + len(mark))))
+            at = np.searchsorted(marks, starts, "right") - 1
+            starts = starts[(at < 0) | (starts == marks[at]) | (starts >= marks[at] + len(mark))]
+        else:
+            starts = word_bounds(data, bounds)
+        words = pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)])
+        return words.dictionary_encode(), np.searchsorted(starts, bounds)
+
+    def ids_of(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text. Every distinct word of the texts is looked up once, new ones are encoded together."""
         self._trim()
-        if not texts:
+        if not len(texts):
             return []
-        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        bounds = np.asarray(parts.offsets)
-        coded = parts.values.dictionary_encode()
-        # No key holds a blank, so that all of them are read as one text.
-        keys: list[str] = _joined(coded.dictionary).split(" ")
-        place = coded.indices.to_numpy().copy()
-        get, late = self.ids.get, self.loose.get
-        # Texts that aren't safe to cut hold a loose key, most texts hold none, and no known key is one.
-        ids = list(map(get, keys))
+        coded, at = self._words(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()))
+        words: list[str] = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.ids.get, words))
         gaps = [i for i, v in enumerate(ids) if v is None]
-        unsure = np.zeros(len(keys), bool)
-        unsure[[i for i in gaps if _loose(keys[i])]] = True
-        doubtful = unsure[place]
-        doubtful[bounds[:-1]] = False
-        sums = np.append(0, np.cumsum(doubtful))
-        doubtful = sums[bounds[1:]] > sums[bounds[:-1]]
-        apart: dict[int, list[str]] = {}
-        for i, t in enumerate(texts):
-            if (doubtful[i] and _UNSAFE.search(t)) or (self.special and self.special in t):
-                apart[i] = keys_of(t, self.special)
-        # A text's first key has no blank in front.
-        first, at = np.unique(place[bounds[:-1]], return_inverse=True)
-        place[bounds[:-1]] = len(keys) + at
-        more = [" " + keys[k] for k in first.tolist()]
-        keys += more
-        more = list(map(get, more))
-        gaps += [len(ids) + i for i, v in enumerate(more) if v is None]
-        ids += more
-        asked = np.ones(len(place), bool)
-        for i in apart:
-            asked[bounds[i] : bounds[i + 1]] = False
-        used = (np.bincount(place[asked], minlength=len(keys)) > 0).tolist()
-        gaps = [i for i in gaps if used[i]]
-        new = {keys[i] for i in gaps}.union(k for ks in apart.values() for k in ks if get(k) is None)
-        self._learn(new.difference(self.loose))
-        for i in gaps:
-            ids[i] = late(k) if (v := get(k := keys[i])) is None else v
-        joined = pa.array(ids, pa.large_binary()).take(pa.array(place))
+        if gaps:
+            new = [words[i] for i in gaps]
+            learned = self.encode(new)
+            self.ids.update(zip(new, learned))
+            for i, v in zip(gaps, learned):
+                ids[i] = v
+        joined = pa.array(ids, pa.large_binary()).take(coded.indices)
         _, offsets, data = joined.buffers()
-        cuts = np.frombuffer(offsets, np.int64)[: len(place) + 1][bounds].tolist()
+        cuts = np.frombuffer(offsets, np.int64)[: len(joined) + 1][at].tolist()
         data = memoryview(data) if data is not None else b""
-        out = [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
-        for i, ks in apart.items():
-            out[i] = b"".join([late(k) if (v := get(k)) is None else v for k in ks])
-        return out
+        return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 def specials(tokenizer_json: str) -> tuple[str | None, int | None]:
