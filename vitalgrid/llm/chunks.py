@@ -44,8 +44,10 @@ def _byte_classes(data: np.ndarray) -> np.ndarray:
     """The class of each byte's character."""
     kinds = _classes()
     out = kinds[:256][data]
-    lead = np.flatnonzero(data >= 0xC0)
-    if len(lead):
+    for first in range(0, len(data), 1 << 22):  # a large text needs no more room besides
+        lead = first + np.flatnonzero(data[first : first + (1 << 22)] >= 0xC0)
+        if not len(lead):
+            continue
         size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
         point = data[lead].astype(np.int64) & (0x7F >> size)
         for k in range(1, 4):
